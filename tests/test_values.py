@@ -1,0 +1,171 @@
+"""Wire values, names, marks."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import marks, names, wire
+
+
+def one(spark, expr):
+    return spark.range(1).select(expr.alias("x")).first()[0]
+
+
+def test_truncation_is_by_code_points(spark):
+    for char in ("a", "é", "😀"):
+        kept, cut = "".join([char] * 10_000), "".join([char] * 10_001)
+        assert one(spark, wire.truncate(F.lit(kept))) == kept
+        assert one(spark, wire.truncate(F.lit(cut))) == kept + "...[TRUNCATED]"
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize(
+    "text", ["2026-04-22 16:09:19", "2026-04-22 16:09:19.655", "1999-12-31 00:00:00", "2026-04-22 16:09:19.000001"]
+)
+def test_iso_is_python_isoformat(spark, kind, text):
+    assert one(spark, wire.iso_timestamp(F.lit(text).cast(kind))) == dt.datetime.fromisoformat(text).isoformat()
+
+
+def test_iso_of_date_and_time(spark):
+    assert one(spark, wire.wire(F.lit(dt.date(2026, 4, 22)), T.DateType())) == "2026-04-22"
+    assert one(spark, wire.iso_time(F.expr("time'02:03:04.5'"))) == "02:03:04.500000"
+    assert one(spark, wire.iso_time(F.expr("time'02:03:04'"))) == "02:03:04"
+
+
+@pytest.mark.parametrize(
+    "delta", [dt.timedelta(days=1, hours=2, minutes=3, seconds=4.5), dt.timedelta(microseconds=-1), dt.timedelta(0)]
+)
+def test_interval_is_total_seconds(spark, delta):
+    assert one(spark, wire.interval_seconds(F.lit(delta))) == delta.total_seconds()
+
+
+@pytest.mark.parametrize("raw", [b"a\xffb", b"\xe2\x82", b"ok", "é€😀".encode(), b"\xf0\x9f\x98", b"\xc3\x28", b""])
+def test_binary_is_utf8_with_replacement(spark, raw):
+    assert one(spark, wire.binary_text(F.lit(bytearray(raw)))) == raw.decode("utf-8", errors="replace")
+
+
+def test_row_of_every_type(spark):
+    schema = (
+        "b boolean, i int, f float, d double, m decimal(10,2), s string, ts timestamp_ntz, day date, raw binary, "
+        "wait interval day to second, xs array<int>"
+    )
+    row = (
+        True, 1, 1.5, float("nan"), Decimal("12.30"), "x", dt.datetime(2026, 4, 22, 16, 9, 19), dt.date(2026, 4, 22),
+        bytearray(b"a\xff"), dt.timedelta(seconds=90), [1, 2],
+    )
+    empty = (None,) * len(row)
+    out = wire.to_wire(spark.createDataFrame([row, empty], schema)).collect()
+    assert tuple(out[0]) == (
+        True, 1, 1.5, None, 12.3, "x", "2026-04-22T16:09:19", "2026-04-22", "a\ufffd", 90.0, "[1, 2]",
+    )
+    assert set(out[1]) == {None}
+
+
+def test_infinities_have_no_json_form(spark):
+    assert one(spark, wire.finite(F.lit(float("inf")))) is None
+    assert one(spark, wire.finite(F.lit(float("-inf")))) is None
+
+
+def test_all_text_empties(spark):
+    rows = [(None, None, None, None), (0, 0.0, False, ""), (7, 2.5, True, "x")]
+    out = wire.all_text(spark.createDataFrame(rows, "i int, f double, b boolean, s string")).collect()
+    assert [tuple(r) for r in out] == [("",) * 4, ("",) * 4, ("7", "2.5", "true", "x")]
+
+
+def test_nul_bytes_go(spark):
+    out = wire.without_nul(spark.createDataFrame([("a\0b\0", 1)], "s string, i int")).first()
+    assert tuple(out) == ("ab", 1)
+
+
+@pytest.mark.parametrize("x,whole,part", [(5.0, 5, None), (2.5, None, 2.5), (None, None, None), (-3.0, -3, None), (1e30, None, 1e30)])
+def test_number_flattening(spark, x, whole, part):
+    c = F.lit(x).cast("double")
+    assert (one(spark, wire.flat_int(c)), one(spark, wire.flat_float(c))) == (whole, part)
+
+
+@pytest.mark.parametrize(
+    "name,valid,mysql,postgres,sqlite",
+    [
+        ("px-codes", True, "px_codes", "px_codes", "px_codes"),
+        ("SQL$Timed_Triggers", True, "SQL_Timed_Triggers", "sql_timed_triggers", "SQL_Timed_Triggers"),
+        ("2nd", False, "_2nd", "_2nd", "_2nd"),
+        ("a b", False, "a_b", "a_b", "a_b"),
+        ("", False, "_col", "_col", "_col"),
+        ("naïve", False, "na_ve", "na_ve", "naïve"),
+        ('x"; DROP', False, "x___DROP", "x___drop", "x___DROP"),
+        ("ok\n", False, "ok_", "ok_", "ok_"),
+    ],
+)
+def test_names(spark, name, valid, mysql, postgres, sqlite):
+    n = F.lit(name)
+    assert one(spark, names.is_identifier(n)) == valid
+    assert [one(spark, names.sanitize(n, t)) for t in ("mysql", "postgres", "sqlite")] == [mysql, postgres, sqlite]
+    if valid:
+        assert names.require_identifier(name) == name
+    else:
+        with pytest.raises(ValueError):
+            names.require_identifier(name)
+
+
+def test_colliding_columns_fail(spark):
+    df = spark.createDataFrame([(1, 2)], "`a-b` int, `a_b` int")
+    with pytest.raises(ValueError, match="a_b"):
+        names.with_safe_names(df)
+    assert names.with_safe_names(df.select("`a-b`")).columns == ["a_b"]
+    listed = spark.createDataFrame([("t", "a-b"), ("t", "a_b"), ("u", "a-b"), ("u", "c")], "table_name string, name string")
+    found = names.collisions(listed, "name", scope=("table_name",)).collect()
+    assert [(r.table_name, r.safe_name, r.names) for r in found] == [("t", "a_b", 2)]
+
+
+@pytest.mark.parametrize(
+    "value,dtype",
+    [
+        (True, T.BooleanType()), (False, T.BooleanType()), (12, T.LongType()), (2.5, T.DoubleType()), (1e-300, T.DoubleType()),
+        (dt.datetime(2026, 4, 22, 16, 9, 19, 655000), T.TimestampNTZType()), (dt.date(2026, 4, 22), T.DateType()),
+        ("a'b", T.StringType()), (Decimal("1.20"), T.DecimalType(10, 2)),
+    ],
+)
+def test_mark_round_trip(spark, value, dtype):
+    text = one(spark, marks.encode(F.lit(value).cast(dtype), dtype))
+    mark = marks.Mark(marks.mark_type(dtype), text)
+    assert one(spark, marks.literal(mark, dtype)) == value
+
+
+def test_timestamp_mark_survives_another_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    moment = F.timestamp_micros(F.lit(1_700_000_000_123_456))
+    text = one(spark, marks.encode(moment, T.TimestampType()))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        back = one(spark, F.unix_micros(marks.literal(marks.Mark("datetime", text), T.TimestampType())))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert back == 1_700_000_000_123_456
+
+
+def test_undecodable_mark_is_its_text(spark):
+    rows = [("int", "abc"), ("int", "7"), ("bool", "1"), ("float", "x"), ("datetime", "2026-04-22T16:09:19"), ("str", "s"), (None, None)]
+    out = spark.createDataFrame(rows, "k string, v string").select(marks.decode(F.col("k"), F.col("v")).alias("d")).select("d.*").collect()
+    assert [tuple(r) for r in out] == [
+        (None, None, None, None, "abc"), (None, 7, None, None, None), (True, None, None, None, None), (None, None, None, None, "x"),
+        (None, None, None, dt.datetime(2026, 4, 22, 16, 9, 19), None), (None, None, None, None, "s"), (None,) * 5,
+    ]
+
+
+@pytest.mark.parametrize(
+    "text,kind",
+    [("12345", "int"), ("20240101", "int"), ("2026-04-22T16:09:19.655000", "datetime"), ("2.5", "float"), ("AB-1", "str"), (None, None)],
+)
+def test_untyped_mark(spark, text, kind):
+    assert one(spark, marks.untyped_kind(F.lit(text).cast("string"))) == kind
+
+
+def test_highest_skips_nulls_and_never_falls(spark):
+    df = spark.createDataFrame([(1,), (None,), (5,)], "n int")
+    assert marks.highest(df, "n").first()[0] == 5
+    assert marks.highest(df, "n", marks.Mark("int", "9")).first()[0] == 9
+    assert marks.highest(df.where("n is null"), "n", marks.Mark("int", "9")).first()[0] == 9
+    assert marks.highest(df.where("false"), "n").first()[0] is None

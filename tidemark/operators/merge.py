@@ -26,11 +26,19 @@ def require_columns(df: DataFrame, names: Sequence[str], role: str = "key") -> N
         raise ValueError(f"{role} columns {missing} are not among {df.columns}")
 
 
-def key_columns(keys: Sequence[str], fold_case: bool = False, schema: T.StructType | None = None) -> list[Column]:
-    """Key expressions; `fold_case` makes text keys that differ only in case equal."""
-    return [
-        F.lower(column(k)) if fold_case and isinstance(schema[k].dataType, T.StringType) else column(k) for k in keys
-    ]
+def key_columns(keys: Sequence[str], schema: T.StructType, fold_case: bool = False) -> list[Column]:
+    """Key expressions. Whole numbers compare (and hash) as bigint, so a column may widen;
+    `fold_case` makes text keys that differ only in case equal."""
+    result = []
+    for k in keys:
+        dtype = schema[k].dataType
+        if isinstance(dtype, T.IntegralType):
+            result.append(column(k).cast("bigint"))
+        elif fold_case and isinstance(dtype, T.StringType):
+            result.append(F.lower(column(k)))
+        else:
+            result.append(column(k))
+    return result
 
 
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False) -> DataFrame:
@@ -42,7 +50,7 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_c
     """
     require_columns(df, [*keys, *order])
     hashed = [c for f in df.schema if (c := _hashable(f)) is not None]
-    latest = W.partitionBy(*key_columns(keys, fold_case, df.schema)).orderBy(
+    latest = W.partitionBy(*key_columns(keys, df.schema, fold_case)).orderBy(
         *[column(o).desc_nulls_last() for o in order], F.xxhash64(*hashed).desc()
     )
     return df.withColumn("_last", F.row_number().over(latest)).where("_last = 1").drop("_last")
@@ -97,11 +105,11 @@ def upsert(
     fresh = conform(dedupe_last(delta, keys, order, fold_case), schema)
     if lost := [c for c in live.columns if c not in delta.columns]:
         # the delta knows nothing of these columns: they keep their live values
-        kept = live.select(*[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, fold_case, live.schema))], *map(column, lost))
+        kept = live.select(*[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, live.schema, fold_case))], *map(column, lost))
         match = _same_key(fresh, kept, keys, fold_case)
         fresh = conform(fresh.drop(*lost).join(kept, match, "left"), schema)
     changed = delta.select(
-        *[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, fold_case, delta.schema))]
+        *[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, delta.schema, fold_case))]
     ).distinct()
     old = conform(live, schema)
     return old.join(changed, _same_key(old, changed, keys, fold_case), "left_anti").unionByName(fresh)
@@ -109,7 +117,7 @@ def upsert(
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], fold_case: bool) -> Column:
     match = F.lit(True)
-    for i, k in enumerate(key_columns(keys, fold_case, left.schema)):
+    for i, k in enumerate(key_columns(keys, left.schema, fold_case)):
         match = match & (k == right[f"_k{i}"])
     return match
 

@@ -86,18 +86,18 @@ class Replica:
         return self._rows(record, self._folders(record))
 
     def _folders(self, record: dict, only: Sequence[int] | None = None) -> list[str]:
-        if record["buckets"] is None:
-            return [f"{self.path}/data/{f}" for f in record["folders"]]
-        wanted = record["buckets"].items() if only is None else [
-            (str(b), record["buckets"][str(b)]) for b in only if str(b) in record["buckets"]
-        ]
-        return [f"{self.path}/data/{record['folders'][f]}/{BUCKET}={b}" for b, f in wanted]
+        buckets, data = record["buckets"], f"{self.path}/data"
+        if buckets is None or (only is None and len(record["folders"]) == 1):
+            return [f"{data}/{f}" for f in record["folders"]]
+        wanted = buckets if only is None else [b for b in map(str, only) if b in buckets]
+        return [f"{data}/{record['folders'][buckets[b]]}/{BUCKET}={b}" for b in wanted]
 
     def _rows(self, record: dict, folders: list[str]) -> DataFrame:
         schema = T.StructType.fromJson(record["schema"])
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        rows = self.spark.read.schema(schema).parquet(*folders)
+        return rows.select(*[column(n) for n in schema.names])
 
     # writing
 
@@ -119,6 +119,7 @@ class Replica:
         laid = self._lay_out(source, folder, keys, self._order(field, order), buckets, fold_case)
         facts = self._facts(laid, keys, field, None)
         if facts["rows"] == 0 and on_empty == "keep":
+            files.delete(self.spark, f"{self.path}/data/{folder}")
             return {**(last or {}), "mode": "full", "last_rows": 0, "published": False}
         return self._publish(
             last, version, mode="full", schema=_nullable(source.schema), keys=keys, field=field, facts=facts,
@@ -179,6 +180,7 @@ class Replica:
             laid = self._lay_out(delta, folder, keys, self._order(field, order), buckets, fold_case)
             facts = self._facts(laid, keys, field, mark)
             if facts["rows"] == 0:
+                files.delete(self.spark, f"{self.path}/data/{folder}")
                 return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
             kept = last["folders"] if has_rows else []
             return self._publish(
@@ -225,12 +227,8 @@ class Replica:
         return version, f"{version:012d}-{uuid.uuid4().hex[:8]}"
 
     def _bucket(self, schema: T.StructType, keys: Sequence[str], count: int, fold_case: bool):
-        # integral keys hash as bigint, so a widened column keeps its buckets
-        hashed = [
-            k.cast("bigint") if isinstance(schema[n].dataType, T.IntegralType) else k
-            for n, k in zip(keys, merge.key_columns(keys, fold_case, schema))
-        ]
-        return F.pmod(F.xxhash64(*hashed), F.lit(count)).cast("int")
+        """Bucket of a row, by the hash Spark's own shuffle uses."""
+        return F.pmod(F.hash(*merge.key_columns(keys, schema, fold_case)), F.lit(count)).cast("int")
 
     def _lay_out(self, df: DataFrame, folder: str, keys, order, buckets, fold_case) -> dict:
         """Write the rows of a new version. Without a key that is a plain write with no shuffle."""
@@ -240,9 +238,12 @@ class Replica:
             return {"rows": self.spark.read.schema(df.schema).parquet(target), "bucket_count": None}
         merge.require_columns(df, keys)
         count = buckets or bucket_count(df)
-        last_rows = merge.dedupe_last(df, keys, order, fold_case)
-        bucketed = last_rows.withColumn(BUCKET, self._bucket(df.schema, keys, count, fold_case))
-        bucketed.repartition(count, BUCKET).write.partitionBy(BUCKET).parquet(target)
+        rows = merge.dedupe_last(df, keys, order, fold_case)
+        rows = rows.withColumn(BUCKET, self._bucket(df.schema, keys, count, fold_case))
+        if count % shuffle_partitions(self.spark):
+            rows = rows.repartition(count, BUCKET)
+        # else the shuffle that brought equal keys together has put each bucket into one task
+        rows.write.partitionBy(BUCKET).parquet(target)
         schema = T.StructType([*df.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         return {"rows": self.spark.read.schema(schema).parquet(target), "bucket_count": count}
 
@@ -251,7 +252,7 @@ class Replica:
         bucket = self._bucket(schema, keys, count, fold_case).alias(BUCKET)
         old = live.select("*", bucket, F.lit(0).alias("_new"))
         new = merge.conform(stage, schema).select("*", bucket, F.lit(1).alias("_new"))
-        group = W.partitionBy(BUCKET, *merge.key_columns(keys, fold_case, schema))
+        group = W.partitionBy(BUCKET, *merge.key_columns(keys, schema, fold_case))
         lost = [f.name for f in schema if f.name not in stage.columns]
 
         def build(tasks: int) -> DataFrame:
@@ -363,16 +364,24 @@ class Replica:
         return gone
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets for a first layout, from Spark's own size estimate of the source.
 
-    Sources without statistics (JDBC) report an absurd size: they get one bucket per
+    Large tables get a multiple of the shuffle partitions, which saves a second shuffle.
+    Sources without statistics (JDBC) report an absurd size and get one bucket per
     shuffle partition.
     """
+    tasks = shuffle_partitions(df.sparkSession)
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate >= 1 << 60:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MOST_BUCKETS, -(-estimate // bucket_bytes)))
+        return tasks
+    wanted = max(1, min(MOST_BUCKETS, -(-estimate // bucket_bytes)))
+    return wanted if wanted < tasks else -(-wanted // tasks) * tasks
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -415,7 +424,7 @@ def legacy_state(spark: SparkSession, path: str) -> DataFrame:
             wtype.alias("watermark_type"),
             F.when(wtype == "bool", F.when(text == "true", "1").otherwise("0")).when(wtype.isNotNull(), text).alias("watermark_value"),
             F.coalesce("last_rows", F.lit(0).cast("bigint")).alias("last_rows"),
-            F.col("updated_at").try_cast("timestamp").alias("updated_at"),
+            F.date_format(F.col("updated_at").try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("updated_at"),
         )
     )
 
@@ -432,7 +441,7 @@ def import_state(spark: SparkSession, root: str, path: str) -> int:
                 "source_table": r["source_table"], "version": 1, "mode": "import",
                 "watermark_type": r["watermark_type"], "watermark_value": r["watermark_value"],
                 "watermark_field": None, "pk_field": None, "last_rows": r["last_rows"],
-                "updated_at": r["updated_at"].isoformat() if r["updated_at"] else None,
+                "updated_at": r["updated_at"],
                 "keys": [], "schema": None, "folders": [], "buckets": None, "bucket_count": None,
                 "fold_case": False, "feeds": {},
             }

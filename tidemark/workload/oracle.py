@@ -247,6 +247,7 @@ ORACLE = {
     "table_schema": _measured(),
     "table_count": "SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem",
     "size_probe": COUNTS,
+    "size_errors": f"SELECT table_name, rows, false AS failed FROM ({COUNTS}) UNION ALL SELECT 'missing', NULL, true",
     "size_top20": COUNTS,
     "size_totals": f"SELECT count(*) AS tables, CAST(sum(rows) AS BIGINT) AS total_rows, CAST(0 AS BIGINT) AS failed FROM ({COUNTS})",
     "envelope_scan": "SELECT * FROM orders",

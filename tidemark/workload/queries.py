@@ -81,6 +81,13 @@ def size_totals(spark, sf_dir):
     return catalog.size_totals(catalog.parquet_row_counts(spark, sf_dir))
 
 
+def size_errors(spark, sf_dir):
+    """Counts one table at a time; one of them cannot be read."""
+    found = {t: (lambda p=p: scans.load(spark, p)) for t, p in scans.list_tables(spark, sf_dir).items()}
+    sizes = catalog.probe_sizes(spark, {**found, "missing": lambda: table(spark, sf_dir, "missing")})
+    return catalog.ranked_sizes(sizes).select("table_name", "rows", F.col("error").isNotNull().alias("failed"))
+
+
 def envelope_scan(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = files.scratch(spark, "envelopes")
@@ -451,7 +458,8 @@ def state_import(spark, sf_dir):
     whole.coalesce(1).write.text(legacy)
     store.import_state(spark, root, legacy)
     store.import_state(spark, root, legacy)
-    return store.state(spark, root).drop("watermark_field", "pk_field")
+    taken = store.state(spark, root).drop("watermark_field", "pk_field")
+    return taken.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
 class _Crash(Exception):
@@ -584,7 +592,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, list_tables, table_schema, table_count,
-        size_probe, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
+        size_probe, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
         watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds, decimal_to_double, flatten_number,
         binary_to_text, strip_nul, normalize_row, all_text, sanitize_names, valid_identifiers, name_collisions,
         infer_types_wide, infer_types_json, infer_types_first, pk_check, watermark_max, merge_append, merge_upsert,
