@@ -60,15 +60,41 @@ def test_upsert_replaces_and_inserts(spark, keyed):
     assert keyed.commit()["version"] == version
 
 
-def test_only_touched_buckets_are_rewritten(spark, root):
+@pytest.mark.parametrize("dense", [True, False])
+def test_only_touched_buckets_are_rewritten(spark, root, dense):
     replica = Replica(spark, root, "t")
-    replica.increment(frame(spark, [(i, i, "x") for i in range(1, 200)]), "seq", ["id"], buckets=16)
+    step = 1 if dense else 1_000_003
+    replica.increment(frame(spark, [(i * step, i, "x") for i in range(1, 200)]), "seq", ["id"], buckets=16)
     first = replica.commit()
-    replica.apply(frame(spark, [(7, 500, "new")]), "seq")
+    assert ("bits" in first["layout"]) == dense
+    replica.apply(frame(spark, [(7 * step, 500, "new")]), "seq")
     second = replica.commit()
     moved = [b for b in second["buckets"] if second["folders"][second["buckets"][b]] != first["folders"][0]]
-    assert len(moved) == 1 and len(second["buckets"]) == 16
-    assert len(content(replica)) == 199 and (7, 500, "new") in content(replica)
+    assert len(moved) == 1 and len(second["buckets"]) > 8
+    assert len(content(replica)) == 199 and (7 * step, 500, "new") in content(replica)
+
+
+def test_new_keys_fall_into_the_last_ranges(spark, root):
+    replica = Replica(spark, root, "t")
+    replica.increment(frame(spark, [(i, i, "x") for i in range(-500, 1_000)]), "seq", ["id"], buckets=16)
+    old = replica.commit()
+    replica.increment(frame(spark, [(i, i, "y") for i in range(900, 1_300)]), "seq", ["id"])
+    new = replica.commit()
+    kept = [b for b in old["buckets"] if new["folders"][new["buckets"][b]] == old["folders"][0]]
+    assert len(kept) == len(old["buckets"]) - 1
+    assert content(replica) == sorted([(i, i, "x") for i in range(-500, 1_000)] + [(i, i, "y") for i in range(1_000, 1_300)])
+
+
+def test_sparse_new_keys_turn_ranges_into_hashes(spark, root, monkeypatch):
+    monkeypatch.setattr(store, "MOST_BUCKETS", 10)
+    replica = Replica(spark, root, "t")
+    start = [(i, i, "x") for i in range(100)]
+    replica.increment(frame(spark, start), "seq", ["id"], buckets=4)
+    assert "bits" in replica.commit()["layout"]
+    far = [(i * 1_000_003, 100 + i, "far") for i in range(1, 50)]
+    replica.increment(frame(spark, [*far, (3, 500, "changed")]), "seq", ["id"], buckets=4)
+    assert replica.commit()["layout"] == {"count": 4}
+    assert content(replica) == sorted([*far, (3, 500, "changed"), *[r for r in start if r[0] != 3]])
 
 
 def test_append_keeps_duplicates(spark, root):
@@ -296,8 +322,8 @@ def test_merge_has_one_shuffle(spark, keyed):
     record = keyed.commit()
     schema = keyed.read().schema
     live = keyed._rows(record, keyed._folders(record))
-    stage = frame(spark, [(1, 40, "A")]).withColumn(store.BUCKET, F.lit(0))
-    text = plan(keyed._merge(live, stage, schema, ["id"], 4, False)(4))
+    stage = frame(spark, [(1, 40, "A")])
+    text = plan(keyed._merge(live, stage, schema, ["id"], record["layout"], False, tasks=4))
     assert text.count("Exchange") == 1
 
 
@@ -307,6 +333,8 @@ def test_layout_by_a_multiple_of_the_shuffle_needs_one_shuffle(spark, root):
     df = spark.range(10_000).selectExpr("cast(id as int) id", "cast(id as int) seq", "'x' v")
     laid = merge.dedupe_last(df, ["id"], ["seq"])
     assert plan(laid).count("Exchange") == 1
+    # sparse keys are hashed
+    df = df.withColumn("id", F.col("id") * 100_003)
     replica.full_refresh(df, ["id"], "seq", buckets=2 * tasks)
     folder = f"{replica.path}/data/{replica.commit()['folders'][0]}"
     per_bucket = [

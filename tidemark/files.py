@@ -59,6 +59,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file that must not exist yet; False when another writer has it.
 

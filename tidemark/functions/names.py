@@ -41,12 +41,13 @@ def is_identifier(name: Column) -> Column:
 
 
 def collisions(names: DataFrame, name: str, target: str = "mysql", scope: tuple[str, ...] = ()) -> DataFrame:
-    """Sanitised names that more than one different name maps to, within each scope."""
-    safe = sanitize(column(name), target).alias("safe_name")
+    """Sanitised names that more than one different name maps to, within each scope.
+
+    Names are made distinct before they are sanitised: repeats never leave their task.
+    """
+    distinct = names.select(*[column(s) for s in scope], column(name).alias("name")).distinct()
     return (
-        names.select(*[column(s) for s in scope], safe, column(name).alias("name"))
-        .distinct()
-        .groupBy(*scope, "safe_name")
+        distinct.groupBy(*scope, sanitize(F.col("name"), target).alias("safe_name"))
         .agg(F.count("*").alias("names"), F.min("name").alias("first_name"), F.max("name").alias("last_name"))
         .where("names > 1")
     )

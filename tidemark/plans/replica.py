@@ -8,9 +8,11 @@ A version becomes visible when its commit record appears, and the record holds t
 watermark, so rows and watermark move together. A run that dies before leaves the old
 version readable; of two runs that race, one commits and the other fails.
 
-Keyed tables are split by a hash of the key. Keys are unique after deduplication, so
-buckets stay even whatever the data; an upsert rewrites the buckets its delta touches and
-the record points the others at the folders they already have. Tables without a key only
+Keyed tables are split into buckets; an upsert rewrites the buckets its delta touches and
+the record points the others at the folders they already have. A dense whole-number key
+is split into ranges of equal width: new rows and rows changed soon after lie in the last
+few, so a delta costs what it touches. Any other key is split by hash. Keys are unique
+once deduplicated, so neither kind of bucket can become hot. Tables without a key only
 ever gain folders.
 """
 
@@ -35,6 +37,8 @@ from tidemark.sources.tables import above
 BUCKET = "bucket_"
 BUCKET_BYTES = 512 * 1024 * 1024
 MOST_BUCKETS = 65_536
+# a whole-number key is dense when at least one number in so many is in use
+SPARSE = 16
 
 COMMIT_SCHEMA = (
     "source_table STRING, version BIGINT, mode STRING, watermark_type STRING, watermark_value STRING, "
@@ -69,8 +73,7 @@ class Replica:
             if not known:
                 return None
             version = max(known)
-        text = self.spark.read.text(f"{self.path}/commits/{version:012d}.json", wholetext=True).first()[0]
-        return json.loads(text)
+        return json.loads(files.read_text(self.spark, f"{self.path}/commits/{version:012d}.json"))
 
     def mark(self, field: str, last: dict | None = None) -> Mark | None:
         """The stored watermark; void when it was taken from another field."""
@@ -85,11 +88,11 @@ class Replica:
             raise LookupError(f"{self.table} has no published version below {self.root}")
         return self._rows(record, self._folders(record))
 
-    def _folders(self, record: dict, only: Sequence[int] | None = None) -> list[str]:
+    def _folders(self, record: dict, only: set[str] | None = None) -> list[str]:
         buckets, data = record["buckets"], f"{self.path}/data"
         if buckets is None or (only is None and len(record["folders"]) == 1):
             return [f"{data}/{f}" for f in record["folders"]]
-        wanted = buckets if only is None else [b for b in map(str, only) if b in buckets]
+        wanted = buckets if only is None else sorted(only & set(buckets))
         return [f"{data}/{record['folders'][buckets[b]]}/{BUCKET}={b}" for b in wanted]
 
     def _rows(self, record: dict, folders: list[str]) -> DataFrame:
@@ -117,14 +120,13 @@ class Replica:
             source = source.withColumn("_synced_at", F.current_timestamp())
         version, folder = self._next(last)
         laid = self._lay_out(source, folder, keys, self._order(field, order), buckets, fold_case)
-        facts = self._facts(laid, keys, field, None)
+        facts = self._facts(laid["rows"], keys, field, None)
         if facts["rows"] == 0 and on_empty == "keep":
             files.delete(self.spark, f"{self.path}/data/{folder}")
             return {**(last or {}), "mode": "full", "last_rows": 0, "published": False}
         return self._publish(
             last, version, mode="full", schema=_nullable(source.schema), keys=keys, field=field, facts=facts,
-            buckets={str(b): 0 for b in facts["buckets"]} if keys else None,
-            bucket_count=laid["bucket_count"], folders=[folder], fold_case=fold_case,
+            buckets=laid["buckets"], layout=laid["layout"], folders=[folder], fold_case=fold_case,
         )
 
     def increment(
@@ -161,53 +163,57 @@ class Replica:
         """The delta is written out before anything is computed from it: the source may
         change meanwhile, and watermark and rows must come from the same reading."""
         keys, field = self._settings(last, keys, field)
+        order = self._order(field, order)
         mark = self.mark(field, last) if last else None
         mode = "incremental" if mark else "incremental-initial"
         has_rows = last is not None and last["schema"] is not None
-        if has_rows and keys and (last["buckets"] is None or last["keys"] != list(keys)):
-            # the live rows are not laid out by this key yet
-            last = self._rekey(last, keys, field, order, buckets, fold_case)
-        version, folder = self._next(last)
-        schema = _nullable(delta.schema)
-        if has_rows:
-            schema = merge.widen(T.StructType.fromJson(last["schema"]), schema)
         feeds = dict((last or {}).get("feeds") or {})
         if feed is not None:
             feeds[feed] = batch
+        schema = _nullable(delta.schema)
+        if has_rows:
+            schema = merge.widen(T.StructType.fromJson(last["schema"]), schema)
+        common = {"mode": mode, "schema": schema, "keys": keys, "field": field, "feeds": feeds}
 
         if not keys or not has_rows:
-            # append, or the first rows of a keyed table: the staged rows are the version
-            laid = self._lay_out(delta, folder, keys, self._order(field, order), buckets, fold_case)
-            facts = self._facts(laid, keys, field, mark)
+            # append, or the first rows of a keyed table: the written rows are the version
+            version, folder = self._next(last)
+            laid = self._lay_out(delta, folder, keys, order, buckets, fold_case)
+            facts = self._facts(laid["rows"], keys, field, mark)
             if facts["rows"] == 0:
                 files.delete(self.spark, f"{self.path}/data/{folder}")
                 return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
             kept = last["folders"] if has_rows else []
             return self._publish(
-                last, version, mode=mode, schema=schema, keys=keys, field=field, facts=facts,
-                buckets={str(b): 0 for b in facts["buckets"]} if keys else None,
-                bucket_count=laid["bucket_count"], folders=[*kept, folder], feeds=feeds, fold_case=fold_case,
+                last, version, **common, facts=facts, buckets=laid["buckets"], layout=laid["layout"],
+                folders=[*kept, folder], fold_case=fold_case,
             )
 
+        merge.require_columns(delta, [*keys, *order])
+        if last["buckets"] is None or last["keys"] != keys:
+            # the live rows are not laid out by this key yet
+            last = self._lay_out_again(last, keys, order, buckets, fold_case)
         fold_case = last["fold_case"]
-        count = last["bucket_count"]
+        version, folder = self._next(last)
         staged = f"{self.path}/stage/{folder}"
-        fresh = merge.dedupe_last(delta, keys, self._order(field, order), fold_case)
-        fresh.withColumn(BUCKET, self._bucket(delta.schema, keys, count, fold_case)).write.parquet(staged)
-        stage = self.spark.read.schema(T.StructType([*delta.schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(staged)
-        facts = self._facts({"rows": stage}, keys, field, mark)
+        merge.dedupe_last(delta, keys, order, fold_case).write.parquet(staged)
+        stage = self.spark.read.schema(delta.schema).parquet(staged)
+        facts = self._facts(stage, keys, field, mark)
         if facts["rows"] == 0:
             files.delete(self.spark, staged)
             return {**last, "mode": mode, "last_rows": 0, "published": False}
-        touched = facts["buckets"]
+        touched = self._touched(stage, keys, last["layout"], fold_case)
+        if touched is None or len(touched | set(last["buckets"])) > 2 * MOST_BUCKETS:
+            # the new keys are too sparse for ranges
+            last = self._lay_out_again(last, keys, order, buckets, fold_case, ranges=False)
+            touched = self._touched(stage, keys, last["layout"], fold_case)
         live = self._rows({**last, "schema": schema.jsonValue()}, self._folders(last, touched))
-        merged = self._merge(live, stage, schema, keys, count, fold_case)
-        # one task per touched bucket: the only shuffle, and it serves merge and layout
-        merged(len(touched)).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{folder}")
-        moved = {**last["buckets"], **{str(b): len(last["folders"]) for b in touched}}
+        merged = self._merge(live, stage, schema, keys, last["layout"], fold_case, tasks=len(touched))
+        merged.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{folder}")
+        moved = {**last["buckets"], **dict.fromkeys(touched, len(last["folders"]))}
         record = self._publish(
-            last, version, mode=mode, schema=schema, keys=keys, field=field, facts=facts,
-            buckets=moved, bucket_count=count, folders=[*last["folders"], folder], feeds=feeds, fold_case=fold_case,
+            last, version, **common, facts=facts, buckets=moved, layout=last["layout"],
+            folders=[*last["folders"], folder], fold_case=fold_case,
         )
         files.delete(self.spark, staged)
         return record
@@ -226,50 +232,82 @@ class Replica:
         version = last["version"] + 1 if last else 1
         return version, f"{version:012d}-{uuid.uuid4().hex[:8]}"
 
-    def _bucket(self, schema: T.StructType, keys: Sequence[str], count: int, fold_case: bool):
-        """Bucket of a row, by the hash Spark's own shuffle uses."""
-        return F.pmod(F.hash(*merge.key_columns(keys, schema, fold_case)), F.lit(count)).cast("int")
-
-    def _lay_out(self, df: DataFrame, folder: str, keys, order, buckets, fold_case) -> dict:
+    def _bucket(self, schema: T.StructType, keys: Sequence[str], layout: dict, fold_case: bool):
+        """Bucket of a row: a range of 2^bits keys, or the hash Spark's own shuffle uses."""
+        found = merge.key_columns(keys, schema, fold_case)
+        if "bits" in layout:
+            return F.shiftright(found[0], layout["bits"])
+        return F.pmod(F.hash(*found), F.lit(layout["count"])).cast("bigint")
+
+    def _layout(self, df: DataFrame, keys: Sequence[str], buckets: int | None, ranges: bool) -> tuple[dict, int]:
+        """How to split a table, and into how many buckets. A range holds at most 2^bits
+        rows, since its keys differ."""
+        wanted = buckets or bucket_count(df)
+        if ranges and len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.IntegralType):
+            key = column(keys[0]).cast("bigint")
+            low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
+            if rows and (high - low) // rows < SPARSE:
+                bits = ((high - low) // wanted).bit_length()
+                return {"bits": bits}, (high >> bits) - (low >> bits) + 1
+        return {"count": wanted}, wanted
+
+    def _lay_out(self, df: DataFrame, folder: str, keys, order, buckets, fold_case, ranges: bool = True) -> dict:
         """Write the rows of a new version. Without a key that is a plain write with no shuffle."""
         target = f"{self.path}/data/{folder}"
         if not keys:
             df.write.parquet(target)
-            return {"rows": self.spark.read.schema(df.schema).parquet(target), "bucket_count": None}
-        merge.require_columns(df, keys)
-        count = buckets or bucket_count(df)
+            return {"rows": self.spark.read.schema(df.schema).parquet(target), "layout": None, "buckets": None}
+        merge.require_columns(df, [*keys, *order])
+        layout, count = self._layout(df, keys, buckets, ranges)
         rows = merge.dedupe_last(df, keys, order, fold_case)
-        rows = rows.withColumn(BUCKET, self._bucket(df.schema, keys, count, fold_case))
-        if count % shuffle_partitions(self.spark):
+        rows = rows.withColumn(BUCKET, self._bucket(df.schema, keys, layout, fold_case))
+        if "bits" in layout or count % shuffle_partitions(self.spark):
             rows = rows.repartition(count, BUCKET)
         # else the shuffle that brought equal keys together has put each bucket into one task
         rows.write.partitionBy(BUCKET).parquet(target)
-        schema = T.StructType([*df.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return {"rows": self.spark.read.schema(schema).parquet(target), "bucket_count": count}
+        named = [n.partition("=")[2] for n, _ in files.children(self.spark, target) if n.startswith(f"{BUCKET}=")]
+        return {
+            "rows": self.spark.read.schema(df.schema).parquet(target).select(*[column(c) for c in df.columns]),
+            "layout": layout, "buckets": dict.fromkeys(named, 0),
+        }
 
-    def _merge(self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, count: int, fold_case: bool):
-        """Live and staged rows in one shuffle by bucket; per key the staged row wins."""
-        bucket = self._bucket(schema, keys, count, fold_case).alias(BUCKET)
+    def _lay_out_again(self, last: dict, keys, order, buckets, fold_case, ranges: bool = True) -> dict:
+        """Lay the live rows out by a key, or in a way, the table did not have before."""
+        live = self._rows(last, self._folders(last))
+        _, folder = self._next(last)
+        laid = self._lay_out(live, folder, keys, order, buckets, fold_case, ranges)
+        self._facts(laid["rows"], keys, None, None)
+        return {
+            **last, "keys": list(keys), "folders": [folder], "layout": laid["layout"], "buckets": laid["buckets"],
+            "fold_case": fold_case,
+        }
+
+    def _touched(self, stage: DataFrame, keys, layout: dict, fold_case: bool) -> set[str] | None:
+        """Buckets a delta falls into; None when they are too many to name."""
+        bucket = self._bucket(stage.schema, keys, layout, fold_case).alias(BUCKET)
+        found = stage.select(bucket).distinct().limit(2 * MOST_BUCKETS + 1).collect()
+        return {str(r[0]) for r in found} if len(found) <= 2 * MOST_BUCKETS else None
+
+    def _merge(
+        self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, layout: dict, fold_case: bool, tasks: int
+    ) -> DataFrame:
+        """Live and staged rows in one shuffle, one task per touched bucket; per key the
+        staged row wins. The same shuffle serves the layout of the result."""
+        bucket = self._bucket(schema, keys, layout, fold_case).alias(BUCKET)
         old = live.select("*", bucket, F.lit(0).alias("_new"))
         new = merge.conform(stage, schema).select("*", bucket, F.lit(1).alias("_new"))
+        both = old.unionByName(new).repartition(tasks, BUCKET)
         group = W.partitionBy(BUCKET, *merge.key_columns(keys, schema, fold_case))
-        lost = [f.name for f in schema if f.name not in stage.columns]
-
-        def build(tasks: int) -> DataFrame:
-            both = old.unionByName(new).repartition(tasks, BUCKET)
-            for name in lost:
+        for f in schema:
+            if f.name not in stage.columns:
                 # the delta has no such column: an updated row keeps its live value
-                both = both.withColumn(name, F.first(column(name), ignorenulls=True).over(group))
-            newest = F.row_number().over(group.orderBy(F.desc("_new")))
-            return both.withColumn("_rank", newest).where("_rank = 1").drop("_rank", "_new")
+                both = both.withColumn(f.name, F.first(column(f.name), ignorenulls=True).over(group))
+        newest = F.row_number().over(group.orderBy(F.desc("_new")))
+        return both.withColumn("_rank", newest).where("_rank = 1").drop("_rank", "_new")
 
-        return build
-
-    def _facts(self, laid: dict, keys, field: str | None, mark: Mark | None) -> dict:
-        """Row count, new watermark, bad keys and touched buckets of written rows."""
-        rows = laid["rows"]
-        text = F.lit(None).cast("string")
-        kind = None
+    def _facts(self, rows: DataFrame, keys, field: str | None, mark: Mark | None) -> dict:
+        """Row count and new watermark of written rows; rows without a key are refused."""
+        text, kind = F.lit(None).cast("string"), None
         if field is not None:
             merge.require_columns(rows, [field], "watermark")
             dtype = rows.schema[field].dataType
@@ -279,26 +317,13 @@ class Replica:
                 top = F.greatest(literal(mark, dtype), top)
             text = encode(top, dtype)
         bad = merge.null_keys(rows, keys) if keys else F.lit(0)
-        # bucket numbers are bounded by the bucket count
-        touched = F.sort_array(F.collect_set(BUCKET)) if keys else F.array().cast("array<int>")
-        n, value, nulls, found = rows.agg(F.count("*"), text, bad, touched).first()
+        n, value, nulls = rows.agg(F.count("*"), text, bad).first()
         if nulls:
             raise BadDelta(f"{nulls} rows without a key in {list(keys)}")
-        return {"rows": n, "mark": Mark(kind, value) if value is not None else None, "buckets": list(found)}
-
-    def _rekey(self, last: dict, keys, field, order, buckets, fold_case) -> dict:
-        """Lay the live rows out by a key the table did not have before."""
-        live = self._rows(last, self._folders(last))
-        _, folder = self._next(last)
-        laid = self._lay_out(live, folder, keys, self._order(field, order), buckets, fold_case)
-        facts = self._facts(laid, keys, field, None)
-        return {
-            **last, "keys": list(keys), "folders": [folder], "bucket_count": laid["bucket_count"],
-            "buckets": {str(b): 0 for b in facts["buckets"]}, "fold_case": fold_case,
-        }
+        return {"rows": n, "mark": Mark(kind, value) if value is not None else None}
 
     def _publish(
-        self, last, version, *, mode, schema, keys, field, facts, buckets, bucket_count, folders,
+        self, last, version, *, mode, schema, keys, field, facts, buckets, layout, folders,
         feeds=None, fold_case=False,
     ) -> dict:
         if buckets is not None:
@@ -324,7 +349,7 @@ class Replica:
             "schema": schema.jsonValue(),
             "folders": folders,
             "buckets": buckets,
-            "bucket_count": bucket_count,
+            "layout": layout,
             "fold_case": fold_case,
             "feeds": feeds if feeds is not None else (last or {}).get("feeds") or {},
         }
@@ -442,7 +467,7 @@ def import_state(spark: SparkSession, root: str, path: str) -> int:
                 "watermark_type": r["watermark_type"], "watermark_value": r["watermark_value"],
                 "watermark_field": None, "pk_field": None, "last_rows": r["last_rows"],
                 "updated_at": r["updated_at"],
-                "keys": [], "schema": None, "folders": [], "buckets": None, "bucket_count": None,
+                "keys": [], "schema": None, "folders": [], "buckets": None, "layout": None,
                 "fold_case": False, "feeds": {},
             }
         )
