@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import files
 from tidemark.functions import wire
@@ -72,8 +73,8 @@ def test_tables_of_folder_and_catalog(spark, sf_dir):
 
 def land(spark, docs, **kwargs):
     path = files.scratch(spark, "envelope")
-    spark.createDataFrame([(json.dumps(d),) for d in docs], "value string").coalesce(1).write.text(path)
-    return envelopes.read(spark, path, **kwargs)
+    spark.createDataFrame([(json.dumps(d, **kwargs),) for d in docs], "value string").coalesce(1).write.text(path)
+    return path
 
 
 def envelope(table="t", columns=("a",), data=(), count=None, **more):
@@ -82,7 +83,7 @@ def envelope(table="t", columns=("a",), data=(), count=None, **more):
 
 def test_envelope_cases(spark):
     three = [{"a": 1}, {"a": 2}, {"a": None}]
-    found = land(
+    path = land(
         spark,
         [
             envelope("clean", data=three),
@@ -95,18 +96,36 @@ def test_envelope_cases(spark):
             envelope("pages", data=three, error="second page broke"),
         ],
     )
-    bad = {(r["table"], r["reason"]) for r in envelopes.rejects(found).collect()}
-    assert bad == {("trailer", "error"), ("error", "error"), ("bare", "no columns"), ("short", "count"), ("pages", "error")}
-    good = envelopes.rows(found).groupBy("table").count().collect()
+    for found in (envelopes.read(spark, path), envelopes.trailers(spark, path)):
+        bad = {(r["table"], r["reason"]) for r in envelopes.rejects(found).collect()}
+        assert bad == {("trailer", "error"), ("error", "error"), ("bare", "no columns"), ("short", "count"), ("pages", "error")}
+    good = envelopes.rows(spark, path).groupBy("table").count().collect()
     assert [tuple(r) for r in good] == [("clean", 3)]
-    assert [r.a for r in envelopes.rows(found, "clean").select(F.variant_get("row", "$.a", "int").alias("a")).collect()] == [1, 2, None]
+    clean = envelopes.rows(spark, path, table="clean").select(F.variant_get("row", "$.a", "int").alias("a"))
+    assert [r.a for r in clean.collect()] == [1, 2, None]
+    assert envelopes.rows(spark, path, table="pages").count() == 0
 
 
-def test_envelope_of_one_pretty_document(spark):
+@pytest.mark.parametrize("row", [None, T.StructType().add("a", "long")])
+def test_torn_document(spark, row):
     path = files.scratch(spark, "envelope")
-    text = json.dumps(envelope(data=[{"a": "x\ny"}]), indent=2)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    found = envelopes.rows(envelopes.read(spark, path, whole_files=True))
+    whole = json.dumps(envelope(data=[{"a": 1}]))
+    spark.createDataFrame([(whole,), (whole[:-15],)], "value string").coalesce(1).write.text(path)
+    bad = envelopes.rejects(envelopes.trailers(spark, path)).collect()
+    assert sum(r["envelopes"] for r in bad) == 1
+    with pytest.raises(Exception, match="(?i)malformed"):
+        envelopes.rows(spark, path, row).collect()
+
+
+def test_value_of_another_type_fails(spark):
+    path = land(spark, [envelope(data=[{"a": "text"}])])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        envelopes.rows(spark, path, T.StructType().add("a", "long")).collect()
+
+
+def test_envelope_of_one_pretty_document(spark):
+    path = land(spark, [envelope(data=[{"a": "x\ny"}])], indent=2)
+    found = envelopes.rows(spark, path, whole_files=True)
     assert found.select(F.variant_get("row", "$.a", "string")).first()[0] == "x\ny"
 
 
@@ -114,10 +133,9 @@ def test_envelope_round_trip_cuts_pages(spark):
     df = spark.range(0, 1_000, 1, 3).select("id", F.concat(F.lit('q"\\ü\n'), F.col("id").cast("string")).alias("s"), F.lit(None).cast("int").alias("n"))
     path = files.scratch(spark, "envelope")
     envelopes.write(df, path, "my-table", page_rows=100)
-    found = envelopes.read(spark, path, wire.to_wire(df).schema)
-    assert found.agg(F.max(F.size("data"))).first()[0] == 100
-    assert envelopes.rejects(found).count() == 0
-    back = envelopes.rows(found, "my-table").select("row.id", "row.s", "row.n").collect()
+    assert envelopes.trailers(spark, path).agg(F.max(F.size("data"))).first()[0] == 100
+    assert envelopes.rejects(envelopes.trailers(spark, path)).count() == 0
+    back = envelopes.rows(spark, path, wire.to_wire(df).schema, "my-table").select("row.id", "row.s", "row.n").collect()
     assert sorted(map(tuple, back)) == sorted(map(tuple, df.collect()))
 
 

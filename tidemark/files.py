@@ -38,6 +38,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
+def bare(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host."""
+    return _path(spark, path).toUri().getPath()
+
+
 def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     """Visible entries of a folder as (name, modification time in seconds)."""
     if not exists(spark, path):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import files
 from tidemark.functions.names import column
 from tidemark.sources.tables import list_tables
 
@@ -99,11 +100,11 @@ def parquet_row_counts(spark: SparkSession, root: str) -> DataFrame:
     of small tables share one stage instead of taking one each.
     """
     tables = list_tables(spark, root)
-    root = root.rstrip("/")
+    below = r"^(?:[\w+.-]+:(?://[^/]*)?)?" + re.escape(files.bare(spark, root)) + "/([^/]+)"
     listing = spark.createDataFrame([(t, p.rpartition("/")[2]) for t, p in tables.items()], "table_name STRING, entry STRING")
     found = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*tables.values())
     file = F.replace(F.col("_metadata.file_path"), F.lit("%23"), F.lit("#"))
-    counted = found.groupBy(F.regexp_extract(file, re.escape(root) + "/([^/]+)", 1).alias("entry")).agg(F.count("*").alias("n"))
+    counted = found.groupBy(F.regexp_extract(file, below, 1).alias("entry")).agg(F.count("*").alias("n"))
     return listing.join(counted, "entry", "left").select("table_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("rows"))
 
 

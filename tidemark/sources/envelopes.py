@@ -19,21 +19,23 @@ PAGE_ROWS = 5_000
 _HEAD = "table STRING, columns ARRAY<STRING>, count BIGINT, error STRING"
 
 
-def read(spark: SparkSession, path: str, row: T.StructType | None = None, whole_files: bool = False) -> DataFrame:
+def read(
+    spark: SparkSession, path: str, row: T.StructType | None = None, whole_files: bool = False, strict: bool = False
+) -> DataFrame:
     """Envelopes with their trailer. Rows come typed when their schema is known, else as
-    variants; `whole_files` reads pretty-printed documents, one per file."""
-    data = f"ARRAY<{row.simpleString()}>" if row is not None else "ARRAY<VARIANT>"
-    schema = T.StructType.fromDDL(f"{_HEAD}, data {data}") if row is None else (
-        T.StructType.fromDDL(_HEAD).add("data", T.ArrayType(row))
-    )
-    return spark.read.schema(schema).option("multiLine", whole_files).json(path)
+    variants; `whole_files` reads pretty-printed documents, one per file. Text that is no
+    JSON becomes an envelope of no table, or with `strict` an error."""
+    schema = T.StructType.fromDDL(_HEAD).add("data", T.ArrayType(T.VariantType() if row is None else row))
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    return spark.read.schema(schema).option("mode", mode).option("multiLine", whole_files).json(path)
 
 
 def reason() -> Column:
     """Why an envelope cannot be used, or NULL."""
     rows = F.coalesce(F.size("data"), F.lit(0))
     return (
-        F.when(F.col("error").isNotNull(), "error")
+        F.when(F.col("table").isNull(), "malformed")
+        .when(F.col("error").isNotNull(), "error")
         .when(F.coalesce(F.size("columns"), F.lit(0)) <= 0, "no columns")
         .when(~F.col("count").eqNullSafe(F.when(rows < 0, 0).otherwise(rows).cast("bigint")), "count")
     )
@@ -54,12 +56,24 @@ def rejects(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def rows(envelopes: DataFrame, table: str | None = None) -> DataFrame:
-    """Rows of the tables none of whose envelopes is rejected."""
+def trailers(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Envelopes with rows that are only counted, at half the cost of reading them."""
+    return read(spark, path, T.StructType([]), whole_files)
+
+
+def rows(
+    spark: SparkSession, path: str, row: T.StructType | None = None, table: str | None = None, whole_files: bool = False
+) -> DataFrame:
+    """(table, row) of the tables none of whose envelopes is rejected.
+
+    A late envelope can reject its whole table, so the verdicts are a pass of their own.
+    A torn document names no table and fails the scan.
+    """
+    found = read(spark, path, row, whole_files, strict=True)
     if table is not None:
-        envelopes = envelopes.where(F.col("table") == table)
-    bad = envelopes.where(reason().isNotNull()).select(F.col("table").alias("_bad")).distinct()
-    good = envelopes.join(bad, F.col("table") == F.col("_bad"), "left_anti")
+        found = found.where(F.col("table") == table)
+    bad = trailers(spark, path, whole_files).where(reason().isNotNull()).select(F.col("table").alias("_bad")).distinct()
+    good = found.join(bad, F.col("table") == F.col("_bad"), "left_anti")
     return good.select("table", F.explode("data").alias("row"))
 
 

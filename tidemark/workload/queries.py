@@ -92,20 +92,19 @@ def envelope_scan(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = files.scratch(spark, "envelopes")
     envelopes.write(orders, path, "orders")
-    landed = envelopes.read(spark, path, wire.to_wire(orders).schema)
-    return merge.conform(envelopes.rows(landed, "orders").select("row.*"), orders.schema)
+    return merge.conform(envelopes.rows(spark, path, wire.to_wire(orders).schema, "orders").select("row.*"), orders.schema)
 
 
 def envelope_untyped(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     path = files.scratch(spark, "envelopes")
     envelopes.write(documents, path, "documents")
-    found = envelopes.rows(envelopes.read(spark, path))
+    found = envelopes.rows(spark, path)
     fields = wire.to_wire(documents).schema
     return found.select(*[F.variant_get("row", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields])
 
 
-def _customer_envelopes(spark, sf_dir) -> DataFrame:
+def _customer_envelopes(spark, sf_dir) -> tuple[str, T.StructType]:
     """Customers by market segment; two segments arrive with a fault."""
     customer = wire.to_wire(table(spark, sf_dir, "customer"))
     pages = customer.groupBy("c_mktsegment", F.floor(F.col("c_custkey") / 500).alias("page")).agg(
@@ -121,15 +120,17 @@ def _customer_envelopes(spark, sf_dir) -> DataFrame:
     )
     path = files.scratch(spark, "envelopes")
     pages.select(text.alias("value")).write.text(path)
-    return envelopes.read(spark, path, customer.schema)
+    return path, customer.schema
 
 
 def envelope_rejects(spark, sf_dir):
-    return envelopes.rejects(_customer_envelopes(spark, sf_dir))
+    path, _ = _customer_envelopes(spark, sf_dir)
+    return envelopes.rejects(envelopes.trailers(spark, path))
 
 
 def envelope_accepts(spark, sf_dir):
-    return envelopes.rows(_customer_envelopes(spark, sf_dir)).select("table", "row.c_custkey", "row.c_acctbal")
+    path, row = _customer_envelopes(spark, sf_dir)
+    return envelopes.rows(spark, path, row).select("table", "row.c_custkey", "row.c_acctbal")
 
 
 ADHOC = """
