@@ -275,8 +275,9 @@ def test_slices_add_up_to_a_full_refresh(spark, root, sf_dir):
     assert steps.commit()["watermark_value"] == whole.commit()["watermark_value"]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_random_deltas_against_a_dict(spark, root, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_random_deltas_against_a_dict(spark, root, seed, monkeypatch):
+    monkeypatch.setattr(store, "MOST_PATCHES", seed % 2)
     rng = random.Random(seed)
     model, replica, seq = {}, Replica(spark, root, "t"), 0
     for _ in range(4):
@@ -327,6 +328,45 @@ def test_merge_has_one_shuffle(spark, keyed):
     assert text.count("Exchange") == 1
 
 
+def test_small_deltas_leave_live_rows_unshuffled(spark, root):
+    replica = Replica(spark, root, "t")
+    replica.increment(frame(spark, [(i, i, "x") for i in range(100)]), "seq", ["id"], buckets=4)
+    record = replica.commit()
+    live = replica._rows(record, replica._folders(record))
+    replica.apply(frame(spark, [(5, 500, "y")]), "seq")
+    stage = replica.read().where("seq = 500")
+    text = plan(replica._patch(live, stage, live.schema, ["id"], record["layout"], False))
+    # a join side that is broadcast, the few distinct keys, and the few new rows
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 2
+    live_side = text[text.index("BroadcastHashJoin"):text.index("BroadcastExchange")]
+    assert "Exchange" not in live_side
+
+
+def test_patched_buckets_are_written_anew_after_a_while(spark, root, monkeypatch):
+    monkeypatch.setattr(store, "MOST_PATCHES", 2)
+    replica = Replica(spark, root, "t")
+    replica.increment(frame(spark, [(i, i, "x") for i in range(100)]), "seq", ["id"], buckets=4)
+    model, counts = {i: (i, i, "x") for i in range(100)}, []
+    for step in range(1, 6):
+        model[7] = (7, 1_000 + step, f"v{step}")
+        model[1_000 + step] = (1_000 + step, 1_000 + step, "new")
+        replica.apply(frame(spark, [model[7], model[1_000 + step]]), "seq")
+        record = replica.commit()
+        counts.append(record["patches"].get("0", 0))
+        assert content(replica) == sorted(model.values())
+    assert counts == [1, 2, 0, 1, 2]
+
+
+def test_large_deltas_are_shuffled(spark, root, monkeypatch):
+    monkeypatch.setattr(store, "broadcast_bytes", lambda spark: -1)
+    replica = Replica(spark, root, "t")
+    for rows in (START, [(2, 40, "B"), (2, 39, "old"), (4, 50, "d")]):
+        replica.apply(frame(spark, rows), "seq", ["id"], buckets=2)
+    assert replica.commit()["patches"] == {}
+    assert content(replica) == [(1, 10, "a"), (2, 40, "B"), (3, 30, "c"), (4, 50, "d")]
+
+
 def test_layout_by_a_multiple_of_the_shuffle_needs_one_shuffle(spark, root):
     replica = Replica(spark, root, "t")
     tasks = store.shuffle_partitions(spark)
@@ -432,6 +472,21 @@ def test_run_isolates_failures(spark, root):
     assert content(Replica(spark, root, "appended")) == sorted([*START, (1, 40, "A"), (4, 50, "d")])
 
 
+def test_run_cleans_imports_and_writes_its_report(spark, root):
+    old = files.scratch(spark, "legacy")
+    spark.createDataFrame([('{"appended": {"watermark": 20}}',)], "value string").coalesce(1).write.text(old)
+    with pytest.raises(Crash):
+        Crashing(spark, root, "plain").full_refresh(frame(spark, START))
+    assert len(Replica(spark, root, "plain").orphans()) == 1
+    path = files.scratch(spark, "report")
+    some = {t: s for t, s in sources(spark, START).items() if t in ("plain", "appended")}
+    made = run(spark, some, root, RULES, legacy_state=old, clean_age_seconds=0, report_path=path)
+    assert {r.table_name: (r.mode, r.rows) for r in made.collect()} == {"plain": ("full", 3), "appended": ("incremental", 1)}
+    assert Replica(spark, root, "plain").orphans() == []
+    assert content(Replica(spark, root, "appended")) == [(3, 30, "c")]
+    assert spark.read.option("header", True).csv(path).count() == 2
+
+
 def test_full_run_then_incremental_run(spark, root):
     rules = Policy(incremental={"keyed": {"field": "seq", "pk": "id"}})
     run(spark, {"keyed": frame(spark, START)}, root, rules, full_refresh=True, buckets=2)

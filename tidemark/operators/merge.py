@@ -95,24 +95,29 @@ def append(live: DataFrame, delta: DataFrame) -> DataFrame:
 def upsert(
     live: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False
 ) -> DataFrame:
-    """Live rows without a newer version, plus the last version of every delta key.
-
-    The anti-join takes the distinct delta keys only, so no key is hot in it; Spark
-    broadcasts them when their measured size allows and then leaves `live` unshuffled.
-    """
+    """Live rows without a newer version, plus the last version of every delta key."""
     require_columns(live, keys)
     schema = widen(live.schema, delta.schema)
     fresh = conform(dedupe_last(delta, keys, order, fold_case), schema)
     if lost := [c for c in live.columns if c not in delta.columns]:
         # the delta knows nothing of these columns: they keep their live values
-        kept = live.select(*[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, live.schema, fold_case))], *map(column, lost))
-        match = _same_key(fresh, kept, keys, fold_case)
-        fresh = conform(fresh.drop(*lost).join(kept, match, "left"), schema)
-    changed = delta.select(
-        *[k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, delta.schema, fold_case))]
-    ).distinct()
-    old = conform(live, schema)
-    return old.join(changed, _same_key(old, changed, keys, fold_case), "left_anti").unionByName(fresh)
+        kept = live.select(*_aliased(keys, live.schema, fold_case), *map(column, lost))
+        fresh = conform(fresh.drop(*lost).join(kept, _same_key(fresh, kept, keys, fold_case), "left"), schema)
+    return without(conform(live, schema), delta, keys, fold_case).unionByName(fresh)
+
+
+def without(live: DataFrame, delta: DataFrame, keys: Sequence[str], fold_case: bool = False) -> DataFrame:
+    """Live rows whose key is not in the delta.
+
+    The join takes the distinct delta keys only, so no key is hot in it; Spark broadcasts
+    them when their measured size allows and then leaves `live` unshuffled.
+    """
+    changed = delta.select(*_aliased(keys, delta.schema, fold_case)).distinct()
+    return live.join(changed, _same_key(live, changed, keys, fold_case), "left_anti")
+
+
+def _aliased(keys: Sequence[str], schema: T.StructType, fold_case: bool) -> list[Column]:
+    return [k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, schema, fold_case))]
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], fold_case: bool) -> Column:

@@ -37,6 +37,8 @@ from tidemark.sources.tables import above
 BUCKET = "bucket_"
 BUCKET_BYTES = 512 * 1024 * 1024
 MOST_BUCKETS = 65_536
+# so often a bucket may gain a file before it is written anew as one
+MOST_PATCHES = 8
 # a whole-number key is dense when at least one number in so many is in use
 SPARSE = 16
 
@@ -208,12 +210,18 @@ class Replica:
             last = self._lay_out_again(last, keys, order, buckets, fold_case, ranges=False)
             touched = self._touched(stage, keys, last["layout"], fold_case)
         live = self._rows({**last, "schema": schema.jsonValue()}, self._folders(last, touched))
-        merged = self._merge(live, stage, schema, keys, last["layout"], fold_case, tasks=len(touched))
+        patches = {b: last["patches"].get(b, 0) + 1 for b in touched}
+        small = files.size(self.spark, staged) <= broadcast_bytes(self.spark)
+        if small and max(patches.values()) <= MOST_PATCHES and set(schema.names) == set(stage.columns):
+            merged = self._patch(live, stage, schema, keys, last["layout"], fold_case)
+        else:
+            patches = dict.fromkeys(touched, 0)
+            merged = self._merge(live, stage, schema, keys, last["layout"], fold_case, tasks=len(touched))
         merged.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{folder}")
         moved = {**last["buckets"], **dict.fromkeys(touched, len(last["folders"]))}
         record = self._publish(
             last, version, **common, facts=facts, buckets=moved, layout=last["layout"],
-            folders=[*last["folders"], folder], fold_case=fold_case,
+            folders=[*last["folders"], folder], fold_case=fold_case, patches={**last["patches"], **patches},
         )
         files.delete(self.spark, staged)
         return record
@@ -279,7 +287,7 @@ class Replica:
         self._facts(laid["rows"], keys, None, None)
         return {
             **last, "keys": list(keys), "folders": [folder], "layout": laid["layout"], "buckets": laid["buckets"],
-            "fold_case": fold_case,
+            "fold_case": fold_case, "patches": {},
         }
 
     def _touched(self, stage: DataFrame, keys, layout: dict, fold_case: bool) -> set[str] | None:
@@ -288,6 +296,13 @@ class Replica:
         found = stage.select(bucket).distinct().limit(2 * MOST_BUCKETS + 1).collect()
         return {str(r[0]) for r in found} if len(found) <= 2 * MOST_BUCKETS else None
 
+    def _patch(self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, layout: dict, fold_case: bool) -> DataFrame:
+        """A delta small enough to broadcast leaves the live rows where they are: files of
+        a bucket turn into files of that bucket, plus one for the delta."""
+        bucket = self._bucket(schema, keys, layout, fold_case).alias(BUCKET)
+        new = merge.conform(stage, schema).select("*", bucket).repartition(BUCKET)
+        return merge.without(live, stage, keys, fold_case).select("*", bucket).unionByName(new)
+
     def _merge(
         self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, layout: dict, fold_case: bool, tasks: int
     ) -> DataFrame:
@@ -324,7 +339,7 @@ class Replica:
 
     def _publish(
         self, last, version, *, mode, schema, keys, field, facts, buckets, layout, folders,
-        feeds=None, fold_case=False,
+        feeds=None, fold_case=False, patches=None,
     ) -> dict:
         if buckets is not None:
             # drop folders no bucket points at any more
@@ -351,6 +366,7 @@ class Replica:
             "buckets": buckets,
             "layout": layout,
             "fold_case": fold_case,
+            "patches": {b: n for b, n in (patches or {}).items() if n},
             "feeds": feeds if feeds is not None else (last or {}).get("feeds") or {},
         }
         self._commit(record)
@@ -380,9 +396,13 @@ class Replica:
         ]
 
     def clean(self, min_age_seconds: float = 86_400.0, keep: int = 2) -> list[str]:
-        """Delete old commits, then the folders nothing points at."""
-        for v in sorted(self.versions())[:-keep]:
-            files.delete(self.spark, f"{self.path}/commits/{v:012d}.json")
+        """Delete old commits, then the folders nothing points at. The age is the time a
+        reader of an old version has to finish."""
+        limit = datetime.now(timezone.utc).timestamp() - min_age_seconds
+        commits = f"{self.path}/commits"
+        for name, changed in files.children(self.spark, commits)[:-keep]:
+            if changed <= limit:
+                files.delete(self.spark, f"{commits}/{name}")
         gone = self.orphans(min_age_seconds)
         for folder in gone:
             files.delete(self.spark, folder)
@@ -394,6 +414,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Below this size Spark broadcasts one side of a join by itself; -1 when it never does."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets for a first layout, from Spark's own size estimate of the source.
 
@@ -468,7 +493,7 @@ def import_state(spark: SparkSession, root: str, path: str) -> int:
                 "watermark_field": None, "pk_field": None, "last_rows": r["last_rows"],
                 "updated_at": r["updated_at"],
                 "keys": [], "schema": None, "folders": [], "buckets": None, "layout": None,
-                "fold_case": False, "feeds": {},
+                "fold_case": False, "patches": {}, "feeds": {},
             }
         )
     return len(rows)

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import files
 from tidemark.operators.catalog import Source
-from tidemark.operators.report import REPORT_SCHEMA
+from tidemark.operators.report import REPORT_SCHEMA, write_csv
 from tidemark.plans.policy import Policy, modes, policy_frame, resume
-from tidemark.plans.replica import Replica, state
+from tidemark.plans.replica import Replica, import_state, state
 
 
 class TablesFailed(RuntimeError):
@@ -28,12 +28,16 @@ def run(
     spark: SparkSession, sources: Mapping[str, Source], root: str, policy: Policy = Policy(), *,
     exclude: Sequence[str] = (), start_index: int = 0, full_refresh: bool = False, lookback: Mapping[str, object] | None = None,
     order: Mapping[str, Sequence[str]] | None = None, buckets: int | None = None, workers: int = 4, strict: bool = False,
+    legacy_state: str | None = None, clean_age_seconds: float | None = 86_400.0, report_path: str | None = None,
 ) -> DataFrame:
     """Bring every table up to date and report on each; a table that fails stays as it was.
 
     Tables are independent Spark jobs. A few run at once, since most tables of a source
-    are small and their cost is the job itself.
+    are small and their cost is the job itself. Before its turn a table loses what crashed
+    runs left behind; marks of an old state file are taken over when there is no state.
     """
+    if legacy_state is not None:
+        import_state(spark, root, legacy_state)
     listing = spark.createDataFrame([(t,) for t in sources], "table_name STRING")
     plan = modes(listing, policy_frame(spark, policy), state(spark, root), full_refresh, exclude)
     steps = resume(plan, start_index).collect()  # one row per table
@@ -47,6 +51,8 @@ def run(
             df = source() if callable(source) else source
             opened = time.perf_counter()
             replica = Replica(spark, root, name)
+            if clean_age_seconds is not None:
+                replica.clean(clean_age_seconds)
             settings = {"keys": split_key(step["pk"]), "order": (order or {}).get(name, ()), "buckets": buckets}
             if step["mode"] == "full":
                 record = replica.full_refresh(df, field=step["field"], **settings)
@@ -65,6 +71,8 @@ def run(
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(sync), steps))
     report = spark.createDataFrame(results, REPORT_SCHEMA)
+    if report_path is not None:
+        write_csv(report, report_path)
     failed = [r[0] for r in results if not r[6]]
     if strict and failed:
         raise TablesFailed(report, failed)

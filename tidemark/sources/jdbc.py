@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.names import with_safe_names
+from tidemark.functions.wire import all_text, to_wire, without_nul
+
 # Rows fetched per round trip, and rows per insert batch.
 FETCH_ROWS = 5_000
 INSERT_ROWS = 1_000
@@ -73,8 +77,25 @@ def merge_statement(table: str, staging: str, columns: Sequence[str], keys: Sequ
     return f"{insert} ON CONFLICT ({target}) DO UPDATE SET " + ", ".join(f"{name(c)} = EXCLUDED.{name(c)}" for c in rest)
 
 
+def target_rows(df: DataFrame, target: str = "mysql") -> DataFrame:
+    """Names and values as the target stores them: wire values, for Postgres without NUL,
+    for SQLite all text."""
+    if target == "sqlite":
+        return with_safe_names(all_text(df), target)
+    rows = to_wire(df)
+    return with_safe_names(without_nul(rows) if target == "postgres" else rows, target)
+
+
+def copy(df: DataFrame, url: str, table: str, target: str = "mysql", keys: Sequence[str] = (), stamp: bool = False, **kwargs) -> None:
+    """One-off copy of a table; `stamp` adds `_synced_at`."""
+    rows = target_rows(df, target)
+    if stamp:
+        rows = rows.withColumn("_synced_at", F.current_timestamp())
+    write(rows, url, table, mode="overwrite", key_types=key_types(rows.schema, keys), **kwargs)
+
+
 def upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], dialect: str = "postgres", **kwargs) -> None:
-    """Stage the deduplicated delta in `<table>_staging`, then merge it in one statement."""
+    """Stage a delta without repeated keys (see `merge.dedupe_last`) in `<table>_staging`, then merge it in one statement."""
     spark, staging = df.sparkSession, f"{table}_staging"
     write(df, url, staging, mode="overwrite", key_types=key_types(df.schema, keys), **kwargs)
     connection = spark._jvm.java.sql.DriverManager.getConnection(

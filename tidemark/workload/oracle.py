@@ -283,6 +283,8 @@ ORACLE = {
     "name_collisions": f"""SELECT lang, {safe('word')} AS safe_name, count(DISTINCT word) AS names, min(word) AS first_name, max(word) AS last_name
         FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents)
         GROUP BY lang, {safe('word')} HAVING count(DISTINCT word) > 1""",
+    "target_rows": """SELECT c_custkey AS cust_key, replace(c_name, '#', '') AS cust_name, CAST(c_nationkey AS BIGINT) AS _2nd,
+        c_acctbal AS acct_bal, c_mktsegment FROM customer""",
     "infer_types_wide": _widest("lineitem"),
     "infer_types_json": _widest_json(),
     "infer_types_first": _first_types(),

@@ -14,7 +14,7 @@ from tidemark.operators import catalog, infer, merge, report
 from tidemark.plans import policy, replica as store
 from tidemark.plans.replica import Replica
 from tidemark.plans.run import run
-from tidemark.sources import envelopes, query, tables as scans
+from tidemark.sources import envelopes, jdbc, query, tables as scans
 from tidemark.streaming import feed
 from tidemark.workload import inputs
 from tidemark.workload.inputs import moment, table
@@ -268,6 +268,13 @@ def name_collisions(spark, sf_dir):
     return names.collisions(words, "word", "mysql", scope=("lang",))
 
 
+def target_rows(spark, sf_dir):
+    """Rows of a table with awkward names, as a Postgres copy stores them."""
+    awkward = table(spark, sf_dir, "customer").toDF("Cust Key", "cust-NAME", "2nd", "ACCT$BAL", "c_mktsegment")
+    nul = awkward.withColumn("cust-NAME", F.translate("`cust-NAME`", "#", "\u0000"))
+    return jdbc.target_rows(nul, "postgres")
+
+
 # types
 
 
@@ -595,7 +602,7 @@ QUERIES = {
         scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, list_tables, table_schema, table_count,
         size_probe, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
         watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds, decimal_to_double, flatten_number,
-        binary_to_text, strip_nul, normalize_row, all_text, sanitize_names, valid_identifiers, name_collisions,
+        binary_to_text, strip_nul, normalize_row, all_text, sanitize_names, valid_identifiers, name_collisions, target_rows,
         infer_types_wide, infer_types_json, infer_types_first, pk_check, watermark_max, merge_append, merge_upsert,
         merge_upsert_lines, dedupe_last, skip_tables, unknown_policy, plan_modes, resume_slice, full_refresh,
         full_refresh_unkeyed, incremental_run, incremental_append, incremental_replay, incremental_lookback, state_table,
