@@ -170,6 +170,20 @@ def test_mark_of_another_field_is_void(spark, keyed):
     assert content(keyed) == START
 
 
+def test_first_marks_of_an_unkeyed_table_do_not_double_it(spark, root):
+    replica = Replica(spark, root, "t")
+    replica.full_refresh(frame(spark, START))
+    record = replica.increment(frame(spark, START), "seq")
+    assert (record["mode"], record["watermark_value"], content(replica)) == ("incremental-initial", "30", START)
+    # another field: its marks start anew as well
+    replica.increment(frame(spark, [*START, (4, 40, "d")]), "id")
+    assert content(replica) == [*START, (4, 40, "d")]
+    unmarked = Replica(spark, root, "u")
+    for _ in range(2):
+        unmarked.increment(frame(spark, [(1, None, "a")]), "seq")
+    assert content(unmarked) == [(1, None, "a")]
+
+
 def test_full_refresh_then_increment(spark, keyed):
     keyed.full_refresh(frame(spark, [*START, (4, 35, "d")]))
     assert keyed.commit()["watermark_value"] == "35"

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 _fallback: str | None = None
@@ -26,12 +28,31 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
 
 
+class _Hadoop:
+    """Hadoop's classes, looked up once: every lookup by name is a chain of calls."""
+
+    def __init__(self, context: SparkContext):
+        jvm = context._jvm
+        self.Path = jvm.org.apache.hadoop.fs.Path
+        self.FileContext = jvm.org.apache.hadoop.fs.FileContext
+        self.Rename = jvm.org.apache.hadoop.fs.Options.Rename
+        self.text = jvm.org.apache.commons.io.IOUtils.toString
+        self.conf = context._jsc.hadoopConfiguration()
+        self.no_overwrite = context._gateway.new_array(self.Rename, 1)
+        self.no_overwrite[0] = self.Rename.NONE
+
+
+@lru_cache(maxsize=2)
+def _hadoop(context: SparkContext) -> _Hadoop:
+    return _Hadoop(context)
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _hadoop(spark.sparkContext).Path(path)
 
 
 def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return _path(spark, path).getFileSystem(_hadoop(spark.sparkContext).conf)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -45,12 +66,11 @@ def bare(spark: SparkSession, path: str) -> str:
 
 def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     """Visible entries of a folder as (name, modification time in seconds)."""
-    if not exists(spark, path):
+    where = _path(spark, path)
+    fs = _fs(spark, path)
+    if not fs.exists(where):
         return []
-    found = [
-        (s.getPath().getName(), s.getModificationTime() / 1000.0)
-        for s in _fs(spark, path).listStatus(_path(spark, path))
-    ]
+    found = [(s.getPath().getName(), s.getModificationTime() / 1000.0) for s in fs.listStatus(where)]
     return sorted(e for e in found if not e[0].startswith((".", "_")))
 
 
@@ -68,7 +88,7 @@ def read_text(spark: SparkSession, path: str) -> str:
     """A small file whole."""
     stream = _fs(spark, path).open(_path(spark, path))
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return _hadoop(spark.sparkContext).text(stream, "UTF-8")
     finally:
         stream.close()
 
@@ -79,24 +99,20 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     The text goes to a hidden file first and is renamed without overwrite, so readers
     see the whole file or none. Object stores need a committer with conditional renames.
     """
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    hadoop = _hadoop(spark.sparkContext)
     folder, _, name = path.rpartition("/")
-    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    out = _fs(spark, draft).create(_path(spark, draft), True)
+    draft = _path(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    fs = draft.getFileSystem(hadoop.conf)
+    draft = fs.makeQualified(draft)
+    out = fs.create(draft, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = gateway.new_array(rename, 1)
-    options[0] = rename.NONE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        _path(spark, draft).makeQualified(_fs(spark, draft).getUri(), _fs(spark, draft).getWorkingDirectory()).toUri(),
-        spark._jsc.hadoopConfiguration(),
-    )
     try:
-        context.rename(_path(spark, draft), _path(spark, path), options)
+        hadoop.FileContext.getFileContext(draft.toUri(), hadoop.conf).rename(draft, hadoop.Path(path), hadoop.no_overwrite)
         return True
     except Exception:
-        if not exists(spark, path):
+        if not fs.exists(hadoop.Path(path)):
             raise
-        delete(spark, draft)
-        return False
+        fs.delete(draft, False)
+        # a rename may fail after it has taken effect
+        return read_text(spark, path) == text

@@ -19,6 +19,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column(name: str) -> Column:
     """A top-level column by its exact name, dots and hyphens included."""
     return F.col(quoted(name))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import files
-from tidemark.functions.names import column
+from tidemark.functions.names import quoted, text_literal
 from tidemark.sources.tables import list_tables
 
 Source = DataFrame | Callable[[], DataFrame]
@@ -62,29 +62,21 @@ def columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
 def measured_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same with size (longest text) and nullable (a NULL occurs) as the rows show them.
 
-    Parquet declares neither. One aggregate per table, combined inside the tasks.
+    Parquet declares neither. One aggregate per table, combined inside the tasks; written
+    as SQL text because a catalog has thousands of columns.
     """
     parts = []
     for t, df in tables.items():
-        measures = []
+        measures, rows = [], []
         for i, f in enumerate(df.schema):
-            c = column(f.name)
-            longest = F.max(F.length(c)) if isinstance(f.dataType, T.StringType) else F.lit(None).cast("int")
-            measures += [longest.alias(f"s{i}"), (F.count(c) < F.count("*")).alias(f"n{i}")]
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(t).alias("table_name"),
-                    F.lit(i + 1).alias("ordinal"),
-                    F.lit(f.name).alias("name"),
-                    F.lit(f.dataType.simpleString()).alias("type"),
-                    F.col(f"s{i}").alias("size"),
-                    F.col(f"n{i}").alias("nullable"),
-                )
-                for i, f in enumerate(df.schema)
-            ]
-        )
-        parts.append(df.agg(*measures).select(F.inline(rows)))
+            c = quoted(f.name)
+            longest = f"max(length({c}))" if isinstance(f.dataType, T.StringType) else "cast(NULL AS INT)"
+            measures += [f"{longest} AS s{i}", f"count({c}) < count(*) AS n{i}"]
+            rows.append(
+                f"struct({text_literal(t)} AS table_name, {i + 1} AS ordinal, {text_literal(f.name)} AS name, "
+                f"{text_literal(f.dataType.simpleString())} AS type, s{i} AS size, n{i} AS nullable)"
+            )
+        parts.append(df.selectExpr(*measures).selectExpr(f"inline(array({', '.join(rows)}))"))
     return _union(parts)
 
 

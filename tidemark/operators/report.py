@@ -27,7 +27,7 @@ def run_summary(report: DataFrame, total_tables: int | None = None, start_index:
 
 def write_csv(report: DataFrame, path: str) -> None:
     """A report has one row per table, so it goes to one file."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    report.withColumnRenamed("table_name", "table").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_catalog(classified: DataFrame, path: str) -> None:

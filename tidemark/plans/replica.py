@@ -109,7 +109,7 @@ class Replica:
     def full_refresh(
         self, source: DataFrame, keys: Sequence[str] = (), field: str | None = None,
         order: Sequence[str] = (), buckets: int | None = None, on_empty: str = "keep",
-        fold_case: bool = False, stamp: bool = False,
+        fold_case: bool = False, stamp: bool = False, mode: str = "full",
     ) -> dict:
         """Publish the whole source as a new version.
 
@@ -125,9 +125,9 @@ class Replica:
         facts = self._facts(laid["rows"], keys, field, None)
         if facts["rows"] == 0 and on_empty == "keep":
             files.delete(self.spark, f"{self.path}/data/{folder}")
-            return {**(last or {}), "mode": "full", "last_rows": 0, "published": False}
+            return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
         return self._publish(
-            last, version, mode="full", schema=_nullable(source.schema), keys=keys, field=field, facts=facts,
+            last, version, mode=mode, schema=_nullable(source.schema), keys=keys, field=field, facts=facts,
             buckets=laid["buckets"], layout=laid["layout"], folders=[folder], fold_case=fold_case,
         )
 
@@ -145,6 +145,9 @@ class Replica:
         merge.require_columns(source, [field], "watermark")
         last = self.commit()
         mark = self.mark(field, last) if last else None
+        if mark is None and last and last["schema"] and not (keys or last["keys"]):
+            # all rows are read again and there is no key to match them: they replace the old ones
+            return self.full_refresh(source, field=field, mode="incremental-initial")
         delta = source if mark is None else above(source, field, mark, lookback)
         return self._apply(last, delta, field, keys, order, buckets, fold_case)
 
@@ -348,7 +351,7 @@ class Replica:
             folders = [folders[i] for i in used]
             buckets = {b: place[i] for b, i in buckets.items()}
         mark = facts["mark"]
-        if mark is None and last and last["watermark_field"] == field and mode != "full":
+        if mark is None and last and last["watermark_field"] == field and mode == "incremental":
             mark = Mark(last["watermark_type"], last["watermark_value"])
         record = {
             "source_table": self.table,
