@@ -104,6 +104,16 @@ def test_append_keeps_duplicates(spark, root):
     assert content(replica) == sorted([*START, (3, 30, "c")])
 
 
+def test_appended_deltas_make_few_files(spark, root):
+    replica = Replica(spark, root, "t")
+    source = spark.range(0, 1_000, 1, 40).selectExpr("cast(id AS INT) AS id", "cast(id AS INT) AS seq", "'x' AS v")
+    replica.increment(source.where("seq < 900"), "seq")
+    replica.increment(source, "seq")
+    folder = f"{replica.path}/data/{replica.commit()['folders'][-1]}"
+    assert len([n for n, _ in files.children(spark, folder) if n.startswith("part-")]) == 1
+    assert replica.read().count() == 1_000
+
+
 def test_later_row_of_a_delta_wins(spark, keyed):
     keyed.apply(frame(spark, [(1, 41, "first"), (1, 43, "last"), (1, 42, "middle")]), "seq", ["id"])
     assert content(keyed)[0] == (1, 43, "last")
@@ -264,6 +274,12 @@ def test_old_versions_stay_readable_until_cleaned(spark, keyed):
     keyed.clean(min_age_seconds=0, keep=2)
     assert keyed.versions() == [3, 4]
     assert content(keyed) == now
+    # the first folder keeps only the buckets that still count
+    record = keyed.commit()
+    kept = {b for b, i in record["buckets"].items() if i == 0}
+    folder = f"{keyed.path}/data/{record['folders'][0]}"
+    assert {n for n, _ in files.children(spark, folder)} == {f"{store.BUCKET}={b}" for b in kept}
+    assert 0 < len(kept) < len(record["buckets"])
 
 
 def test_second_writer_loses(spark, root, keyed):

@@ -183,6 +183,9 @@ class Replica:
         if not keys or not has_rows:
             # append, or the first rows of a keyed table: the written rows are the version
             version, folder = self._next(last)
+            if has_rows:
+                # few new rows out of many scan tasks: gather them into files of a good size
+                delta = delta.hint("rebalance")
             laid = self._lay_out(delta, folder, keys, order, buckets, fold_case)
             facts = self._facts(laid["rows"], keys, field, mark)
             if facts["rows"] == 0:
@@ -382,21 +385,31 @@ class Replica:
 
     # cleaning up
 
-    def orphans(self, min_age_seconds: float = 0.0, keep: int | None = None) -> list[str]:
-        """Data and stage folders no commit points at, oldest first.
-
-        `keep` counts only the latest commits as pointing. The age guard spares the
-        folders of a run that is still writing.
-        """
-        known = sorted(self.versions())
-        named = {f for v in (known if keep is None else known[-keep:]) for f in self.commit(v)["folders"]}
+    def orphans(self, min_age_seconds: float = 0.0) -> list[str]:
+        """Data and stage folders, and buckets inside data folders, that no commit points
+        at. The age guard spares the folders of a run that is still writing."""
+        named: dict[str, set[str] | None] = {}
+        for v in self.versions():
+            record = self.commit(v)
+            if record["buckets"] is None:
+                named |= dict.fromkeys(record["folders"])
+            else:
+                for b, i in record["buckets"].items():
+                    named.setdefault(record["folders"][i], set()).add(f"{BUCKET}={b}")
         limit = datetime.now(timezone.utc).timestamp() - min_age_seconds
-        return [
-            f"{self.path}/{kind}/{name}"
-            for kind in ("data", "stage")
-            for name, changed in files.children(self.spark, f"{self.path}/{kind}")
-            if not (kind == "data" and name in named) and changed <= limit
-        ]
+        found = []
+        for kind in ("data", "stage"):
+            for name, changed in files.children(self.spark, f"{self.path}/{kind}"):
+                folder = f"{self.path}/{kind}/{name}"
+                if kind == "stage" or name not in named:
+                    found += [folder] if changed <= limit else []
+                elif named[name] is not None:
+                    found += [
+                        f"{folder}/{b}"
+                        for b, written in files.children(self.spark, folder)
+                        if b.startswith(f"{BUCKET}=") and b not in named[name] and written <= limit
+                    ]
+        return found
 
     def clean(self, min_age_seconds: float = 86_400.0, keep: int = 2) -> list[str]:
         """Delete old commits, then the folders nothing points at. The age is the time a
