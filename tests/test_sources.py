@@ -55,6 +55,10 @@ def test_pages_against_brute_force(spark):
     assert got == {k: i // 100 for i, k in enumerate(sorted(got))}
     assert len(got) == df.count()
     assert tables.pages(df.where("false"), "k", 10).count() == 0
+    with_null = df.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
+    numbered = tables.pages(with_null, "k", page_size=1, rows_per_range=500)
+    assert numbered.where("k IS NULL").first().page == 0
+    assert sorted(r.page for r in numbered.collect()) == list(range(len(got) + 1))
 
 
 def test_page_and_page_after_agree(spark):

@@ -15,6 +15,9 @@ from tidemark.functions.marks import Mark, encode, literal, mark_type
 from tidemark.functions.names import column, quoted
 
 
+MOST_RANGES = 4096
+
+
 def load(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, **options) -> DataFrame:
     """The whole table; pass the schema for text formats, inferring it costs a scan."""
     reader = spark.read.format(fmt).options(**options)
@@ -72,20 +75,22 @@ def pages(df: DataFrame, key: str, page_size: int, rows_per_range: int = 1_000_0
     approximate quantiles, each range is numbered on its own, and the rows in front of
     a range come from one count per range.
     """
-    ranges = max(1, min(4096, -(-df.count() // rows_per_range)))
-    quantiles = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)) if ranges > 1 else []
+    ranges = max(2, min(MOST_RANGES, -(-df.count() // rows_per_range)))
+    quantiles = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
+    if not quantiles:
+        return df.withColumn("page", F.lit(0).cast("bigint"))
     splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
-    if len(splits) == 2:
-        ranged = df.withColumn("_range", F.lit(0.0))
-    else:
-        keyed = df.withColumn("_at", column(key).cast("double"))
-        ranged = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(keyed).drop("_at")
+    keyed = df.withColumn("_at", column(key).cast("double"))
+    ranged = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(keyed).drop("_at")
+    # a row without a key comes first
+    ranged = ranged.withColumn("_range", F.coalesce(F.col("_range").cast("int"), F.lit(-1)))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     ahead = (
         ranged.groupBy("_range").count()
-        .withColumn("_ahead", F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("_ahead", F.coalesce(F.sum("count").over(before), F.lit(0)))
         .select("_range", "_ahead")
     )
-    # one row per range, 4096 at most: small by construction
+    # one row per range, MOST_RANGES at most: small by construction
     numbered = ranged.withColumn("_row", F.row_number().over(W.partitionBy("_range").orderBy(key)))
     place = F.col("_ahead") + F.col("_row") - 1
     return (
