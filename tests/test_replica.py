@@ -159,6 +159,28 @@ def test_widening_appends(spark, root):
     assert set(map(tuple, replica.read().collect())) == {(1, 1, "a", None), (1 << 40, 2, "b", 2.5)}
 
 
+def test_decimals_widen(spark, root):
+    for keys in ([], ["id"]):
+        replica = Replica(spark, root, f"t{len(keys)}")
+        replica.apply(spark.sql("SELECT 1 AS id, 1 AS seq, 12.34BD AS m UNION ALL SELECT 3, 1, 0.50BD"), "seq", keys, buckets=1)
+        replica.apply(spark.sql("SELECT 2 AS id, 2 AS seq, 123456.789BD AS m"), "seq")
+        got = {r.id: str(r.m) for r in replica.read().collect()}
+        assert got == {1: "12.340", 2: "123456.789", 3: "0.500"}
+    with pytest.raises(ValueError, match="m"):
+        merge.widen(spark.sql("SELECT 1.5BD AS m").schema, spark.sql("SELECT 'x' AS m").schema)
+
+
+@pytest.mark.parametrize("table,keys", [("embeddings", ["vec_id"]), ("conversations", ["conv_id", "turn"]), ("pages", ["url"])])
+def test_given_tables_by_their_keys(spark, root, sf_dir, table, keys):
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    replica = Replica(spark, root, table)
+    replica.full_refresh(df, keys, buckets=4)
+    replica.apply(df, df.columns[0], keys)
+    distinct = df.select(*keys).distinct().count()
+    assert replica.read().count() == distinct
+    assert replica.read().exceptAll(df).count() == 0
+
+
 @pytest.mark.parametrize("rows,schema,keys,error", [
     ([(None, 40, "x")], SCHEMA, ["id"], BadDelta),
     ([(1, 40, "x")], SCHEMA, ["nope"], ValueError),
@@ -462,10 +484,10 @@ def test_names_are_checked(spark, root):
     for name in ("a/b", "../x", "", "a b"):
         with pytest.raises(ValueError):
             Replica(spark, root, name)
-    odd = Replica(spark, root, "SQL$Timed-x#1")
+    odd = Replica(spark, root, "SQL$odd-x#1")
     odd.full_refresh(frame(spark, START))
     assert content(odd) == START
-    assert [r.source_table for r in store.state(spark, root).collect()] == ["SQL$Timed-x#1"]
+    assert [r.source_table for r in store.state(spark, root).collect()] == ["SQL$odd-x#1"]
 
 
 # runs

@@ -89,8 +89,8 @@ def test_number_flattening(spark, x, whole, part):
 @pytest.mark.parametrize(
     "name,valid,mysql,postgres,sqlite",
     [
-        ("px-codes", True, "px_codes", "px_codes", "px_codes"),
-        ("SQL$Timed_Triggers", True, "SQL_Timed_Triggers", "sql_timed_triggers", "SQL_Timed_Triggers"),
+        ("zip-codes", True, "zip_codes", "zip_codes", "zip_codes"),
+        ("SQL$Some_Table", True, "SQL_Some_Table", "sql_some_table", "SQL_Some_Table"),
         ("2nd", False, "_2nd", "_2nd", "_2nd"),
         ("a b", False, "a_b", "a_b", "a_b"),
         ("", False, "_col", "_col", "_col"),

@@ -18,11 +18,13 @@ _fallback: str | None = None
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the cluster names for checkpoints.
 
-    Only a session without that setting (a test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own.
     """
     global _fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         _fallback = _fallback or tempfile.mkdtemp(prefix="tidemark-")
         base = _fallback
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex[:12]}"

@@ -69,15 +69,22 @@ def widen(live: T.StructType, delta: T.StructType) -> T.StructType:
     for f in live:
         other, dtype = names.get(f.name, f.dataType), f.dataType
         if other != dtype:
-            if other.simpleString() in WIDER.get(dtype.simpleString(), ()):
+            if _holds(other, dtype):
                 dtype = other
-            elif dtype.simpleString() not in WIDER.get(other.simpleString(), ()):
+            elif not _holds(dtype, other):
                 raise ValueError(f"column {f.name}: {dtype.simpleString()} cannot take {other.simpleString()}")
         result.append(T.StructField(f.name, dtype, True))
     known = set(live.names)
     return T.StructType(result + [T.StructField(f.name, f.dataType, True) for f in delta if f.name not in known])
 
 
+def _holds(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Every value of the narrow type is one of the wide type."""
+    if isinstance(wide, T.DecimalType) and isinstance(narrow, T.DecimalType):
+        return wide.scale >= narrow.scale and wide.precision - wide.scale >= narrow.precision - narrow.scale
+    return wide.simpleString() in WIDER.get(narrow.simpleString(), ())
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of the schema in its order, absent ones NULL."""
     have = set(df.columns)

@@ -278,7 +278,8 @@ class Replica:
         if "bits" in layout or count % shuffle_partitions(self.spark):
             rows = rows.repartition(count, BUCKET)
         # else the shuffle that brought equal keys together has put each bucket into one task
-        rows.write.partitionBy(BUCKET).parquet(target)
+        # writing needs the rows sorted by bucket anyway; by key as well they compress and skip better
+        rows.sortWithinPartitions(BUCKET, *[column(k) for k in keys]).write.partitionBy(BUCKET).parquet(target)
         named = [n.partition("=")[2] for n, _ in files.children(self.spark, target) if n.startswith(f"{BUCKET}=")]
         return {
             "rows": self.spark.read.schema(df.schema).parquet(target).select(*[column(c) for c in df.columns]),
