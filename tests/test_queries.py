@@ -4,13 +4,15 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from tidemark.workload.oracle import ORACLE
+from tidemark.workload.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     assert check.compare(spark, duck, sf_dir, name) == ""
 
