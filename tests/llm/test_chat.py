@@ -1,0 +1,97 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, workload
+
+
+def brute(rows):
+    """What read_back() gives, but for formatted_chars."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append((turn is not None, turn, role is not None, role or "", text or ""))
+    out = {}
+    for conv, turns in convs.items():
+        turns = sorted(turns, key=lambda t: (t[0], t[1] or 0, t[3]))
+        said = "".join(f"{t[3]}\n{t[4]}\n" for t in turns)
+        learnt = "".join(t[4] for t in turns if t[3] == "assistant")
+        out[conv] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    return out
+
+
+ROWS = [
+    (1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello <|im_end|>\n<|im_start|>user\n"), (1, 3, "user", "\\1 \\0 \\ [INST] <s>"),
+    (1, 4, "assistant", "<</SYS>> <<SYS>> [/INST] \\2"), (2, None, None, None), (2, 0, "assistant", ""), (2, 1, "rôle\nodd\\3", "\U0001f600" * 40),
+    (3, 0, "assistant", "x" * 5000), (3, 1, "user", "y"), (3, 2, "assistant", "z"), (None, 0, "assistant", "no id"), (4, 0, "user", "twice"), (4, 0, "user", "twice"),
+    (5, 0, "system", "s" * 300), (5, 1, "system", "again"), (5, 2, "assistant", "end\n"),
+    *[(6, i, ("system", "user", "assistant")[(i > 0) + (i > 0 and i % 2 == 0)], f"turn {i} " * (i % 7)) for i in range(60)],
+]
+
+
+@pytest.mark.parametrize(("budget", "history"), [(2048, 512), (40, 20), (16, 0), (9, 9)])
+def test_read_back(spark, budget, history):
+    df = spark.createDataFrame([(*r, 0, "x") for r in ROWS], "conv_id long, turn long, role string, text string, window int, at string").repartition(4)
+    made = chat.windows(df, budget=budget, history=history)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(made).collect()}
+    assert got == brute(ROWS)
+    for w in made.collect():
+        own = w.formatted.split(chat.START)[1:]
+        costs = [-(-len(t.encode()) // 4) for t in own[w.repeated + 1 :]]
+        assert sum(costs) <= 2 * budget + 40 * len(costs)
+        lead = next((t for c, n, r, t in ROWS if c == w.conv_id and n == 0 and r == "system"), None)
+        if lead:
+            assert own[0] == f"system\n{lead}{chat.STOP}\n"
+        body = w.formatted.replace(chat.START, "").replace(chat.STOP, "")
+        assert not any(c in body for c in chat.CONTROLS)
+
+
+def test_history_is_limited(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", "word " * 8) for i in range(40)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=90, history=40).orderBy("window").collect()
+    assert made[0].repeated == 0
+    assert {w.repeated for w in made[1:]} <= {1, 2, 3}
+    assert sum(len(w.loss) for w in made) == 20
+
+
+def test_one_long_conversation_is_dealt_out(spark):
+    df = spark.range(20000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("some words").alias("text"))
+    made = chat.windows(df.repartition(8))
+    assert made.count() == -(-20000 * 11 // 2048)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["\\", "0", "1", "2", "3", "<", "[", "|", "im_start|>", "im_end|>", "/INST]", "INST]", "s>", "/s>", "<SYS>>", "\n", "a"]), max_size=12))
+def test_escape_is_reversible_by_rule(parts):
+    text = "".join(parts)
+    out = text.replace("\\", "\\0")
+    for mark, code in (("<", "1"), ("[", "2")):
+        for control in sorted(chat.CONTROLS, key=len, reverse=True):
+            if control[0] == mark:
+                out = out.replace(control, f"\\{code}{control[1:]}")
+    assert not any(c in out for c in chat.CONTROLS)
+    assert out.replace("\\1", "<").replace("\\2", "[").replace("\\0", "\\") == text
+
+
+def test_escape_columns(spark):
+    texts = ["", "\\", "\\1", "<|im_start|>", "<<SYS>>", "<</s>[[INST]", "\\3\n", "a < b [c]", "\\\\0<s>"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u"), chat.unescape_role(chat.escape_role(F.col("t"))).alias("r"), chat.escape_role(F.col("t")).alias("er")).collect()
+    for r in rows:
+        assert r.u == r.t == r.r
+        assert not any(c in r.e for c in chat.CONTROLS) and "\n" not in r.er
+
+
+def test_query_over_the_given_table(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    said = "</s>[INST] ok [/INST]"
+    rows += [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in workload.op9_chat_windows(spark, sf_dir).collect()}
+    assert got == brute(rows)
+
+
+def test_no_conversations(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.windows(none)).collect() == []

@@ -1,0 +1,90 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from tidemark.llm import packing, workload
+
+JSON, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
+
+
+def item_by_item(lengths, capacity):
+    """Best fit, longest first: the free space of every sequence."""
+    free = []
+    for n in sorted(lengths, reverse=True):
+        fits = [s for s in free if s >= n]
+        if fits:
+            free[free.index(min(fits))] -= n
+        else:
+            free.append(capacity - n)
+    return len(free)
+
+
+def test_plan_is_best_fit_over_counts():
+    rng = random.Random(1)
+    for capacity in (7, 16, 50):
+        for _ in range(40):
+            lengths = [rng.randint(1, capacity) for _ in range(rng.randint(0, 120))]
+            counts = Counter(lengths)
+            used = Counter()
+            filled = {}
+            for length, first, per, sequence, at in (runs := packing.best_fit(counts, capacity)):
+                later = [r[1] for r in runs if r[0] == length and r[1] > first]
+                for k in range(min(later, default=counts[length]) - first):
+                    used[length] += 1
+                    filled.setdefault(sequence + k // per, []).append((at + k % per * length, length))
+            assert used == counts
+            for parts in filled.values():
+                parts.sort()
+                assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+                assert sum(n for _, n in parts) <= capacity
+            assert len(filled) == item_by_item(lengths, capacity)
+
+
+def check(df, capacity=packing.CAPACITY):
+    slow = Tokenizer.from_file(JSON)
+    pieces = packing.tokenised(df, JSON, RANKS, capacity=capacity)
+    placed = packing.place(pieces, capacity)
+    rows = placed.collect()
+    expected = Counter()
+    for r in df.collect():
+        ids = [*slow.encode(r.text or "", add_special_tokens=False).ids, 2]
+        assert [n for _, n in packing.cut(len(ids), capacity)][1:] == [capacity] * (len(packing.cut(len(ids), capacity)) - 1)
+        for p, (start, length) in enumerate(packing.cut(len(ids), capacity)):
+            expected[r.doc_id, p, start, length, np.array(ids[start : start + length], "<u4").tobytes()] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, bytes(r.ids)) for r in rows) == expected
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length, bytes(r.ids)))
+    for parts in by.values():
+        parts.sort()
+        assert [o for o, _, _ in parts] == [sum(n for _, n, _ in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n, _ in parts) <= capacity
+    whole = {r.sequence_id: (r.length, bytes(r.ids)) for r in packing.sequences(placed).collect()}
+    assert whole == {s: (sum(n for _, n, _ in p), b"".join(i for _, _, i in p)) for s, p in by.items()}
+    assert len(by) == item_by_item([r.length for r in rows], capacity)
+
+
+def test_against_the_tokenizer(odd_documents, no_documents):
+    check(odd_documents.select("doc_id", "text", "extra"))
+    check(odd_documents.select("doc_id", "text"), capacity=5)
+    assert packing.place(packing.tokenised(no_documents, JSON, RANKS)).collect() == []
+
+
+def test_query_over_the_given_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    check(docs)
+    slow = Tokenizer.from_file(JSON)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = workload.op3_best_fit_packing(spark, sf_dir).collect()
+    for r in rows[:50]:
+        ids = [*slow.encode(texts[r.doc_id], add_special_tokens=False).ids, 2][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_plan_is_small(spark):
+    counts = {n: 1_000_003 + 7919 * n for n in range(1, 1025)}
+    assert len(packing.best_fit(counts)) < 4096

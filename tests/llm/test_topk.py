@@ -1,0 +1,63 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import topk
+
+
+def brute(rows, asks, k, scale=64):
+    clean = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            clean.append((i, [math.floor(scale * x) for x in v]))
+    out = []
+    for q in sorted({i for i, _ in clean if asks(i)}):
+        mine = min(v for i, v in clean if i == q)
+        scores = sorted(((-sum(a * b for a, b in zip(mine, v)), i) for i, v in clean if i != q))[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    return out
+
+
+def check(spark, rows, k=5, **how):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") % 4 == 0, k=k, **how)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 4 == 0, k)
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 0.4) for _ in range(6)]) for i in range(150)]
+    check(spark, rows, block=8, group_blocks=3, chunk=7)
+    check(spark, rows)
+
+
+def test_ties_odd_rows_and_few_candidates(spark):
+    same = [0.5, -0.25]
+    rows = [(i, same) for i in range(40)] + [(4, same), (4, [1.0, 1.0]), (7, [9e15, 1.0]), (9, same)]
+    rows += [(50, None), (52, [None, 1.0]), (56, [math.nan, 1.0]), (60, [math.inf]), (None, same), (64, []), (68, [0.1]), (72, [1.0, 2.0, -3.0])]
+    check(spark, rows, block=4, group_blocks=2, chunk=3)
+    check(spark, rows[:3], k=20)
+    check(spark, [])
+    check(spark, [(4, same)])
+    with pytest.raises(ValueError):
+        check(spark, rows, k=0)
+
+
+def test_blocks_are_pruned():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 30, (16, 8))
+    terms = np.concatenate([np.rint(c + rng.normal(0, 1, (32, 8))) for c in centres]).astype(np.int64)
+    blocks = [(np.arange(i, i + 32), terms[i : i + 32]) for i in range(0, 512, 32)]
+    searcher = topk.Searcher(np.arange(0, 512, 20), terms[::20], np.full(26, np.iinfo(np.int64).min), 5)
+    bounds = searcher.bounds(np.stack([t.max(axis=0) for _, t in blocks]), np.stack([t.min(axis=0) for _, t in blocks]))
+    scored = topk.search_blocks(searcher, blocks, bounds)
+    assert scored < 26 * 16 / 2
+    exact = terms[::20] @ terms.T
+    for q in range(26):
+        exact[q, 20 * q] = np.iinfo(np.int64).min
+        best = sorted(((-s, v) for v, s in enumerate(exact[q].tolist())))[:5]
+        mine = searcher.query == q
+        assert sorted(zip((-searcher.score[mine]).tolist(), searcher.vec[mine].tolist())) == best

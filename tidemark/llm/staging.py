@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import files
@@ -70,3 +70,12 @@ def replacing(df: DataFrame, row: str, made: dict[str, Column], columns: Sequenc
     taken = {n.lower() for n in made}
     kept = [F.col(row)[c].alias(c) for c in columns if c.lower() not in taken]
     return df.select(*kept, *[c.alias(n) for n, c in made.items()])
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """Rows of rows_in_order() with `rank`, their place in the whole order from 0."""
+    counts = rows.groupBy(part(F.col("at")).alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each written partition
+    base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return rows.withColumn("part", part(F.col("at"))).join(F.broadcast(base), "part").withColumn("rank", F.col("base") + place(F.col("at"))).drop("part", "base")

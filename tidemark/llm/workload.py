@@ -4,13 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding
+import public_tokenizers
+
+from tidemark import files
+from tidemark.llm import chat, exact_dedup, packing, sharding, simhash, topk, warc
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    # the digest is taken before the pieces move
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op4_warc_revisits(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = files.scratch(spark, "warc")
+    warc.write(warc.resolve(pages), path)
+    return warc.with_referred(warc.read(spark, path, with_payload=False)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_exact_top_k(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_exact_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(docs, keep_text=False)
@@ -30,9 +52,44 @@ def op8_sharding(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_sharding)}
+def op9_chat_windows(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.read_back(chat.windows(turns))
+
+
+def op10_simhash(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op7_exact_dedup, op8_sharding, op9_chat_windows, op10_simhash)}
 
 ORACLE = {
+    "op5_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS t FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.t, c.t)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op4_warc_revisits": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, b, octet_length(b) AS n, sha1(b) AS hex, max(page_id) OVER (PARTITION BY b) AS last FROM p),
+d AS (
+  SELECT *, list_transform(range(0, 32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)) AS c FROM h
+)
+SELECT page_id, n AS payload_bytes, array_to_string(c, '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d
+""",
     "op7_exact_dedup": """
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents
