@@ -1,16 +1,12 @@
 import hashlib
-import re
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from brute import normal
 from tidemark.llm.exact_dedup import exact_dedup
 
 
-def normal(text):
-    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
-
-
 def brute(rows):
     groups = defaultdict(list)
     for doc_id, text in rows:

@@ -30,31 +30,38 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
+def _once(value: Column, make: Callable[[Column], Column]) -> Column:
+    """make(value) with `value` computed once, also where make() uses it inside a lambda."""
+    return F.transform(F.array(value), make)[0]
+
+
 def _blocks(norm: Column, size: int) -> Column:
     """The UTF-8 bytes in blocks; one empty block for an empty text."""
-    raw = norm.cast("binary")
-    last = F.greatest(F.octet_length(norm) - 1, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), F.floor(last / size).cast("int")), lambda i: F.substring(raw, i * size + 1, F.lit(size)))
+
+    def cut(raw: Column) -> Column:
+        last = F.greatest(F.octet_length(raw) - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), F.floor(last / size).cast("int")), lambda i: F.substring(raw, i * size + 1, F.lit(size)))
+
+    return _once(norm.cast("binary"), cut)
 
 
-def _distinct_blocks(rows: DataFrame, hashed: Callable[[Column], Column]) -> DataFrame:
-    return rows.select(F.explode("blocks").alias("block")).groupBy(hashed(F.col("block")).alias("hash"), "block").agg(F.lit(1).alias("one"))
+def _distinct_blocks(rows: DataFrame, norm: Column, size: int, hashed: Callable[[Column], Column]) -> DataFrame:
+    return rows.select(F.explode(_blocks(norm, size)).alias("block")).groupBy(hashed(F.col("block")).alias("hash"), "block").agg(F.lit(1).alias("one"))
 
 
 def name_documents(rows: DataFrame, norm: Column, block_bytes: int = BLOCK_BYTES, hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """(at, level, name) of staged rows with a number `at`; equal texts, and only these, share (level, name)."""
-    cut = rows.select("at", _blocks(norm, block_bytes).alias("blocks"))
-    contents = staging.staged(_distinct_blocks(cut, hashed).groupBy("hash").agg(F.count("*").cast("int").alias("n")), "block-hashes")
+    """(at, level, name) of staged rows (at, hashes); equal texts, and only these, share (level, name)."""
+    contents = staging.staged(_distinct_blocks(rows, norm, block_bytes, hashed).groupBy("hash").agg(F.count("*").cast("int").alias("n")), "block-hashes")
     names = staging.sorted_names(contents.select("hash", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("tie")), ["hash", "tie"], "block-names")
-    letters = cut.select("at", F.size("blocks").alias("k"), F.posexplode("blocks").alias("pos", "block"))
-    letters = letters.select("at", "k", "pos", hashed(F.col("block")).alias("hash"), "block")
     shared = contents.where("n > 1").select("hash")
     if shared.isEmpty():
-        letters = letters.select("at", "k", "pos", "hash", F.lit(0).alias("tie"))
+        letters = rows.select("at", F.size("hashes").alias("k"), F.posexplode("hashes").alias("pos", "hash")).withColumn("tie", F.lit(0))
     else:
-        own = _distinct_blocks(cut, hashed).join(shared, "hash", "left_semi").groupBy("hash").agg(F.array_sort(F.collect_set("block")).alias("all"))
+        own = _distinct_blocks(rows, norm, block_bytes, hashed).join(shared, "hash", "left_semi").groupBy("hash").agg(F.array_sort(F.collect_set("block")).alias("all"))
         ties = own.select("hash", F.posexplode("all").alias("tie", "block"))
-        letters = letters.join(ties, ["hash", "block"], "left").select("at", "k", "pos", "hash", F.coalesce("tie", F.lit(0)).alias("tie"))
+        whole = rows.select("at", F.size("hashes").alias("k"), F.posexplode(_blocks(norm, block_bytes)).alias("pos", "block"))
+        letters = whole.withColumn("hash", hashed(F.col("block"))).join(ties, ["hash", "block"], "left")
+        letters = letters.select("at", "k", "pos", "hash", F.coalesce("tie", F.lit(0)).alias("tie"))
     current = staging.staged(letters.join(names, ["hash", "tie"]).select("at", "k", "pos", "name"), "names-0")
     done = current.where("k = 1").select("at", F.lit(0).alias("level"), "name")
     level = 0
@@ -82,14 +89,17 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block_by
     names of the result are replaced; an empty table gives an empty result. With
     `keep_text` false the text column is left out of the result.
     """
-    rows = staging.rows_at(df, "documents")
     norm = normalised(F.col(f"row.{text}"))
+    read_once = _once(normalised(F.col(text)), lambda n: F.struct(F.sha2(n.cast("binary"), 256).alias("sha"), F.transform(_blocks(n, block_bytes), hashed).alias("hashes")))
+    numbered = df.select(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row"), read_once.alias("once"))
+    rows = staging.staged(numbered.select("at", "row", "once.sha", "once.hashes"), "documents")
     names = name_documents(rows, norm, block_bytes, hashed)
     columns = [c for c in df.columns if keep_text or c != text]
-    slim = rows.select("at", F.struct(*[F.col("row")[c].alias(c) for c in columns]).alias("row"), F.col(f"row.{key}").alias("id"), F.sha2(norm.cast("binary"), 256).alias("sha"))
+    slim = rows.select("at", F.struct(*[F.col("row")[c].alias(c) for c in columns]).alias("row"), F.col(f"row.{key}").alias("id"), "sha")
     named = staging.staged(rows.select("at", F.col(f"row.{key}").alias("id")).join(names, "at"), "named")
     order = F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("at"))
-    groups = named.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    # written first: a large group then meets its row in a join whose large partitions Spark splits
+    groups = staging.staged(named.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("n")), "groups")
     joined = slim.join(named.join(groups, ["level", "name"]).select("at", "first", "n"), "at")
     made = {
         "keep_id": F.col("first.id"),

@@ -24,18 +24,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rows_at(df: DataFrame, label: str) -> DataFrame:
-    """(at, row): every row as one struct, under a number that is its own.
-
-    The struct keeps the caller's column names out of the way of an operator's own.
-    """
-    return staged(df.select(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row")), label)
-
-
 def rows_in_order(df: DataFrame, order: Sequence[Column], label: str, **extra: Column) -> DataFrame:
     """(at, row, extra...): rows in a total order of `at`, in partitions of about equal size.
 
-    Ties of `order` are broken by the place of the row, so that a key with a third of all
+    A row is kept as a struct, so the caller's column names stay out of the way of an
+    operator's own. Ties of `order` are broken by the place of the row, so that a key with a third of all
     rows is dealt over many partitions like any other rows.
     """
     keys = [c.alias(f"o{i}") for i, c in enumerate(order)]
@@ -61,10 +54,6 @@ def sorted_names(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame
     return staged(ordered.withColumn("name", F.monotonically_increasing_id()), label)
 
 
-def prune(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    return df if columns is None else df.select(*columns)
-
-
 def replacing(df: DataFrame, row: str, made: dict[str, Column], columns: Sequence[str]) -> DataFrame:
     """The fields of struct `row`, but for those whose names the operator gives, and the made columns."""
     taken = {n.lower() for n in made}

@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark import files
-from tidemark.llm import chat, exact_dedup, packing, sharding, simhash, topk, warc
+from tidemark.llm import chat, exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, warc
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).drop("row_no")
+
+
+def op2_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op3_best_fit_packing(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -33,6 +43,22 @@ def op5_exact_top_k(spark, sf_dir):
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+# shares of words in the mixture; the languages are the domains
+MIXTURE = {"de": 0.175, "en": 0.5, "es": 0.125, "fr": 0.2}
+
+
+def languages(docs, labels):
+    """(key, domain) of the labelled documents of good quality."""
+    good = labels.where("quality = 1").select("doc_id").distinct()
+    return docs.join(good, "doc_id", "left_semi").select(F.col("doc_id").alias("key"), F.col("lang").alias("domain"))
+
+
+def op6_mixing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = languages(docs, _table(spark, sf_dir, "labels"))
+    return mixing.mix(docs.drop("lang"), labelled, MIXTURE, keep_text=False)
+
+
 def op7_exact_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(docs, keep_text=False)
@@ -64,7 +90,7 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op7_exact_dedup, op8_sharding, op9_chat_windows, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding, op9_chat_windows, op10_simhash)}
 
 ORACLE = {
     "op5_exact_top_k": """
