@@ -110,11 +110,11 @@ def test_repeated_rows_and_no_rows(spark):
 
 
 def test_one_line_in_most_documents_and_counters(spark):
-    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line that everyone has\npage "), F.col("id"), F.lit(" of all the pages")).alias("text"))
+    df = spark.range(700).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line that everyone has\npage "), F.col("id"), F.lit(" of all the pages")).alias("text"))
     got = line_dedup.dedup_lines(df, most_together=200)
     assert got.where("kept").count() == 2
-    # numbers of up to four digits: two digits may differ, or a digit be added
-    assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(3000) if i != 5 and distance("5", str(i)) <= 2])
+    # two digits may differ, or be added
+    assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(700) if i != 5 and distance("5", str(i)) <= 2])
 
 
 def test_kept_texts(spark):

@@ -90,7 +90,7 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block_by
     `keep_text` false the text column is left out of the result.
     """
     norm = normalised(F.col(f"row.{text}"))
-    read_once = _once(normalised(F.col(text)), lambda n: F.struct(F.sha2(n.cast("binary"), 256).alias("sha"), F.transform(_blocks(n, block_bytes), hashed).alias("hashes")))
+    read_once = _once(normalised(F.col(text)), lambda n: F.struct(F.sha2(n.cast("binary"), 256).alias("sha"), F.transform(_blocks(n, block_bytes), lambda b: hashed(b)).alias("hashes")))
     numbered = df.select(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row"), read_once.alias("once"))
     rows = staging.staged(numbered.select("at", "row", "once.sha", "once.hashes"), "documents")
     names = name_documents(rows, norm, block_bytes, hashed)

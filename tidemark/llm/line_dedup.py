@@ -256,8 +256,9 @@ def candidates(entries: DataFrame, threshold: int, most_together: int = MOST_TOG
 
 def line_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(at, key, line_no, line): the normalised lines of every row; a null or empty text is one empty line."""
-    rows = df.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "raw"))
-    return rows.select("at", "id", "line_no", normalised(F.col("raw")).alias("line"))
+    rows = df.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("id"), F.col(text).alias("text"))
+    lines = rows.select("at", "id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw"))
+    return lines.select("at", "id", "line_no", normalised(F.col("raw")).alias("line"))
 
 
 def _identity(line: Column) -> list[Column]:

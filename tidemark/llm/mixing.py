@@ -4,8 +4,8 @@ A naive Bayes classifier learned from a labelled table gives every document a po
 the domains, from the last characters of all its words. Rates are then the least-squares
 solution, under a lower bound, of: the expected tokens of every domain, over all documents,
 are its share of the budget. One step of projected gradient descent needs the current
-totals only, a few sums, and a document's rate is the same formula of its posterior and the
-steps so far; so a step is one aggregation and nothing is joined or sorted.
+totals only, which are a few sums, and moves each document's rate along its own posterior; so
+a step is one aggregation and nothing is joined or sorted.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ SUFFIX = 3
 SMOOTHING = 0.5
 SHARPNESS = 1.0
 MOST_STEPS = 40
+STEPS_TOGETHER = 6  # rates are written after so many steps, which bounds the formula of one
 TOLERANCE = 1e-7
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -54,8 +55,8 @@ def classifier(texts: DataFrame, labelled: DataFrame, domains: list[str], sample
 def posteriors(rows: DataFrame, weights: DataFrame, share: list[float], sharpness: float = SHARPNESS) -> DataFrame:
     """(at, tokens, p): words of each row with any, and its posterior as an array in the domains' order.
 
-    A document counts as `sharpness` words, however long it is, so that long documents do
-    not all become certain. Words with unknown endings say nothing.
+    A document counts as `sharpness` words, however long it is, so that membership stays
+    soft. Words with unknown endings say nothing.
     """
     n = len(share)
     # at most as many rows as the vocabulary
@@ -72,43 +73,41 @@ def _softmax(scores: Column) -> Column:
     return F.transform(powers, lambda x: x / total)
 
 
-def _rate(p: Column, steps: list[np.ndarray], least: float) -> Column:
-    """The rate of a document after the steps taken: each moves it along its posterior, then back above the bound."""
-    rate = F.lit(float(max(1.0, least)))
-    for step in steps:
-        moved = rate
-        for i, s in enumerate(step):
-            moved = moved - p[i] * float(s)
-        rate = F.greatest(moved, F.lit(float(least)))
-    return rate
+def _moved(rate: Column, p: Column, step: np.ndarray, least: float) -> Column:
+    """A rate after one step along the document's posterior, and back above the bound."""
+    for i, s in enumerate(step):
+        rate = rate - p[i] * float(s)
+    return F.greatest(rate, F.lit(float(least)))
 
 
-def fit(docs: DataFrame, targets: np.ndarray, least: float = 0.0, most_steps: int = MOST_STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
-    """Steps of projected gradient descent over staged (tokens, p) towards `targets` tokens for each domain.
+def fit(docs: DataFrame, targets: np.ndarray, least: float = 0.0, most_steps: int = MOST_STEPS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Staged rows (tokens, p, ...) with `rate`, by projected gradient descent towards `targets` tokens for each domain.
 
-    The residual is measured in the inverse of the documents' second moment, in which a
-    step of length one is exact until a rate meets the bound; rates start at 1. Ends when every
-    domain is within `tolerance` of the budget, or no longer moves (targets out of reach).
+    Rates start at 1. The residual is measured in the inverse of the second moment of the
+    documents that are above the bound, in which a step of length one is exact until
+    another rate meets the bound. Ends when every domain is within `tolerance` of the
+    target total, or when no total moves any more (targets out of reach), or after `most_steps`.
     """
     n = len(targets)
-    t = F.col("tokens").cast("double")
-    moments = docs.agg(F.sum(t), *[F.sum(t * F.col("p")[i] * F.col("p")[j]) for i in range(n) for j in range(n)]).first()
-    total = moments[0] or 0.0
-    if not total:
-        return []
-    second = np.array([m or 0.0 for m in moments[1:]]).reshape(n, n) / total
-    metric = np.linalg.inv(second + np.eye(n) * 1e-9 * max(1.0, np.trace(second)))
-    steps: list[np.ndarray] = []
+    docs = docs.withColumn("rate", F.lit(float(max(1.0, least))))
+    t, p, rate = F.col("tokens").cast("double"), F.col("p"), F.col("rate")
+    free = F.when(rate > least, t).otherwise(0.0)
+    sums = [F.sum(t), *[F.sum(rate * t * p[i]) for i in range(n)], *[F.sum(free * p[i] * p[j]) for i in range(n) for j in range(n)]]
     last = None
-    for _ in range(most_steps):
-        rate = _rate(F.col("p"), steps, least)
-        now = np.array(docs.agg(*[F.sum(rate * t * F.col("p")[i]) for i in range(n)]).first(), dtype=float)
+    for k in range(most_steps):
+        total, *found = (x or 0.0 for x in docs.agg(*sums).first())
+        now, second = np.array(found[:n]), np.array(found[n:]).reshape(n, n)
+        if not total:
+            break
         residual = (now - targets) / total
-        if np.abs(residual).max() <= tolerance * targets.sum() / total or (last is not None and np.abs(now - last).max() <= 1e-12 * total):
+        if np.abs(residual).max() <= tolerance * targets.sum() / total or (last is not None and np.abs(now - last).max() <= 1e-10 * total):
             break
-        steps.append(metric @ residual)
+        step = np.linalg.solve(second / total + 1e-6 * np.eye(n), residual)
+        docs = docs.withColumn("rate", _moved(rate, p, step, least))
+        if k % STEPS_TOGETHER == STEPS_TOGETHER - 1:
+            docs = staging.staged(docs, "rates")
         last = now
-    return steps
+    return docs
 
 
 def mix(df: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text", budget: float | None = None, least: float = 0.0, sample: int = SAMPLE, keep_text: bool = True) -> DataFrame:
@@ -136,10 +135,10 @@ def mix(df: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str
     docs = rows.select("at", "key").join(found, "at", "left").select("at", "key", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.coalesce("p", F.array(*[F.lit(float(x)) for x in prior])).alias("p"))
     docs = staging.staged(docs, "posteriors")
     total = docs.agg(F.sum("tokens")).first()[0] or 0
-    steps = fit(docs, weight / weight.sum() * (total if budget is None else budget), least)
-    rate = F.when(F.col("tokens") > 0, _rate(F.col("p"), steps, least)).otherwise(F.lit(float(max(1.0, least))))
+    fitted = fit(docs, weight / weight.sum() * (total if budget is None else budget), least)
+    rate = F.when(F.col("tokens") > 0, F.col("rate")).otherwise(F.lit(float(max(1.0, least))))
     even = F.pmod(F.xxhash64("key", "at"), F.lit(1 << 40)) / float(1 << 40)
-    rated = docs.select("at", "tokens", "p", rate.alias("rate"), even.alias("even"))
+    rated = fitted.select("at", "tokens", "p", rate.alias("rate"), even.alias("even"))
     made = {
         "tokens": F.col("tokens"),
         "posterior": F.col("p"),
