@@ -80,7 +80,7 @@ def test_one_scan_counts_files_and_folders(spark):
     assert got == {"many-files": 10, "split$": 4, "empty": 0}
 
 
-STATE = "source_table string, watermark_field string, watermark_type string, watermark_value string"
+STATE = "source_table string, watermark_field string, watermark_type string, watermark_value string, published boolean"
 RULES = policy.Policy(
     skip=("Photos",),
     incremental={"Scans": {"field": "day", "pk": "id"}, "Logs": {"field": "id"}, "Moved": {"field": "b"}, "Photos": {"field": "id"}, "Lgos": {"field": "id"}},
@@ -89,7 +89,7 @@ RULES = policy.Policy(
 
 def modes(spark, **kwargs):
     listing = spark.createDataFrame([(t,) for t in ("Scans", "Logs", "Moved", "Photos", "Rest", "Old")], "table_name string")
-    state = spark.createDataFrame([("Scans", "day", "datetime", "2026"), ("Moved", "a", "int", "7"), ("Rest", "x", "int", "1")], STATE)
+    state = spark.createDataFrame([("Scans", "day", "datetime", "2026", True), ("Moved", "a", "int", "7", True), ("Rest", "x", "int", "1", True), ("Logs", None, "int", "4", False)], STATE)
     return listing, policy.modes(listing, policy.policy_frame(spark, RULES), state, **kwargs)
 
 

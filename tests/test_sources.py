@@ -51,16 +51,28 @@ def test_watermark_reaches_the_scan(spark, sf_dir, mark, lookback):
 
 def test_pages_against_brute_force(spark):
     df = spark.range(0, 5_000, 3).select((F.col("id") * 7 % 5_003).alias("k"))
-    got = {r.k: r.page for r in tables.pages(df, "k", page_size=100, rows_per_range=150).collect()}
+    got = {r.k: r.page for r in tables.pages(df, "k", page_size=100).collect()}
     assert got == {k: i // 100 for i, k in enumerate(sorted(got))}
     assert len(got) == df.count()
     assert tables.pages(df.where("false"), "k", 10).count() == 0
     with_null = df.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
-    numbered = tables.pages(with_null, "k", page_size=1, rows_per_range=500)
+    numbered = tables.pages(with_null, "k", page_size=1)
     assert numbered.where("k IS NULL").first().page == 0
     assert sorted(r.page for r in numbered.collect()) == list(range(len(got) + 1))
 
 
+def test_pages_of_text_keys(spark):
+    df = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
+    got = {r.k: r.page for r in tables.pages(df, "k", page_size=7).collect()}
+    assert got == {k: i // 7 for i, k in enumerate(sorted(got))}
+
+
+def test_lookback_of_hours_on_a_date_reads_the_day(spark):
+    df = spark.sql("SELECT DATE'2024-01-05' AS d UNION ALL SELECT DATE'2024-01-06'")
+    assert tables.above(df, "d", dt.date(2024, 1, 6), lookback=dt.timedelta(hours=12)).count() == 1
+    assert tables.above(df, "d", dt.date(2024, 1, 6), lookback=dt.timedelta(hours=36)).count() == 2
+
+
 def test_page_and_page_after_agree(spark):
     df = spark.range(100).repartition(7)
     third = [r.id for r in tables.page(df, "id", 10, 20).collect()]

@@ -66,14 +66,25 @@ def bare(spark: SparkSession, path: str) -> str:
     return _path(spark, path).toUri().getPath()
 
 
+# What Spark's writers leave beside their data.
+MARKERS = ("_SUCCESS", "_temporary", "_started_", "_committed_", "_spark_metadata")
+
+
 def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
-    """Visible entries of a folder as (name, modification time in seconds)."""
+    """Entries of a folder as (name, modification time in seconds), by name. Hidden files and
+    the marks of Spark's writers are no entries; other names may begin with an underscore."""
     where = _path(spark, path)
     fs = _fs(spark, path)
     if not fs.exists(where):
         return []
     found = [(s.getPath().getName(), s.getModificationTime() / 1000.0) for s in fs.listStatus(where)]
-    return sorted(e for e in found if not e[0].startswith((".", "_")))
+    return sorted(e for e in found if not e[0].startswith((".", *MARKERS)))
+
+
+def matching(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """(path without scheme, modification time) of all that match a pattern, in one call."""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern)) or []
+    return [(s.getPath().toUri().getPath(), s.getModificationTime() / 1000.0) for s in found]
 
 
 def size(spark: SparkSession, path: str) -> int:

@@ -57,9 +57,23 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_c
 
 
 def _hashable(field: T.StructField) -> Column | None:
-    if isinstance(field.dataType, (T.MapType, T.VariantType)):
+    """A column, or its JSON where a map lies inside it; the order of a map's keys then counts."""
+    if isinstance(field.dataType, T.VariantType) or _holds_type(field.dataType, T.VariantType):
         return None
-    return column(field.name)
+    if isinstance(field.dataType, T.MapType):
+        return F.to_json(F.struct(column(field.name)))
+    return F.to_json(F.struct(column(field.name))) if _holds_type(field.dataType, T.MapType) else column(field.name)
+
+
+def _holds_type(dtype: T.DataType, wanted: type) -> bool:
+    inner = []
+    if isinstance(dtype, T.StructType):
+        inner = [f.dataType for f in dtype]
+    elif isinstance(dtype, T.ArrayType):
+        inner = [dtype.elementType]
+    elif isinstance(dtype, T.MapType):
+        inner = [dtype.keyType, dtype.valueType]
+    return any(isinstance(t, wanted) or _holds_type(t, wanted) for t in inner)
 
 
 def widen(live: T.StructType, delta: T.StructType) -> T.StructType:
@@ -102,8 +116,12 @@ def append(live: DataFrame, delta: DataFrame) -> DataFrame:
 def upsert(
     live: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False
 ) -> DataFrame:
-    """Live rows without a newer version, plus the last version of every delta key."""
+    """Live rows without a newer version, plus the last version of every delta key. A row of
+    the delta without a key cannot be matched and fails the query."""
     require_columns(live, keys)
+    require_columns(delta, [*keys, *order])
+    lost_key = F.raise_error(F.lit(f"a row without a key in {list(keys)}"))
+    delta = delta.where(F.when(_no_key(keys), lost_key.cast("boolean")).otherwise(True))
     schema = widen(live.schema, delta.schema)
     fresh = conform(dedupe_last(delta, keys, order, fold_case), schema)
     if lost := [c for c in live.columns if c not in delta.columns]:
@@ -136,7 +154,11 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], fold_case:
 
 def null_keys(df: DataFrame, keys: Sequence[str]) -> Column:
     """Counts rows that cannot be matched on their key."""
+    return F.count_if(_no_key(keys))
+
+
+def _no_key(keys: Sequence[str]) -> Column:
     missing = F.lit(False)
     for k in keys:
         missing = missing | column(k).isNull()
-    return F.count_if(missing)
+    return missing

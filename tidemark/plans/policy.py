@@ -16,8 +16,8 @@ POLICY_SCHEMA = "table_name STRING, skip BOOLEAN, field STRING, pk STRING"
 
 @dataclass(frozen=True)
 class Policy:
-    """`incremental` maps a table to {'field': ..., 'pk': optional}; a key of several
-    columns is written with commas."""
+    """`incremental` maps a table to {'field': ...} and, where wanted, 'pk', 'order' (several
+    columns with commas), 'fold_case' and 'latest'."""
 
     skip: tuple[str, ...] = ()
     incremental: dict[str, dict] = field(default_factory=dict)
@@ -64,11 +64,11 @@ def modes(
 ) -> DataFrame:
     """(table_name, mode, field, pk, watermark_type, watermark_value) of every table to take.
 
-    A watermark counts for the field it was taken from; a full refresh ignores the
-    incremental part of the policy.
+    A watermark counts for the field it was taken from and where rows are published, so an
+    imported one does not; a full refresh ignores the incremental part of the policy.
     """
     kept = without_skipped(listing.select("table_name"), policy, exclude)
-    marks = state.select(
+    marks = state.where("published").select(
         F.col("source_table").alias("table_name"), "watermark_field", "watermark_type", "watermark_value"
     )
     joined = kept.join(policy.drop("skip"), "table_name", "left").join(marks, "table_name", "left")

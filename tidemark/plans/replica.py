@@ -8,43 +8,40 @@ A version becomes visible when its commit record appears, and the record holds t
 watermark, so rows and watermark move together. A run that dies before leaves the old
 version readable; of two runs that race, one commits and the other fails.
 
-Keyed tables are split into buckets; an upsert rewrites the buckets its delta touches and
-the record points the others at the folders they already have. A dense whole-number key
-is split into ranges of equal width: new rows and rows changed soon after lie in the last
-few, so a delta costs what it touches. Any other key is split by hash. Keys are unique
-once deduplicated, so neither kind of bucket can become hot. Tables without a key only
-ever gain folders.
+Keyed tables are split into buckets by a hash of the key; an upsert rewrites the buckets
+its delta touches and the record points the others at the folders they already have. The
+number of buckets doubles when the measured bytes have outgrown it: a bucket of n is then
+two buckets of 2n, and is cut in two when a delta touches it next. Keys are unique once
+deduplicated, so no bucket can become hot. Tables without a key gain a folder per delta,
+and small folders are put together when there are many.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import files
 from tidemark.functions.marks import Mark, encode, literal, mark_type
-from tidemark.functions.names import column, require_identifier
+from tidemark.functions.names import IDENTIFIER, column, require_identifier
 from tidemark.operators import merge
 from tidemark.sources.tables import above
 
 BUCKET = "bucket_"
 BUCKET_BYTES = 512 * 1024 * 1024
-MOST_BUCKETS = 65_536
-# so often a bucket may gain a file before it is written anew as one
-MOST_PATCHES = 8
-# a whole-number key is dense when at least one number in so many is in use
-SPARSE = 16
+MOST_FOLDERS = 64
 
 COMMIT_SCHEMA = (
     "source_table STRING, version BIGINT, mode STRING, watermark_type STRING, watermark_value STRING, "
-    "watermark_field STRING, pk_field STRING, last_rows BIGINT, updated_at TIMESTAMP"
+    "watermark_field STRING, pk_field STRING, last_rows BIGINT, updated_at TIMESTAMP, published BOOLEAN"
 )
 
 
@@ -78,9 +75,10 @@ class Replica:
         return json.loads(files.read_text(self.spark, f"{self.path}/commits/{version:012d}.json"))
 
     def mark(self, field: str, last: dict | None = None) -> Mark | None:
-        """The stored watermark; void when it was taken from another field."""
+        """The stored watermark; void when it was taken from another field, or when no
+        rows are published that it could speak for (an imported mark)."""
         last = last if last is not None else self.commit()
-        if last is None or last["watermark_value"] is None or last["watermark_field"] not in (None, field):
+        if last is None or last["schema"] is None or last["watermark_value"] is None or last["watermark_field"] not in (None, field):
             return None
         return Mark(last["watermark_type"], last["watermark_value"])
 
@@ -90,12 +88,17 @@ class Replica:
             raise LookupError(f"{self.table} has no published version below {self.root}")
         return self._rows(record, self._folders(record))
 
-    def _folders(self, record: dict, only: set[str] | None = None) -> list[str]:
-        buckets, data = record["buckets"], f"{self.path}/data"
-        if buckets is None or (only is None and len(record["folders"]) == 1):
+    def _parts(self, record: dict, only: set[int] | None = None) -> set[tuple[int, int]]:
+        """(folder, bucket folder) that hold the given buckets, by default all. A bucket that
+        was written before the number doubled lies in the folder of its remainder."""
+        return {(i, b % n) for b, (i, n) in _buckets(record).items() if only is None or b in only}
+
+    def _folders(self, record: dict, parts: set[tuple[int, int]] | None = None) -> list[str]:
+        data = f"{self.path}/data"
+        if record["buckets"] is None or (parts is None and len(record["folders"]) == 1):
             return [f"{data}/{f}" for f in record["folders"]]
-        wanted = buckets if only is None else sorted(only & set(buckets))
-        return [f"{data}/{record['folders'][buckets[b]]}/{BUCKET}={b}" for b in wanted]
+        parts = self._parts(record) if parts is None else parts
+        return [f"{data}/{record['folders'][i]}/{BUCKET}={b}" for i, b in sorted(parts)]
 
     def _rows(self, record: dict, folders: list[str]) -> DataFrame:
         schema = T.StructType.fromJson(record["schema"])
@@ -107,9 +110,9 @@ class Replica:
     # writing
 
     def full_refresh(
-        self, source: DataFrame, keys: Sequence[str] = (), field: str | None = None,
-        order: Sequence[str] = (), buckets: int | None = None, on_empty: str = "keep",
-        fold_case: bool = False, stamp: bool = False, mode: str = "full",
+        self, source: DataFrame, keys: Sequence[str] = (), field: str | None = None, order: Sequence[str] | None = None,
+        bucket_bytes: int = BUCKET_BYTES, on_empty: str = "keep", fold_case: bool | None = None, latest: bool | None = None,
+        stamp: bool = False, mode: str = "full",
     ) -> dict:
         """Publish the whole source as a new version.
 
@@ -117,23 +120,20 @@ class Replica:
         adds `_synced_at`, which rewrites rows that did not change otherwise.
         """
         last = self.commit()
-        keys, field = self._settings(last, keys, field)
+        rules = self._rules(last, keys, field, order, fold_case, latest)
         if stamp:
             source = source.withColumn("_synced_at", F.current_timestamp())
-        version, folder = self._next(last)
-        laid = self._lay_out(source, folder, keys, self._order(field, order), buckets, fold_case)
-        facts = self._facts(laid["rows"], keys, field, None)
+        stage, folder = self._stage(last, source, rules)
+        facts = self._facts(stage, rules, None)
         if facts["rows"] == 0 and on_empty == "keep":
-            files.delete(self.spark, f"{self.path}/data/{folder}")
+            self._drop_stage(folder)
             return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
-        return self._publish(
-            last, version, mode=mode, schema=_nullable(source.schema), keys=keys, field=field, facts=facts,
-            buckets=laid["buckets"], layout=laid["layout"], folders=[folder], fold_case=fold_case,
-        )
+        return self._write(last, None, stage, folder, rules, facts, mode, _nullable(source.schema), bucket_bytes)
 
     def increment(
-        self, source: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] = (),
-        lookback=None, buckets: int | None = None, fold_case: bool = False,
+        self, source: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] | None = None, lookback=None,
+        bucket_bytes: int = BUCKET_BYTES, fold_case: bool | None = None, latest: bool | None = None,
+        most_folders: int | None = MOST_FOLDERS,
     ) -> dict:
         """Merge the source rows above the stored watermark.
 
@@ -149,186 +149,158 @@ class Replica:
             # all rows are read again and there is no key to match them: they replace the old ones
             return self.full_refresh(source, field=field, mode="incremental-initial")
         delta = source if mark is None else above(source, field, mark, lookback)
-        return self._apply(last, delta, field, keys, order, buckets, fold_case)
+        return self._apply(last, delta, self._rules(last, keys, field, order, fold_case, latest), bucket_bytes, most_folders)
 
     def apply(
-        self, delta: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] = (),
-        buckets: int | None = None, fold_case: bool = False, feed: str | None = None, batch: int | None = None,
+        self, delta: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] | None = None,
+        bucket_bytes: int = BUCKET_BYTES, fold_case: bool | None = None, latest: bool | None = None,
+        feed: str | None = None, batch: int | None = None, most_folders: int | None = MOST_FOLDERS,
     ) -> dict:
         """Merge a delta and move the watermark, in one commit.
 
-        A batch of a feed that was committed before is not applied again.
+        A batch of a feed that was committed before is not applied again. Of equal keys the
+        row that arrives last wins, whatever its field says; with `latest` the row that is
+        last by field and order wins, so a late older row changes nothing.
         """
         last = self.commit()
         if feed is not None and last and last["feeds"].get(feed, -1) >= batch:
             return {**last, "published": False}
-        return self._apply(last, delta, field, keys, order, buckets, fold_case, feed, batch)
+        rules = self._rules(last, keys, field, order, fold_case, latest)
+        if feed is not None:
+            rules["feeds"][feed] = batch
+        return self._apply(last, delta, rules, bucket_bytes, most_folders)
 
-    def _apply(self, last, delta, field, keys, order, buckets, fold_case, feed=None, batch=None) -> dict:
+    def _apply(self, last: dict | None, delta: DataFrame, rules: dict, bucket_bytes: int, most_folders: int | None) -> dict:
         """The delta is written out before anything is computed from it: the source may
         change meanwhile, and watermark and rows must come from the same reading."""
-        keys, field = self._settings(last, keys, field)
-        order = self._order(field, order)
-        mark = self.mark(field, last) if last else None
+        mark = self.mark(rules["field"], last) if last else None
         mode = "incremental" if mark else "incremental-initial"
-        has_rows = last is not None and last["schema"] is not None
-        feeds = dict((last or {}).get("feeds") or {})
-        if feed is not None:
-            feeds[feed] = batch
+        live = last if last is not None and last["schema"] is not None else None
         schema = _nullable(delta.schema)
-        if has_rows:
-            schema = merge.widen(T.StructType.fromJson(last["schema"]), schema)
-        common = {"mode": mode, "schema": schema, "keys": keys, "field": field, "feeds": feeds}
-
-        if not keys or not has_rows:
-            # append, or the first rows of a keyed table: the written rows are the version
-            version, folder = self._next(last)
-            if has_rows:
-                # few new rows out of many scan tasks: gather them into files of a good size
-                delta = delta.hint("rebalance")
-            laid = self._lay_out(delta, folder, keys, order, buckets, fold_case)
-            facts = self._facts(laid["rows"], keys, field, mark)
-            if facts["rows"] == 0:
-                files.delete(self.spark, f"{self.path}/data/{folder}")
-                return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
-            kept = last["folders"] if has_rows else []
-            return self._publish(
-                last, version, **common, facts=facts, buckets=laid["buckets"], layout=laid["layout"],
-                folders=[*kept, folder], fold_case=fold_case,
-            )
-
-        merge.require_columns(delta, [*keys, *order])
-        if last["buckets"] is None or last["keys"] != keys:
-            # the live rows are not laid out by this key yet
-            last = self._lay_out_again(last, keys, order, buckets, fold_case)
-        fold_case = last["fold_case"]
-        version, folder = self._next(last)
-        staged = f"{self.path}/stage/{folder}"
-        merge.dedupe_last(delta, keys, order, fold_case).write.parquet(staged)
-        stage = self.spark.read.schema(delta.schema).parquet(staged)
-        facts = self._facts(stage, keys, field, mark)
+        if live:
+            schema = merge.widen(T.StructType.fromJson(live["schema"]), schema)
+        stage, folder = self._stage(last, delta, rules)
+        facts = self._facts(stage, rules, mark)
         if facts["rows"] == 0:
-            files.delete(self.spark, staged)
-            return {**last, "mode": mode, "last_rows": 0, "published": False}
-        touched = self._touched(stage, keys, last["layout"], fold_case)
-        if touched is None or len(touched | set(last["buckets"])) > 2 * MOST_BUCKETS:
-            # the new keys are too sparse for ranges
-            last = self._lay_out_again(last, keys, order, buckets, fold_case, ranges=False)
-            touched = self._touched(stage, keys, last["layout"], fold_case)
-        live = self._rows({**last, "schema": schema.jsonValue()}, self._folders(last, touched))
-        patches = {b: last["patches"].get(b, 0) + 1 for b in touched}
-        small = files.size(self.spark, staged) <= broadcast_bytes(self.spark)
-        if small and max(patches.values()) <= MOST_PATCHES and set(schema.names) == set(stage.columns):
-            merged = self._patch(live, stage, schema, keys, last["layout"], fold_case)
-        else:
-            patches = dict.fromkeys(touched, 0)
-            merged = self._merge(live, stage, schema, keys, last["layout"], fold_case, tasks=len(touched))
-        merged.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{folder}")
-        moved = {**last["buckets"], **dict.fromkeys(touched, len(last["folders"]))}
-        record = self._publish(
-            last, version, **common, facts=facts, buckets=moved, layout=last["layout"],
-            folders=[*last["folders"], folder], fold_case=fold_case, patches={**last["patches"], **patches},
-        )
-        files.delete(self.spark, staged)
-        return record
+            self._drop_stage(folder)
+            return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
+        return self._write(last, live, stage, folder, rules, facts, mode, schema, bucket_bytes, most_folders)
 
-    def _settings(self, last: dict | None, keys, field) -> tuple[list[str], str | None]:
-        """Key and field belong to the table: a run that names none keeps the stored ones."""
-        if last:
-            keys = keys or last["keys"]
-            field = field or last["watermark_field"]
-        return list(keys), field
+    def _rules(self, last: dict | None, keys, field, order, fold_case, latest) -> dict:
+        """Key, field, order and comparison belong to the table: a run that names none keeps the stored ones."""
+        known = last or {"keys": [], "watermark_field": None, "order": [], "fold_case": False, "latest": False, "feeds": {}}
+        return {
+            "keys": list(keys or known["keys"]),
+            "field": field or known["watermark_field"],
+            "order": list(known["order"] if order is None else order),
+            "fold_case": known["fold_case"] if fold_case is None else fold_case,
+            "latest": known["latest"] if latest is None else latest,
+            "feeds": dict(known["feeds"]),
+        }
 
-    def _order(self, field: str | None, order: Sequence[str]) -> list[str]:
-        return list(dict.fromkeys([*([field] if field else []), *order]))
+    @staticmethod
+    def _order(rules: dict) -> list[str]:
+        return list(dict.fromkeys([*([rules["field"]] if rules["field"] else []), *rules["order"]]))
 
-    def _next(self, last: dict | None) -> tuple[int, str]:
+    def _stage(self, last: dict | None, rows: DataFrame, rules: dict) -> tuple[DataFrame, str]:
+        """Rows of one reading, written; of a keyed table the last row of every key. Rows of a table
+        without a key are written where they will stay."""
         version = last["version"] + 1 if last else 1
-        return version, f"{version:012d}-{uuid.uuid4().hex[:8]}"
-
-    def _bucket(self, schema: T.StructType, keys: Sequence[str], layout: dict, fold_case: bool):
-        """Bucket of a row: a range of 2^bits keys, or the hash Spark's own shuffle uses."""
-        found = merge.key_columns(keys, schema, fold_case)
-        if "bits" in layout:
-            return F.shiftright(found[0], layout["bits"])
-        return F.pmod(F.hash(*found), F.lit(layout["count"])).cast("bigint")
-
-    def _layout(self, df: DataFrame, keys: Sequence[str], buckets: int | None, ranges: bool) -> tuple[dict, int]:
-        """How to split a table, and into how many buckets. A range holds at most 2^bits
-        rows, since its keys differ."""
-        wanted = buckets or bucket_count(df)
-        if ranges and len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.IntegralType):
-            key = column(keys[0]).cast("bigint")
-            low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
-            if rows and (high - low) // rows < SPARSE:
-                bits = ((high - low) // wanted).bit_length()
-                return {"bits": bits}, (high >> bits) - (low >> bits) + 1
-        return {"count": wanted}, wanted
-
-    def _lay_out(self, df: DataFrame, folder: str, keys, order, buckets, fold_case, ranges: bool = True) -> dict:
-        """Write the rows of a new version. Without a key that is a plain write with no shuffle."""
-        target = f"{self.path}/data/{folder}"
+        folder = f"{version:012d}-{uuid.uuid4().hex[:8]}"
+        target = f"{self.path}/{'stage' if rules['keys'] else 'data'}/{folder}"
+        if rules["keys"]:
+            merge.require_columns(rows, [*rules["keys"], *self._order(rules)])
+            rows = merge.dedupe_last(rows, rules["keys"], self._order(rules), rules["fold_case"])
+        rows.write.parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target), folder
+
+    def _drop_stage(self, folder: str) -> None:
+        for kind in ("stage", "data"):
+            files.delete(self.spark, f"{self.path}/{kind}/{folder}")
+
+    def _write(
+        self, last: dict | None, live: dict | None, stage: DataFrame, folder: str, rules: dict, facts: dict, mode: str,
+        schema: T.StructType, bucket_bytes: int, most_folders: int | None = None,
+    ) -> dict:
+        """Bring staged rows and the live rows they meet into a new version; `live` is None when none stay."""
+        keys, data = rules["keys"], f"{self.path}/data/{folder}"
         if not keys:
-            df.write.parquet(target)
-            return {"rows": self.spark.read.schema(df.schema).parquet(target), "layout": None, "buckets": None}
-        merge.require_columns(df, [*keys, *order])
-        layout, count = self._layout(df, keys, buckets, ranges)
-        rows = merge.dedupe_last(df, keys, order, fold_case)
-        rows = rows.withColumn(BUCKET, self._bucket(df.schema, keys, layout, fold_case))
-        if "bits" in layout or count % shuffle_partitions(self.spark):
-            rows = rows.repartition(count, BUCKET)
-        # else the shuffle that brought equal keys together has put each bucket into one task
-        # writing needs the rows sorted by bucket anyway; by key as well they compress and skip better
-        rows.sortWithinPartitions(BUCKET, *[column(k) for k in keys]).write.partitionBy(BUCKET).parquet(target)
-        named = [n.partition("=")[2] for n, _ in files.children(self.spark, target) if n.startswith(f"{BUCKET}=")]
-        return {
-            "rows": self.spark.read.schema(df.schema).parquet(target).select(*[column(c) for c in df.columns]),
-            "layout": layout, "buckets": dict.fromkeys(named, 0),
-        }
-
-    def _lay_out_again(self, last: dict, keys, order, buckets, fold_case, ranges: bool = True) -> dict:
-        """Lay the live rows out by a key, or in a way, the table did not have before."""
-        live = self._rows(last, self._folders(last))
-        _, folder = self._next(last)
-        laid = self._lay_out(live, folder, keys, order, buckets, fold_case, ranges)
-        self._facts(laid["rows"], keys, None, None)
-        return {
-            **last, "keys": list(keys), "folders": [folder], "layout": laid["layout"], "buckets": laid["buckets"],
-            "fold_case": fold_case, "patches": {},
-        }
+            folders, sizes = (live["folders"], live["sizes"]) if live else ([], {})
+            sizes = {**sizes, folder: [files.size(self.spark, data), 1]}
+            folders = [*folders, folder]
+            if most_folders is not None and len(folders) > most_folders:
+                folders, sizes = self._compact(folders, sizes, schema, bucket_bytes)
+            return self._publish(last, mode, schema, rules, facts, folders, sizes)
+
+        same = live is not None and live["buckets"] is not None and live["keys"] == keys and live["fold_case"] == rules["fold_case"]
+        staged_bytes = files.size(self.spark, f"{self.path}/stage/{folder}")
+        count = _power_of_two(-(-(staged_bytes + (_live_bytes(live) if live else 0)) // bucket_bytes))
+        if same:
+            count = max(count, live["count"])
+            live = {**live, "count": count, "buckets": _doubled(live, count)}
+            bucket = _bucket(schema, keys, rules["fold_case"], count)
+            hit = {r[0] for r in merge.conform(stage, schema).select(bucket).distinct().collect()}  # one number for each bucket
+            parts = self._parts(live, hit)
+            # whoever lies in the same bucket folder moves along
+            targets = sorted(hit | {b for b, (i, n) in _buckets(live).items() if (i, b % n) in parts})
+            rows = self._rows({**live, "schema": schema.jsonValue()}, self._folders(live, parts))
+        else:
+            # nothing lives yet, or not by this key: every bucket is new
+            targets = list(range(count))
+            rows = merge.conform(self._rows(live, self._folders(live)), schema) if live else None
+        merged = self._merge(rows, stage, schema, rules, count, targets)
+        merged.write.partitionBy(BUCKET).parquet(data)
+        written = [int(n.partition("=")[2]) for n, _ in files.children(self.spark, data) if n.startswith(f"{BUCKET}=")]
+        folders = [*(live["folders"] if same else []), folder]
+        kept = {b: at for b, at in _buckets(live).items() if b not in set(targets)} if same else {}
+        buckets = {**kept, **{b: (len(folders) - 1, count) for b in written}}
+        sizes = {**(live["sizes"] if same else {}), folder: [files.size(self.spark, data), len(written)]}
+        if not same and live:
+            self._facts(self.spark.read.schema(schema).parquet(data), rules, None)
+        record = self._publish(last, mode, schema, rules, facts, folders, sizes, count, buckets)
+        files.delete(self.spark, f"{self.path}/stage/{folder}")
+        return record
 
-    def _touched(self, stage: DataFrame, keys, layout: dict, fold_case: bool) -> set[str] | None:
-        """Buckets a delta falls into; None when they are too many to name."""
-        bucket = self._bucket(stage.schema, keys, layout, fold_case).alias(BUCKET)
-        found = stage.select(bucket).distinct().limit(2 * MOST_BUCKETS + 1).collect()
-        return {str(r[0]) for r in found} if len(found) <= 2 * MOST_BUCKETS else None
-
-    def _patch(self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, layout: dict, fold_case: bool) -> DataFrame:
-        """A delta small enough to broadcast leaves the live rows where they are: files of
-        a bucket turn into files of that bucket, plus one for the delta."""
-        bucket = self._bucket(schema, keys, layout, fold_case).alias(BUCKET)
-        new = merge.conform(stage, schema).select("*", bucket).repartition(BUCKET)
-        return merge.without(live, stage, keys, fold_case).select("*", bucket).unionByName(new)
-
-    def _merge(
-        self, live: DataFrame, stage: DataFrame, schema: T.StructType, keys, layout: dict, fold_case: bool, tasks: int
-    ) -> DataFrame:
-        """Live and staged rows in one shuffle, one task per touched bucket; per key the
-        staged row wins. The same shuffle serves the layout of the result."""
-        bucket = self._bucket(schema, keys, layout, fold_case).alias(BUCKET)
-        old = live.select("*", bucket, F.lit(0).alias("_new"))
-        new = merge.conform(stage, schema).select("*", bucket, F.lit(1).alias("_new"))
-        both = old.unionByName(new).repartition(tasks, BUCKET)
-        group = W.partitionBy(BUCKET, *merge.key_columns(keys, schema, fold_case))
+    def _compact(self, folders: list[str], sizes: dict, schema: T.StructType, bucket_bytes: int) -> tuple[list[str], dict]:
+        """Small folders put together in one; large ones stay as they are."""
+        small = [f for f in folders if sizes[f][0] < bucket_bytes]
+        if len(small) < 2:
+            return folders, sizes
+        together = f"{small[-1].partition('-')[0]}-{uuid.uuid4().hex[:8]}"
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{f}" for f in small])
+        rows.hint("rebalance").write.parquet(f"{self.path}/data/{together}")
+        kept = [f for f in folders if f not in set(small)]
+        size = files.size(self.spark, f"{self.path}/data/{together}")
+        return [*kept, together], {**{f: sizes[f] for f in kept}, together: [size, 1]}
+
+    def _merge(self, live: DataFrame | None, stage: DataFrame, schema: T.StructType, rules: dict, count: int, targets: list[int]) -> DataFrame:
+        """Live and staged rows in one shuffle, one task for each bucket that is written; per key the
+        staged row wins, or with `latest` the last by order. The shuffle serves the layout as well."""
+        keys, fold_case = rules["keys"], rules["fold_case"]
+        bucket = _bucket(schema, keys, fold_case, count)
+        both = merge.conform(stage, schema).select("*", bucket, F.lit(1).alias("_new"))
+        if live is not None:
+            both = live.select("*", bucket, F.lit(0).alias("_new")).unionByName(both)
+        task = F.col(BUCKET).cast("int")
+        if len(targets) < count:
+            # a row for each bucket that is written
+            numbers = self.spark.createDataFrame(list(zip(targets, range(len(targets)))), f"{BUCKET} BIGINT, _task INT")
+            both, task = both.join(F.broadcast(numbers), BUCKET), F.col("_task")
+        both = both.repartitionById(len(targets), task)
+        group = W.partitionBy(task, BUCKET, *merge.key_columns(keys, schema, fold_case))
         for f in schema:
             if f.name not in stage.columns:
                 # the delta has no such column: an updated row keeps its live value
                 both = both.withColumn(f.name, F.first(column(f.name), ignorenulls=True).over(group))
-        newest = F.row_number().over(group.orderBy(F.desc("_new")))
-        return both.withColumn("_rank", newest).where("_rank = 1").drop("_rank", "_new")
+        by = [column(o).desc_nulls_last() for o in self._order(rules)]
+        newest = F.row_number().over(group.orderBy(*([*by, F.desc("_new")] if rules["latest"] else [F.desc("_new"), *by])))
+        merged = both.withColumn("_rank", newest).where("_rank = 1").drop("_rank", "_new", "_task")
+        # by key inside a bucket rows compress and skip better
+        return merged.sortWithinPartitions(BUCKET, *[column(k) for k in keys])
 
-    def _facts(self, rows: DataFrame, keys, field: str | None, mark: Mark | None) -> dict:
+    def _facts(self, rows: DataFrame, rules: dict, mark: Mark | None) -> dict:
         """Row count and new watermark of written rows; rows without a key are refused."""
+        keys, field = rules["keys"], rules["field"]
         text, kind = F.lit(None).cast("string"), None
         if field is not None:
             merge.require_columns(rows, [field], "watermark")
@@ -345,39 +317,38 @@ class Replica:
         return {"rows": n, "mark": Mark(kind, value) if value is not None else None}
 
     def _publish(
-        self, last, version, *, mode, schema, keys, field, facts, buckets, layout, folders,
-        feeds=None, fold_case=False, patches=None,
+        self, last: dict | None, mode: str, schema: T.StructType, rules: dict, facts: dict, folders: list[str], sizes: dict,
+        count: int | None = None, buckets: dict[int, tuple[int, int]] | None = None,
     ) -> dict:
         if buckets is not None:
             # drop folders no bucket points at any more
-            used = sorted(set(buckets.values()))
-            place = {old: new for new, old in enumerate(used)}
+            used = sorted({i for i, _ in buckets.values()})
+            at = {old: new for new, old in enumerate(used)}
             folders = [folders[i] for i in used]
-            buckets = {b: place[i] for b, i in buckets.items()}
+            buckets = {str(b): [at[i], n] for b, (i, n) in buckets.items()}
         mark = facts["mark"]
-        if mark is None and last and last["watermark_field"] == field and mode == "incremental":
+        if mark is None and last and last["watermark_field"] == rules["field"] and mode == "incremental":
             mark = Mark(last["watermark_type"], last["watermark_value"])
         record = {
             "source_table": self.table,
-            "version": version,
+            "version": last["version"] + 1 if last else 1,
             "mode": mode,
             "watermark_type": mark.type if mark else None,
             "watermark_value": mark.text if mark else None,
-            "watermark_field": field,
-            "pk_field": ",".join(keys) or None,
+            "watermark_field": rules["field"],
+            "pk_field": ",".join(rules["keys"]) or None,
             "last_rows": facts["rows"],
             "updated_at": datetime.now(timezone.utc).isoformat(),
-            "keys": list(keys),
+            "published": True,
             "schema": schema.jsonValue(),
             "folders": folders,
+            "sizes": {f: sizes[f] for f in folders},
+            "count": count,
             "buckets": buckets,
-            "layout": layout,
-            "fold_case": fold_case,
-            "patches": {b: n for b, n in (patches or {}).items() if n},
-            "feeds": feeds if feeds is not None else (last or {}).get("feeds") or {},
+            **{k: rules[k] for k in ("keys", "order", "fold_case", "latest", "feeds")},
         }
         self._commit(record)
-        return {**record, "published": True}
+        return record
 
     def _commit(self, record: dict) -> None:
         name = f"{self.path}/commits/{record['version']:012d}.json"
@@ -389,27 +360,24 @@ class Replica:
     def orphans(self, min_age_seconds: float = 0.0) -> list[str]:
         """Data and stage folders, and buckets inside data folders, that no commit points
         at. The age guard spares the folders of a run that is still writing."""
-        named: dict[str, set[str] | None] = {}
+        named: dict[str, set[int] | None] = {}
         for v in self.versions():
             record = self.commit(v)
             if record["buckets"] is None:
                 named |= dict.fromkeys(record["folders"])
             else:
-                for b, i in record["buckets"].items():
-                    named.setdefault(record["folders"][i], set()).add(f"{BUCKET}={b}")
+                for i, b in self._parts(record):
+                    named.setdefault(record["folders"][i], set()).add(b)
         limit = datetime.now(timezone.utc).timestamp() - min_age_seconds
         found = []
         for kind in ("data", "stage"):
-            for name, changed in files.children(self.spark, f"{self.path}/{kind}"):
-                folder = f"{self.path}/{kind}/{name}"
-                if kind == "stage" or name not in named:
-                    found += [folder] if changed <= limit else []
-                elif named[name] is not None:
-                    found += [
-                        f"{folder}/{b}"
-                        for b, written in files.children(self.spark, folder)
-                        if b.startswith(f"{BUCKET}=") and b not in named[name] and written <= limit
-                    ]
+            for path, changed in files.matching(self.spark, f"{self.path}/{kind}/*"):
+                if (kind == "stage" or path.rpartition("/")[2] not in named) and changed <= limit:
+                    found.append(path)
+        for path, changed in files.matching(self.spark, f"{self.path}/data/*/{BUCKET}=*"):
+            _, folder, b = path.rsplit("/", 2)
+            if named.get(folder) is not None and int(b.partition("=")[2]) not in named[folder] and changed <= limit:
+                found.append(path)
         return found
 
     def clean(self, min_age_seconds: float = 86_400.0, keep: int = 2) -> list[str]:
@@ -426,29 +394,34 @@ class Replica:
         return gone
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
+def _buckets(record: dict) -> dict[int, tuple[int, int]]:
+    """Bucket: (folder, number of buckets when it was written)."""
+    return {int(b): (i, n) for b, (i, n) in (record["buckets"] or {}).items()}
 
 
-def broadcast_bytes(spark: SparkSession) -> int:
-    """Below this size Spark broadcasts one side of a join by itself; -1 when it never does."""
-    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def _doubled(record: dict, count: int) -> dict[int, tuple[int, int]]:
+    """The buckets of a record as seen by a larger number of them: each is several."""
+    known = _buckets(record)
+    return {b + k * record["count"]: at for b, at in known.items() for k in range(count // record["count"])}
 
 
-def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets for a first layout, from Spark's own size estimate of the source.
+def _power_of_two(n: int) -> int:
+    return 1 << max(0, n - 1).bit_length()
+
+
+def _live_bytes(record: dict) -> int:
+    """Measured bytes of the live rows: of each folder the share of its buckets that still counts."""
+    if record["buckets"] is None:
+        return sum(size for size, _ in record["sizes"].values())
+    live: dict[int, int] = {}
+    for i, _ in {(i, b % n) for b, (i, n) in _buckets(record).items()}:
+        live[i] = live.get(i, 0) + 1
+    return sum(record["sizes"][record["folders"][i]][0] * n // max(1, record["sizes"][record["folders"][i]][1]) for i, n in live.items())
 
-    Large tables get a multiple of the shuffle partitions, which saves a second shuffle.
-    Sources without statistics (JDBC) report an absurd size and get one bucket per
-    shuffle partition.
-    """
-    tasks = shuffle_partitions(df.sparkSession)
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate >= 1 << 60:
-        return tasks
-    wanted = max(1, min(MOST_BUCKETS, -(-estimate // bucket_bytes)))
-    return wanted if wanted < tasks else -(-wanted // tasks) * tasks
+
+def _bucket(schema: T.StructType, keys: Sequence[str], fold_case: bool, count: int) -> Column:
+    """Bucket of a row: twice the buckets cut each of them in two."""
+    return F.pmod(F.xxhash64(*merge.key_columns(keys, schema, fold_case)), F.lit(count).cast("bigint")).alias(BUCKET)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -459,15 +432,14 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def state(spark: SparkSession, root: str) -> DataFrame:
-    """One row per table: watermark, field, key, rows of the last run."""
-    root = root.rstrip("/")
-    tables = [t for t, _ in files.children(spark, root) if files.exists(spark, f"{root}/{t}/commits")]
-    if not tables:
+    """One row per table: watermark, field, key, rows of the last run, and whether rows are published."""
+    newest: dict[str, str] = {}
+    for path, _ in files.matching(spark, f"{root.rstrip('/')}/*/commits/*.json"):
+        table = path.rsplit("/", 3)[1]
+        newest[table] = max(newest.get(table, ""), path)
+    if not newest:
         return spark.createDataFrame([], COMMIT_SCHEMA).drop("version", "mode")
-    commits = spark.read.schema(COMMIT_SCHEMA).json([f"{root}/{t}/commits" for t in tables])
-    fields = [c for c in commits.columns if c not in ("source_table", "version", "mode")]
-    latest = commits.groupBy("source_table").agg(F.max_by(F.struct(*fields), "version").alias("s"))
-    return latest.select("source_table", "s.*")
+    return spark.read.schema(COMMIT_SCHEMA).json(sorted(newest.values())).drop("version", "mode")
 
 
 def legacy_state(spark: SparkSession, path: str) -> DataFrame:
@@ -497,20 +469,31 @@ def legacy_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def import_state(spark: SparkSession, root: str, path: str) -> int:
-    """Take over old watermarks once: does nothing when any state exists."""
-    if not files.exists(spark, path) or not state(spark, root).isEmpty():
+    """Take over old watermarks once: does nothing when a table was synced here before.
+
+    Names are checked before anything is written, and an import that died is completed by
+    the next call. An imported mark is history: the first run of its table reads the whole source.
+    """
+    if not files.exists(spark, path) or not state(spark, root).where("published").isEmpty():
         return 0
     rows = legacy_state(spark, path).collect()  # one row per table
+    refused = sorted(r["source_table"] for r in rows if not re.match(IDENTIFIER.replace(r"\z", r"\Z"), r["source_table"] or ""))
+    if refused:
+        raise ValueError(f"not valid table names, nothing was imported: {refused}")
+    taken = 0
     for r in rows:
         replica = Replica(spark, root, r["source_table"])
+        if replica.versions():
+            continue
+        taken += 1
         replica._commit(
             {
                 "source_table": r["source_table"], "version": 1, "mode": "import",
                 "watermark_type": r["watermark_type"], "watermark_value": r["watermark_value"],
                 "watermark_field": None, "pk_field": None, "last_rows": r["last_rows"],
-                "updated_at": r["updated_at"],
-                "keys": [], "schema": None, "folders": [], "buckets": None, "layout": None,
-                "fold_case": False, "patches": {}, "feeds": {},
+                "updated_at": r["updated_at"], "published": False,
+                "keys": [], "schema": None, "folders": [], "sizes": {}, "count": None, "buckets": None,
+                "order": [], "fold_case": False, "latest": False, "feeds": {},
             }
         )
-    return len(rows)
+    return taken

@@ -9,11 +9,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark import files
+from tidemark.functions.names import collisions
 from tidemark.operators.catalog import Source
 from tidemark.operators.report import REPORT_SCHEMA, write_csv
-from tidemark.plans.policy import Policy, modes, policy_frame, resume
-from tidemark.plans.replica import Replica, import_state, state
+from tidemark.plans.policy import Policy, modes, policy_frame, resume, unknown_tables
+from tidemark.plans.replica import BUCKET_BYTES, Replica, import_state, state
 
 
 class TablesFailed(RuntimeError):
@@ -27,7 +27,7 @@ class TablesFailed(RuntimeError):
 def run(
     spark: SparkSession, sources: Mapping[str, Source], root: str, policy: Policy = Policy(), *,
     exclude: Sequence[str] = (), start_index: int = 0, full_refresh: bool = False, lookback: Mapping[str, object] | None = None,
-    order: Mapping[str, Sequence[str]] | None = None, buckets: int | None = None, workers: int = 4, strict: bool = False,
+    order: Mapping[str, Sequence[str]] | None = None, bucket_bytes: int = BUCKET_BYTES, workers: int = 4, strict: bool = False,
     legacy_state: str | None = None, clean_age_seconds: float | None = 86_400.0, report_path: str | None = None,
 ) -> DataFrame:
     """Bring every table up to date and report on each; a table that fails stays as it was.
@@ -35,11 +35,18 @@ def run(
     Tables are independent Spark jobs. A few run at once, since most tables of a source
     are small and their cost is the job itself. Before its turn a table loses what crashed
     runs left behind; marks of an old state file are taken over when there is no state.
+    Table names that a target could not tell apart fail the run before it starts; names
+    that only the policy knows are most likely misspelt and are reported as failures.
     """
     if legacy_state is not None:
         import_state(spark, root, legacy_state)
     listing = spark.createDataFrame([(t,) for t in sources], "table_name STRING")
-    plan = modes(listing, policy_frame(spark, policy), state(spark, root), full_refresh, exclude)
+    rules = policy_frame(spark, policy)
+    clash = [r["safe_name"] for r in collisions(listing, "table_name").collect()]
+    if clash:
+        raise ValueError(f"table names collide after sanitising: {sorted(clash)}")
+    strangers = sorted(r[0] for r in unknown_tables(listing, rules).collect())
+    plan = modes(listing, rules, state(spark, root), full_refresh, exclude)
     steps = resume(plan, start_index).collect()  # one row per table
 
     def sync(step) -> tuple:
@@ -53,15 +60,18 @@ def run(
             replica = Replica(spark, root, name)
             if clean_age_seconds is not None:
                 replica.clean(clean_age_seconds)
-            settings = {"keys": split_key(step["pk"]), "order": (order or {}).get(name, ()), "buckets": buckets}
+            rule = policy.incremental.get(name, {})
+            settings = {
+                "keys": split_key(step["pk"]), "order": (order or {}).get(name) or split_key(rule.get("order")) or None,
+                "bucket_bytes": bucket_bytes, "fold_case": rule.get("fold_case"), "latest": rule.get("latest"),
+            }
             if step["mode"] == "full":
                 record = replica.full_refresh(df, field=step["field"], **settings)
             else:
                 record = replica.increment(df, step["field"], lookback=(lookback or {}).get(name), **settings)
         except Exception as failure:
-            error = str(failure)[:200]
-        published = record.get("published", False)
-        written = files.size(spark, f"{root.rstrip('/')}/{name}/data/{record['folders'][-1]}") if published else None
+            error = str(failure)
+        written = record["sizes"][record["folders"][-1]][0] if record.get("published") else None
         return (
             name, step["mode"], record.get("last_rows", 0) if error is None else 0, written,
             opened - start, time.perf_counter() - opened, error is None,
@@ -70,6 +80,7 @@ def run(
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(sync), steps))
+    results += [(t, "unknown", 0, None, 0.0, 0.0, False, None, "named in the policy, not in the source") for t in strangers]
     report = spark.createDataFrame(results, REPORT_SCHEMA)
     if report_path is not None:
         write_csv(report, report_path)

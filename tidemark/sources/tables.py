@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,8 +14,6 @@ from tidemark.functions.marks import Mark, encode, literal, mark_type
 from tidemark.functions.names import column, quoted
 
 
-MOST_RANGES = 4096
-
 
 def load(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, **options) -> DataFrame:
     """The whole table; pass the schema for text formats, inferring it costs a scan."""
@@ -53,7 +50,8 @@ def above(df: DataFrame, field: str | None = None, mark=None, lookback=None) ->
         if isinstance(dtype, T.NumericType) != isinstance(lookback, (int, float)):
             raise ValueError(f"lookback {lookback!r} does not fit {dtype.simpleString()}")
         if isinstance(dtype, T.DateType) and isinstance(lookback, dt.timedelta):
-            lookback = lookback.days
+            # part of a day reads back the whole day
+            lookback = -(-lookback // dt.timedelta(days=1))
         threshold = threshold - F.lit(lookback)
     return df.where(column(field) > threshold)
 
@@ -68,42 +66,32 @@ def page_after(df: DataFrame, key: str, last, limit: int) -> DataFrame:
     return above(df, key, last).orderBy(key).limit(limit)
 
 
-def pages(df: DataFrame, key: str, page_size: int, rows_per_range: int = 1_000_000) -> DataFrame:
-    """Every row with its page number (from 0) in the order of a unique key.
+def pages(df: DataFrame, key: str, page_size: int) -> DataFrame:
+    """Every row with its page number (from 0) in the order of a unique key of any orderable type.
 
-    Numbers rows without a single-task sort: rows fall into ranges of the key at
-    approximate quantiles, each range is numbered on its own, and the rows in front of
-    a range come from one count per range.
+    Rows are sorted over ranges of the key, so no task sorts them all, and written once;
+    a row's number is its place in its range and the rows of the ranges before, one number
+    for each. Rows without a key come first.
     """
-    ranges = max(2, min(MOST_RANGES, -(-df.count() // rows_per_range)))
-    quantiles = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
-    if not quantiles:
-        return df.withColumn("page", F.lit(0).cast("bigint"))
-    splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
-    keyed = df.withColumn("_at", column(key).cast("double"))
-    ranged = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(keyed).drop("_at")
-    # a row without a key comes first
-    ranged = ranged.withColumn("_range", F.coalesce(F.col("_range").cast("int"), F.lit(-1)))
+    spark, path = df.sparkSession, files.scratch(df.sparkSession, "pages")
+    ordered = df.repartitionByRange(column(key)).sortWithinPartitions(column(key))
+    # the id is the range's number above 33 bits of place
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.schema(T.StructType([*df.schema, T.StructField("_at", T.LongType())])).parquet(path)
+    placed = placed.withColumn("_range", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND((1 << 33) - 1))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    ahead = (
-        ranged.groupBy("_range").count()
-        .withColumn("_ahead", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .select("_range", "_ahead")
-    )
-    # one row per range, MOST_RANGES at most: small by construction
-    numbered = ranged.withColumn("_row", F.row_number().over(W.partitionBy("_range").orderBy(key)))
-    place = F.col("_ahead") + F.col("_row") - 1
+    ahead = placed.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_ahead"))
     return (
-        numbered.join(F.broadcast(ahead), "_range")
-        .withColumn("page", F.floor(place / page_size).cast("bigint"))
-        .drop("_range", "_ahead", "_row")
+        placed.join(ahead, "_range")
+        .withColumn("page", F.floor((F.col("_ahead") + F.col("_row")) / page_size).cast("bigint"))
+        .drop("_at", "_range", "_ahead", "_row")
     )
 
 
 def list_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, str]:
     """Tables below a folder as {name: path}, by name: one file or one folder each."""
     ending = f".{fmt}"
-    found = {name.removesuffix(ending).strip(): f"{root.rstrip('/')}/{name}" for name, _ in files.children(spark, root)}
+    found = {name.removesuffix(ending): f"{root.rstrip('/')}/{name}" for name, _ in files.children(spark, root)}
     return dict(sorted(found.items()))
 
 

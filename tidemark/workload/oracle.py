@@ -242,7 +242,8 @@ ORACLE = {
     "scan_incremental_int": f"SELECT * FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE ts <= TIMESTAMP '{E}')",
     "scan_incremental_ts": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{O}'",
     "scan_page": "SELECT * FROM customer ORDER BY c_custkey LIMIT 100 OFFSET 50",
-    "scan_pages": "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders",
+    "scan_pages": "SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders",
+    "scan_pages_text": "SELECT page_id, url, (row_number() OVER (ORDER BY encode(url)) - 1) // 100 AS page FROM pages",
     "list_tables": LIST_TABLES,
     "table_schema": _measured(),
     "table_count": "SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem",
@@ -303,10 +304,13 @@ ORACLE = {
     "full_refresh_unkeyed": "SELECT * FROM lineitem",
     "incremental_run": "SELECT * FROM events",
     "incremental_append": "SELECT * FROM lineitem",
+    "incremental_slices": "SELECT * FROM lineitem",
+    "incremental_growth": _last_lines(),
     "incremental_replay": "SELECT * FROM events",
     "incremental_lookback": "SELECT * FROM events",
-    "state_table": STATE,
-    "state_import": IMPORTED,
+    "state_table": f"SELECT *, true AS published FROM ({STATE})",
+    "state_import": f"SELECT *, false AS published FROM ({IMPORTED})",
+    "import_then_run": "SELECT * FROM events",
     "orphan_versions": f"SELECT 'events' AS table_name, CAST(1 AS BIGINT) AS folders, count(*) AS rows, max(ts) AS last_ts FROM events WHERE ts > TIMESTAMP '{E}'",
     "run_report": REPORT,
     "run_summary": f"""SELECT count_if(ok)::BIGINT AS succeeded, count_if(NOT ok)::BIGINT AS failed,
@@ -320,6 +324,8 @@ ORACLE = {
         count(soft_delete_col) AS with_soft_delete, CAST(0 AS BIGINT) AS errors FROM catalog""",
     "stream_upsert": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
         FROM events) WHERE rn = 1""",
+    "stream_late": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events) WHERE rn = 1""",
     "stream_append": "SELECT * FROM lineitem",
     "flagship": """SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users, max(ts) AS last_ts,
         CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_value FROM events GROUP BY event_type""",

@@ -19,7 +19,8 @@ from tidemark.streaming import feed
 from tidemark.workload import inputs
 from tidemark.workload.inputs import moment, table
 
-BUCKETS = 8
+# small, so that the given tables have several buckets
+BUCKET_BYTES = 256 * 1024
 
 
 def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -50,8 +51,11 @@ def scan_page(spark, sf_dir):
 
 
 def scan_pages(spark, sf_dir):
-    paged = scans.pages(table(spark, sf_dir, "orders"), "o_orderkey", page_size=1_000, rows_per_range=100_000)
-    return paged.select("o_orderkey", "page")
+    return scans.pages(table(spark, sf_dir, "orders"), "o_orderkey", page_size=1_000)
+
+
+def scan_pages_text(spark, sf_dir):
+    return scans.pages(table(spark, sf_dir, "pages"), "url", page_size=100).select("page_id", "url", "page")
 
 
 def list_tables(spark, sf_dir):
@@ -354,6 +358,7 @@ def _data_state(spark, sf_dir) -> DataFrame:
             F.lit(field).alias("watermark_field"),
             F.lit(marks.mark_type(dtype)).alias("watermark_type"),
             "watermark_value",
+            F.lit(True).alias("published"),
         )
 
     # the mark of lineitem was taken from another field than the policy names now
@@ -386,8 +391,8 @@ def resume_slice(spark, sf_dir):
 def full_refresh(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     replica = Replica(spark, files.scratch(spark, "replica"), "orders")
-    replica.full_refresh(orders.withColumn("o_orderstatus", F.lit("old")), ["o_orderkey"], "o_orderdate", buckets=BUCKETS)
-    replica.full_refresh(orders, buckets=BUCKETS)
+    replica.full_refresh(orders.withColumn("o_orderstatus", F.lit("old")), ["o_orderkey"], "o_orderdate", bucket_bytes=BUCKET_BYTES)
+    replica.full_refresh(orders, bucket_bytes=BUCKET_BYTES)
     replica.full_refresh(orders.where(F.lit(False)))
     return replica.read()
 
@@ -403,7 +408,7 @@ def incremental_run(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     replica = Replica(spark, files.scratch(spark, "replica"), "events")
     for seen in (inputs.EVENTS_SYNCED, "2024-01-24 12:00:00", "2100-01-01 00:00:00"):
-        replica.increment(events.where(F.col("ts") <= moment(seen)), "ts", ["event_id"], buckets=BUCKETS)
+        replica.increment(events.where(F.col("ts") <= moment(seen)), "ts", ["event_id"], bucket_bytes=BUCKET_BYTES)
     return replica.read()
 
 
@@ -415,6 +420,26 @@ def incremental_append(spark, sf_dir):
     return replica.read()
 
 
+def incremental_slices(spark, sf_dir):
+    """Twenty deltas of a table without a key; small folders are put together on the way."""
+    lines = table(spark, sf_dir, "lineitem")
+    replica = Replica(spark, files.scratch(spark, "replica"), "lineitem")
+    for number in range(20):
+        part = lines.where(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(20)) == number)
+        replica.apply(part, "l_shipdate", most_folders=4)
+    return replica.read()
+
+
+def incremental_growth(spark, sf_dir):
+    """A hundredth of the lines is loaded first: the buckets have to double as the rest arrives."""
+    lines = table(spark, sf_dir, "lineitem")
+    replica = Replica(spark, files.scratch(spark, "replica"), "lineitem")
+    share = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(100))
+    for part in (lines.where(share == 0), lines.where((share > 0) & (share < 50)), lines.where(share >= 50)):
+        replica.apply(part, "l_shipdate", LINE_KEY, LINE_ORDER, bucket_bytes=BUCKET_BYTES)
+    return replica.read()
+
+
 def incremental_replay(spark, sf_dir):
     """Every batch arrives twice."""
     replica = Replica(spark, files.scratch(spark, "replica"), "events")
@@ -430,22 +455,22 @@ def incremental_lookback(spark, sf_dir):
     before, _ = _before_and_after(spark, sf_dir)
     late = (F.col("event_type") == "click") & (F.col("ts") > moment(inputs.EVENTS_SYNCED) - F.lit(dt.timedelta(days=2)))
     replica = Replica(spark, files.scratch(spark, "replica"), "events")
-    replica.increment(before.where(~late), "ts", ["event_id"], buckets=BUCKETS)
-    replica.increment(events, "ts", ["event_id"], lookback=dt.timedelta(days=3), buckets=BUCKETS)
+    replica.increment(before.where(~late), "ts", ["event_id"], bucket_bytes=BUCKET_BYTES)
+    replica.increment(events, "ts", ["event_id"], lookback=dt.timedelta(days=3), bucket_bytes=BUCKET_BYTES)
     return replica.read()
 
 
 def state_table(spark, sf_dir):
     root = files.scratch(spark, "replica")
     for part in _before_and_after(spark, sf_dir):
-        Replica(spark, root, "events").apply(part, "ts", ["event_id"], buckets=BUCKETS)
-    Replica(spark, root, "orders").full_refresh(table(spark, sf_dir, "orders"), ["o_orderkey"], "o_orderkey", buckets=BUCKETS)
+        Replica(spark, root, "events").apply(part, "ts", ["event_id"], bucket_bytes=BUCKET_BYTES)
+    Replica(spark, root, "orders").full_refresh(table(spark, sf_dir, "orders"), ["o_orderkey"], "o_orderkey", bucket_bytes=BUCKET_BYTES)
     Replica(spark, root, "customer").full_refresh(table(spark, sf_dir, "customer"))
     return store.state(spark, root).drop("updated_at")
 
 
-def state_import(spark, sf_dir):
-    """An old state file about the given tables, taken over and read back."""
+def _imported(spark, sf_dir) -> str:
+    """A root that took over an old state file about the given tables."""
 
     def entry(name: str, mark) -> DataFrame:
         facts = F.struct(
@@ -466,10 +491,22 @@ def state_import(spark, sf_dir):
     whole.coalesce(1).write.text(legacy)
     store.import_state(spark, root, legacy)
     store.import_state(spark, root, legacy)
-    taken = store.state(spark, root).drop("watermark_field", "pk_field")
+    return root
+
+
+def state_import(spark, sf_dir):
+    taken = store.state(spark, _imported(spark, sf_dir)).drop("watermark_field", "pk_field")
     return taken.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
+def import_then_run(spark, sf_dir):
+    """An imported mark lies at the end of the table; the first run takes the whole table all the same."""
+    replica = Replica(spark, _imported(spark, sf_dir), "events")
+    for _ in range(2):
+        replica.increment(table(spark, sf_dir, "events"), "ts", ["event_id"], bucket_bytes=BUCKET_BYTES)
+    return replica.read()
+
+
 class _Crash(Exception):
     pass
 
@@ -508,7 +545,7 @@ def _run_report(spark, sf_dir) -> DataFrame:
             "supplier": {"field": "s_suppkey", "pk": "no_such_column"},
         },
     )
-    return run(spark, {**sources, "missing": broken}, files.scratch(spark, "replica"), rules, buckets=BUCKETS)
+    return run(spark, {**sources, "missing": broken}, files.scratch(spark, "replica"), rules, bucket_bytes=BUCKET_BYTES)
 
 
 def run_report(spark, sf_dir):
@@ -565,7 +602,23 @@ def stream_upsert(spark, sf_dir):
         drop = events.where((F.col("ts") > moment(low)) & (F.col("ts") <= moment(high)))
         drop.write.mode("append").parquet(f"{root}/drops")
         feed.follow(
-            spark, f"{root}/drops", events.schema, replica, f"{root}/checkpoint", "ts", ["user_id"], ["event_id"], buckets=BUCKETS
+            spark, f"{root}/drops", events.schema, replica, f"{root}/checkpoint", "ts", ["user_id"], ["event_id"], bucket_bytes=BUCKET_BYTES
+        ).awaitTermination()
+    return replica.read()
+
+
+def stream_late(spark, sf_dir):
+    """The drops arrive in the wrong order; the last event of every user by time stays."""
+    events = table(spark, sf_dir, "events")
+    root = files.scratch(spark, "stream")
+    replica = Replica(spark, f"{root}/replica", "users")
+    edges = ["2100-01-01 00:00:00", "2024-01-24 12:00:00", inputs.EVENTS_SYNCED, "1970-01-01 00:00:00"]
+    for high, low in zip(edges, edges[1:]):
+        drop = events.where((F.col("ts") > moment(low)) & (F.col("ts") <= moment(high)))
+        drop.write.mode("append").parquet(f"{root}/drops")
+        feed.follow(
+            spark, f"{root}/drops", events.schema, replica, f"{root}/checkpoint", "ts", ["user_id"], ["event_id"],
+            bucket_bytes=BUCKET_BYTES, latest=True,
         ).awaitTermination()
     return replica.read()
 
@@ -599,14 +652,14 @@ def flagship(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, list_tables, table_schema, table_count,
+        scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, scan_pages_text, list_tables, table_schema, table_count,
         size_probe, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
         watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds, decimal_to_double, flatten_number,
         binary_to_text, strip_nul, normalize_row, all_text, sanitize_names, valid_identifiers, name_collisions, target_rows,
         infer_types_wide, infer_types_json, infer_types_first, pk_check, watermark_max, merge_append, merge_upsert,
         merge_upsert_lines, dedupe_last, skip_tables, unknown_policy, plan_modes, resume_slice, full_refresh,
-        full_refresh_unkeyed, incremental_run, incremental_append, incremental_replay, incremental_lookback, state_table,
-        state_import, orphan_versions, run_report, run_summary, infer_pk, infer_mtime, infer_soft_delete, infer_catalog,
-        catalog_summary, stream_upsert, stream_append, flagship,
+        full_refresh_unkeyed, incremental_run, incremental_append, incremental_slices, incremental_growth, incremental_replay,
+        incremental_lookback, state_table, state_import, import_then_run, orphan_versions, run_report, run_summary, infer_pk, infer_mtime, infer_soft_delete, infer_catalog,
+        catalog_summary, stream_upsert, stream_late, stream_append, flagship,
     )
 }
