@@ -21,7 +21,7 @@ COLUMNS = [
 
 
 def columns(spark):
-    rows = [(t, i + 1, *c.rsplit(" ", 1)) for t, cols in COLUMNS for i, c in enumerate(cols)]
+    rows = [(t, i + 1, *c.rsplit(" ", 1), None, True) for t, cols in COLUMNS for i, c in enumerate(cols)]
     return spark.createDataFrame(rows, catalog.COLUMNS_SCHEMA)
 
 
@@ -38,7 +38,7 @@ def test_classification(spark):
         "things": ("pk_thing", None, None, 1, "full_refresh"),
         "Invoices": ("InvoiceNo", None, "Deleted", 3, "full_refresh"),
     }
-    total = catalog.summary(catalog.classify(columns(spark)), errors=2).first()
+    total = catalog.summary(catalog.classify(columns(spark)), spark.range(2)).first()
     assert tuple(total) == (8, 6, 2, 3, 2)
 
 
@@ -50,9 +50,9 @@ def test_catalog_file_is_sorted(spark):
     assert lines[-1]["mtime_col"] is None
 
 
-def test_measured_columns(spark):
+def test_column_profile(spark):
     df = spark.createDataFrame([("abc", None), ("a", 2)], "`it's a \\ .name` string, n int")
-    got = [tuple(r) for r in catalog.measured_columns({"t'": df, "empty": df.where("false")}).collect()]
+    got = [tuple(r) for r in catalog.column_profile({"t'": df, "empty": df.where("false")}).collect()]
     assert got == [
         ("t'", 1, "it's a \\ .name", "string", 3, False), ("t'", 2, "n", "int", None, True),
         ("empty", 1, "it's a \\ .name", "string", None, False), ("empty", 2, "n", "int", None, False),
@@ -66,7 +66,7 @@ def test_sizes_keep_errors(spark):
     sizes = catalog.probe_sizes(spark, {"small": spark.range(3), "broken": broken, "big": lambda: spark.range(10)})
     ranked = catalog.ranked_sizes(sizes).collect()
     assert [(r.table_name, r.rows) for r in ranked] == [("big", 10), ("small", 3), ("broken", None)]
-    assert ranked[2].error.startswith("no access") and len(ranked[2].error) == 200 and ranked[0].error is None
+    assert ranked[2].error.startswith("no access") and len(ranked[2].error) == 310 and ranked[0].error is None
     assert tuple(catalog.size_totals(sizes).first()) == (3, 13, 1)
     assert [r.table_name for r in catalog.ranked_sizes(sizes, top=1).collect()] == ["big"]
 
@@ -80,6 +80,29 @@ def test_one_scan_counts_files_and_folders(spark):
     assert got == {"many-files": 10, "split$": 4, "empty": 0}
 
 
+def test_odd_names_and_broken_tables_are_no_zeros(spark):
+    root = files.scratch(spark, "tables")
+    for name in ("a b", "p%q", "_x", "plus+", "ü#", "plain.parquet"):
+        spark.range(7).write.parquet(f"{root}/{name}")
+    spark.range(0).write.parquet(f"{root}/none")
+    spark.createDataFrame([("PAR1 no footer",)], "v string").coalesce(1).write.text(f"{root}/broken")
+    got = {r.table_name: (r.rows, r.error is not None) for r in catalog.parquet_row_counts(spark, root).collect()}
+    seven = dict.fromkeys(("a b", "p%q", "_x", "plus+", "ü#", "plain"), (7, False))
+    assert got == {**seven, "none": (0, False), "broken": (None, True)}
+    assert tuple(catalog.size_totals(catalog.parquet_row_counts(spark, root)).first()) == (8, 42, 1)
+
+
+def test_schemas_need_no_job_and_keep_errors(spark, sf_dir):
+    tables = {"orders": lambda: spark.read.parquet(f"{sf_dir}/orders.parquet"), "missing": lambda: spark.read.parquet(f"{sf_dir}/none.parquet")}
+    found, errors = catalog.discover(spark, tables)
+    assert "Scan" not in found._jdf.queryExecution().executedPlan().toString().replace("LocalTableScan", "").replace("Scan ExistingRDD", "")
+    assert {r.table_name for r in found.collect()} == {"orders"}
+    assert [r.table_name for r in errors.collect()] == ["missing"]
+    assert catalog.summary(catalog.classify(found), errors).first().errors == 1
+    with pytest.raises(ValueError, match="missing"):
+        catalog.columns(spark, tables)
+
+
 STATE = "source_table string, watermark_field string, watermark_type string, watermark_value string, published boolean"
 RULES = policy.Policy(
     skip=("Photos",),
@@ -137,11 +160,11 @@ def test_policy_files(spark):
 
 
 def test_summary_of_a_stopped_run(spark):
-    rows = [("a", "full", 3, 10, 0.1, 0.1, True, None, None), ("b", "full", 0, None, 0.1, 0.0, False, None, "x")]
+    rows = [("a", "full", 3, 10, 0.1, 0.1, 0.2, True, None, None), ("b", "full", 0, None, 0.1, 0.0, 0.5, False, None, "x")]
     made = spark.createDataFrame(rows, report.REPORT_SCHEMA)
-    assert tuple(report.run_summary(made, total_tables=7, start_index=2).first()) == (1, 1, "b", 3, 4, 7)
+    assert tuple(report.run_summary(made, total_tables=7, start_index=2).first()) == (1, 1, "b", 3, 0.5, 4, 7)
     path = files.scratch(spark, "report")
     report.write_csv(made, path)
     back = spark.read.option("header", True).csv(path)
-    assert back.columns == ["table", "mode", "rows", "bytes", "fetch_sec", "insert_sec", "ok", "watermark", "error"]
+    assert back.columns == ["table", "mode", "rows", "bytes", "fetch_sec", "insert_sec", "duration_sec", "ok", "watermark", "error"]
     assert back.count() == 2

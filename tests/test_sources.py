@@ -155,6 +155,26 @@ def test_envelope_round_trip_cuts_pages(spark):
     assert sorted(map(tuple, back)) == sorted(map(tuple, df.collect()))
 
 
+def test_envelope_bodies_are_not_shuffled(spark):
+    path = land(spark, [envelope("t", data=[{"a": i}]) for i in range(4)] + [envelope("bad", data=[{"a": 1}], error="x")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = envelopes.rows(spark, path)
+        assert found.count() == 4
+        assert "Exchange" not in plan(found) and "Join" not in plan(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_are_whole_unless_cut(spark):
+    df = spark.createDataFrame([("x" * 20_000,)], "s string")
+    assert len(wire.to_wire(df).first().s) == 20_000
+    assert len(wire.to_wire(df, wire.MAX_TEXT).first().s) == 10_000 + len(wire.CUT_MARKER)
+    path = files.scratch(spark, "envelope")
+    envelopes.write(df, path, "t")
+    assert len(envelopes.rows(spark, path).select(F.variant_get("row", "$.s", "string")).first()[0]) == 20_000
+
+
 def test_read_only_sql(spark):
     spark.range(3).createOrReplaceTempView("guarded")
     assert query.read_only(spark, "SELECT id FROM guarded ORDER BY id DESC").first()[0] == 2
@@ -166,6 +186,13 @@ def test_read_only_sql(spark):
     ):
         with pytest.raises((query.NotReadOnly, AnalysisException)):
             query.read_only(spark, text)
+    for text in (
+        "SELECT TRANSFORM(id) USING 'cat' AS x FROM guarded", "SELECT reflect('java.util.UUID', 'randomUUID')",
+        "SELECT java_method /* x */ ('java.lang.System', 'getenv')", "WITH q AS (SELECT try_reflect('java.lang.System', 'nanoTime') AS n) SELECT n FROM q",
+    ):
+        with pytest.raises(query.NotReadOnly):
+            query.read_only(spark, text)
+    assert query.read_only(spark, "SELECT 'reflect(' AS a, \"ScriptTransformation\" AS b, 'it''s java_method(' AS c").count() == 1
     assert spark.catalog.tableExists("guarded")
     with pytest.raises(AnalysisException):
         query.read_only(spark, "SELECT nothing FROM guarded")
@@ -195,3 +222,18 @@ def test_merge_statement_merges():
         "INSERT INTO `t` (`k`, `v`) SELECT `k`, `v` FROM `s` ON DUPLICATE KEY UPDATE `v` = VALUES(`v`)"
     )
     assert "ON " not in jdbc.merge_statement("t", "s", ["k", "v"], [])
+
+
+def test_jdbc_names_are_quoted_once():
+    assert jdbc.quoted_table("Orders") == '"Orders"'
+    assert jdbc.quoted_table("public.orders") == '"public"."orders"'
+    assert jdbc.quoted_table('"My.Schema".t', "ansi") == '"My.Schema"."t"'
+    assert jdbc.quoted_table("db.my`t", "mysql") == "`db`.`my``t`"
+    staging = jdbc.staging_table("public.Orders")
+    assert staging == '"public"."Orders_staging"' and jdbc.quoted_table(staging) == staging
+    con = duckdb.connect()
+    con.execute('CREATE SCHEMA "S"; CREATE TABLE "S"."Live" (k INT PRIMARY KEY, v TEXT)')
+    con.execute(f'CREATE TABLE {jdbc.staging_table("S.Live")} AS SELECT 1 AS k, \'a\' AS v')
+    con.execute(jdbc.merge_statement("S.Live", jdbc.staging_table("S.Live"), ["k", "v"], ["k"]))
+    con.execute(f"DROP TABLE {jdbc.staging_table('S.Live')}")
+    assert con.execute('SELECT * FROM "S"."Live"').fetchall() == [(1, "a")]

@@ -74,6 +74,6 @@ def test_text_key_is_short(spark):
     df = spark.createDataFrame([("k", 1)], "`a-id` string, n int")
     types = infer.widest(df, keys=["a-id"])
     assert types.first()["type"] == "VARCHAR(255)"
-    assert infer.ddl(df, types, keys=["a-id"]) == "a_id VARCHAR(255), n BIGINT, PRIMARY KEY (a_id)"
+    assert infer.ddl(df, types, keys=["a-id"]) == "`a_id` VARCHAR(255), `n` BIGINT, PRIMARY KEY (`a_id`)"
     with pytest.raises(ValueError, match="missing"):
         infer.widest(df, keys=["missing"])

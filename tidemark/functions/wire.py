@@ -13,8 +13,10 @@ MAX_TEXT = 10_000
 CUT_MARKER = "...[TRUNCATED]"
 
 
-def truncate(text: Column, limit: int = MAX_TEXT) -> Column:
-    """Cut by code points; texts within the limit stay as they are."""
+def truncate(text: Column, limit: int | None = MAX_TEXT) -> Column:
+    """Cut by code points; texts within the limit, and all texts without one, stay as they are."""
+    if limit is None:
+        return text
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit(CUT_MARKER))).otherwise(text)
 
 
@@ -36,7 +38,7 @@ def interval_seconds(interval: Column) -> Column:
     return interval.cast("interval second").cast("decimal(18,6)").cast("double")
 
 
-def binary_text(raw: Column, limit: int = MAX_TEXT) -> Column:
+def binary_text(raw: Column, limit: int | None = MAX_TEXT) -> Column:
     """UTF-8 with U+FFFD for broken sequences, cut like any text."""
     return truncate(F.make_valid_utf8(raw.cast("string")), limit)
 
@@ -66,7 +68,7 @@ def strip_nul(text: Column) -> Column:
     return F.translate(text, "\u0000", "")
 
 
-def wire(c: Column, dtype: T.DataType, limit: int = MAX_TEXT) -> Column:
+def wire(c: Column, dtype: T.DataType, limit: int | None = None) -> Column:
     if isinstance(dtype, T.BooleanType):
         return c
     if isinstance(dtype, T.IntegralType):
@@ -88,8 +90,9 @@ def wire(c: Column, dtype: T.DataType, limit: int = MAX_TEXT) -> Column:
     return c.cast("string")
 
 
-def to_wire(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
-    """Every column in wire form. One narrow projection, no shuffle."""
+def to_wire(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Every column in wire form. One narrow projection, no shuffle. `limit` cuts long texts
+    and bytes (`MAX_TEXT` is the wire's own); without one they stay whole."""
     return df.select(*[wire(column(f.name), f.dataType, limit).alias(f.name) for f in df.schema])
 
 
@@ -111,7 +114,7 @@ def text_or_empty(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def all_text(df: DataFrame) -> DataFrame:
+def all_text(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Every column as text, from its wire form."""
-    flat = to_wire(df)
+    flat = to_wire(df, limit)
     return flat.select(*[text_or_empty(column(f.name), f.dataType).alias(f.name) for f in flat.schema])

@@ -6,6 +6,7 @@ import re
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,22 +48,45 @@ SOFT_DELETE_PATTERNS = (
     r"^recordstatus$",
 )
 
-COLUMNS_SCHEMA = "table_name STRING, ordinal INT, name STRING, type STRING"
+COLUMNS_SCHEMA = "table_name STRING, ordinal INT, name STRING, type STRING, size INT, nullable BOOLEAN"
 SIZES_SCHEMA = "table_name STRING, rows BIGINT, seconds DOUBLE, error STRING"
 
 
-def columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, ordinal, name, type) from the schemas alone; no table is read."""
+def columns(spark: SparkSession, tables: Mapping[str, Source]) -> DataFrame:
+    """(table_name, ordinal, name, type, size, nullable) from the schemas alone; no table is read.
+
+    `size` is the declared length of a text column, and `nullable` what the schema says.
+    """
+    found, errors = discover(spark, tables)
+    if failed := errors.collect():  # one row for each table that cannot be opened
+        raise ValueError(f"{failed[0]['table_name']}: {failed[0]['error']}")
+    return found
+
+
+def discover(spark: SparkSession, tables: Mapping[str, Source], workers: int = 16) -> tuple[DataFrame, DataFrame]:
+    """The columns of all tables whose schema can be had, and (table_name, error) of the others."""
+
+    def schema(item: tuple[str, Source]) -> tuple[str, T.StructType | None, str | None]:
+        name, source = item
+        try:
+            return name, (source() if callable(source) else source).schema, None
+        except Exception as error:
+            return name, None, str(error)
+
+    with ThreadPoolExecutor(workers) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(schema), tables.items()))
     rows = [
-        (t, i + 1, f.name, f.dataType.simpleString()) for t, df in tables.items() for i, f in enumerate(df.schema)
+        (t, i + 1, f.name, f.dataType.simpleString(), getattr(f.dataType, "length", None), f.nullable)
+        for t, s, _ in results if s is not None for i, f in enumerate(s)
     ]
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+    errors = [(t, error) for t, s, error in results if s is None]
+    return spark.createDataFrame(rows, COLUMNS_SCHEMA), spark.createDataFrame(errors, "table_name STRING, error STRING")
 
 
-def measured_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same with size (longest text) and nullable (a NULL occurs) as the rows show them.
 
-    Parquet declares neither. One aggregate per table, combined inside the tasks; written
+    This reads every table whole. One aggregate per table, combined inside the tasks; written
     as SQL text because a catalog has thousands of columns.
     """
     parts = []
@@ -86,18 +110,38 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def parquet_row_counts(spark: SparkSession, root: str) -> DataFrame:
-    """(table_name, rows) of all parquet tables below a folder, in a single scan.
+    """(table_name, rows, error) of all parquet tables below a folder, in a single scan.
 
     Reading no column at all, Spark takes the counts from the file footers, and hundreds
-    of small tables share one stage instead of taking one each.
+    of small tables share one stage instead of taking one each. Broken files are passed
+    over in that scan; a table of which it has not seen every file is counted by a job of
+    its own, which gives its rows or its error.
     """
     tables = list_tables(spark, root)
+    if not tables:
+        return spark.createDataFrame([], "table_name STRING, rows BIGINT, error STRING")
     below = r"^(?:[\w+.-]+:(?://[^/]*)?)?" + re.escape(files.bare(spark, root)) + "/([^/]+)"
-    listing = spark.createDataFrame([(t, p.rpartition("/")[2]) for t, p in tables.items()], "table_name STRING, entry STRING")
-    found = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*tables.values())
-    file = F.replace(F.col("_metadata.file_path"), F.lit("%23"), F.lit("#"))
-    counted = found.groupBy(F.regexp_extract(file, below, 1).alias("entry")).agg(F.count("*").alias("n"))
-    return listing.join(counted, "entry", "left").select("table_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("rows"))
+    found = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").parquet(*tables.values())
+    # paths come encoded, with a plus sign as itself
+    file = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counted = found.groupBy(file.alias("file")).agg(F.count("*").alias("n")).groupBy(F.regexp_extract("file", below, 1).alias("entry"))
+    seen = {r["entry"]: (r["n"], r["files"]) for r in counted.agg(F.sum("n").alias("n"), F.count("*").alias("files")).collect()}  # one row for each table
+    entries = {t: p.rpartition("/")[2] for t, p in tables.items()}
+    listed = _file_counts(found, files.bare(spark, root))
+    whole = {t: seen[e][0] for t, e in entries.items() if e in seen and seen[e][1] == listed.get(e)}
+    again = probe_sizes(spark, {t: (lambda p=p: spark.read.parquet(p)) for t, p in tables.items() if t not in whole})
+    counts = spark.createDataFrame([(t, n, None) for t, n in whole.items()], "table_name STRING, rows BIGINT, error STRING")
+    return counts.unionByName(again.select("table_name", "rows", "error"))
+
+
+def _file_counts(found: DataFrame, root: str) -> dict[str, int]:
+    """Files of each entry below a folder, as the scan has listed them."""
+    out: dict[str, int] = {}
+    for file in found.inputFiles():
+        path = unquote(re.sub(r"^[\w+.-]+:(//[^/]*)?", "", file))
+        entry = path.removeprefix(root).lstrip("/").partition("/")[0]
+        out[entry] = out.get(entry, 0) + 1
+    return out
 
 
 def probe_sizes(spark: SparkSession, tables: Mapping[str, Source], workers: int = 16) -> DataFrame:
@@ -112,8 +156,10 @@ def probe_sizes(spark: SparkSession, tables: Mapping[str, Source], workers: int
             df = source() if callable(source) else source
             return df.count(), time.perf_counter() - start, None
         except Exception as error:
-            return None, time.perf_counter() - start, str(error)[:200]
+            return None, time.perf_counter() - start, str(error)
 
+    if not tables:
+        return spark.createDataFrame([], SIZES_SCHEMA)
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(count), tables.values()))
     return spark.createDataFrame([(t, *r) for t, r in zip(tables, results)], SIZES_SCHEMA)
@@ -175,13 +221,15 @@ def classify(found: DataFrame) -> DataFrame:
     ).withColumn("sync_strategy", F.when(F.col("mtime_col").isNotNull(), "incremental").otherwise("full_refresh"))
 
 
-def summary(classified: DataFrame, errors: int = 0) -> DataFrame:
+def summary(classified: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Counts over a classified catalog; `errors` are the tables that discover() could not open."""
+    failed = 0 if errors is None else errors.count()
     return classified.agg(
         F.count("*").alias("tables"),
         F.count("pk").alias("with_pk"),
         F.count("mtime_col").alias("with_mtime"),
         F.count("soft_delete_col").alias("with_soft_delete"),
-        F.lit(errors).cast("bigint").alias("errors"),
+        F.lit(failed).cast("bigint").alias("errors"),
     )
 
 

@@ -145,8 +145,9 @@ def first_row(df: DataFrame, order: str) -> DataFrame:
 
 
 def ddl(df: DataFrame, types: DataFrame, target: str = "mysql", keys: Sequence[str] = ()) -> str:
-    """Column definitions of the target table, for `createTableColumnTypes` or a CREATE."""
-    safe = dict(zip(df.columns, safe_names(df, target)))
+    """Column definitions of the target table, with quoted names, for a CREATE."""
+    quote = "`" if target in ("mysql", "spark") else '"'
+    safe = {c: f"{quote}{n}{quote}" for c, n in zip(df.columns, safe_names(df, target if target != "spark" else "mysql"))}
     by_name = {r["name"]: r["type"] for r in types.collect()}  # one row per column
     parts = [f"{safe[c]} {by_name[c]}" for c in df.columns]
     if keys:

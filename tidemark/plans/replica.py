@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -59,6 +60,7 @@ class Replica:
         self.root = root.rstrip("/")
         self.table = require_identifier(table)
         self.path = f"{self.root}/{table}"
+        self.staged_sec = 0.0  # seconds in which the last source was read and written out
 
     # reading
 
@@ -211,7 +213,9 @@ class Replica:
         if rules["keys"]:
             merge.require_columns(rows, [*rules["keys"], *self._order(rules)])
             rows = merge.dedupe_last(rows, rules["keys"], self._order(rules), rules["fold_case"])
+        start = time.perf_counter()
         rows.write.parquet(target)
+        self.staged_sec = time.perf_counter() - start
         return self.spark.read.schema(rows.schema).parquet(target), folder
 
     def _drop_stage(self, folder: str) -> None:
@@ -348,7 +352,7 @@ class Replica:
             **{k: rules[k] for k in ("keys", "order", "fold_case", "latest", "feeds")},
         }
         self._commit(record)
-        return record
+        return {**record, "staged_sec": self.staged_sec}
 
     def _commit(self, record: dict) -> None:
         name = f"{self.path}/commits/{record['version']:012d}.json"

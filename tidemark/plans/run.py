@@ -48,6 +48,7 @@ def run(
     strangers = sorted(r[0] for r in unknown_tables(listing, rules).collect())
     plan = modes(listing, rules, state(spark, root), full_refresh, exclude)
     steps = resume(plan, start_index).collect()  # one row per table
+    began = time.perf_counter()
 
     def sync(step) -> tuple:
         name = step["table_name"]
@@ -74,17 +75,18 @@ def run(
         written = record["sizes"][record["folders"][-1]][0] if record.get("published") else None
         return (
             name, step["mode"], record.get("last_rows", 0) if error is None else 0, written,
-            opened - start, time.perf_counter() - opened, error is None,
+            record.get("staged_sec", opened - start), time.perf_counter() - opened - record.get("staged_sec", 0.0),
+            time.perf_counter() - began, error is None,
             record.get("watermark_value") if step["mode"] != "full" else None, error,
         )
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(sync), steps))
-    results += [(t, "unknown", 0, None, 0.0, 0.0, False, None, "named in the policy, not in the source") for t in strangers]
+    results += [(t, "unknown", 0, None, 0.0, 0.0, 0.0, False, None, "named in the policy, not in the source") for t in strangers]
     report = spark.createDataFrame(results, REPORT_SCHEMA)
     if report_path is not None:
         write_csv(report, report_path)
-    failed = [r[0] for r in results if not r[6]]
+    failed = [r[0] for r in results if not r[7]]
     if strict and failed:
         raise TablesFailed(report, failed)
     return report

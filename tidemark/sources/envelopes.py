@@ -66,22 +66,25 @@ def rows(
 ) -> DataFrame:
     """(table, row) of the tables none of whose envelopes is rejected.
 
-    A late envelope can reject its whole table, so the verdicts are a pass of their own.
+    A late envelope can reject its whole table, so the verdicts are a pass of their own,
+    one name for each rejected table, and the bodies are filtered where they are read.
     A torn document names no table and fails the scan.
     """
     found = read(spark, path, row, whole_files, strict=True)
+    verdicts = trailers(spark, path, whole_files).where(reason().isNotNull())
     if table is not None:
-        found = found.where(F.col("table") == table)
-    bad = trailers(spark, path, whole_files).where(reason().isNotNull()).select(F.col("table").alias("_bad")).distinct()
-    good = found.join(bad, F.col("table") == F.col("_bad"), "left_anti")
+        found, verdicts = found.where(F.col("table") == table), verdicts.where(F.col("table") == table)
+    bad = [r[0] for r in verdicts.select("table").where("table IS NOT NULL").distinct().collect()]  # as many as the source has tables
+    good = found.where(~F.col("table").isin(bad)) if bad else found
     return good.select("table", F.explode("data").alias("row"))
 
 
-def write(df: DataFrame, path: str, table: str, page_rows: int = PAGE_ROWS, mode: str = "append") -> None:
-    """A table as envelopes of wire rows. Pages are cut inside the tasks that hold the
-    rows, so no page grows beyond `page_rows` and none spans two tasks."""
+def write(df: DataFrame, path: str, table: str, page_rows: int = PAGE_ROWS, mode: str = "append", limit: int | None = None) -> None:
+    """A table as envelopes of wire rows. Pages are cut from the rows of a task, so none grows
+    beyond `page_rows`; rows are shuffled by page, since grouping cannot know that a page's
+    rows lie together. Texts are whole unless `limit` gives the characters to keep."""
     to_text = F.to_json(F.struct(*[column(c) for c in df.columns]), {"ignoreNullFields": "false"})
-    paged = to_wire(df).select(to_text.alias("row"), F.monotonically_increasing_id().alias("id"))
+    paged = to_wire(df, limit).select(to_text.alias("row"), F.monotonically_increasing_id().alias("id"))
     pages = (
         # the id is the task number above 33 bits of row number
         paged.groupBy(F.shiftright("id", 33).alias("task"), F.floor(F.col("id").bitwiseAND((1 << 33) - 1) / page_rows).alias("page"))

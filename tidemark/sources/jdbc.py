@@ -6,6 +6,7 @@ go in batches, and a keyed delta lands in a staging table that one statement mer
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,19 @@ INSERT_ROWS = 1_000
 _QUOTE = {"mysql": "`", "postgres": '"', "ansi": '"'}
 
 
+def quoted_table(table: str, dialect: str = "postgres") -> str:
+    """`schema.table` as the database's quoted name; a part that is quoted already stays as it is."""
+    q = _QUOTE[dialect]
+    parts = re.findall(rf"{q}(?:[^{q}]|{q}{q})*{q}|[^.]+", table)
+    return ".".join(p if p.startswith(q) else f"{q}{p.replace(q, q + q)}{q}" for p in parts)
+
+
+def staging_table(table: str, dialect: str = "postgres") -> str:
+    """The quoted name of the table beside `table` that a delta is staged in."""
+    q = _QUOTE[dialect]
+    return f"{quoted_table(table, dialect)[:-1]}_staging{q}"
+
+
 def read_options(url: str, table: str, partition: tuple[str, object, object, int] | None = None, **more) -> dict[str, str]:
     """Options for `spark.read.format('jdbc')`.
 
@@ -57,14 +71,14 @@ def key_types(schema: T.StructType, keys: Sequence[str]) -> dict[str, str]:
 
 
 def merge_statement(table: str, staging: str, columns: Sequence[str], keys: Sequence[str], dialect: str = "postgres") -> str:
-    """One statement that moves a staged delta into the live table."""
+    """One statement that moves a staged delta into the live table; both tables by their quoted names."""
     q = _QUOTE[dialect]
 
     def name(n: str) -> str:
         return f"{q}{n.replace(q, q + q)}{q}"
 
     cols = ", ".join(map(name, columns))
-    insert = f"INSERT INTO {name(table)} ({cols}) SELECT {cols} FROM {name(staging)}"
+    insert = f"INSERT INTO {quoted_table(table, dialect)} ({cols}) SELECT {cols} FROM {quoted_table(staging, dialect)}"
     if not keys:
         return insert
     rest = [c for c in columns if c not in keys]
@@ -77,12 +91,12 @@ def merge_statement(table: str, staging: str, columns: Sequence[str], keys: Sequ
     return f"{insert} ON CONFLICT ({target}) DO UPDATE SET " + ", ".join(f"{name(c)} = EXCLUDED.{name(c)}" for c in rest)
 
 
-def target_rows(df: DataFrame, target: str = "mysql") -> DataFrame:
+def target_rows(df: DataFrame, target: str = "mysql", limit: int | None = None) -> DataFrame:
     """Names and values as the target stores them: wire values, for Postgres without NUL,
-    for SQLite all text."""
+    for SQLite all text. `limit` cuts long texts."""
     if target == "sqlite":
-        return with_safe_names(all_text(df), target)
-    rows = to_wire(df)
+        return with_safe_names(all_text(df, limit), target)
+    rows = to_wire(df, limit)
     return with_safe_names(without_nul(rows) if target == "postgres" else rows, target)
 
 
@@ -95,13 +109,17 @@ def copy(df: DataFrame, url: str, table: str, target: str = "mysql", keys: Seque
 
 
 def upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], dialect: str = "postgres", **kwargs) -> None:
-    """Stage a delta without repeated keys (see `merge.dedupe_last`) in `<table>_staging`, then merge it in one statement."""
-    spark, staging = df.sparkSession, f"{table}_staging"
+    """Stage a delta without repeated keys (see `merge.dedupe_last`) in `<table>_staging`, merge it in one
+    statement and drop the staging table, also when the statement fails."""
+    spark, staging = df.sparkSession, staging_table(table, dialect)
     write(df, url, staging, mode="overwrite", key_types=key_types(df.schema, keys), **kwargs)
     connection = spark._jvm.java.sql.DriverManager.getConnection(
         url, str(kwargs.get("user", "")), str(kwargs.get("password", ""))
     )
     try:
-        connection.createStatement().executeUpdate(merge_statement(table, staging, df.columns, keys, dialect))
+        try:
+            connection.createStatement().executeUpdate(merge_statement(table, staging, df.columns, keys, dialect))
+        finally:
+            connection.createStatement().executeUpdate(f"DROP TABLE {staging}")
     finally:
         connection.close()

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.wire import to_wire
 
 
+LITERAL = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\"""", re.DOTALL)
+# A script as the plan names it, and the functions that call methods by name.
+OUTSIDE = re.compile(r"ScriptTransformation|\b(?:reflect|try_reflect|java_method)\(", re.IGNORECASE)
+
+
 class NotReadOnly(ValueError):
-    """The text is no single query."""
+    """The text is no single query, or one that runs other programs."""
 
 
-def read_only(spark: SparkSession, text: str, wire: bool = False) -> DataFrame:
+def read_only(spark: SparkSession, text: str, wire: bool = False, limit: int | None = None) -> DataFrame:
     """Run one query. Whatever cannot stand as a subquery (INSERT, DROP, SET, two
-    statements) is refused before it runs; words inside literals do not matter."""
+    statements) is refused before it runs, and so is a query that would run a script or
+    call a method by reflection; words inside literals do not matter."""
     text = text.strip()
     try:
         spark.sql(f"SELECT * FROM (\n{text}\n) AS q")
@@ -24,5 +32,9 @@ def read_only(spark: SparkSession, text: str, wire: bool = False) -> DataFrame:
         # columns may repeat in a result but not in a subquery; the text still parsed as a query
         if "AMBIGUOUS" not in str(error.getCondition()) and "COLUMN_ALREADY_EXISTS" not in str(error.getCondition()):
             raise
+    # the same query without its literals: what is left in the plan are nodes and functions, those of views included
+    bare = LITERAL.sub("''", text)
+    if OUTSIDE.search(spark.sql(f"EXPLAIN EXTENDED {bare}").first()[0]):
+        raise NotReadOnly("a query must not run scripts or call methods")
     result = spark.sql(text)
-    return to_wire(result) if wire else result
+    return to_wire(result, limit) if wire else result

@@ -45,6 +45,14 @@ def cut(text: str) -> str:
 
 COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows" for t in SCHEMAS)
 
+ODD_COUNTS = """
+SELECT 'a b' AS "{0}", (SELECT count(*) FROM customer) AS rows, false AS failed
+UNION ALL SELECT 'p%q', (SELECT count(*) FROM events), false
+UNION ALL SELECT '_x', (SELECT count(*) FROM lineitem), false
+UNION ALL SELECT 'plain', (SELECT count(*) FROM orders), false
+UNION ALL SELECT 'broken', NULL, true
+"""
+
 LIST_TABLES = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM (DESCRIBE {t})) AS column_count"
     for t in SCHEMAS
@@ -172,6 +180,7 @@ UNION ALL SELECT 'events', 'incremental-initial', (SELECT count(*) FROM events),
 UNION ALL SELECT 'orders', 'incremental-initial', (SELECT count(*) FROM orders), true, (SELECT CAST(max(o_orderkey) AS VARCHAR) FROM orders)
 UNION ALL SELECT 'supplier', 'incremental-initial', 0, false, NULL
 UNION ALL SELECT 'missing', 'full', 0, false, NULL
+UNION ALL SELECT 'ordres', 'unknown', 0, false, NULL
 """
 
 ALL_COLUMNS = " UNION ALL ".join(
@@ -245,14 +254,16 @@ ORACLE = {
     "scan_pages": "SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders",
     "scan_pages_text": "SELECT page_id, url, (row_number() OVER (ORDER BY encode(url)) - 1) // 100 AS page FROM pages",
     "list_tables": LIST_TABLES,
-    "table_schema": _measured(),
+    "table_schema": f"SELECT table_name, ordinal, name, type FROM ({_measured()}) UNION ALL SELECT 'missing', NULL, NULL, NULL",
+    "column_profile": _measured(),
     "table_count": "SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem",
-    "size_probe": COUNTS,
+    "size_probe": ODD_COUNTS.format("table_name"),
+    "size_report": ODD_COUNTS.format("table"),
     "size_errors": f"SELECT table_name, rows, false AS failed FROM ({COUNTS}) UNION ALL SELECT 'missing', NULL, true",
     "size_top20": COUNTS,
-    "size_totals": f"SELECT count(*) AS tables, CAST(sum(rows) AS BIGINT) AS total_rows, CAST(0 AS BIGINT) AS failed FROM ({COUNTS})",
+    "size_totals": f"SELECT count(*) AS tables, CAST(sum(rows) AS BIGINT) AS total_rows, count_if(failed)::BIGINT AS failed FROM ({ODD_COUNTS.format('table_name')})",
     "envelope_scan": "SELECT * FROM orders",
-    "envelope_untyped": f"SELECT doc_id, {cut('text')} AS text, lang, source, n_chars FROM documents",
+    "envelope_untyped": "SELECT * FROM documents",
     "envelope_rejects": SEGMENTS,
     "envelope_accepts": "SELECT c_mktsegment AS \"table\", c_custkey, c_acctbal FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')",
     "adhoc_sql": f"SELECT * REPLACE ({iso('last_order')} AS last_order) FROM ({ADHOC})",
@@ -267,7 +278,9 @@ ORACLE = {
         UNION ALL SELECT 'orders', o_orderkey, {iso('o_orderdate')}, strftime(o_orderdate, '%Y-%m-%d') FROM orders""",
     "interval_seconds": """SELECT l_orderkey, l_linenumber, epoch(l_shipdate) - epoch(o_orderdate) AS seconds
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "decimal_to_double": "SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS DOUBLE) AS price FROM lineitem",
+    "decimal_to_double": f"""SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber, {iso('l_shipdate')} AS l_shipdate,
+        CAST(CAST(l_quantity AS DECIMAL(12, 2)) AS DOUBLE) AS l_quantity, CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS DOUBLE) AS l_extendedprice,
+        CAST(CAST(l_discount AS DECIMAL(12, 2)) AS DOUBLE) AS l_discount, CAST(CAST(l_tax AS DECIMAL(12, 2)) AS DOUBLE) AS l_tax) FROM lineitem""",
     "flatten_number": """SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity = floor(l_quantity) THEN CAST(l_quantity AS BIGINT) END AS quantity_int,
         CASE WHEN l_extendedprice = floor(l_extendedprice) THEN CAST(l_extendedprice AS BIGINT) END AS price_int,
         CASE WHEN l_extendedprice <> floor(l_extendedprice) THEN l_extendedprice END AS price_float FROM lineitem""",
@@ -275,7 +288,8 @@ ORACLE = {
     "strip_nul": "SELECT doc_id, replace(text, ' ', '') AS text FROM documents",
     "normalize_row": f"""SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_extendedprice,
         l_discount, l_tax, l_returnflag, l_linestatus, {iso('l_shipdate')} AS l_shipdate FROM lineitem""",
-    "all_text": """SELECT CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey, coalesce(c_name, '') AS c_name,
+    "normalize_nested": "SELECT vec_id, embedding, CAST(label AS BIGINT) AS label FROM embeddings",
+    "all_text": """SELECT nullif(c_acctbal, 0) AS c_acctbal, CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey, coalesce(c_name, '') AS c_name,
         CASE WHEN c_nationkey = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey, coalesce(c_mktsegment, '') AS c_mktsegment
         FROM customer""",
     "sanitize_names": f"""SELECT source, name, {safe('name')} AS mysql, {safe('lower(name)')} AS postgres,
@@ -290,6 +304,10 @@ ORACLE = {
     "infer_types_json": _widest_json(),
     "infer_types_first": _first_types(),
     "pk_check": _widest("customer", "c_name"),
+    "target_ddl": """SELECT 'mysql' AS target, '`Cust_Key` BIGINT, `cust_NAME` MEDIUMTEXT, `_2nd` BIGINT, `ACCT_BAL` '
+          || CASE WHEN bool_and(c_acctbal = floor(c_acctbal)) THEN 'BIGINT' ELSE 'DOUBLE' END
+          || ', `c_mktsegment` MEDIUMTEXT, PRIMARY KEY (`Cust_Key`)' AS ddl FROM customer
+        UNION ALL SELECT 'sqlite', '"Cust_Key" TEXT, "cust_NAME" TEXT, "_2nd" TEXT, "ACCT_BAL" TEXT, "c_mktsegment" TEXT, PRIMARY KEY ("Cust_Key")'""",
     "watermark_max": f"""SELECT user_id, event_type, greatest(TIMESTAMP '{E}', max(CASE WHEN value > 5 THEN ts END)) AS watermark
         FROM events GROUP BY user_id, event_type""",
     "merge_append": f"SELECT *, CASE WHEN ts > TIMESTAMP '{E}' THEN strftime(ts, '%Y-%m-%d') END AS seen FROM events",
@@ -297,10 +315,12 @@ ORACLE = {
     "merge_upsert_lines": _last_lines(f"(l_shipdate > TIMESTAMP '{L}') DESC, "),
     "dedupe_last": _last_lines(),
     "skip_tables": KEPT_TABLES,
-    "unknown_policy": f"SELECT * FROM (VALUES ('embeddings'), ('pages'), ('events'), ('orders'), ('lineitem'), ('conversations'), ('lineitems')) p(table_name) WHERE table_name NOT IN (SELECT table_name FROM ({COUNTS}))",
+    "unknown_policy": f"""SELECT p.table_name, rows, rows IS NOT NULL AS known
+        FROM (VALUES ('embeddings'), ('pages'), ('events'), ('orders'), ('lineitem'), ('conversations'), ('lineitems')) p(table_name) LEFT JOIN ({COUNTS}) c USING (table_name)""",
     "plan_modes": PLAN,
     "resume_slice": RESUME,
     "full_refresh": "SELECT * FROM orders",
+    "full_refresh_stamped": "SELECT *, true AS _synced_at FROM orders",
     "full_refresh_unkeyed": "SELECT * FROM lineitem",
     "incremental_run": "SELECT * FROM events",
     "incremental_append": "SELECT * FROM lineitem",
@@ -312,16 +332,16 @@ ORACLE = {
     "state_import": f"SELECT *, false AS published FROM ({IMPORTED})",
     "import_then_run": "SELECT * FROM events",
     "orphan_versions": f"SELECT 'events' AS table_name, CAST(1 AS BIGINT) AS folders, count(*) AS rows, max(ts) AS last_ts FROM events WHERE ts > TIMESTAMP '{E}'",
-    "run_report": REPORT,
+    "run_report": f"SELECT *, NOT ok AS failed FROM ({REPORT})",
     "run_summary": f"""SELECT count_if(ok)::BIGINT AS succeeded, count_if(NOT ok)::BIGINT AS failed,
         string_agg(CASE WHEN NOT ok THEN table_name END, ',' ORDER BY table_name) AS failed_tables,
-        CAST(sum(rows) AS BIGINT) AS rows, count(*) AS next_index, count(*) AS total_tables FROM ({REPORT})""",
+        CAST(sum(rows) AS BIGINT) AS rows, true AS duration_sec, count(*) AS next_index, count(*) AS total_tables FROM ({REPORT})""",
     "infer_pk": f"{CATALOG} SELECT table_name, pk FROM catalog",
     "infer_mtime": f"{CATALOG} SELECT table_name, mtime_col FROM catalog",
     "infer_soft_delete": f"{CATALOG} SELECT table_name, soft_delete_col FROM catalog",
     "infer_catalog": f"""{CATALOG} SELECT *, CASE WHEN mtime_col IS NOT NULL THEN 'incremental' ELSE 'full_refresh' END AS sync_strategy FROM catalog""",
     "catalog_summary": f"""{CATALOG} SELECT count(*) AS tables, count(pk) AS with_pk, count(mtime_col) AS with_mtime,
-        count(soft_delete_col) AS with_soft_delete, CAST(0 AS BIGINT) AS errors FROM catalog""",
+        count(soft_delete_col) AS with_soft_delete, CAST(1 AS BIGINT) AS errors FROM catalog""",
     "stream_upsert": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
         FROM events) WHERE rn = 1""",
     "stream_late": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

@@ -58,15 +58,38 @@ def scan_pages_text(spark, sf_dir):
     return scans.pages(table(spark, sf_dir, "pages"), "url", page_size=100).select("page_id", "url", "page")
 
 
+def _sources(spark, sf_dir) -> dict:
+    found = {t: (lambda t=t: table(spark, sf_dir, t)) for t in inputs.TABLES}
+    return {**found, "missing": lambda: table(spark, sf_dir, "missing")}
+
+
+def _odd_tables(spark, sf_dir) -> str:
+    """Copies of given tables under awkward names, and a folder that is no parquet."""
+    root = files.scratch(spark, "odd")
+    for name, source in (("a b", "customer"), ("p%q", "events"), ("_x", "lineitem"), ("plain", "orders")):
+        table(spark, sf_dir, source).write.parquet(f"{root}/{name}")
+    table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/broken")
+    return root
+
+
 def list_tables(spark, sf_dir):
     found = scans.list_tables(spark, sf_dir)
     wide = catalog.columns(spark, {t: scans.load(spark, p) for t, p in found.items()})
     counted = wide.groupBy("table_name").agg(F.count("*").alias("column_count"))
-    return catalog.parquet_row_counts(spark, sf_dir).join(counted, "table_name").orderBy("table_name")
+    counts = catalog.parquet_row_counts(spark, sf_dir).select("table_name", "rows")
+    return counts.join(counted, "table_name").orderBy("table_name")
 
 
 def table_schema(spark, sf_dir):
-    return catalog.measured_columns(inputs.tables(spark, sf_dir))
+    """From the schemas; one of the tables cannot be opened."""
+    found, errors = catalog.discover(spark, _sources(spark, sf_dir))
+    failed = errors.select("table_name", *[F.lit(None).cast(t).alias(c) for c, t in (("ordinal", "int"), ("name", "string"), ("type", "string"))])
+    # parquet declares no lengths, and Spark reads every column of it as nullable
+    return found.select("table_name", "ordinal", "name", "type").unionByName(failed)
+
+
+def column_profile(spark, sf_dir):
+    return catalog.column_profile(inputs.tables(spark, sf_dir))
 
 
 def table_count(spark, sf_dir):
@@ -74,7 +97,16 @@ def table_count(spark, sf_dir):
 
 
 def size_probe(spark, sf_dir):
-    return catalog.ranked_sizes(catalog.parquet_row_counts(spark, sf_dir))
+    sizes = catalog.parquet_row_counts(spark, _odd_tables(spark, sf_dir))
+    return catalog.ranked_sizes(sizes).select("table_name", "rows", F.col("error").isNotNull().alias("failed"))
+
+
+def size_report(spark, sf_dir):
+    """The sizes as a CSV file, read back."""
+    path = files.scratch(spark, "sizes")
+    report.write_csv(catalog.ranked_sizes(catalog.parquet_row_counts(spark, _odd_tables(spark, sf_dir))), path)
+    back = spark.read.schema("`table` string, rows bigint, error string").option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.select("table", "rows", F.col("error").isNotNull().alias("failed"))
 
 
 def size_top20(spark, sf_dir):
@@ -82,7 +114,7 @@ def size_top20(spark, sf_dir):
 
 
 def size_totals(spark, sf_dir):
-    return catalog.size_totals(catalog.parquet_row_counts(spark, sf_dir))
+    return catalog.size_totals(catalog.parquet_row_counts(spark, _odd_tables(spark, sf_dir)))
 
 
 def size_errors(spark, sf_dir):
@@ -211,10 +243,9 @@ def interval_seconds(spark, sf_dir):
 
 
 def decimal_to_double(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
-    )
-    return wire.to_wire(lines).withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
+    money = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    lines = table(spark, sf_dir, "lineitem")
+    return wire.to_wire(lines.withColumns({c: F.col(c).cast("decimal(12,2)") for c in money}))
 
 
 def flatten_number(spark, sf_dir):
@@ -241,9 +272,17 @@ def normalize_row(spark, sf_dir):
     return wire.to_wire(table(spark, sf_dir, "lineitem"))
 
 
+def normalize_nested(spark, sf_dir):
+    """Whatever is no plain value becomes text."""
+    found = wire.to_wire(table(spark, sf_dir, "embeddings"))
+    # numbers print differently in other engines: compare them as numbers again
+    return found.withColumn("embedding", F.from_json("embedding", "array<float>"))
+
+
 def all_text(spark, sf_dir):
-    # doubles print differently in other engines
-    return wire.all_text(table(spark, sf_dir, "customer").drop("c_acctbal"))
+    found = wire.all_text(table(spark, sf_dir, "customer"))
+    # doubles print differently in other engines: compare them as numbers again
+    return found.withColumn("c_acctbal", F.when(F.col("c_acctbal") != "", F.col("c_acctbal").cast("double")))
 
 
 # names
@@ -302,6 +341,13 @@ def pk_check(spark, sf_dir):
     return infer.widest(table(spark, sf_dir, "customer"), keys=["c_name"])
 
 
+def target_ddl(spark, sf_dir):
+    """Column definitions of the customer table under awkward names."""
+    awkward = table(spark, sf_dir, "customer").toDF("Cust Key", "cust-NAME", "2nd", "ACCT$BAL", "c_mktsegment")
+    made = [(t, infer.ddl(awkward, infer.widest(awkward, target=t, keys=["Cust Key"]), t, ["Cust Key"])) for t in ("mysql", "sqlite")]
+    return spark.createDataFrame(made, "target string, ddl string")
+
+
 # merging
 
 
@@ -372,7 +418,11 @@ def skip_tables(spark, sf_dir):
 
 
 def unknown_policy(spark, sf_dir):
-    return policy.unknown_tables(catalog.parquet_row_counts(spark, sf_dir), _policy(spark))
+    """Policy entries without a table, and tables whose rows say how often each is named right."""
+    listing = catalog.row_counts(inputs.tables(spark, sf_dir))
+    known = listing.join(_policy(spark), "table_name").select("table_name", "rows", F.lit(True).alias("known"))
+    lost = policy.unknown_tables(listing, _policy(spark)).select("table_name", F.lit(None).cast("bigint").alias("rows"), F.lit(False).alias("known"))
+    return known.unionByName(lost)
 
 
 def plan_modes(spark, sf_dir):
@@ -397,6 +447,13 @@ def full_refresh(spark, sf_dir):
     return replica.read()
 
 
+def full_refresh_stamped(spark, sf_dir):
+    """Every row gets the time of the run; the time itself is not compared."""
+    replica = Replica(spark, files.scratch(spark, "replica"), "orders")
+    replica.full_refresh(table(spark, sf_dir, "orders"), ["o_orderkey"], bucket_bytes=BUCKET_BYTES, stamp=True)
+    return replica.read().withColumn("_synced_at", F.col("_synced_at").isNotNull())
+
+
 def full_refresh_unkeyed(spark, sf_dir):
     replica = Replica(spark, files.scratch(spark, "replica"), "lineitem")
     replica.full_refresh(table(spark, sf_dir, "lineitem"))
@@ -543,25 +600,31 @@ def _run_report(spark, sf_dir) -> DataFrame:
             "events": {"field": "ts", "pk": "event_id"},
             "orders": {"field": "o_orderkey", "pk": "o_orderkey"},
             "supplier": {"field": "s_suppkey", "pk": "no_such_column"},
+            "ordres": {"field": "o_orderkey"},
         },
     )
-    return run(spark, {**sources, "missing": broken}, files.scratch(spark, "replica"), rules, bucket_bytes=BUCKET_BYTES)
+    path = files.scratch(spark, "report")
+    run(spark, {**sources, "missing": broken}, files.scratch(spark, "replica"), rules, bucket_bytes=BUCKET_BYTES, report_path=path)
+    # as written: a CSV file
+    written = spark.read.schema(report.REPORT_SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').csv(path, enforceSchema=True)
+    return written
 
 
 def run_report(spark, sf_dir):
     made = _run_report(spark, sf_dir)
-    return made.select("table_name", "mode", "rows", "ok", "watermark")
+    return made.select("table_name", "mode", "rows", "ok", "watermark", F.col("error").isNotNull().alias("failed"))
 
 
 def run_summary(spark, sf_dir):
-    return report.run_summary(_run_report(spark, sf_dir))
+    return report.run_summary(_run_report(spark, sf_dir)).withColumn("duration_sec", F.col("duration_sec") > 0)
 
 
 # catalog profiling
 
 
 def _all_columns(spark, sf_dir) -> DataFrame:
-    own = catalog.columns(spark, inputs.tables(spark, sf_dir))
+    own, _ = catalog.discover(spark, _sources(spark, sf_dir))
+    own = own.select("table_name", "ordinal", "name", "type")
     legacy = spark.sql(inputs.LEGACY_CATALOG, part=table(spark, sf_dir, "part"))
     return own.unionByName(legacy.select("table_name", "ordinal", "name", "type"))
 
@@ -586,7 +649,8 @@ def infer_catalog(spark, sf_dir):
 
 
 def catalog_summary(spark, sf_dir):
-    return catalog.summary(catalog.classify(_all_columns(spark, sf_dir)))
+    _, errors = catalog.discover(spark, _sources(spark, sf_dir))
+    return catalog.summary(catalog.classify(_all_columns(spark, sf_dir)), errors)
 
 
 # streaming
@@ -652,13 +716,13 @@ def flagship(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, scan_pages_text, list_tables, table_schema, table_count,
-        size_probe, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
+        scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, scan_pages_text, list_tables, table_schema, column_profile, table_count,
+        size_probe, size_report, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
         watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds, decimal_to_double, flatten_number,
-        binary_to_text, strip_nul, normalize_row, all_text, sanitize_names, valid_identifiers, name_collisions, target_rows,
-        infer_types_wide, infer_types_json, infer_types_first, pk_check, watermark_max, merge_append, merge_upsert,
+        binary_to_text, strip_nul, normalize_row, normalize_nested, all_text, sanitize_names, valid_identifiers, name_collisions, target_rows,
+        infer_types_wide, infer_types_json, infer_types_first, pk_check, target_ddl, watermark_max, merge_append, merge_upsert,
         merge_upsert_lines, dedupe_last, skip_tables, unknown_policy, plan_modes, resume_slice, full_refresh,
-        full_refresh_unkeyed, incremental_run, incremental_append, incremental_slices, incremental_growth, incremental_replay,
+        full_refresh_stamped, full_refresh_unkeyed, incremental_run, incremental_append, incremental_slices, incremental_growth, incremental_replay,
         incremental_lookback, state_table, state_import, import_then_run, orphan_versions, run_report, run_summary, infer_pk, infer_mtime, infer_soft_delete, infer_catalog,
         catalog_summary, stream_upsert, stream_late, stream_append, flagship,
     )
