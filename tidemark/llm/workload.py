@@ -92,7 +92,45 @@ def op10_simhash(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding, op9_chat_windows, op10_simhash)}
 
+
+
+def _escaped(text: str) -> str:
+    """SQL for the text as a template writes it."""
+    out = f"replace({text}, chr(92), chr(92) || '0')"
+    for code, controls in (("1", ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "<<SYS>>", "<</SYS>>")), ("2", ("[INST]", "[/INST]"))):
+        for c in controls:
+            out = f"replace({out}, '{c}', chr(92) || '{code}{c[1:]}')"
+    return out
+
+
 ORACLE = {
+    "op9_chat_windows": f"""
+WITH all_turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn, ceil(strlen(text) / 4)::BIGINT + 8 AS cost,
+         length('<|im_start|>') + length(replace({_escaped('role')}, chr(10), chr(92) || '3')) + 1 + length({_escaped('text')}) + length('<|im_end|>') + 1 AS chars
+  FROM all_turns
+), placed AS (
+  SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY rn) - cost AS pre, first_value(role) OVER (PARTITION BY conv_id ORDER BY rn) = 'system' AS lead FROM numbered
+), spans AS (SELECT *, pre // 2048 AS span FROM placed),
+starts AS (SELECT conv_id, span, min(pre) AS start FROM spans GROUP BY ALL),
+repeated AS (
+  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.span = s.span + 1
+  WHERE n.start - s.pre <= 512 AND NOT (s.lead AND s.rn = 1)
+  UNION ALL
+  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.span > 0 WHERE s.lead AND s.rn = 1
+), more AS (SELECT conv_id, sum(chars) AS chars FROM repeated GROUP BY conv_id),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+         coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars) AS chars
+  FROM spans GROUP BY conv_id
+)
+SELECT w.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (w.chars + coalesce(m.chars, 0))::BIGINT AS formatted_chars
+FROM whole w LEFT JOIN more m ON w.conv_id IS NOT DISTINCT FROM m.conv_id
+""",
     "op5_exact_top_k": """
 WITH v AS (
   SELECT vec_id, [floor(64 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS t FROM embeddings
