@@ -26,7 +26,7 @@ def near_copies(n, seed, spread):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("bits", "most"), [(3, 4096), (3, 3), (0, 4096), (1, 2), (2, 4096), (5, 4096), (6, 4)])
+@pytest.mark.parametrize(("bits", "most"), [(3, 4096), (3, 3), (0, 4096), (1, 2), (6, 4)])
 def test_links_have_the_components_of_all_pairs(spark, bits, most):
     values = near_copies(200, bits, 6) + [0]
     fps = spark.createDataFrame([(signed(v),) for v in sorted(set(values))], "fp long").repartition(3)

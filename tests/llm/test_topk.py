@@ -36,7 +36,7 @@ def test_against_brute_force(spark):
 
 def test_ties_odd_rows_and_few_candidates(spark):
     same = [0.5, -0.25]
-    rows = [(i, same) for i in range(40)] + [(4, same), (4, [1.0, 1.0]), (7, [9e15, 1.0]), (9, same)]
+    rows = [(i, same) for i in range(40)] + [(4, same), (4, [1.0, 1.0]), (7, [1e13, 1.0]), (9, same)]
     rows += [(50, None), (52, [None, 1.0]), (56, [math.nan, 1.0]), (60, [math.inf]), (None, same), (64, []), (68, [0.1]), (72, [1.0, 2.0, -3.0])]
     check(spark, rows, block=4, group_blocks=2, chunk=3)
     check(spark, rows[:3], k=20)
@@ -44,6 +44,8 @@ def test_ties_odd_rows_and_few_candidates(spark):
     check(spark, [(4, same)])
     with pytest.raises(ValueError):
         check(spark, rows, k=0)
+    with pytest.raises(Exception, match="does not fit"):
+        check(spark, [(4, [1e17]), (5, [1e17])])
 
 
 def test_blocks_are_pruned():

@@ -20,7 +20,7 @@ SAMPLE = 20_000
 VOCABULARY = 4096
 SUFFIX = 3
 SMOOTHING = 0.5
-SHARPNESS = 1.0
+SHARPNESS = 4.0
 MOST_STEPS = 40
 STEPS_TOGETHER = 6  # rates are written after so many steps, which bounds the formula of one
 TOLERANCE = 1e-7

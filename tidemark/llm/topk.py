@@ -24,6 +24,7 @@ GROUP_BLOCKS = 32
 CHUNK = 1024
 
 BLOCKS = "block long, rows int, bytes int, ids binary, terms binary, high binary, low binary"
+LARGEST = np.iinfo(np.int64).max
 HITS = "query_id long, vec_id long, score long"
 
 
@@ -64,7 +65,10 @@ def _wide(a: np.ndarray, dims: int) -> np.ndarray:
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T exactly: in floating point where no sum can leave its whole numbers."""
+    """a @ b.T exactly: in floating point where no sum can leave its whole numbers.
+
+    Products beyond a long come out as the largest or smallest long.
+    """
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), dtype=np.int64)
     reach = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
@@ -72,7 +76,8 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     if reach < 2**62:
         return a @ b.T
-    raise OverflowError("scores do not fit a long")
+    exact = a.astype(object) @ b.T.astype(object)
+    return np.clip(exact, -LARGEST, LARGEST).astype(np.int64)
 
 
 class Searcher:
@@ -86,8 +91,9 @@ class Searcher:
         self.score = np.empty(0, dtype=np.int64)
 
     def bounds(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        q = self.terms
-        return _product(np.maximum(q, 0), high) + _product(np.minimum(q, 0), low)
+        up, down = _product(np.maximum(self.terms, 0), high), _product(np.minimum(self.terms, 0), low)
+        # a sum that leaves a long bounds nothing
+        return np.where((np.maximum(up, down) > LARGEST // 2), LARGEST, up + np.maximum(down, -LARGEST // 2))
 
     def add(self, who: np.ndarray, ids: np.ndarray, terms: np.ndarray) -> None:
         """Score one block for queries `who`."""
@@ -154,6 +160,8 @@ def _search(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame
     high = np.concatenate([matrix(x, 1, b) for x, b in zip(blocks["high"], blocks["bytes"])])
     low = np.concatenate([matrix(x, 1, b) for x, b in zip(blocks["low"], blocks["bytes"])])
     search_blocks(searcher, forward, searcher.bounds(high, low))
+    if len(searcher.score) and np.abs(searcher.score).max() >= LARGEST:
+        raise OverflowError("a score does not fit a long")
     return pd.DataFrame({"query_id": searcher.ids[searcher.query], "vec_id": searcher.vec, "score": searcher.score})
 
 
@@ -167,7 +175,7 @@ def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "e
     Vectors become floor(scale * x). Candidates are all rows but those with the query's own
     key; ties go to the smaller key, and with fewer candidates all are returned. Rows whose
     key or vector is null, or whose vector holds null or non-finite components, take no
-    part. Vectors of different lengths are compared over the components both have. Repeated
+    part. A score beyond a long fails the search. Vectors of different lengths are compared over the components both have. Repeated
     candidate rows count each; repeated query keys ask once, with their smallest vector.
     """
     if k < 1:
