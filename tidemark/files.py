@@ -20,6 +20,15 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     Only a local session without that setting (a test) gets a folder of its own.
     """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this application; no DataFrame made from them can be read after."""
+    delete(spark, _scratch_root(spark))
+
+
+def _scratch_root(spark: SparkSession) -> str:
     global _fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -27,7 +36,7 @@ def scratch(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         _fallback = _fallback or tempfile.mkdtemp(prefix="tidemark-")
         base = _fallback
-    return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
 
 
 class _Hadoop:

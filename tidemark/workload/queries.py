@@ -414,7 +414,8 @@ def _data_state(spark, sf_dir) -> DataFrame:
 
 
 def skip_tables(spark, sf_dir):
-    return policy.without_skipped(catalog.parquet_row_counts(spark, sf_dir), _policy(spark), exclude=["region"])
+    listing = catalog.parquet_row_counts(spark, sf_dir).select("table_name", "rows")
+    return policy.without_skipped(listing, _policy(spark), exclude=["region"])
 
 
 def unknown_policy(spark, sf_dir):
@@ -430,7 +431,7 @@ def plan_modes(spark, sf_dir):
 
 
 def resume_slice(spark, sf_dir):
-    listing = catalog.parquet_row_counts(spark, sf_dir)
+    listing = catalog.parquet_row_counts(spark, sf_dir).select("table_name", "rows")
     plan = policy.modes(listing, _policy(spark), _data_state(spark, sf_dir), full_refresh=True)
     return policy.resume(plan, 5).select("table_name", "mode").join(listing, "table_name")
 
