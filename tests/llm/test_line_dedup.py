@@ -87,13 +87,13 @@ def test_lines_within_the_threshold_share_an_entry_and_sketch(k):
                 assert ((line_dedup.sketch(a) ^ line_dedup.sketch(b)) & (2**64 - 1)).bit_count() <= 2 * k
 
 
-@pytest.mark.parametrize(("k", "least", "most"), [(2, 12, 4096), (2, 7, 3), (1, 5, 2), (0, 1, 4096)])
-def test_against_brute_force(spark, k, least, most):
+@pytest.mark.parametrize(("k", "least", "most", "verified"), [(2, 12, 4096, 4096), (2, 7, 3, 4096), (1, 5, 2, 3), (2, 7, 2, 2), (0, 1, 4096, 4096)])
+def test_against_brute_force(spark, k, least, most, verified):
     lines = varied(7 + k, 70)
     rng = random.Random(1)
     rows = [(i, "\n".join(rng.sample(lines, rng.randint(1, 6)))) for i in range(60)] + [(None, lines[0]), (70, None), (71, ""), (72, "\n\n"), (60, lines[1] + "\t\n " + lines[1])]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lid int, line string").repartition(4)
-    got = line_dedup.dedup_lines(df, threshold=k, least_chars=least, most_together=most).collect()
+    got = line_dedup.dedup_lines(df, threshold=k, least_chars=least, most_together=most, most_verified=verified).collect()
     assert sorted(((r.doc_id, r.line_no, r.class_key, r.class_line, r.links) for r in got), key=str) == brute(rows, k, least)
     kept = [r for r in got if r.kept]
     assert len({(r.class_key, r.class_line) for r in got}) == len(kept)
@@ -110,11 +110,11 @@ def test_repeated_rows_and_no_rows(spark):
 
 
 def test_one_line_in_most_documents_and_counters(spark):
-    df = spark.range(700).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line that everyone has\npage "), F.col("id"), F.lit(" of all the pages")).alias("text"))
-    got = line_dedup.dedup_lines(df, most_together=200)
+    df = spark.range(220).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line that everyone has\npage "), F.col("id"), F.lit(" of all the pages")).alias("text"))
+    got = line_dedup.dedup_lines(df, most_together=30, most_verified=100)
     assert got.where("kept").count() == 2
     # two digits may differ, or be added
-    assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(700) if i != 5 and distance("5", str(i)) <= 2])
+    assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(220) if i != 5 and distance("5", str(i)) <= 2])
 
 
 def test_kept_texts(spark):

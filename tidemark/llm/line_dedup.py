@@ -8,8 +8,9 @@ under an entry are candidates.
 
 Candidates are first held against each other by a sketch, the parities of character
 counts, of which an edit changes two bits at most; what is left is verified on the whole
-lines by a banded bit-parallel edit distance. An entry with more lines than one comparison
-may hold is entered anew under segments of the sketch, which loses no link.
+lines by a banded bit-parallel edit distance. Under an entry with many lines nothing but
+links is written: its lines are brought together and verified on the spot, and where they
+are too many for that, under segments of the sketch as well, which loses no link.
 """
 
 from __future__ import annotations
@@ -29,14 +30,18 @@ from tidemark.llm.simhash import _entries, _segments
 
 THRESHOLD = 2
 LEAST_CHARS = 12
-MOST_TOGETHER = 4096
+MOST_TOGETHER = 256
+MOST_VERIFIED = 4096
 CELLS = 1 << 22
 ROWS_OUT = 1 << 16
 
 
-def normalised(line: Column) -> Column:
-    """White space at the ends off, and each run of it inside as one space."""
-    return F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+def normalised(text: Column) -> Column:
+    """Each run of white space but line ends as one space. Most texts have nothing to replace, and finding that out is cheap."""
+    odd = F.lit(False)
+    for mark in ("  ", "\t", "\x0b", "\f", "\r"):
+        odd = odd | F.contains(text, F.lit(mark))
+    return F.when(odd, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")).otherwise(text)
 
 
 def segments(length: int, threshold: int) -> list[tuple[int, int]]:
@@ -160,7 +165,11 @@ def _enter(threshold: int, least_chars: int):
             for lid, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 entries = plan(len(line))
                 own = sketch(line)
-                keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in entries]
+                if line.isascii():
+                    raw = line.encode()
+                    keys += [digest(raw[a:b], seed) for seed, a, b in entries]
+                else:
+                    keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in entries]
                 lids += [lid] * len(entries)
                 sketches += [own] * len(entries)
                 if len(keys) >= ROWS_OUT:
@@ -172,7 +181,17 @@ def _enter(threshold: int, least_chars: int):
     return enter
 
 
-def _meet(bits: int, most: int | None):
+def _close_pairs(own: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j), i < j, of sketches that differ in at most `bits` bits, block by block."""
+    step = max(1, CELLS // max(1, len(own)))
+    for at in range(0, len(own), step):
+        close = np.bitwise_count(own[at : at + step, None] ^ own[None, at:]) <= bits
+        i, j = np.nonzero(np.triu(close, 1))
+        if len(i):
+            yield at + i, at + j
+
+
+def _meet(bits: int, most: int):
     """Pairs of rows (key, lid, sketch), sorted by key, that meet under a key with close sketches.
 
     Gives (a, b, key, sketch): b is -1 for rows of a key that is put off.
@@ -182,23 +201,16 @@ def _meet(bits: int, most: int | None):
     def batch(a, b, key, own) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(np.broadcast_to(x, len(a))).view(np.int64), pa.int64()) for x in (a, b, np.int64(key), own)], names)
 
-    def pairs(lids: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
-        # a line can be entered twice under a key
-        lids, first = np.unique(lids, return_index=True)
-        own = own[first]
-        step = max(1, CELLS // max(1, len(lids)))
-        for at in range(0, len(lids), step):
-            close = np.bitwise_count(own[at : at + step, None] ^ own[None, at:]) <= bits
-            i, j = np.nonzero(np.triu(close, 1))
-            if len(i):
-                yield batch(lids[at + i], lids[at + j], 0, np.int64(0))
-
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, n, putting_off = None, [], 0, False
 
         def close() -> Iterator[pa.RecordBatch]:
             if n > 1:
-                yield from pairs(*(np.concatenate(x) for x in zip(*held)))
+                lids, own = (np.concatenate(x) for x in zip(*held))
+                # a line can be entered twice under a key
+                lids, first = np.unique(lids, return_index=True)
+                for i, j in _close_pairs(own[first], bits):
+                    yield batch(lids[i], lids[j], 0, np.int64(0))
 
         for rows in batches:
             keys, lids, own = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -207,10 +219,9 @@ def _meet(bits: int, most: int | None):
             own = own.astype(np.int64).view(np.uint64)
             bounds = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
             sizes = np.diff(bounds)
-            last = len(sizes) - 1
             # keys with two rows that lie inside the batch, all at once
             inside = np.ones(len(sizes), dtype=bool)
-            inside[last] = False
+            inside[-1] = False
             inside[0] &= keys[0] != key
             two = bounds[:-1][inside & (sizes == 2)]
             near = two[(np.bitwise_count(own[two] ^ own[two + 1]) <= bits) & (lids[two] != lids[two + 1])]
@@ -227,7 +238,7 @@ def _meet(bits: int, most: int | None):
                     continue
                 held.append((lids[a:b], own[a:b]))
                 n += b - a
-                if most is not None and n > most:
+                if n > most:
                     for x, y in held:
                         yield batch(x, np.int64(-1), key, y)
                     held, n, putting_off = [], 0, True
@@ -236,43 +247,87 @@ def _meet(bits: int, most: int | None):
     return meet
 
 
-def candidates(entries: DataFrame, threshold: int, most_together: int = MOST_TOGETHER) -> DataFrame:
-    """(a, b), a < b: lines that share an entry and whose sketches allow the threshold."""
-    bits = 2 * threshold
-    kind = "a long, b long, key long, sketch long"
-    met = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(bits, most_together), kind)
-    found = staging.staged(met.groupBy("a", "b", "key").agg(F.first("sketch").alias("sketch")), "line-candidates")
-    put_off = found.where("b = -1")
-    pairs = found.where("b >= 0").select("a", "b")
+def _verify_runs(threshold: int):
+    """Links (a, b) among rows (key, lid, sketch, line) sorted by key; a run is held as a whole."""
+
+    def links(rows: list[tuple[int, int, str]]) -> Iterator[pa.RecordBatch]:
+        rows = sorted({r[0]: r for r in rows}.values())
+        own = np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64)
+        for i, j in _close_pairs(own, 2 * threshold):
+            found = [(rows[x][0], rows[y][0]) for x, y in zip(i.tolist(), j.tolist()) if within(rows[x][2], rows[y][2], threshold)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            for k, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != key:
+                    yield from links(held)
+                    key, held = k, []
+                held.append(tuple(row))
+        yield from links(held)
+
+    return verify
+
+
+def _links_of_hot_entries(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
+    """(a, b): the links under entries (lid, key, sketch) that hold many lines.
+
+    Up to `most_verified` lines meet under the entry itself. Beyond, the entry is cut by
+    the sketch: two that differ in at most 2 * threshold bits agree, or nearly, in one segment.
+    """
+    sizes = staging.staged(put_off.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
+    sized = put_off.join(sizes, "key")
+    parts = F.array(*[F.struct(F.lit(z).alias("z"), _entries(F.col("sketch"), s).alias("values")) for z, s in enumerate(_segments(64, 0, 2 * threshold))])
+    large = sized.where(F.col("n") > most_verified).select("lid", "sketch", "key", F.explode(parts).alias("e"))
+    large = large.select("lid", "sketch", "key", "e.z", F.explode("e.values").alias("value")).select(F.xxhash64("key", "z", "value").alias("key"), "lid", "sketch")
+    entries = sized.where(F.col("n") <= most_verified).select("key", "lid", "sketch").unionByName(large)
+    met = entries.join(lines, "lid").select("key", "lid", "sketch", "line").repartition("key").sortWithinPartitions("key")
+    return met.mapInArrow(_verify_runs(threshold), "a long, b long")
+
+
+def edit_links(lines: DataFrame, threshold: int, least_chars: int, most_together: int = MOST_TOGETHER, most_verified: int = MOST_VERIFIED) -> DataFrame:
+    """(a, b), a < b: all pairs of staged distinct lines (lid, line) within `threshold` edits, each once."""
+    entries = lines.mapInArrow(_enter(threshold, least_chars), ENTRIES)
+    met = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(2 * threshold, most_together), "a long, b long, key long, sketch long")
+    found = staging.staged(met, "line-candidates")
+    pairs = staging.staged(found.where("b >= 0").select("a", "b").distinct(), "line-pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+    texts = staging.staged(lines.join(needed, "lid", "left_semi"), "candidate-lines")
+    both = pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
+
+    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.loc[[within(x, y, threshold) for x, y in zip(f["x"], f["y"])], ["a", "b"]] if len(f) else f[["a", "b"]]
+
+    links = both.mapInPandas(verify, "a long, b long")
+    put_off = found.where("b = -1").select(F.col("a").alias("lid"), "key", "sketch")
     if not put_off.isEmpty():
-        parts = F.array(*[F.struct(F.lit(z).alias("z"), _entries(F.col("sketch"), s).alias("values")) for z, s in enumerate(_segments(64, 0, bits))])
-        again = put_off.select(F.col("a").alias("lid"), "key", "sketch", F.explode(parts).alias("e"))
-        again = again.select("lid", "key", "sketch", "e.z", F.explode("e.values").alias("value"))
-        again = again.select(F.xxhash64("key", "z", "value").alias("key"), "lid", "sketch").repartition("key").sortWithinPartitions("key")
-        more = again.mapInArrow(_meet(bits, None), kind)
-        pairs = pairs.unionByName(more.select("a", "b"))
-    return pairs.distinct()
+        links = links.unionByName(_links_of_hot_entries(put_off, lines, threshold, most_verified)).distinct()
+    return staging.staged(links, "line-links")
 
 
 def line_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(at, key, line_no, line): the normalised lines of every row; a null or empty text is one empty line."""
-    rows = df.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("id"), F.col(text).alias("text"))
-    lines = rows.select("at", "id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw"))
-    return lines.select("at", "id", "line_no", normalised(F.col("raw")).alias("line"))
+    rows = df.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
+    lines = rows.select("at", "id", F.posexplode(F.split(normalised(F.col("text")), "\n")).alias("line_no", "raw"))
+    return lines.select("at", "id", "line_no", F.trim("raw").alias("line"))
 
 
 def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, most_together: int = MOST_TOGETHER) -> DataFrame:
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, most_together: int = MOST_TOGETHER, most_verified: int = MOST_VERIFIED) -> DataFrame:
     """One row for each line of `df`: key, line_no, class_key, class_line, links, kept.
 
     Lines link when their normalised texts are within `threshold` edits and both have at
     least `least_chars` characters; shorter ones, empty lines included, are in a class only
     with lines equal to them. A class is a component of these links; its representative, and
     the line that is kept, is the first by (key, row, line number), null keys last. `links`
-    counts the different texts a line's text is linked to. Repeated rows and keys are rows of
+    counts the different texts a line's text is linked to. `most_together` and `most_verified`
+    say where an entry is handled in another way; they leave nothing out. Repeated rows and keys are rows of
     their own. Equality of normalised lines is that of two 64-bit hashes. Other columns are ignored.
     """
     if threshold < 0 or least_chars <= 3 * threshold:
@@ -282,17 +337,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     distinct = lines.groupBy("line").agg(F.lit(1).alias("one")).select(F.monotonically_increasing_id().alias("lid"), "line", *_identity(F.col("line")))
     distinct = staging.staged(distinct, "distinct-lines")
     long_ones = distinct.where(F.char_length("line") >= least_chars).select("lid", "line")
-    pairs = candidates(long_ones.mapInArrow(_enter(threshold, least_chars), ENTRIES), threshold, most_together)
-    pairs = staging.staged(pairs, "line-pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    texts = staging.staged(long_ones.join(needed, "lid", "left_semi"), "candidate-lines")
-    both = pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
-
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.loc[[within(x, y, threshold) for x, y in zip(f["x"], f["y"])], ["a", "b"]] if len(f) else f[["a", "b"]]
-
-    links = staging.staged(both.mapInPandas(verify, "a long, b long"), "line-links")
+    links = edit_links(long_ones, threshold, least_chars, most_together, most_verified)
     degree = links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid").agg(F.count("*").alias("links"))
     roots = components(links).withColumnRenamed("node", "lid")
     texts_of = distinct.select("lid", "h1", "h2").join(roots, "lid", "left").join(degree, "lid", "left")
