@@ -25,7 +25,7 @@ POLICY_INCREMENTAL = {
     "lineitems": {"field": "l_shipdate"},
 }
 
-# A catalog of an older system, one table per part, as SQL both engines run.
+# A catalog of an older system, one table per part, as SQL for the other engine.
 LEGACY_CATALOG = """
 WITH p AS (
   SELECT concat(replace(p_name, ' ', '_'), cast(p_partkey AS varchar(20))) AS base, p_brand, p_type, p_size, p_retailprice
