@@ -59,3 +59,12 @@ def test_run(spark, sf_dir):
         parts.sort()
         assert [a for a, _ in parts] == [int(x) for x in np.cumsum([0, *[n for _, n in parts][:-1]])]
         assert parts[-1][0] + parts[-1][1] <= 1024
+
+
+def test_nothing_and_odd_rows(spark, root, no_documents):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, shard int"
+    rows = [(1, None, None, None, None, 1), (None, "some words here", "en", "s", 3, 1), (2, "", "en", "s", 0, 1), (2, "some words here", "xx", "s", 0, 1), (3, "other words again " * 4000, "de", "s", 0, 1)]
+    for name, found, kept in (("none", [], set()), ("odd", rows, {1, 2, 3})):
+        spark.createDataFrame(found, kind).write.parquet(f"{root}/{name}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/{name}/labels.parquet")
+        assert {r.doc_id for r in corpus_pipeline.run(spark, f"{root}/{name}").collect()} == kept

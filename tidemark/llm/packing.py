@@ -114,7 +114,7 @@ def tokenised(df: DataFrame, json: str, ranks: str, key: str = "doc_id", text: s
         if made:
             yield flush()
 
-    schema = T.StructType([T.StructField(key, kind), *T._parse_datatype_string(PIECES).fields])
+    schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(PIECES)])
     return staging.staged(df.select(key, text).mapInArrow(split, schema), "pieces")
 
 
