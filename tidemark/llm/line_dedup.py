@@ -32,6 +32,7 @@ THRESHOLD = 2
 LEAST_CHARS = 12
 MOST_TOGETHER = 256
 MOST_VERIFIED = 4096
+SKETCH_BITS = 32  # letters fall into bits of their own, and every entry carries a sketch
 CELLS = 1 << 22
 ROWS_OUT = 1 << 16
 
@@ -73,10 +74,10 @@ def places(length: int, shorter: int, threshold: int) -> list[tuple[int, int, in
 
 
 def sketch(line: str) -> int:
-    """Parities of the counts of characters, by their code modulo 64, as a signed 64-bit number."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4") & 63
-    odd = np.bincount(codes, minlength=64) & 1
-    return int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0])
+    """Parities of the counts of characters, by their code modulo the bits of the sketch."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4") % SKETCH_BITS
+    odd = np.bincount(codes, minlength=SKETCH_BITS) & 1
+    return int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<u4")[0])
 
 
 def within(a: str, b: str, threshold: int) -> bool:
@@ -279,7 +280,7 @@ def _links_of_hot_entries(put_off: DataFrame, lines: DataFrame, threshold: int,
     """
     sizes = staging.staged(put_off.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
     sized = put_off.join(sizes, "key")
-    parts = F.array(*[F.struct(F.lit(z).alias("z"), _entries(F.col("sketch"), s).alias("values")) for z, s in enumerate(_segments(64, 0, 2 * threshold))])
+    parts = F.array(*[F.struct(F.lit(z).alias("z"), _entries(F.col("sketch"), s).alias("values")) for z, s in enumerate(_segments(SKETCH_BITS, 0, 2 * threshold))])
     large = sized.where(F.col("n") > most_verified).select("lid", "sketch", "key", F.explode(parts).alias("e"))
     large = large.select("lid", "sketch", "key", "e.z", F.explode("e.values").alias("value")).select(F.xxhash64("key", "z", "value").alias("key"), "lid", "sketch")
     entries = sized.where(F.col("n") <= most_verified).select("key", "lid", "sketch").unionByName(large)
