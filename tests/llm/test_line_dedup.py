@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import product
 
 import pytest
 from hypothesis import given, settings
@@ -117,6 +118,30 @@ def test_one_line_in_most_documents_and_counters(spark):
     assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(220) if i != 5 and distance("5", str(i)) <= 2])
 
 
+@pytest.mark.parametrize("k", [1, 2])
+def test_short_rests_share_an_entry(k):
+    def entries(x):
+        return {(n * (k + 1) + i, x[p : p + s]) for n in range(max(0, len(x) - k), len(x) + 1) for i, p, s in line_dedup.places(len(x), n, k)}
+
+    texts = ["".join(x) for n in range(7) for x in product("ab", repeat=n)]
+    entered = {x: entries(x) for x in texts}
+    assert all(entered[a] & entered[b] for a in texts for b in texts if line_dedup.within(a, b, k))
+
+
+@pytest.mark.parametrize("made", ["order {:06d} was shipped to the customer", "{:03d} {:03d} was shipped to the customer {:03d}"])
+def test_lines_of_one_template_meet_in_bounded_runs(spark, made):
+    rng = random.Random(3)
+    texts = sorted({made.format(*(rng.randrange(1000) for _ in range(3))) for _ in range(1200)})
+    lines = spark.createDataFrame(list(enumerate(texts)), "lid long, line string")
+    put_off = lines.select("lid", F.lit(1).cast("long").alias("key"), F.udf(line_dedup.sketch, "long")("line").alias("sketch"))
+    runs = line_dedup._runs(put_off, lines, 2, 100).localCheckpoint()
+    # a block's lines are chosen by a hash, so its size is not exact
+    assert max(r["count"] for r in runs.groupBy("key").count().collect()) <= 300
+    got = line_dedup._links_of_hot_entries(put_off, lines, 2, 100).distinct().collect()
+    near = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[i + 1 :], i + 1) if line_dedup.within(a, b, 2)}
+    assert {(r.a, r.b) for r in got} == near
+
+
 def test_kept_texts(spark):
     df = spark.createDataFrame([(1, "first line here\nsecond line here"), (2, "first  line here.\nthird one is new"), (3, "second line hera")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.kept_texts(df).collect()}

@@ -9,13 +9,17 @@ under an entry are candidates.
 Candidates are first held against each other by a sketch, the parities of character
 counts, of which an edit changes two bits at most; what is left is verified on the whole
 lines by a banded bit-parallel edit distance. Under an entry with many lines nothing but
-links is written: its lines are brought together and verified on the spot, and where they
-are too many for that, under segments of the sketch as well, which loses no link.
+links is written: its lines are brought together and verified on the spot. Where they are
+too many for that, what all of them begin and end with is taken off, which changes no
+distance, and the rest is entered again; runs that stay too large meet block against block,
+each two blocks in a run of their own. Neither loses a link.
 """
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,12 +30,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import staging
 from tidemark.llm.components import components
-from tidemark.llm.simhash import _entries, _segments
 
 THRESHOLD = 2
 LEAST_CHARS = 12
 MOST_TOGETHER = 256
 MOST_VERIFIED = 4096
+ROUNDS = 3  # how often lines are entered again before blocks of them meet
 SKETCH_BITS = 32  # letters fall into bits of their own, and every entry carries a sketch
 CELLS = 1 << 22
 ROWS_OUT = 1 << 16
@@ -138,8 +142,7 @@ def _banded(a: str, b: str, k: int) -> int:
 ENTRIES = "key long, lid long, sketch long"
 
 
-def _enter(threshold: int, least_chars: int):
-    names = ["key", "lid", "sketch"]
+def _planner(threshold: int, least_chars: int):
     plans: dict[int, list[tuple[int, int, int]]] = {}
 
     def plan(length: int) -> list[tuple[int, int, int]]:
@@ -154,6 +157,13 @@ def _enter(threshold: int, least_chars: int):
             ]
         return plans[length]
 
+    return plan
+
+
+def _enter(threshold: int, least_chars: int):
+    names = ["key", "lid", "sketch"]
+    plan = _planner(threshold, least_chars)
+
     def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
@@ -182,14 +192,51 @@ def _enter(threshold: int, least_chars: int):
     return enter
 
 
-def _close_pairs(own: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j), i < j, of sketches that differ in at most `bits` bits, block by block."""
-    step = max(1, CELLS // max(1, len(own)))
+def _enter_again(threshold: int):
+    """Entries (key, lid, sketch, cut) of what is left of lines without the ends that their run shares."""
+    plan = _planner(threshold, 0)
+
+    def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for key, lid, own, line, head, tail in zip(*(c.to_pylist() for c in batch.columns)):
+                rest, under = line[head : len(line) - tail], key.to_bytes(8, "little", signed=True)
+                keys = {digest(under + rest[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in plan(len(rest))}
+                out += [(k - (k >> 63 << 64), lid, own, head + tail) for k in keys]
+                if len(out) >= ROWS_OUT:
+                    yield _batch(out, ["key", "lid", "sketch", "cut"])
+                    out = []
+            if out:
+                yield _batch(out, ["key", "lid", "sketch", "cut"])
+
+    return enter
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+
+
+def _shared(texts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, n, head, tail): characters that all lines of a run begin and end with, from the least and greatest of them."""
+    for f in texts:
+        heads = [len(os.path.commonprefix([x, y])) for x, y in zip(f["low"], f["high"])]
+        tails = [len(os.path.commonprefix([x, y])) for x, y in zip(f["back_low"], f["back_high"])]
+        tails = [min(t, least - h) for t, least, h in zip(tails, f["least"], heads)]
+        yield pd.DataFrame({"key": f["key"], "n": f["n"], "head": pd.Series(heads, dtype="int64"), "tail": pd.Series(tails, dtype="int64")})
+
+
+def _close_pairs(own: np.ndarray, bits: int, other: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of sketches that differ in at most `bits` bits, block by block: i < j, or i in `own` and j in `other`."""
+    step = max(1, CELLS // max(1, len(own if other is None else other)))
     for at in range(0, len(own), step):
-        close = np.bitwise_count(own[at : at + step, None] ^ own[None, at:]) <= bits
-        i, j = np.nonzero(np.triu(close, 1))
+        if other is None:
+            close = np.triu(np.bitwise_count(own[at : at + step, None] ^ own[None, at:]) <= bits, 1)
+        else:
+            close = np.bitwise_count(own[at : at + step, None] ^ other[None, :]) <= bits
+        i, j = np.nonzero(close)
         if len(i):
-            yield at + i, at + j
+            yield at + i, j + (at if other is None else 0)
 
 
 def _meet(bits: int, most: int):
@@ -249,43 +296,88 @@ def _meet(bits: int, most: int):
 
 
 def _verify_runs(threshold: int):
-    """Links (a, b) among rows (key, lid, sketch, line) sorted by key; a run is held as a whole."""
+    """Links (a, b) among rows (key, side, lid, sketch, line) sorted by key; a run is held as a whole.
+
+    Lines of side 0 are held against each other, those of side 1 against those of side 2.
+    """
 
-    def links(rows: list[tuple[int, int, str]]) -> Iterator[pa.RecordBatch]:
-        rows = sorted({r[0]: r for r in rows}.values())
-        own = np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64)
-        for i, j in _close_pairs(own, 2 * threshold):
-            found = [(rows[x][0], rows[y][0]) for x, y in zip(i.tolist(), j.tolist()) if within(rows[x][2], rows[y][2], threshold)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+    def close(sides: list[list[tuple]]) -> Iterator[tuple[list[tuple], list[tuple], np.ndarray, np.ndarray]]:
+        own = [np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64) for rows in sides]
+        for i, j in _close_pairs(own[0], 2 * threshold):
+            yield sides[0], sides[0], i, j
+        if sides[1] and sides[2]:
+            for i, j in _close_pairs(own[1], 2 * threshold, own[2]):
+                yield sides[1], sides[2], i, j
+
+    def links(held: dict[tuple[int, int], tuple]) -> Iterator[pa.RecordBatch]:
+        for one, two, i, j in close([sorted(r for (side, _), r in held.items() if side == s) for s in range(3)]):
+            for at in range(0, len(i), ROWS_OUT):
+                met = ((one[x], two[y]) for x, y in zip(i[at : at + ROWS_OUT].tolist(), j[at : at + ROWS_OUT].tolist()))
+                found = [(min(x[0], y[0]), max(x[0], y[0])) for x, y in met if x[0] != y[0] and within(x[2], y[2], threshold)]
+                if found:
+                    yield _batch(found, ["a", "b"])
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held = None, {}
         for batch in batches:
-            for k, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            for k, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != key:
                     yield from links(held)
-                    key, held = k, []
-                held.append(tuple(row))
+                    key, held = k, {}
+                held[side, row[0]] = tuple(row)
         yield from links(held)
 
     return verify
 
 
-def _links_of_hot_entries(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
-    """(a, b): the links under entries (lid, key, sketch) that hold many lines.
+def _in_blocks(large: DataFrame, most_verified: int) -> DataFrame:
+    """(key, side, lid, sketch): every two blocks of the lines under an entry as a run."""
+    blocks = F.ceil(F.col("n") / most_verified).cast("long")
+    rows = large.select("key", "lid", "sketch", blocks.alias("blocks"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("lid"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), side.alias("side"), "lid", "sketch")
+
+
+def _runs(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
+    """(key, side, lid, sketch): the lines under hot entries (lid, key, sketch) in runs of about 2 * `most_verified` lines at most.
 
-    Up to `most_verified` lines meet under the entry itself. Beyond, the entry is cut by
-    the sketch: two that differ in at most 2 * threshold bits agree, or nearly, in one segment.
+    Up to `most_verified` lines meet under the entry itself. Beyond, they are entered again
+    without the ends that all of them share; where that takes nothing more off, blocks meet.
     """
-    sizes = staging.staged(put_off.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
-    sized = put_off.join(sizes, "key")
-    parts = F.array(*[F.struct(F.lit(z).alias("z"), _entries(F.col("sketch"), s).alias("values")) for z, s in enumerate(_segments(SKETCH_BITS, 0, 2 * threshold))])
-    large = sized.where(F.col("n") > most_verified).select("lid", "sketch", "key", F.explode(parts).alias("e"))
-    large = large.select("lid", "sketch", "key", "e.z", F.explode("e.values").alias("value")).select(F.xxhash64("key", "z", "value").alias("key"), "lid", "sketch")
-    entries = sized.where(F.col("n") <= most_verified).select("key", "lid", "sketch").unionByName(large)
-    met = entries.join(lines, "lid").select("key", "lid", "sketch", "line").repartition("key").sortWithinPartitions("key")
-    return met.mapInArrow(_verify_runs(threshold), "a long, b long")
+    left = put_off.select("key", "lid", "sketch", F.lit(0).cast("long").alias("cut"))
+    runs = []
+    for _ in range(ROUNDS):
+        sizes = staging.staged(left.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
+        sized = left.join(sizes, "key")
+        runs.append(sized.where(F.col("n") <= most_verified).select("key", F.lit(0).alias("side"), "lid", "sketch"))
+        if sizes.where(F.col("n") > most_verified).isEmpty():
+            break
+        large = staging.staged(sized.where(F.col("n") > most_verified).drop("n").join(lines, "lid"), "hot-lines")
+        back = F.reverse("line")
+        ends = large.groupBy("key").agg(
+            F.count("*").alias("n"), F.min(F.char_length("line")).alias("least"),
+            F.min("line").alias("low"), F.max("line").alias("high"), F.min(back).alias("back_low"), F.max(back).alias("back_high"),
+        )
+        ends = staging.staged(ends.mapInPandas(_shared, "key long, n long, head long, tail long"), "hot-ends")
+        ended = large.join(ends, "key")
+        shorter = F.col("head") + F.col("tail") > F.col("cut")
+        runs.append(_in_blocks(ended.where(~shorter), most_verified))
+        again = ended.where(shorter).select("key", "lid", "sketch", "line", "head", "tail")
+        left = staging.staged(again.mapInArrow(_enter_again(threshold), "key long, lid long, sketch long, cut long"), "entered-again")
+    else:
+        sizes = staging.staged(left.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
+        sized = left.join(sizes, "key")
+        runs.append(sized.where(F.col("n") <= most_verified).select("key", F.lit(0).alias("side"), "lid", "sketch"))
+        runs.append(_in_blocks(sized.where(F.col("n") > most_verified), most_verified))
+    return reduce(DataFrame.unionByName, runs)
+
+
+def _links_of_hot_entries(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
+    """(a, b): the links under entries (lid, key, sketch) that hold many lines."""
+    met = _runs(put_off, lines, threshold, most_verified).join(lines, "lid").select("key", "side", "lid", "sketch", "line")
+    return met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify_runs(threshold), "a long, b long")
 
 
 def edit_links(lines: DataFrame, threshold: int, least_chars: int, most_together: int = MOST_TOGETHER, most_verified: int = MOST_VERIFIED) -> DataFrame:
