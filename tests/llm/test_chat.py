@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -56,6 +57,43 @@ def test_history_is_limited(spark):
     assert sum(len(w.loss) for w in made) == 20
 
 
+def costs_of(w):
+    """(costs of the repeated turns, costs of the window's own turns)."""
+    costs = [-(-len(t.text.encode()) // 4) + chat.TURN_COST for t in w.turns]
+    return costs[: w.repeated], costs[w.repeated :]
+
+
+@pytest.mark.parametrize(("limit", "history"), [(None, 40), (200, 40), (200, 150), (60, 0)])
+def test_long_conversations_keep_to_the_budget(spark, limit, history):
+    budget = limit or 200
+    rng = random.Random(4)
+    size = lambda i: 4 * budget if i % 37 == 5 else rng.choice((0, 9, 90, 300, 2 * budget))
+    rows = [(c, i, "system" if c and i == 0 else ("user", "assistant")[i % 2], "w" * (70 if c and i == 0 else size(i))) for c in range(2) for i in range(150)]
+    rows += [(2, 0, "user", "a" * 370), (2, 1, "user", "b" * 20000), (2, 2, "assistant", "c" * 8)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    made = chat.windows(df, budget=budget, history=history, limit=limit)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(made).collect()}
+    assert got == brute(rows)
+    with_history = 0
+    for w in made.withColumn("turns", chat.read_turns(F.col("formatted"))).collect():
+        repeated, own = costs_of(w)
+        assert sum(own) <= budget or len(own) == 1
+        lead = int(bool(repeated) and w.turns[0].role == "system")
+        assert sum(repeated[lead:]) <= history
+        with_history += len(repeated) > lead
+        if limit:
+            assert sum(repeated) + sum(own) <= limit or (len(own) == 1 and len(repeated) == lead)
+    assert bool(with_history) == bool(history)
+    # the turn above the budget shares its window with no turn before it
+    assert made.where("conv_id = 2").count() == 3
+
+
+def test_a_conversation_within_the_limit_is_one_window(spark):
+    rows = [(1, i, "user", "word " * 8) for i in range(113)]  # 2,034 in all
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert chat.windows(df, limit=2048).count() == 1
+
+
 def test_one_long_conversation_is_dealt_out(spark):
     df = spark.range(20000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("some words").alias("text"))
     made = chat.windows(df.repartition(8))

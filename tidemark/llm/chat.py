@@ -1,9 +1,11 @@
 """Chat formatting in budgeted windows of whole turns.
 
-Prefix sums of turn costs over a conversation cut it into spans: a turn belongs to the span
-in whose share of the budget it starts. A window is the system turn, a limited history
-(turns that start within `history` before the span) and the span itself. Repeated turns are
-masked, so over all windows every assistant text is under the loss exactly once.
+Prefix sums of turn costs over a conversation cut it into spans. A turn of more than half
+the room is a span by itself; of the others, those that start in the same cell of the sums
+are one, and a cell is shorter than the room by what the largest of them can stand out. A
+window is the system turn, a limited history (turns that start within `history` before the
+span) and the span itself. Repeated turns are masked, so over all windows every assistant
+text is under the loss exactly once.
 
 Prefix sums are taken over all rows in one order, so a conversation of any length is dealt
 over many partitions; only what a reader asks of a whole conversation puts it together.
@@ -55,15 +57,21 @@ def cost(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / 4) + TURN_COST).cast("long")
 
 
-def windows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def windows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, history: int = HISTORY, limit: int | None = None) -> DataFrame:
     """(conv_id, window, formatted, repeated, loss): the windows of every conversation.
 
     Turns follow each other by turn (null first), then role and text; repeated rows are
     turns of their own. Null texts and roles are empty. `repeated` counts the leading turns
     that another window has as its own; `loss` holds [start, end) in characters of
     `formatted` for each assistant text that is this window's own. The first turn is
-    repeated in every window when its role is system. A turn above the budget is a span by
-    itself. Rows with a null conversation are one conversation; other columns are ignored.
+    repeated in every window when its role is system. Rows with a null conversation are one
+    conversation; other columns are ignored.
+
+    A span's own turns cost `budget` at most, a turn above it alone. The system turn and the
+    history come on top, unless `limit` is given: then no window costs more than that in all,
+    but for one whose only turn of its own does not fit beside the system turn, which has no
+    history. With a limit, the room is what it leaves beside the system turn and the history;
+    a conversation within the limit is one window, and history gives way to a large turn.
     """
     if not 0 <= history <= budget:
         raise ValueError("history must be from 0 to the budget")
@@ -76,17 +84,45 @@ def windows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     # one row for each written partition
     base = totals.select("part", F.coalesce(F.sum("all").over(earlier.orderBy("part")), F.lit(0)).alias("base"))
     running = F.coalesce(F.sum("cost").over(earlier.partitionBy("part").orderBy("at")), F.lit(0))
-    sums = costs.withColumn("before", running).join(F.broadcast(base), "part").select("at", "conv", "system", (F.col("base") + F.col("before")).alias("from"))
+    sums = costs.withColumn("before", running).join(F.broadcast(base), "part").select("at", "conv", "system", "cost", (F.col("base") + F.col("before")).alias("from"))
     sums = staging.staged(sums, "prefix-sums")
-    heads = staging.staged(sums.groupBy("conv").agg(F.min("from").alias("head"), F.min_by("at", "from").alias("head_at"), F.min_by("system", "from").alias("lead")), "heads")
+    heads = sums.groupBy("conv").agg(
+        F.min("from").alias("head"), F.min_by("at", "from").alias("head_at"), F.min_by("system", "from").alias("lead"), F.min_by("cost", "from").alias("first_cost"), F.sum("cost").alias("total")
+    )
+    if limit is None:
+        # what a whole window may cost, and what its span may
+        heads = heads.withColumn("space", F.lit(None).cast("long")).withColumn("room", F.lit(budget).cast("long")).withColumn("whole", F.lit(False))
+    else:
+        beside = F.greatest(F.lit(limit) - F.when(F.col("lead"), F.col("first_cost")).otherwise(0), F.lit(1)).cast("long")
+        kept_free = F.least(F.lit(history), F.floor(beside / 2))
+        room = F.least(F.lit(budget), beside - kept_free).cast("long")
+        heads = heads.withColumn("space", beside).withColumn("room", room).withColumn("whole", F.col("total") <= limit)
+    heads = staging.staged(heads.select("conv", "head", "head_at", "lead", "space", "room", "whole"), "heads")
     same = sums["conv"].eqNullSafe(heads["conv"])
-    spans = sums.join(heads, same).select("at", sums["conv"], "head_at", "lead", (F.col("from") - F.col("head")).alias("from"))
-    spans = staging.staged(spans.withColumn("span", F.floor(F.col("from") / budget)), "spans")
-    starts = staging.staged(spans.groupBy("head_at", "span").agg(F.min("from").alias("start"), F.first("lead").alias("lead")), "starts")
-    # a turn is history where the next span starts at most `history` after it does; any later one starts above a budget after it
-    later = spans.select("at", "head_at", "from", (F.col("span") + 1).alias("span"))
-    past = later.join(starts, ["head_at", "span"]).where((F.col("start") - F.col("from") <= history) & ~(F.col("lead") & (F.col("at") == F.col("head_at"))))
-    lead = starts.where(F.col("lead") & (F.col("span") > 0))
+    is_large = ~F.col("whole") & (F.col("cost") > F.col("room") / 2)
+    turns = sums.join(heads, same).select("at", "head_at", "lead", "space", "room", "whole", "cost", (F.col("from") - F.col("head")).alias("from"), is_large.alias("large"))
+    turns = staging.staged(turns, "turns-in-conversations")
+    # large turns before a turn, in the order of all rows
+    numbers = turns.select("at", "large", staging.part(F.col("at")).alias("part"))
+    larges = numbers.groupBy("part").agg(F.sum(F.col("large").cast("long")).alias("all"))
+    larges_base = larges.select("part", F.coalesce(F.sum("all").over(earlier.orderBy("part")), F.lit(0)).alias("base"))
+    larges_before = F.coalesce(F.sum(F.col("large").cast("long")).over(earlier.partitionBy("part").orderBy("at")), F.lit(0))
+    numbers = numbers.withColumn("before", larges_before).join(F.broadcast(larges_base), "part").select("at", (F.col("base") + F.col("before")).alias("larges"))
+    widest = turns.groupBy("head_at").agg(F.max(F.when(~F.col("large"), F.col("cost"))).alias("widest"), F.min("at").alias("at")).join(numbers, "at").select("head_at", F.coalesce("widest", F.lit(1)).alias("widest"), F.col("larges").alias("larges_head"))
+    cell = F.when(F.col("whole"), F.lit(0)).otherwise(F.floor(F.col("from") / (F.col("room") - F.col("widest") + 1)))
+    # rises with the turns; a large turn has a number of its own
+    number = cell + 2 * (F.col("larges") - F.col("larges_head")) + F.col("large").cast("long")
+    spans = turns.join(numbers, "at").join(widest, "head_at").select("at", "head_at", "lead", "space", "cost", "from", number.cast("long").alias("span"))
+    spans = staging.staged(spans, "spans")
+    starts = spans.groupBy("head_at", "span").agg(F.min("from").alias("start"), F.first("lead").alias("lead"), F.first("space").alias("space"), F.sum("cost").alias("own"))
+    starts = staging.staged(starts, "starts")
+    # a turn is history of the spans that start at most `reach` after it does; turns and starts meet in cells of `history`
+    reach = F.when(F.col("space").isNull(), F.lit(history)).otherwise(F.least(F.lit(history), F.greatest(F.col("space") - F.col("own"), F.lit(0))))
+    width = max(history, 1)
+    ahead = starts.where(F.col("start") > 0).select("head_at", "span", "start", "lead", reach.alias("reach"), F.explode(F.array(F.floor(F.col("start") / width), F.floor(F.col("start") / width) - 1)).alias("cell"))
+    behind = spans.select("at", "head_at", "from", F.floor(F.col("from") / width).alias("cell"))
+    past = ahead.join(behind, ["head_at", "cell"]).where((F.col("from") < F.col("start")) & (F.col("start") - F.col("from") <= F.col("reach")) & ~(F.col("lead") & (F.col("at") == F.col("head_at"))))
+    lead = starts.where(F.col("lead") & (F.col("start") > 0))
     parts = (
         spans.select("at", "head_at", "span", F.lit(True).alias("own"))
         .unionByName(past.select("at", "head_at", "span", F.lit(False).alias("own")))

@@ -82,7 +82,7 @@ def op9_chat_windows(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    return chat.read_back(chat.windows(turns))
+    return chat.read_back(chat.windows(turns, limit=chat.BUDGET))
 
 
 def op10_simhash(spark, sf_dir):
