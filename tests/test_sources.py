@@ -237,3 +237,12 @@ def test_jdbc_names_are_quoted_once():
     con.execute(jdbc.merge_statement("S.Live", jdbc.staging_table("S.Live"), ["k", "v"], ["k"]))
     con.execute(f"DROP TABLE {jdbc.staging_table('S.Live')}")
     assert con.execute('SELECT * FROM "S"."Live"').fetchall() == [(1, "a")]
+
+
+def test_only_whole_marks_of_writers_are_left_out(spark, tmp_path):
+    tables_of_users = ["_committed_12", "_committed_sales", "_started_jobs", "_temporary_orders", "_SUCCESS_rates", "_spark_metadata_copy", "orders"]
+    for name in [*tables_of_users, "_temporary", "_spark_metadata"]:
+        (tmp_path / name).mkdir()
+    for name in ("_SUCCESS", "_started_4711", "_committed_4711", "_committed_vacuum4711", ".hidden"):
+        (tmp_path / name).touch()
+    assert list(tables.list_tables(spark, str(tmp_path))) == sorted(tables_of_users)

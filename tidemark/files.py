@@ -5,6 +5,7 @@ Everything goes through Hadoop's FileSystem, so any path Spark can read works.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -76,7 +77,8 @@ def bare(spark: SparkSession, path: str) -> str:
 
 
 # What Spark's writers leave beside their data.
-MARKERS = ("_SUCCESS", "_temporary", "_started_", "_committed_", "_spark_metadata")
+MARKERS = ("_SUCCESS", "_temporary", "_spark_metadata")
+MARK_FILES = re.compile(r"_(started|committed)_(vacuum)?\d+")
 
 
 def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
@@ -86,8 +88,12 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     fs = _fs(spark, path)
     if not fs.exists(where):
         return []
-    found = [(s.getPath().getName(), s.getModificationTime() / 1000.0) for s in fs.listStatus(where)]
-    return sorted(e for e in found if not e[0].startswith((".", *MARKERS)))
+    found = [(s.getPath().getName(), s.getModificationTime() / 1000.0, s.isFile()) for s in fs.listStatus(where)]
+    return sorted((name, changed) for name, changed, is_file in found if not _is_mark(name, is_file))
+
+
+def _is_mark(name: str, is_file: bool) -> bool:
+    return name.startswith(".") or name in MARKERS or (is_file and MARK_FILES.fullmatch(name) is not None)
 
 
 def matching(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
