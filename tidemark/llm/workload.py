@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark import files
-from tidemark.llm import chat, exact_dedup, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, warc
+from tidemark.llm import chat, exact_dedup, filter_audit, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, warc
 
 
 def _table(spark, sf_dir, name):
@@ -90,7 +90,18 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding, op9_chat_windows, op10_simhash)}
+def op13_filter_audit(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.quality_audit(docs, _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding,
+        op9_chat_windows, op10_simhash, op13_filter_audit,
+    )
+}
 
 
 
@@ -104,6 +115,39 @@ def _escaped(text: str) -> str:
 
 
 ORACLE = {
+    "op13_filter_audit": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d
+), l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         concat(CASE WHEN len(words) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > least THEN 'E' END) AS fails
+  FROM w LEFT JOIN l USING (doc_id)
+), c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT x AS o FROM letters UNION ALL SELECT o || x FROM orders, letters WHERE length(o) < 5 AND NOT contains(o, x)
+), s AS (
+  SELECT o AS filter_order, step::INT AS step, substr(o, step, 1) AS x, substr(o, 1, step - 1) AS before
+  FROM (SELECT o FROM orders WHERE length(o) = 5), range(1, 6) AS r(step)
+), m AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS hit,
+         before <> '' AND regexp_matches(fails, '[' || CASE before WHEN '' THEN '-' ELSE before END || ']') AS gone
+  FROM s, c
+), e AS (
+  SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM m GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley
+FROM e
+""",
     "op9_chat_windows": f"""
 WITH all_turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
