@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark import files
-from tidemark.llm import chat, exact_dedup, filter_audit, line_dedup, mixing, packing, sharding, simhash, topk, toxicity, warc
+from tidemark.llm import chat, exact_dedup, filter_audit, line_dedup, mixing, packing, periodic_runs, sharding, simhash, topk, toxicity, warc
 
 
 def _table(spark, sf_dir, name):
@@ -90,6 +90,11 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_periodic_runs(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.with_planted_runs(docs)))
+
+
 def op13_filter_audit(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return filter_audit.quality_audit(docs, _table(spark, sf_dir, "labels"))
@@ -99,7 +104,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding,
-        op9_chat_windows, op10_simhash, op13_filter_audit,
+        op9_chat_windows, op10_simhash, op12_periodic_runs, op13_filter_audit,
     )
 }
 
