@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 LEAST_LENGTH = 6
 LEAST_EXPONENT = 4
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 16
 CHECKED = 1 << 21
 
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
@@ -205,8 +205,8 @@ def _batch_runs(texts: list[bytes | None], least_length: int, least_exponent: in
     """(n_words, runs, collapsed) of some texts as columns."""
     numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     split = [t.split() if t else [] for t in texts]
-    words = np.fromiter((numbers[w] for words in split for w in words), dtype=np.int64)
     sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    words = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(sizes.sum()))
     of, *found = find_runs(words, sizes, least_length, least_exponent)
     edges = np.searchsorted(of, np.arange(len(split) + 1)).tolist()
     runs = list(zip(*(x.tolist() for x in found)))
