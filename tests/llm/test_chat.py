@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,6 +131,27 @@ def test_query_over_the_given_table(spark, sf_dir):
     assert got == brute(rows)
 
 
+def test_query_against_its_sql_on_long_conversations(spark, tmp_path):
+    """The given conversations all fit a window; these are cut into many, with large turns, system turns and history."""
+    rng = random.Random(11)
+    rows = []
+    for c in range(12):
+        n = rng.choice((1, 2, 40, 300))
+        for i in range(n):
+            role = "system" if i == 0 and c % 3 else ("user", "assistant")[i % 2]
+            size = 9000 if i and rng.random() < 0.03 else 1500 * (c % 4) if i == 0 else rng.choice((0, 7, 90, 300, 2000))
+            rows.append((c if c else None, i, role, "wörd <s> "[: size % 9] + "x" * size))
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    result = con.sql(workload.ORACLE["op9_chat_windows"])
+    made = workload.op9_chat_windows(spark, str(tmp_path))
+    got = made.select(*result.columns).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(result.fetchall(), key=str)
+    whole = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+    assert chat.windows(whole, limit=chat.BUDGET).count() > 3 * len(got)
+
+
 def test_no_conversations(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.windows(none)).collect() == []

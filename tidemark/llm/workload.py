@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark import files
-from tidemark.llm import chat, exact_dedup, filter_audit, line_dedup, mixing, packing, periodic_runs, sharding, simhash, topk, toxicity, warc
+from tidemark.llm import chat, exact_dedup, filter_audit, line_dedup, mixing, packing, periodic_runs, repair, sharding, simhash, topk, toxicity, warc
 
 
 def _table(spark, sf_dir, name):
@@ -90,6 +90,13 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_token_ids(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = files.scratch(spark, "token-ids")
+    repair.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return repair.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.with_planted_runs(docs)))
@@ -104,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_toxicity, op3_best_fit_packing, op4_warc_revisits, op5_exact_top_k, op6_mixing, op7_exact_dedup, op8_sharding,
-        op9_chat_windows, op10_simhash, op12_periodic_runs, op13_filter_audit,
+        op9_chat_windows, op10_simhash, op11_token_ids, op12_periodic_runs, op13_filter_audit,
     )
 }
 
@@ -162,14 +169,23 @@ WITH all_turns AS (
          length('<|im_start|>') + length(replace({_escaped('role')}, chr(10), chr(92) || '3')) + 1 + length({_escaped('text')}) + length('<|im_end|>') + 1 AS chars
   FROM all_turns
 ), placed AS (
-  SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY rn) - cost AS pre, first_value(role) OVER (PARTITION BY conv_id ORDER BY rn) = 'system' AS lead FROM numbered
-), spans AS (SELECT *, pre // 2048 AS span FROM placed),
-starts AS (SELECT conv_id, span, min(pre) AS start FROM spans GROUP BY ALL),
-repeated AS (
-  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.span = s.span + 1
-  WHERE n.start - s.pre <= 512 AND NOT (s.lead AND s.rn = 1)
+  SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY rn) - cost AS pre, sum(cost) OVER (PARTITION BY conv_id) <= {chat.BUDGET} AS whole,
+         first_value(role) OVER (PARTITION BY conv_id ORDER BY rn) = 'system' AS lead, first_value(cost) OVER (PARTITION BY conv_id ORDER BY rn) AS first_cost
+  FROM numbered
+), spaced AS (SELECT *, greatest({chat.BUDGET} - CASE WHEN lead THEN first_cost ELSE 0 END, 1) AS beside FROM placed),
+roomy AS (SELECT *, least({chat.BUDGET}, beside - least({chat.HISTORY}, beside // 2)) AS room FROM spaced),
+sized AS (SELECT *, (NOT whole AND cost > room / 2)::INT AS large FROM roomy),
+counted AS (
+  SELECT *, sum(large) OVER (PARTITION BY conv_id ORDER BY rn) - large AS larges,
+         coalesce(max(cost) FILTER (large = 0) OVER (PARTITION BY conv_id), 1) AS widest FROM sized
+), spans AS (SELECT *, CASE WHEN whole THEN 0 ELSE pre // (room - widest + 1) END + 2 * larges + large AS span FROM counted),
+starts AS (
+  SELECT conv_id, span, min(pre) AS start, least({chat.HISTORY}, greatest(any_value(beside) - sum(cost), 0)) AS reach FROM spans GROUP BY ALL
+), repeated AS (
+  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND s.pre < n.start AND n.start - s.pre <= n.reach
+  WHERE NOT (s.lead AND s.rn = 1)
   UNION ALL
-  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.span > 0 WHERE s.lead AND s.rn = 1
+  SELECT s.conv_id, s.chars FROM spans s JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.start > 0 WHERE s.lead AND s.rn = 1
 ), more AS (SELECT conv_id, sum(chars) AS chars FROM repeated GROUP BY conv_id),
 whole AS (
   SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
