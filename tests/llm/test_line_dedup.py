@@ -1,7 +1,9 @@
 import random
 import re
+from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,13 +90,13 @@ def test_lines_within_the_threshold_share_an_entry_and_sketch(k):
                 assert ((line_dedup.sketch(a) ^ line_dedup.sketch(b)) & (2**64 - 1)).bit_count() <= 2 * k
 
 
-@pytest.mark.parametrize(("k", "least", "most", "verified"), [(2, 12, 4096, 4096), (2, 7, 3, 4096), (1, 5, 2, 3), (2, 7, 2, 2), (0, 1, 4096, 4096)])
-def test_against_brute_force(spark, k, least, most, verified):
+@pytest.mark.parametrize(("k", "least", "most"), [(2, 12, 4096), (2, 7, 3), (1, 5, 2), (2, 7, 2), (0, 1, 4096)])
+def test_against_brute_force(spark, k, least, most):
     lines = varied(7 + k, 70)
     rng = random.Random(1)
     rows = [(i, "\n".join(rng.sample(lines, rng.randint(1, 6)))) for i in range(60)] + [(None, lines[0]), (70, None), (71, ""), (72, "\n\n"), (60, lines[1] + "\t\n " + lines[1])]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lid int, line string").repartition(4)
-    got = line_dedup.dedup_lines(df, threshold=k, least_chars=least, most_together=most, most_verified=verified).collect()
+    got = line_dedup.dedup_lines(df, threshold=k, least_chars=least, most_together=most).collect()
     assert sorted(((r.doc_id, r.line_no, r.class_key, r.class_line, r.links) for r in got), key=str) == brute(rows, k, least)
     kept = [r for r in got if r.kept]
     assert len({(r.class_key, r.class_line) for r in got}) == len(kept)
@@ -112,7 +114,7 @@ def test_repeated_rows_and_no_rows(spark):
 
 def test_one_line_in_most_documents_and_counters(spark):
     df = spark.range(220).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line that everyone has\npage "), F.col("id"), F.lit(" of all the pages")).alias("text"))
-    got = line_dedup.dedup_lines(df, most_together=30, most_verified=100)
+    got = line_dedup.dedup_lines(df, most_together=30)
     assert got.where("kept").count() == 2
     # two digits may differ, or be added
     assert got.where("line_no = 1 and doc_id = 5").first().links == len([i for i in range(220) if i != 5 and distance("5", str(i)) <= 2])
@@ -128,18 +130,85 @@ def test_short_rests_share_an_entry(k):
     assert all(entered[a] & entered[b] for a in texts for b in texts if line_dedup.within(a, b, k))
 
 
+def components_of(n, edges):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return [find(x) for x in range(n)]
+
+
 @pytest.mark.parametrize("made", ["order {:06d} was shipped to the customer", "{:03d} {:03d} was shipped to the customer {:03d}"])
-def test_lines_of_one_template_meet_in_bounded_runs(spark, made):
+def test_lines_of_one_template_meet_in_bounded_runs(spark, made, root):
     rng = random.Random(3)
     texts = sorted({made.format(*(rng.randrange(1000) for _ in range(3))) for _ in range(1200)})
     lines = spark.createDataFrame(list(enumerate(texts)), "lid long, line string")
-    put_off = lines.select("lid", F.lit(1).cast("long").alias("key"), F.udf(line_dedup.sketch, "long")("line").alias("sketch"))
-    runs = line_dedup._runs(put_off, lines, 2, 100).localCheckpoint()
+    # under the least of all keys no pair is left to another entry
+    met = lines.select(F.lit(-(2**63)).alias("key"), "lid", F.udf(line_dedup.sketch, "long")("line").alias("sketch"))
+    line_dedup._runs(met, lines, 2, 100).write.parquet(f"{root}/runs")
+    runs = spark.read.parquet(f"{root}/runs")
     # a block's lines are chosen by a hash, so its size is not exact
-    assert max(r["count"] for r in runs.groupBy("key").count().collect()) <= 300
-    got = line_dedup._links_of_hot_entries(put_off, lines, 2, 100).distinct().collect()
+    assert max(r["count"] for r in runs.groupBy("run").count().collect()) <= 300
+    got = line_dedup._links_of_entries(met, lines, 2, 12, 100).collect()
     near = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[i + 1 :], i + 1) if line_dedup.within(a, b, 2)}
-    assert {(r.a, r.b) for r in got} == near
+    forest, degree = {(r.a, r.b) for r in got if r.b >= 0}, Counter()
+    for r in got:
+        degree[r.a] += r.n
+    assert forest <= near and components_of(len(texts), forest) == components_of(len(texts), near)
+    assert +degree == Counter(x for pair in near for x in pair)
+
+
+@pytest.mark.parametrize("n", [100, 250, 1000, 5000])
+def test_a_group_of_near_copies_gives_a_forest_not_pairs(spark, n, root):
+    """Lines that each differ from one line by a character: all pairs link, and no table holds them."""
+    base = "the quick brown fox jumps over the lazy dog and then sleeps until the sun is high in the sky again"
+    made = sorted({base[:i] + c + base[i + 1 :] for i in range(len(base)) for c in "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"})
+    texts = random.Random(n).sample(made, n)
+    spark.createDataFrame(list(enumerate(texts)), "lid long, line string").repartition(8).write.parquet(f"{root}/lines")
+    links, degrees = line_dedup.edit_links(spark.read.parquet(f"{root}/lines"), 2, 12)
+    forest = {(r.a, r.b) for r in links.collect()}
+    # a forest for each entry that is the least some pair shares
+    assert n - 1 <= links.count() < 3 * n
+    assert set(components_of(n, forest)) == {0}
+    assert {(r.lid, r.links) for r in degrees.collect()} == {(i, n - 1) for i in range(n)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 3), st.integers(2, 40))
+def test_a_run_links_what_belongs_to_it(seed, k, n):
+    """Forest and counts of a run against all pairs; pairs with a lesser key in common are left to that key's entry."""
+    rng = random.Random(seed)
+    lines = varied(seed, n)
+    keys = [frozenset(rng.sample(range(200), rng.randint(0, 5))) for _ in lines]
+    met = line_dedup._Lines(lines, k, keys)
+    i, j = (x.astype("int64") for x in np.triu_indices(len(lines), 1))
+    for at in range(0, len(i), 50):
+        met.link(i[at : at + 50], j[at : at + 50])
+    near = {(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if not keys[a] & keys[b] and distance(lines[a], lines[b]) <= k}
+    assert set(met.edges) <= near and len(met.edges) < len(lines)
+    assert components_of(len(lines), met.edges) == components_of(len(lines), near)
+    assert met.degree.tolist() == [sum(x in pair for pair in near) for x in range(len(lines))]
+
+
+def test_a_key_named_like_a_result(spark):
+    df = spark.createDataFrame([(5, "some line or other", 1), (6, "some line or other", 1)], "line_no long, text string, kept int")
+    got = line_dedup.dedup_lines(df, key="line_no")
+    assert got.columns == ["key", "row_no", "line_no", "class_key", "class_line", "links", "kept"]
+    assert sorted((r.key, r.line_no, r.class_key, r.kept) for r in got.collect()) == [(5, 0, 5, True), (6, 0, 5, False)]
+
+
+def test_a_very_long_line(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000)) + "z"
+    df = spark.createDataFrame([(1, long), (2, long[:150_000] + "!" + long[150_000:]), (3, "!" + long[:-3]), (4, long[1:] + "aaa")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_key, r.links) for r in line_dedup.dedup_lines(df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)]
 
 
 def test_kept_texts(spark):

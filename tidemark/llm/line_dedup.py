@@ -7,19 +7,23 @@ substrings of it that could be a segment of a line as long or shorter, and lines
 under an entry are candidates.
 
 Candidates are first held against each other by a sketch, the parities of character
-counts, of which an edit changes two bits at most; what is left is verified on the whole
-lines by a banded bit-parallel edit distance. Under an entry with many lines nothing but
-links is written: its lines are brought together and verified on the spot. Where they are
-too many for that, what all of them begin and end with is taken off, which changes no
-distance, and the rest is entered again; runs that stay too large meet block against block,
-each two blocks in a run of their own. Neither loses a link.
+counts, of which an edit changes two bits at most. Lines that have a partner then meet
+again under their entry with their texts, and a banded bit-parallel edit distance verifies
+each pair under the least entry it shares, nowhere else. An entry gives a spanning forest
+of its links and how many links each line has: never more rows than twice its lines.
+
+Where an entry has too many lines for one task, what all of them begin and end with is
+taken off, which changes no distance, and the rest is entered again; where that takes
+nothing off, blocks of lines meet, each two in a run of their own. Neither loses a link.
 """
 
 from __future__ import annotations
 
 import os.path
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from operator import ne
 
 import numpy as np
 import pandas as pd
@@ -33,8 +37,7 @@ from tidemark.llm.components import components
 
 THRESHOLD = 2
 LEAST_CHARS = 12
-MOST_TOGETHER = 256
-MOST_VERIFIED = 4096
+MOST_TOGETHER = 4096
 ROUNDS = 3  # how often lines are entered again before blocks of them meet
 SKETCH_BITS = 32  # letters fall into bits of their own, and every entry carries a sketch
 CELLS = 1 << 22
@@ -88,18 +91,30 @@ def within(a: str, b: str, threshold: int) -> bool:
     """Whether the edit distance is at most `threshold`."""
     if abs(len(a) - len(b)) > threshold:
         return False
-    at, most = 0, min(len(a), len(b))
-    while at < most and a[at] == b[at]:
-        at += 1
+    at = _common(a, b)
     a, b = a[at:], b[at:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    at = _common(a[::-1], b[::-1])
+    a, b = a[: len(a) - at], b[: len(b) - at]
+    if len(a) == len(b) and sum(map(ne, a, b)) <= threshold:
+        return True
     m, n = len(a), len(b)
     if min(m, n) <= threshold:
         return _by_rows(a, b) <= threshold
     return _banded(a, b, threshold) <= threshold
 
 
+def _common(a: str, b: str) -> int:
+    """Characters that both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def _by_rows(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -192,23 +207,46 @@ def _enter(threshold: int, least_chars: int):
     return enter
 
 
+def _entry_keys(line: str, plan) -> list[int]:
+    """The keys of _enter() for one line."""
+    return _signed(xxhash.xxh64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in plan(len(line)))
+
+
+def _rest_keys(key: int, line: str, head: int, tail: int, plan) -> list[int]:
+    """Keys under entry `key` of what is left of a line without its ends."""
+    rest, under = line[head : len(line) - tail], key.to_bytes(8, "little", signed=True)
+    return _signed(xxhash.xxh64_intdigest(under + rest[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in plan(len(rest)))
+
+
+def _signed(keys: Iterable[int]) -> list[int]:
+    return [k - (k >> 63 << 64) for k in keys]
+
+
+AGAIN = "key long, lid long, sketch long, cut long, chain array<long>"
+
+
 def _enter_again(threshold: int):
-    """Entries (key, lid, sketch, cut) of what is left of lines without the ends that their run shares."""
+    """Entries (key, lid, sketch, cut, chain) of what is left of lines without the ends that their run shares.
+
+    `chain` tells how a run came about: the key of an entry, then head, tail and key of each time its lines were entered again.
+    """
     plan = _planner(threshold, 0)
+    names = ["key", "lid", "sketch", "cut", "chain"]
+    kinds = [*[pa.int64()] * 4, pa.list_(pa.int64())]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
-            for key, lid, own, line, head, tail in zip(*(c.to_pylist() for c in batch.columns)):
-                rest, under = line[head : len(line) - tail], key.to_bytes(8, "little", signed=True)
-                keys = {digest(under + rest[a:b].encode("utf-8", "surrogatepass"), seed) for seed, a, b in plan(len(rest))}
-                out += [(k - (k >> 63 << 64), lid, own, head + tail) for k in keys]
+        for some in batches:
+            out: list[tuple] = []
+            for key, lid, own, line, head, tail, chain in zip(*(c.to_pylist() for c in some.columns)):
+                out += [(k, lid, own, head + tail, [*chain, head, tail, k]) for k in set(_rest_keys(key, line, head, tail, plan))]
                 if len(out) >= ROWS_OUT:
-                    yield _batch(out, ["key", "lid", "sketch", "cut"])
+                    yield batch(out)
                     out = []
             if out:
-                yield _batch(out, ["key", "lid", "sketch", "cut"])
+                yield batch(out)
 
     return enter
 
@@ -240,25 +278,30 @@ def _close_pairs(own: np.ndarray, bits: int, other: np.ndarray | None = None) ->
 
 
 def _meet(bits: int, most: int):
-    """Pairs of rows (key, lid, sketch), sorted by key, that meet under a key with close sketches.
+    """Of rows (key, lid, sketch), sorted by key, those whose sketch is close to another line's under the key.
 
-    Gives (a, b, key, sketch): b is -1 for rows of a key that is put off.
+    Of an entry with more than `most` lines all rows are given.
     """
-    names = ["a", "b", "key", "sketch"]
+    names = ["key", "lid", "sketch"]
 
-    def batch(a, b, key, own) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(np.broadcast_to(x, len(a))).view(np.int64), pa.int64()) for x in (a, b, np.int64(key), own)], names)
+    def batch(key, lids, own) -> pa.RecordBatch:
+        keys = np.broadcast_to(key, len(lids))
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64()) for x in (keys, lids, own)], names)
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, n, putting_off = None, [], 0, False
+        key, held, n, all_of_it = None, [], 0, False
 
         def close() -> Iterator[pa.RecordBatch]:
             if n > 1:
                 lids, own = (np.concatenate(x) for x in zip(*held))
                 # a line can be entered twice under a key
                 lids, first = np.unique(lids, return_index=True)
-                for i, j in _close_pairs(own[first], bits):
-                    yield batch(lids[i], lids[j], 0, np.int64(0))
+                own = own[first]
+                has = np.zeros(len(lids), dtype=bool)
+                for i, j in _close_pairs(own, bits):
+                    has[i] = has[j] = True
+                if has.any():
+                    yield batch(key, lids[has], own[has])
 
         for rows in batches:
             keys, lids, own = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -274,87 +317,166 @@ def _meet(bits: int, most: int):
             two = bounds[:-1][inside & (sizes == 2)]
             near = two[(np.bitwise_count(own[two] ^ own[two + 1]) <= bits) & (lids[two] != lids[two + 1])]
             if len(near):
-                x, y = lids[near], lids[near + 1]
-                yield batch(np.minimum(x, y), np.maximum(x, y), 0, np.int64(0))
+                both = np.stack([near, near + 1], axis=1).ravel()
+                yield batch(keys[both], lids[both], own[both])
             for i in np.flatnonzero(~inside | (sizes > 2)).tolist():
                 a, b = int(bounds[i]), int(bounds[i + 1])
                 if keys[a] != key:
                     yield from close()
-                    key, held, n, putting_off = keys[a], [], 0, False
-                if putting_off:
-                    yield batch(lids[a:b], np.int64(-1), key, own[a:b])
+                    key, held, n, all_of_it = keys[a], [], 0, False
+                if all_of_it:
+                    yield batch(key, lids[a:b], own[a:b])
                     continue
                 held.append((lids[a:b], own[a:b]))
                 n += b - a
                 if n > most:
                     for x, y in held:
-                        yield batch(x, np.int64(-1), key, y)
-                    held, n, putting_off = [], 0, True
+                        yield batch(key, x, y)
+                    held, n, all_of_it = [], 0, True
         yield from close()
 
     return meet
 
 
-def _verify_runs(threshold: int):
-    """Links (a, b) among rows (key, side, lid, sketch, line) sorted by key; a run is held as a whole.
-
-    Lines of side 0 are held against each other, those of side 1 against those of side 2.
+class _Lines:
+    """The lines of a run: a spanning forest of their links, and how many links each has."""
+
+    def __init__(self, lines: list[str], threshold: int, lesser: list[frozenset[int]]):
+        self.lines, self.threshold, self.lesser = lines, threshold, lesser
+        self.lengths = np.array(list(map(len, lines)))
+        self.degree = np.zeros(len(lines), dtype=np.int64)
+        self.edges: list[tuple[int, int]] = []
+        self.parent = list(range(len(lines)))
+        # the keys that most lines share, as bits: who has one in common meets elsewhere
+        common = [k for k, n in Counter(k for keys in lesser for k in keys).most_common(65) if n > 1]
+        self.all_in_mask = len(common) <= 64
+        bit = {k: 1 << i for i, k in enumerate(common[:64])}
+        self.mask = np.array([sum(bit.get(k, 0) for k in keys) for keys in lesser], dtype=np.uint64)
+        # characters as numbers, where they do not take much room
+        self.widest = int(self.lengths.max())
+        self.codes = None
+        if 2 < len(lines) and len(lines) * self.widest <= CELLS:
+            self.codes = np.zeros((len(lines), self.widest), dtype=np.uint32)
+            for i, line in enumerate(lines):
+                self.codes[i, : len(line)] = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Verify the pairs of places i and j that belong to this run."""
+        mine = (self.mask[i] & self.mask[j] == 0) & (i != j) & (np.abs(self.lengths[i] - self.lengths[j]) <= self.threshold)
+        i, j = i[mine], j[mine]
+        if not self.all_in_mask:
+            apart = np.array([self.lesser[a].isdisjoint(self.lesser[b]) for a, b in zip(i.tolist(), j.tolist())], dtype=bool)
+            i, j = i[apart], j[apart]
+        step = max(1, CELLS // max(1, self.widest)) if self.codes is not None else ROWS_OUT
+        for at in range(0, len(i), step):
+            self._verify(i[at : at + step], j[at : at + step])
+
+    def _verify(self, i: np.ndarray, j: np.ndarray) -> None:
+        near = np.zeros(len(i), dtype=bool)
+        if self.codes is not None:
+            # lines of one length that differ in few places need no search for the best alignment
+            same = self.lengths[i] == self.lengths[j]
+            near[same] = (self.codes[i[same]] != self.codes[j[same]]).sum(axis=1) <= self.threshold
+        for at in np.flatnonzero(~near).tolist():
+            near[at] = within(self.lines[i[at]], self.lines[j[at]], self.threshold)
+        i, j = i[near], j[near]
+        self.degree += np.bincount(i, minlength=len(self.lines)) + np.bincount(j, minlength=len(self.lines))
+        roots = np.array(self.parent)
+        while (up := roots[roots]).tolist() != roots.tolist():
+            roots = up
+        for a, b in zip(*(x[roots[i] != roots[j]].tolist() for x in (i, j))):
+            if (u := self._root(a)) != (v := self._root(b)):
+                self.parent[max(u, v)] = min(u, v)
+                self.edges.append((a, b))
+
+    def _root(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return x
+
+
+LINKS = "a long, b long, n long"
+
+
+def _verify_runs(threshold: int, least_chars: int):
+    """Rows (run, side, lid, sketch, line, chain), sorted by run, to a spanning forest of their links and counts of links.
+
+    Gives (a, b, 0) for an edge of the forest, and (a, -1, n) for a line with n links. Lines
+    of side 0 are held against each other, those of side 1 against those of side 2. A pair
+    whose lines share a lesser key than the run's is left to the entry of that key, so each
+    link is verified and counted once in all.
     """
-
-    def close(sides: list[list[tuple]]) -> Iterator[tuple[list[tuple], list[tuple], np.ndarray, np.ndarray]]:
-        own = [np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64) for rows in sides]
-        for i, j in _close_pairs(own[0], 2 * threshold):
-            yield sides[0], sides[0], i, j
-        if sides[1] and sides[2]:
-            for i, j in _close_pairs(own[1], 2 * threshold, own[2]):
-                yield sides[1], sides[2], i, j
-
-    def links(held: dict[tuple[int, int], tuple]) -> Iterator[pa.RecordBatch]:
-        for one, two, i, j in close([sorted(r for (side, _), r in held.items() if side == s) for s in range(3)]):
-            for at in range(0, len(i), ROWS_OUT):
-                met = ((one[x], two[y]) for x, y in zip(i[at : at + ROWS_OUT].tolist(), j[at : at + ROWS_OUT].tolist()))
-                found = [(min(x[0], y[0]), max(x[0], y[0])) for x, y in met if x[0] != y[0] and within(x[2], y[2], threshold)]
-                if found:
-                    yield _batch(found, ["a", "b"])
+    first, again = _planner(threshold, least_chars), _planner(threshold, 0)
+
+    def lesser(line: str, chain: list[int]) -> frozenset[int]:
+        """Keys the line shares with whoever meets it earlier, marked by how often lines had been entered."""
+        found = [k << 3 for k in _entry_keys(line, first) if k < chain[0]]
+        for level in range(1, len(chain) // 3 + 1):
+            before, head, tail, key = chain[3 * level - 3 : 3 * level + 1]
+            found += [k << 3 | level for k in _rest_keys(before, line, head, tail, again) if k < key]
+        return frozenset(found)
+
+    def links(held: dict[tuple[int, int], tuple], chain: list[int]) -> Iterator[pa.RecordBatch]:
+        rows = {row[0]: row for row in held.values()}
+        if len(rows) < 2:
+            return
+        lids = sorted(rows)
+        place = {lid: i for i, lid in enumerate(lids)}
+        sides = [np.array(sorted(place[lid] for side, lid in held if side == s), dtype=np.int64) for s in range(3)]
+        sketches = np.array([rows[lid][1] for lid in lids], dtype=np.int64).view(np.uint64)
+        met = _Lines([rows[lid][2] for lid in lids], threshold, [lesser(rows[lid][2], chain) for lid in lids])
+        for one, two in ((sides[0], None), (sides[1], sides[2])):
+            if len(one) and (two is None or len(two)):
+                for i, j in _close_pairs(sketches[one], 2 * threshold, None if two is None else sketches[two]):
+                    met.link(one[i], (one if two is None else two)[j])
+        found = [(lids[min(a, b)], lids[max(a, b)], 0) for a, b in met.edges]
+        found += [(lids[i], -1, int(met.degree[i])) for i in np.flatnonzero(met.degree)]
+        for at in range(0, len(found), ROWS_OUT):
+            yield _batch(found[at : at + ROWS_OUT], ["a", "b", "n"])
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, {}
+        run, held, chain = None, {}, []
         for batch in batches:
-            for k, side, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if k != key:
-                    yield from links(held)
-                    key, held = k, {}
-                held[side, row[0]] = tuple(row)
-        yield from links(held)
+            for own_run, side, lid, own, line, own_chain in zip(*(c.to_pylist() for c in batch.columns)):
+                if own_run != run:
+                    yield from links(held, chain)
+                    run, held, chain = own_run, {}, own_chain
+                held[side, lid] = (lid, own, line)
+        yield from links(held, chain)
 
     return verify
 
 
-def _in_blocks(large: DataFrame, most_verified: int) -> DataFrame:
-    """(key, side, lid, sketch): every two blocks of the lines under an entry as a run."""
-    blocks = F.ceil(F.col("n") / most_verified).cast("long")
-    rows = large.select("key", "lid", "sketch", blocks.alias("blocks"))
+def _in_blocks(large: DataFrame, most_together: int) -> DataFrame:
+    """(run, side, lid, sketch, chain): every two blocks of the lines under an entry as a run."""
+    blocks = F.ceil(F.col("n") / most_together).cast("long")
+    rows = large.select("key", "lid", "sketch", "chain", blocks.alias("blocks"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("lid"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), side.alias("side"), "lid", "sketch")
+    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("run"), side.alias("side"), "lid", "sketch", "chain")
 
 
-def _runs(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
-    """(key, side, lid, sketch): the lines under hot entries (lid, key, sketch) in runs of about 2 * `most_verified` lines at most.
+def _runs(met: DataFrame, lines: DataFrame, threshold: int, most_together: int) -> DataFrame:
+    """(run, side, lid, sketch, chain): the lines that meet under entries (key, lid, sketch), in runs of about 2 * `most_together` lines at most.
 
-    Up to `most_verified` lines meet under the entry itself. Beyond, they are entered again
+    Up to `most_together` lines meet under the entry itself. Beyond, they are entered again
     without the ends that all of them share; where that takes nothing more off, blocks meet.
     """
-    left = put_off.select("key", "lid", "sketch", F.lit(0).cast("long").alias("cut"))
+    left = met.select("key", "lid", "sketch", F.lit(0).cast("long").alias("cut"), F.array("key").alias("chain"))
     runs = []
-    for _ in range(ROUNDS):
-        sizes = staging.staged(left.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
+    for turn in range(ROUNDS + 1):
+        sizes = staging.staged(left.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most_together), "hot-entries")
+        if sizes.isEmpty():
+            runs.append(left.select(F.col("key").alias("run"), F.lit(0).alias("side"), "lid", "sketch", "chain"))
+            break
+        small = left.join(sizes, "key", "left_anti")
+        runs.append(small.select(F.col("key").alias("run"), F.lit(0).alias("side"), "lid", "sketch", "chain"))
         sized = left.join(sizes, "key")
-        runs.append(sized.where(F.col("n") <= most_verified).select("key", F.lit(0).alias("side"), "lid", "sketch"))
-        if sizes.where(F.col("n") > most_verified).isEmpty():
+        if turn == ROUNDS:
+            runs.append(_in_blocks(sized, most_together))
             break
-        large = staging.staged(sized.where(F.col("n") > most_verified).drop("n").join(lines, "lid"), "hot-lines")
+        large = staging.staged(sized.drop("n").join(lines, "lid"), "hot-lines")
         back = F.reverse("line")
         ends = large.groupBy("key").agg(
             F.count("*").alias("n"), F.min(F.char_length("line")).alias("least"),
@@ -363,42 +485,27 @@ def _runs(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: i
         ends = staging.staged(ends.mapInPandas(_shared, "key long, n long, head long, tail long"), "hot-ends")
         ended = large.join(ends, "key")
         shorter = F.col("head") + F.col("tail") > F.col("cut")
-        runs.append(_in_blocks(ended.where(~shorter), most_verified))
-        again = ended.where(shorter).select("key", "lid", "sketch", "line", "head", "tail")
-        left = staging.staged(again.mapInArrow(_enter_again(threshold), "key long, lid long, sketch long, cut long"), "entered-again")
-    else:
-        sizes = staging.staged(left.groupBy("key").agg(F.count("*").alias("n")), "hot-entries")
-        sized = left.join(sizes, "key")
-        runs.append(sized.where(F.col("n") <= most_verified).select("key", F.lit(0).alias("side"), "lid", "sketch"))
-        runs.append(_in_blocks(sized.where(F.col("n") > most_verified), most_verified))
+        runs.append(_in_blocks(ended.where(~shorter), most_together))
+        again = ended.where(shorter).select("key", "lid", "sketch", "line", "head", "tail", "chain")
+        left = staging.staged(again.mapInArrow(_enter_again(threshold), AGAIN), "entered-again")
     return reduce(DataFrame.unionByName, runs)
 
 
-def _links_of_hot_entries(put_off: DataFrame, lines: DataFrame, threshold: int, most_verified: int) -> DataFrame:
-    """(a, b): the links under entries (lid, key, sketch) that hold many lines."""
-    met = _runs(put_off, lines, threshold, most_verified).join(lines, "lid").select("key", "side", "lid", "sketch", "line")
-    return met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify_runs(threshold), "a long, b long")
+def _links_of_entries(met: DataFrame, lines: DataFrame, threshold: int, least_chars: int, most_together: int) -> DataFrame:
+    """LINKS of the lines that meet under entries (key, lid, sketch)."""
+    runs = _runs(met, lines, threshold, most_together).join(lines, "lid").select("run", "side", "lid", "sketch", "line", "chain")
+    return runs.repartition("run").sortWithinPartitions("run").mapInArrow(_verify_runs(threshold, least_chars), LINKS)
 
 
-def edit_links(lines: DataFrame, threshold: int, least_chars: int, most_together: int = MOST_TOGETHER, most_verified: int = MOST_VERIFIED) -> DataFrame:
-    """(a, b), a < b: all pairs of staged distinct lines (lid, line) within `threshold` edits, each once."""
+def edit_links(lines: DataFrame, threshold: int, least_chars: int, most_together: int = MOST_TOGETHER) -> tuple[DataFrame, DataFrame]:
+    """Of staged distinct lines (lid, line): links (a, b) with the components of all pairs within
+    `threshold` edits, and (lid, links), how many such pairs each line is in."""
     entries = lines.mapInArrow(_enter(threshold, least_chars), ENTRIES)
-    met = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(2 * threshold, most_together), "a long, b long, key long, sketch long")
-    found = staging.staged(met, "line-candidates")
-    pairs = staging.staged(found.where("b >= 0").select("a", "b").distinct(), "line-pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    texts = staging.staged(lines.join(needed, "lid", "left_semi"), "candidate-lines")
-    both = pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
-
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.loc[[within(x, y, threshold) for x, y in zip(f["x"], f["y"])], ["a", "b"]] if len(f) else f[["a", "b"]]
-
-    links = both.mapInPandas(verify, "a long, b long")
-    put_off = found.where("b = -1").select(F.col("a").alias("lid"), "key", "sketch")
-    if not put_off.isEmpty():
-        links = links.unionByName(_links_of_hot_entries(put_off, lines, threshold, most_verified)).distinct()
-    return staging.staged(links, "line-links")
+    met = entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(2 * threshold, most_together), ENTRIES)
+    met = staging.staged(met, "line-candidates")
+    found = staging.staged(_links_of_entries(met, lines, threshold, least_chars, most_together), "line-links")
+    degrees = found.where("b = -1").groupBy(F.col("a").alias("lid")).agg(F.sum("n").alias("links"))
+    return found.where("b >= 0").select("a", "b"), degrees
 
 
 def line_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -412,16 +519,17 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, most_together: int = MOST_TOGETHER, most_verified: int = MOST_VERIFIED) -> DataFrame:
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, most_together: int = MOST_TOGETHER) -> DataFrame:
     """One row for each line of `df`: key, line_no, class_key, class_line, links, kept.
 
     Lines link when their normalised texts are within `threshold` edits and both have at
     least `least_chars` characters; shorter ones, empty lines included, are in a class only
     with lines equal to them. A class is a component of these links; its representative, and
     the line that is kept, is the first by (key, row, line number), null keys last. `links`
-    counts the different texts a line's text is linked to. `most_together` and `most_verified`
-    say where an entry is handled in another way; they leave nothing out. Repeated rows and keys are rows of
-    their own. Equality of normalised lines is that of two 64-bit hashes. Other columns are ignored.
+    counts the different texts a line's text is linked to. `most_together` says from how many
+    lines on an entry is split; it leaves nothing out. Repeated rows and keys are rows of
+    their own. Equality of normalised lines is that of two 64-bit hashes. Other columns are
+    ignored; a key that is named like a column of the result is returned as `key`.
     """
     if threshold < 0 or least_chars <= 3 * threshold:
         raise ValueError("least_chars must be above three times the threshold")
@@ -430,8 +538,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     distinct = lines.groupBy("line").agg(F.lit(1).alias("one")).select(F.monotonically_increasing_id().alias("lid"), "line", *_identity(F.col("line")))
     distinct = staging.staged(distinct, "distinct-lines")
     long_ones = distinct.where(F.char_length("line") >= least_chars).select("lid", "line")
-    links = edit_links(long_ones, threshold, least_chars, most_together, most_verified)
-    degree = links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid").agg(F.count("*").alias("links"))
+    links, degree = edit_links(long_ones, threshold, least_chars, most_together)
     roots = components(links).withColumnRenamed("node", "lid")
     texts_of = distinct.select("lid", "h1", "h2").join(roots, "lid", "left").join(degree, "lid", "left")
     texts_of = staging.staged(texts_of.select("h1", "h2", F.coalesce("root", "lid").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "line-classes")
@@ -439,7 +546,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     order = F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("at"), F.col("line_no"))
     first = staging.staged(placed.groupBy("root").agg(F.min(order).alias("first")), "first-lines")
     return placed.join(first, "root").select(
-        F.col("id").alias(key),
+        F.col("id").alias(staging.key_name(key, ("row_no", "line_no", "class_key", "class_line", "links", "kept"))),
         F.col("at").alias("row_no"),
         "line_no",
         F.col("first.id").alias("class_key"),
@@ -451,8 +558,8 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
 
 def kept_texts(df: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """(key, text): every row with the lines that dedup_lines() keeps, as they were written."""
-    rows = staging.staged(df.select(key, text), "line-documents")
-    made = dedup_lines(rows, key, text, **how).where("kept").groupBy("row_no").agg(F.sort_array(F.collect_list("line_no")).alias("keep"))
-    numbered = rows.select(F.monotonically_increasing_id().alias("row_no"), key, F.split(F.coalesce(text, F.lit("")), "\n").alias("lines"))
+    rows = staging.staged(df.select(F.col(key).alias("id"), F.col(text).alias("text")), "line-documents")
+    made = dedup_lines(rows, "id", "text", **how).where("kept").groupBy("row_no").agg(F.sort_array(F.collect_list("line_no")).alias("keep"))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row_no"), "id", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
     kept = F.transform(F.coalesce("keep", F.array().cast("array<int>")), lambda i: F.get("lines", i))
-    return numbered.join(made, "row_no", "left").select(key, F.array_join(kept, "\n").alias(text))
+    return numbered.join(made, "row_no", "left").select(F.col("id").alias(key), F.array_join(kept, "\n").alias(text))

@@ -68,3 +68,8 @@ def ranked(rows: DataFrame) -> DataFrame:
     # one row for each written partition
     base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return rows.withColumn("part", part(F.col("at"))).join(F.broadcast(base), "part").withColumn("rank", F.col("base") + place(F.col("at"))).drop("part", "base")
+
+
+def key_name(key: str, taken: Sequence[str]) -> str:
+    """The name under which an operator returns the key: its own, or `key` where a column of the result has it."""
+    return "key" if key.lower() in {t.lower() for t in taken} else key
