@@ -7,6 +7,7 @@ import pytest
 from tidemark import files
 from tidemark.operators import catalog, report
 from tidemark.plans import policy
+from tidemark.sources.tables import catalog_table
 
 COLUMNS = [
     ("Jobs", ["CustomerID int", "JobID int", "ModifiedDate datetime", "Status str"]),
@@ -92,6 +93,29 @@ def test_odd_names_and_broken_tables_are_no_zeros(spark):
     assert tuple(catalog.size_totals(catalog.parquet_row_counts(spark, root)).first()) == (8, 42, 1)
 
 
+def test_declared_lengths(spark):
+    path = files.scratch(spark, "declared")
+    spark.sql(f"CREATE TABLE declared_lengths (k BIGINT, a VARCHAR(25), b CHAR(3), c STRING, d DECIMAL(10,2)) USING parquet LOCATION '{path}'")
+    try:
+        spark.sql("INSERT INTO declared_lengths VALUES (1, 'x', 'y', 'z', 1.5)")
+        found = catalog.columns(spark, {"t": catalog_table(spark, "declared_lengths"), "plain": spark.range(1)})
+        got = {(r.table_name, r.name): (r.type, r.size, r.nullable) for r in found.collect()}
+    finally:
+        spark.sql("DROP TABLE declared_lengths")
+    assert got == {
+        ("t", "k"): ("bigint", None, True), ("t", "a"): ("varchar(25)", 25, True), ("t", "b"): ("char(3)", 3, True), ("t", "c"): ("string", None, True),
+        ("t", "d"): ("decimal(10,2)", None, True), ("plain", "id"): ("bigint", None, False),
+    }
+
+
+def test_files_are_counted_by_tasks(spark, monkeypatch):
+    """No list of files comes to the driver's Python, however many there are."""
+    root = files.scratch(spark, "tables")
+    spark.range(64).repartition(64).write.parquet(f"{root}/many")
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", None)
+    assert [tuple(r)[:2] for r in catalog.parquet_row_counts(spark, root).collect()] == [("many", 64)]
+
+
 def test_schemas_need_no_job_and_keep_errors(spark, sf_dir):
     tables = {"orders": lambda: spark.read.parquet(f"{sf_dir}/orders.parquet"), "missing": lambda: spark.read.parquet(f"{sf_dir}/none.parquet")}
     found, errors = catalog.discover(spark, tables)

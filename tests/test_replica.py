@@ -3,12 +3,15 @@
 import datetime as dt
 import json
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import BadDelta, LostRace, Mark, Replica, files
-from tidemark.operators import merge
+from tidemark.operators import infer, merge
 from tidemark.plans import replica as store
 from tidemark.plans.policy import Policy
 from tidemark.plans.run import TablesFailed, run
@@ -333,6 +336,116 @@ class Crashing(Replica):
         raise Crash
 
 
+def test_keys_by_collation(spark, root):
+    names = [("Élan", 1, "a"), ("elan", 2, "b"), ("ELAN ", 3, "c"), ("elan x", 4, "d")]
+    rows = spark.createDataFrame(names, "name string, seq int, v string")
+    how = {"keys": ["name"], "collation": "UNICODE_CI_AI_RTRIM", "bucket_bytes": SMALL}
+    replica = Replica(spark, root, "t")
+    # hashes of equal keys differ unless the session takes collations into account
+    with pytest.raises(ValueError, match="collationAwareHashFunctions"):
+        replica.increment(rows, "seq", **how)
+    spark.conf.set("spark.sql.legacy.collationAwareHashFunctions", "true")
+    try:
+        replica.increment(rows, "seq", **how)
+        assert content(replica) == [("ELAN ", 3, "c"), ("elan x", 4, "d")]
+        many = [(f"Nöm {i}" if i % 2 else f"NOM {i}  ", 10 + i, "x") for i in range(300)]
+        replica.increment(spark.createDataFrame(many, rows.schema), "seq", bucket_bytes=SMALL)
+        assert replica.commit()["count"] > 1
+        again = [(f"nom {i}", 1000 + i, "y") for i in range(0, 300, 3)] + [("élan", 5000, "z")]
+        replica.increment(spark.createDataFrame(again, rows.schema), "seq", bucket_bytes=SMALL)
+        left = {r.name: r.v for r in replica.read().collect()}
+        assert len(left) == 302 and left["élan"] == "z" and sum(v == "y" for v in left.values()) == 100
+        gone = replica.reconcile(spark.createDataFrame([("NÖM 0", 0, ""), ("elan", 0, "")], rows.schema), bucket_bytes=SMALL)
+        assert gone["last_rows"] == 2 and {r.name for r in replica.read().collect()} == {"nom 0", "élan"}
+    finally:
+        spark.conf.unset("spark.sql.legacy.collationAwareHashFunctions")
+
+
+def test_upsert_of_frames_by_collation(spark):
+    live = spark.createDataFrame([("Ana ", 1, "a"), ("bob", 2, "b")], "name string, seq int, v string")
+    delta = spark.createDataFrame([("ANÁ", 3), ("BÖB", 4), ("ana", 2), ("bub", 5)], "name string, seq int")
+    got = sorted(map(tuple, merge.upsert(live, delta, ["name"], ["seq"], collation="UNICODE_CI_AI_RTRIM").collect()))
+    # the last of equal keys wins, and keeps what the delta does not know
+    assert got == [("ANÁ", 3, "a"), ("BÖB", 4, "b"), ("bub", 5, None)]
+
+
+def test_kinds_are_kept_and_merged(spark, root):
+    replica = Replica(spark, root, "t")
+    with pytest.raises(LookupError):
+        replica.types()
+    schema = "id int, x double, s string, n string"
+    for rows in ([(1, 1.0, None, None)], [(2, 2.0, None, None), (3, None, "a", None)], [(4, 2.5, "b", None)]):
+        replica.apply(spark.createDataFrame(rows, schema), "id", track_types=True)
+    assert replica.commit()["kinds"] == {"id": 4, "x": 13, "s": 17, "n": 1}
+    assert replica.types().collect() == infer.widest(replica.read()).collect()
+    # a column that came later, and one that a delta lacks
+    replica.apply(spark.createDataFrame([(5, "c", True)], "id int, s string, late boolean"), "id")
+    assert {r["name"]: r["kind"] for r in replica.types().collect()} == {"id": "int", "x": "float", "s": "str", "n": "null", "late": "bool"}
+    assert {r["name"]: r["type"] for r in replica.types(keys=["s"]).collect()}["s"] == "VARCHAR(255)"
+    # what is replaced is forgotten
+    replica.full_refresh(spark.createDataFrame([(1, 1.0)], "id int, x double"))
+    assert replica.commit()["kinds"] == {"id": 4, "x": 4}
+
+
+def test_kinds_of_rows_written_before_they_were_kept(spark, root):
+    replica = Replica(spark, root, "t")
+    replica.apply(spark.createDataFrame([(1, 0.5)], "id int, x double"), "id", ["id"])
+    assert replica.commit()["kinds"] is None
+    replica.apply(spark.createDataFrame([(2, 3.0)], "id int, x double"), "id", track_types=True)
+    assert replica.commit()["kinds"] == {"id": 4, "x": 12}
+    replica.apply(spark.createDataFrame([(3, None)], "id int, x double"), "id", track_types=False)
+    assert replica.commit()["kinds"] is None
+
+
+def test_facts_come_from_the_write(spark, root):
+    """A run without a key is one pass: the jobs of a run that writes rows are those of the write."""
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "seq int, v string").repartition(4)
+    group = "facts-of-a-run"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        record = Replica(spark, root, "t").apply(rows, "seq")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    # the shuffle of repartition(4) and the write; counting read all rows again before
+    assert len(set(stages)) <= 3 and len(tracker.getJobIdsForGroup(group)) <= 2
+    assert (record["last_rows"], record["watermark_value"]) == (50, "49")
+
+
+RETRIED = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from tidemark import Replica, files
+
+spark = (
+    SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {scratch!r})
+    .config("spark.sql.shuffle.partitions", "3").getOrCreate()
+)
+
+def first_attempts_fail(frames):
+    # after its rows have been handed on, so that they were measured once already
+    yield from frames
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("first attempt")
+
+rows = spark.range(0, 1000, 1, 5).withColumn("x", F.col("id") / 2)
+for keys in ([], ["id"]):
+    replica = Replica(spark, files.scratch(spark, "replica"), "t")
+    record = replica.apply(rows.mapInPandas(first_attempts_fail, rows.schema), "id", keys, track_types=True)
+    print("RESULT", record["last_rows"], record["watermark_value"], replica.read().count(), record["kinds"])
+"""
+
+
+def test_a_task_that_fails_first_counts_once(tmp_path):
+    repo = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run([sys.executable, "-c", RETRIED.format(repo=repo, scratch=str(tmp_path))], capture_output=True, text=True, timeout=300)
+    found = [line for line in done.stdout.splitlines() if line.startswith("RESULT")]
+    assert found == ["RESULT 1000 999 1000 {'id': 4, 'x': 12}"] * 2, done.stderr[-2000:]
+
+
 def test_crash_before_the_commit(spark, root, keyed):
     delta = [(2, 40, "B"), (4, 50, "d")]
     with pytest.raises(Crash):

@@ -198,6 +198,109 @@ def test_read_only_sql(spark):
         query.read_only(spark, "SELECT nothing FROM guarded")
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        # a raw string that ends in a backslash, a comment that hides the end
+        r"""SELECT r'\' AS a, reflect("java.lang.System","getProperty","user.name") AS x -- '""",
+        """SELECT 1 /* ' */, java_method('java.util.UUID', 'randomUUID') /* ' */""",
+        "SELECT filter(array('a'), x -> reflect('java.util.UUID', 'randomUUID') = x)",
+        "SELECT id FROM guarded WHERE id IN (SELECT length(reflect('java.util.UUID', 'randomUUID')) FROM guarded)",
+        "SELECT (SELECT try_reflect('java.util.UUID', 'randomUUID'))",
+        "SELECT * FROM guarded_by_view",
+        "SELECT id FROM guarded ORDER BY reflect('java.util.UUID', 'randomUUID')",
+        "SELECT * FROM (SELECT TRANSFORM(id) USING 'cat' AS x FROM guarded)",
+        "SELECT own_function(id) FROM guarded",
+    ],
+)
+def test_plans_that_do_more_than_read_are_refused(spark, text):
+    spark.range(3).createOrReplaceTempView("guarded")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW guarded_by_view AS SELECT reflect('java.util.UUID', 'randomUUID') AS x FROM guarded")
+    spark.udf.register("own_function", lambda x: x)
+    with pytest.raises(query.NotReadOnly):
+        query.read_only(spark, text)
+
+
+def test_registered_functions_can_be_allowed(spark):
+    spark.udf.register("own_function", lambda x: x)
+    assert query.read_only(spark, "SELECT own_function('a') AS a", functions=True).first().a == "a"
+    with pytest.raises(query.NotReadOnly):
+        query.read_only(spark, "SELECT own_function(reflect('java.util.UUID', 'randomUUID')) AS a", functions=True)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "TABLE guarded", "VALUES (1), (2)", "SELECT count(*) FROM guarded GROUP BY ROLLUP(id)", "SELECT * FROM guarded TABLESAMPLE (100 PERCENT)",
+        "SELECT id FROM guarded EXCEPT SELECT 1", "SELECT id FROM guarded INTERSECT SELECT 1 UNION ALL SELECT 2", "FROM guarded |> WHERE id > 0",
+        "SELECT sum(id) OVER (ORDER BY id) FROM guarded", "SELECT * FROM (SELECT id FROM guarded) PIVOT (count(1) FOR id IN (1, 2))",
+        "SELECT explode(sequence(1, id + 1)) FROM guarded", "SELECT /*+ REPARTITION(2) */ DISTINCT id FROM guarded LIMIT 2 OFFSET 1",
+        "SELECT * FROM guarded a, LATERAL (SELECT a.id + 1 AS n)", "SELECT id FROM guarded CLUSTER BY id", "SELECT * FROM range(4)",
+        "SELECT upper('x'), parse_json('{}'), url_decode('a'), try_add(1, 2), left('abc', 1), aes_encrypt('a', '0123456789abcdef')",
+        "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 5) SELECT n FROM r",
+        "SELECT stack(2, 1, 2), 'reflect(' -- reflect('java.util.UUID', 'randomUUID')",
+    ],
+)
+def test_plans_that_read_are_allowed(spark, text):
+    spark.range(3).createOrReplaceTempView("guarded")
+    query.read_only(spark, text).collect()
+
+
+def test_bound_parameters_stay_values(spark):
+    spark.createDataFrame([(1, "a' OR '1' = '1"), (2, "b")], "id int, name string").createOrReplaceTempView("bound")
+    asked = "SELECT id FROM IDENTIFIER(:t) WHERE IDENTIFIER(:c) = :v"
+    assert [r.id for r in query.read_only(spark, asked, args={"t": "bound", "c": "name", "v": "a' OR '1' = '1"}).collect()] == [1]
+    assert query.read_only(spark, asked, args={"t": "bound", "c": "name", "v": "x' OR '1' = '1"}).isEmpty()
+    assert [r.id for r in query.read_only(spark, "SELECT id FROM bound WHERE id > ? AND name < ?", args=[1, "c"]).collect()] == [2]
+    # a name is a name, not SQL
+    with pytest.raises(query.NotReadOnly):
+        query.read_only(spark, asked, args={"t": "bound; DROP VIEW bound", "c": "name", "v": "b"})
+    with pytest.raises(AnalysisException):
+        query.read_only(spark, asked, args={"t": "bound"})
+    assert spark.catalog.tableExists("bound")
+
+
+def test_increments_over_envelopes_read_new_folders_only(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path, day = files.scratch(spark, "ranges"), dt.timedelta(days=1)
+    envelopes.write_ranges(events, path, "events", "ts", day)
+    written = spark.read.text(path).inputFiles()
+    for mark in ("2024-01-16T00:00:00", "2024-01-16T13:14:15.5", "2000-01-01T00:00:00", "2100-01-01T00:00:00"):
+        found = envelopes.rows_above(spark, path, events.schema, "ts", Mark("datetime", mark), day, "events")
+        assert sorted(found.collect()) == sorted(events.where(F.col("ts") > F.lit(mark).cast("timestamp_ntz")).collect())
+    found = envelopes.rows_above(spark, path, events.schema, "ts", Mark("datetime", "2024-01-16T13:14:15.5"), day, "events")
+    steps = plan(found)
+    assert "PartitionFilters: [isnotnull(range_" in steps and "PartitionFilters: []" not in steps
+    read = found.select(F.input_file_name()).distinct().count()
+    assert 0 < read < len(written)
+
+
+def test_ranges_of_numbers_dates_and_nulls(spark):
+    rows = [(-7, dt.date(1960, 1, 1), "a"), (0, dt.date(1970, 1, 1), "b"), (12, None, "c"), (None, dt.date(2024, 2, 29), "d"), (13, dt.date(2024, 3, 1), "e")]
+    df = spark.createDataFrame(rows, "n int, d date, s string")
+    path = files.scratch(spark, "ranges")
+    envelopes.write_ranges(df, f"{path}/n", "t", "n", 5)
+    envelopes.write_ranges(df, f"{path}/d", "t", "d", dt.timedelta(days=30))
+    assert sorted(r.s for r in envelopes.rows_above(spark, f"{path}/n", df.schema, "n", -7, 5).collect()) == ["b", "c", "e"]
+    assert sorted(r.s for r in envelopes.rows_above(spark, f"{path}/d", df.schema, "d", dt.date(1970, 1, 1), dt.timedelta(days=30)).collect()) == ["d", "e"]
+    # all rows are there, those without the field in a folder of their own
+    assert envelopes.rows(spark, f"{path}/n", wire.to_wire(df).schema).count() == 5
+    for field, step in (("n", dt.timedelta(days=1)), ("d", 3), ("s", 1), ("s", dt.timedelta(days=1))):
+        with pytest.raises(ValueError):
+            envelopes.write_ranges(df, f"{path}/x", "t", field, step)
+
+
+def test_a_rejected_envelope_above_the_mark_rejects_the_increment(spark):
+    df = spark.range(20).withColumnRenamed("id", "n")
+    path = files.scratch(spark, "ranges")
+    envelopes.write_ranges(df, path, "t", "n", 10)
+    bad = json.dumps(envelope("t", columns=["n"], data=[{"n": 99}], error="cursor closed"))
+    spark.createDataFrame([(bad, 0)], "value string, range_ long").write.mode("append").partitionBy("range_").text(path)
+    # it lies below the mark's folder: an increment before this one judged it
+    assert envelopes.rows_above(spark, path, df.schema, "n", 12, 10, "t").count() == 7
+    assert envelopes.rows_above(spark, path, df.schema, "n", 3, 10, "t").count() == 0
+
+
 def test_jdbc_options():
     got = jdbc.read_options("jdbc:x", "t", partition=("id", 1, 1_000, 20))
     assert got == {

@@ -6,7 +6,6 @@ import re
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,7 +54,8 @@ SIZES_SCHEMA = "table_name STRING, rows BIGINT, seconds DOUBLE, error STRING"
 def columns(spark: SparkSession, tables: Mapping[str, Source]) -> DataFrame:
     """(table_name, ordinal, name, type, size, nullable) from the schemas alone; no table is read.
 
-    `size` is the declared length of a text column, and `nullable` what the schema says.
+    `size` is the declared length of a text column: of a CHAR or VARCHAR of a catalog table,
+    which Spark reads as STRING, too. `nullable` is what the schema says.
     """
     found, errors = discover(spark, tables)
     if failed := errors.collect():  # one row for each table that cannot be opened
@@ -76,13 +76,21 @@ def discover(spark: SparkSession, tables: Mapping[str, Source], workers: int = 1
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(schema), tables.items()))
     rows = [
-        (t, i + 1, f.name, f.dataType.simpleString(), getattr(f.dataType, "length", None), f.nullable)
+        (t, i + 1, f.name, *_declared(f), f.nullable)
         for t, s, _ in results if s is not None for i, f in enumerate(s)
     ]
     errors = [(t, error) for t, s, error in results if s is None]
     return spark.createDataFrame(rows, COLUMNS_SCHEMA), spark.createDataFrame(errors, "table_name STRING, error STRING")
 
 
+def _declared(f: T.StructField) -> tuple[str, int | None]:
+    """(type, length) as the table declares them."""
+    # Fixed value: where Spark keeps the type of a CHAR or VARCHAR column of a catalog table
+    kind = f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", f.dataType.simpleString())
+    sized = re.fullmatch(r"(?:var)?char\((\d+)\)", kind)
+    return kind, int(sized[1]) if sized else None
+
+
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same with size (longest text) and nullable (a NULL occurs) as the rows show them.
 
@@ -120,28 +128,25 @@ def parquet_row_counts(spark: SparkSession, root: str) -> DataFrame:
     tables = list_tables(spark, root)
     if not tables:
         return spark.createDataFrame([], "table_name STRING, rows BIGINT, error STRING")
+    # entry of the folder a file lies in; paths come encoded, with a plus sign as itself
     below = r"^(?:[\w+.-]+:(?://[^/]*)?)?" + re.escape(files.bare(spark, root)) + "/([^/]+)"
-    found = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").parquet(*tables.values())
-    # paths come encoded, with a plus sign as itself
-    file = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    counted = found.groupBy(file.alias("file")).agg(F.count("*").alias("n")).groupBy(F.regexp_extract("file", below, 1).alias("entry"))
-    seen = {r["entry"]: (r["n"], r["files"]) for r in counted.agg(F.sum("n").alias("n"), F.count("*").alias("files")).collect()}  # one row for each table
-    entries = {t: p.rpartition("/")[2] for t, p in tables.items()}
-    listed = _file_counts(found, files.bare(spark, root))
-    whole = {t: seen[e][0] for t, e in entries.items() if e in seen and seen[e][1] == listed.get(e)}
-    again = probe_sizes(spark, {t: (lambda p=p: spark.read.parquet(p)) for t, p in tables.items() if t not in whole})
-    counts = spark.createDataFrame([(t, n, None) for t, n in whole.items()], "table_name STRING, rows BIGINT, error STRING")
-    return counts.unionByName(again.select("table_name", "rows", "error"))
 
-
-def _file_counts(found: DataFrame, root: str) -> dict[str, int]:
-    """Files of each entry below a folder, as the scan has listed them."""
-    out: dict[str, int] = {}
-    for file in found.inputFiles():
-        path = unquote(re.sub(r"^[\w+.-]+:(//[^/]*)?", "", file))
-        entry = path.removeprefix(root).lstrip("/").partition("/")[0]
-        out[entry] = out.get(entry, 0) + 1
-    return out
+    def entry(path: Column) -> Column:
+        return F.regexp_extract(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), below, 1).alias("entry")
+
+    paths = list(tables.values())
+    found = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").parquet(*paths)
+    counted = found.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    counted = counted.groupBy(entry(F.col("file"))).agg(F.sum("n").alias("n"), F.count("*").alias("seen"))
+    # the same files as a listing: their contents are no column that is asked for
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("_metadata.file_path")
+    listed = listing.groupBy(entry(F.col("file_path"))).agg(F.count("*").alias("listed"))
+    whole = counted.join(listed, "entry").where("seen = listed").select("entry", "n").collect()  # one row for each table
+    entries = {p.rpartition("/")[2]: t for t, p in tables.items()}
+    rows = {entries[r["entry"]]: r["n"] for r in whole}
+    again = probe_sizes(spark, {t: (lambda p=p: spark.read.parquet(p)) for t, p in tables.items() if t not in rows})
+    counts = spark.createDataFrame([(t, n, None) for t, n in rows.items()], "table_name STRING, rows BIGINT, error STRING")
+    return counts.unionByName(again.select("table_name", "rows", "error"))
 
 
 def probe_sizes(spark: SparkSession, tables: Mapping[str, Source], workers: int = 16) -> DataFrame:

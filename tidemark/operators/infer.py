@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,31 @@ def variant_rank(v: Column) -> Column:
     )
 
 
+def kinds_seen(c: Column, dtype: T.DataType) -> Column:
+    """The kinds a column's values have, as bits: a state that is merged by OR, in tasks and across runs."""
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1), value_rank(c, dtype)))
+    return F.coalesce(bits, F.lit(0))
+
+
+def kinds_of(df: DataFrame) -> dict[str, int]:
+    """kinds_seen() of every column, in one pass."""
+    return dict(zip(df.columns, df.agg(*[kinds_seen(column(f.name), f.dataType).alias(f"k{i}") for i, f in enumerate(df.schema)]).first()))
+
+
+def merged_kinds(before: Mapping[str, int] | None, delta: Mapping[str, int] | None) -> dict[str, int] | None:
+    """Kinds of a table from those before and those of a delta; unknown once a delta's are."""
+    if delta is None:
+        return None
+    return {n: (before or {}).get(n, 0) | delta.get(n, 0) for n in [*(before or {}), *delta]}
+
+
+def widest_of_kinds(spark: SparkSession, names: Sequence[str], kinds: Mapping[str, int], target: str = "mysql", keys: Sequence[str] = ()) -> DataFrame:
+    """widest() of a table from the kinds its values were seen to have; no row is read."""
+    rows = [(i + 1, n, max(kinds.get(n, 0).bit_length() - 1, 0)) for i, n in enumerate(names)]
+    ranked = spark.createDataFrame(rows, "ordinal INT, name STRING, rank INT")
+    return _typed(ranked.withColumn("kind", kind_name(F.col("rank"))), target, keys)
+
+
 def kind_name(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in KINDS]), rank + 1)
 

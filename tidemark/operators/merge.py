@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +26,20 @@ def require_columns(df: DataFrame, names: Sequence[str], role: str = "key") -> N
         raise ValueError(f"{role} columns {missing} are not among {df.columns}")
 
 
-def key_columns(keys: Sequence[str], schema: T.StructType, fold_case: bool = False) -> list[Column]:
+def key_columns(keys: Sequence[str], schema: T.StructType, fold_case: bool = False, collation: str | None = None) -> list[Column]:
     """Key expressions. Whole numbers compare (and hash) as bigint, so a column may widen;
-    `fold_case` makes text keys that differ only in case equal."""
+    `fold_case` makes text keys that differ only in case equal, and `collation` those that are
+    equal by it: `UNICODE_CI_AI_RTRIM` takes no notice of case, accents and trailing spaces.
+
+    Spark groups, sorts and joins a collated value by its collation, and the text itself stays as it came.
+    """
     result = []
     for k in keys:
         dtype = schema[k].dataType
         if isinstance(dtype, T.IntegralType):
             result.append(column(k).cast("bigint"))
+        elif collation is not None and isinstance(dtype, T.StringType):
+            result.append(F.collate(column(k), collation))
         elif fold_case and isinstance(dtype, T.StringType):
             result.append(F.lower(column(k)))
         else:
@@ -41,7 +47,14 @@ def key_columns(keys: Sequence[str], schema: T.StructType, fold_case: bool = Fal
     return result
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False) -> DataFrame:
+def require_collated_hash(spark: SparkSession, collation: str | None) -> None:
+    """xxhash64() of equal keys is equal only if it takes the collation into account; by default it does not."""
+    name = "spark.sql.legacy.collationAwareHashFunctions"
+    if collation is not None and spark.conf.get(name, "false") != "true":
+        raise ValueError(f"keys collated by {collation} are hashed: set {name} to true")
+
+
+def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False, collation: str | None = None) -> DataFrame:
     """The last row of every key by the order columns; NULLs come first.
 
     Spark runs a row_number() = 1 filter inside every task before the shuffle, so a key
@@ -50,7 +63,7 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold_c
     """
     require_columns(df, [*keys, *order])
     hashed = [c for f in df.schema if (c := _hashable(f)) is not None]
-    latest = W.partitionBy(*key_columns(keys, df.schema, fold_case)).orderBy(
+    latest = W.partitionBy(*key_columns(keys, df.schema, fold_case, collation)).orderBy(
         *[column(o).desc_nulls_last() for o in order], F.xxhash64(*hashed).desc()
     )
     return df.withColumn("_last", F.row_number().over(latest)).where("_last = 1").drop("_last")
@@ -114,50 +127,52 @@ def append(live: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def upsert(
-    live: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False
+    live: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str], fold_case: bool = False, collation: str | None = None
 ) -> DataFrame:
     """Live rows without a newer version, plus the last version of every delta key. A row of
     the delta without a key cannot be matched and fails the query."""
     require_columns(live, keys)
     require_columns(delta, [*keys, *order])
+    how = (fold_case, collation)
     lost_key = F.raise_error(F.lit(f"a row without a key in {list(keys)}"))
-    delta = delta.where(F.when(_no_key(keys), lost_key.cast("boolean")).otherwise(True))
+    delta = delta.where(F.when(no_key(keys), lost_key.cast("boolean")).otherwise(True))
     schema = widen(live.schema, delta.schema)
-    fresh = conform(dedupe_last(delta, keys, order, fold_case), schema)
+    fresh = conform(dedupe_last(delta, keys, order, *how), schema)
     if lost := [c for c in live.columns if c not in delta.columns]:
         # the delta knows nothing of these columns: they keep their live values
-        kept = live.select(*_aliased(keys, live.schema, fold_case), *map(column, lost))
-        fresh = conform(fresh.drop(*lost).join(kept, _same_key(fresh, kept, keys, fold_case), "left"), schema)
-    return without(conform(live, schema), delta, keys, fold_case).unionByName(fresh)
+        kept = live.select(*_aliased(keys, live.schema, *how), *map(column, lost))
+        fresh = conform(fresh.drop(*lost).join(kept, _same_key(fresh, kept, keys, *how), "left"), schema)
+    return without(conform(live, schema), delta, keys, *how).unionByName(fresh)
 
 
-def without(live: DataFrame, delta: DataFrame, keys: Sequence[str], fold_case: bool = False) -> DataFrame:
+def without(live: DataFrame, delta: DataFrame, keys: Sequence[str], fold_case: bool = False, collation: str | None = None) -> DataFrame:
     """Live rows whose key is not in the delta.
 
     The join takes the distinct delta keys only, so no key is hot in it; Spark broadcasts
     them when their measured size allows and then leaves `live` unshuffled.
     """
-    changed = delta.select(*_aliased(keys, delta.schema, fold_case)).distinct()
-    return live.join(changed, _same_key(live, changed, keys, fold_case), "left_anti")
+    changed = delta.select(*_aliased(keys, delta.schema, fold_case, collation)).distinct()
+    return live.join(changed, _same_key(live, changed, keys, fold_case, collation), "left_anti")
 
 
-def _aliased(keys: Sequence[str], schema: T.StructType, fold_case: bool) -> list[Column]:
-    return [k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, schema, fold_case))]
+def _aliased(keys: Sequence[str], schema: T.StructType, fold_case: bool, collation: str | None) -> list[Column]:
+    return [k.alias(f"_k{i}") for i, k in enumerate(key_columns(keys, schema, fold_case, collation))]
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], fold_case: bool) -> Column:
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], fold_case: bool, collation: str | None) -> Column:
     match = F.lit(True)
-    for i, k in enumerate(key_columns(keys, left.schema, fold_case)):
+    for i, k in enumerate(key_columns(keys, left.schema, fold_case, collation)):
         match = match & (k == right[f"_k{i}"])
     return match
 
 
 def null_keys(df: DataFrame, keys: Sequence[str]) -> Column:
     """Counts rows that cannot be matched on their key."""
-    return F.count_if(_no_key(keys))
+    return F.count_if(no_key(keys))
 
 
-def _no_key(keys: Sequence[str]) -> Column:
+def no_key(keys: Sequence[str]) -> Column:
+    """Whether a row cannot be matched on its key."""
     missing = F.lit(False)
     for k in keys:
         missing = missing | column(k).isNull()

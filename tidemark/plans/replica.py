@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tidemark import files
 from tidemark.functions.marks import Mark, encode, literal, mark_type
 from tidemark.functions.names import IDENTIFIER, column, require_identifier
-from tidemark.operators import merge
+from tidemark.operators import infer, merge, reconcile
 from tidemark.sources.tables import above
 
 BUCKET = "bucket_"
@@ -114,7 +114,7 @@ class Replica:
     def full_refresh(
         self, source: DataFrame, keys: Sequence[str] = (), field: str | None = None, order: Sequence[str] | None = None,
         bucket_bytes: int = BUCKET_BYTES, on_empty: str = "keep", fold_case: bool | None = None, latest: bool | None = None,
-        stamp: bool = False, mode: str = "full",
+        stamp: bool = False, mode: str = "full", collation: str | None = None, track_types: bool | None = None,
     ) -> dict:
         """Publish the whole source as a new version.
 
@@ -122,20 +122,53 @@ class Replica:
         adds `_synced_at`, which rewrites rows that did not change otherwise.
         """
         last = self.commit()
-        rules = self._rules(last, keys, field, order, fold_case, latest)
+        rules = self._rules(last, keys, field, order, fold_case, latest, collation, track_types)
         if stamp:
             source = source.withColumn("_synced_at", F.current_timestamp())
-        stage, folder = self._stage(last, source, rules)
-        facts = self._facts(stage, rules, None)
+        return self._replace(last, source, rules, None, mode, bucket_bytes, on_empty)
+
+    def _replace(self, last: dict | None, source: DataFrame, rules: dict, mark: Mark | None, mode: str, bucket_bytes: int, on_empty: str) -> dict:
+        stage, folder, facts = self._stage(last, source, rules, mark)
         if facts["rows"] == 0 and on_empty == "keep":
             self._drop_stage(folder)
             return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
         return self._write(last, None, stage, folder, rules, facts, mode, _nullable(source.schema), bucket_bytes)
 
+    def reconcile(self, source: DataFrame, bucket_bytes: int = BUCKET_BYTES, on_empty: str = "keep", digest_buckets: int = reconcile.BUCKETS) -> dict:
+        """Remove the rows whose keys the source has lost; `last_rows` counts what stays.
+
+        Finding them moves digests and few keys, see `operators.reconcile`. Where there are
+        any, the rest is published as a new version with the mark that was stored, so a lost last row
+        does not turn the clock back. Rows that changed or came are left to the next increment.
+        """
+        last = self.commit()
+        if last is None or last["schema"] is None or not last["keys"]:
+            raise ValueError(f"{self.table} has no published rows with a key")
+        rules = self._rules(last, (), None, None, None, None)
+        how = (rules["keys"], rules["fold_case"], rules["collation"])
+        unchanged = {**last, "mode": "reconcile", "published": False}
+        if on_empty == "keep" and source.isEmpty():
+            return unchanged
+        live, path = self.read(), files.scratch(self.spark, "deleted")
+        reconcile.deleted(live, source, rules["keys"], digest_buckets, *how[1:]).write.parquet(path)
+        gone = self.spark.read.schema(T.StructType([live.schema[k] for k in rules["keys"]])).parquet(path)
+        if gone.isEmpty():
+            return unchanged
+        mark = self.mark(rules["field"], last) if rules["field"] else None
+        return self._replace(last, merge.without(live, gone, *how), rules, mark, "reconcile", bucket_bytes, "replace")
+
+    def types(self, target: str = "mysql", keys: Sequence[str] = ()) -> DataFrame:
+        """(ordinal, name, kind, type) of every column by the kinds of all values that were
+        written, from the commit alone. Kinds are kept since the last full refresh, of rows replaced or removed as well."""
+        record = self.commit()
+        if record is None or record.get("kinds") is None:
+            raise LookupError(f"{self.table}: no run has kept the kinds of its values (track_types=True)")
+        return infer.widest_of_kinds(self.spark, T.StructType.fromJson(record["schema"]).names, record["kinds"], target, keys)
+
     def increment(
         self, source: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] | None = None, lookback=None,
         bucket_bytes: int = BUCKET_BYTES, fold_case: bool | None = None, latest: bool | None = None,
-        most_folders: int | None = MOST_FOLDERS,
+        most_folders: int | None = MOST_FOLDERS, collation: str | None = None, track_types: bool | None = None,
     ) -> dict:
         """Merge the source rows above the stored watermark.
 
@@ -149,14 +182,15 @@ class Replica:
         mark = self.mark(field, last) if last else None
         if mark is None and last and last["schema"] and not (keys or last["keys"]):
             # all rows are read again and there is no key to match them: they replace the old ones
-            return self.full_refresh(source, field=field, mode="incremental-initial")
+            return self.full_refresh(source, field=field, mode="incremental-initial", track_types=track_types)
         delta = source if mark is None else above(source, field, mark, lookback)
-        return self._apply(last, delta, self._rules(last, keys, field, order, fold_case, latest), bucket_bytes, most_folders)
+        return self._apply(last, delta, self._rules(last, keys, field, order, fold_case, latest, collation, track_types), bucket_bytes, most_folders)
 
     def apply(
         self, delta: DataFrame, field: str, keys: Sequence[str] = (), order: Sequence[str] | None = None,
         bucket_bytes: int = BUCKET_BYTES, fold_case: bool | None = None, latest: bool | None = None,
         feed: str | None = None, batch: int | None = None, most_folders: int | None = MOST_FOLDERS,
+        collation: str | None = None, track_types: bool | None = None,
     ) -> dict:
         """Merge a delta and move the watermark, in one commit.
 
@@ -167,7 +201,7 @@ class Replica:
         last = self.commit()
         if feed is not None and last and last["feeds"].get(feed, -1) >= batch:
             return {**last, "published": False}
-        rules = self._rules(last, keys, field, order, fold_case, latest)
+        rules = self._rules(last, keys, field, order, fold_case, latest, collation, track_types)
         if feed is not None:
             rules["feeds"][feed] = batch
         return self._apply(last, delta, rules, bucket_bytes, most_folders)
@@ -181,22 +215,27 @@ class Replica:
         schema = _nullable(delta.schema)
         if live:
             schema = merge.widen(T.StructType.fromJson(live["schema"]), schema)
-        stage, folder = self._stage(last, delta, rules)
-        facts = self._facts(stage, rules, mark)
+            if rules["track_types"] and live.get("kinds") is None:
+                # the rows so far were written without looking: once, they are read
+                live = {**live, "kinds": infer.kinds_of(self.read())}
+        stage, folder, facts = self._stage(last, delta, rules, mark)
         if facts["rows"] == 0:
             self._drop_stage(folder)
             return {**(last or {}), "mode": mode, "last_rows": 0, "published": False}
         return self._write(last, live, stage, folder, rules, facts, mode, schema, bucket_bytes, most_folders)
 
-    def _rules(self, last: dict | None, keys, field, order, fold_case, latest) -> dict:
+    def _rules(self, last: dict | None, keys, field, order, fold_case, latest, collation=None, track_types=None) -> dict:
         """Key, field, order and comparison belong to the table: a run that names none keeps the stored ones."""
-        known = last or {"keys": [], "watermark_field": None, "order": [], "fold_case": False, "latest": False, "feeds": {}}
+        merge.require_collated_hash(self.spark, collation)
+        known = {"keys": [], "watermark_field": None, "order": [], "fold_case": False, "latest": False, "collation": None, "kinds": None, "feeds": {}, **(last or {})}
         return {
             "keys": list(keys or known["keys"]),
             "field": field or known["watermark_field"],
             "order": list(known["order"] if order is None else order),
             "fold_case": known["fold_case"] if fold_case is None else fold_case,
+            "collation": known["collation"] if collation is None else collation,
             "latest": known["latest"] if latest is None else latest,
+            "track_types": known["kinds"] is not None if track_types is None else track_types,
             "feeds": dict(known["feeds"]),
         }
 
@@ -204,19 +243,19 @@ class Replica:
     def _order(rules: dict) -> list[str]:
         return list(dict.fromkeys([*([rules["field"]] if rules["field"] else []), *rules["order"]]))
 
-    def _stage(self, last: dict | None, rows: DataFrame, rules: dict) -> tuple[DataFrame, str]:
-        """Rows of one reading, written; of a keyed table the last row of every key. Rows of a table
-        without a key are written where they will stay."""
+    def _stage(self, last: dict | None, rows: DataFrame, rules: dict, mark: Mark | None) -> tuple[DataFrame, str, dict]:
+        """Rows of one reading, written, and what the writing saw of them; of a keyed table the last row
+        of every key. Rows of a table without a key are written where they will stay."""
         version = last["version"] + 1 if last else 1
         folder = f"{version:012d}-{uuid.uuid4().hex[:8]}"
         target = f"{self.path}/{'stage' if rules['keys'] else 'data'}/{folder}"
         if rules["keys"]:
             merge.require_columns(rows, [*rules["keys"], *self._order(rules)])
-            rows = merge.dedupe_last(rows, rules["keys"], self._order(rules), rules["fold_case"])
+            rows = merge.dedupe_last(rows, rules["keys"], self._order(rules), rules["fold_case"], rules["collation"])
         start = time.perf_counter()
-        rows.write.parquet(target)
+        facts = self._observed(rows, rules, mark, target)
         self.staged_sec = time.perf_counter() - start
-        return self.spark.read.schema(rows.schema).parquet(target), folder
+        return self.spark.read.schema(rows.schema).parquet(target), folder, facts
 
     def _drop_stage(self, folder: str) -> None:
         for kind in ("stage", "data"):
@@ -228,6 +267,7 @@ class Replica:
     ) -> dict:
         """Bring staged rows and the live rows they meet into a new version; `live` is None when none stay."""
         keys, data = rules["keys"], f"{self.path}/data/{folder}"
+        facts = {**facts, "kinds": infer.merged_kinds(live.get("kinds") if live else None, facts["kinds"])}
         if not keys:
             folders, sizes = (live["folders"], live["sizes"]) if live else ([], {})
             sizes = {**sizes, folder: [files.size(self.spark, data), 1]}
@@ -236,13 +276,13 @@ class Replica:
                 folders, sizes = self._compact(folders, sizes, schema, bucket_bytes)
             return self._publish(last, mode, schema, rules, facts, folders, sizes)
 
-        same = live is not None and live["buckets"] is not None and live["keys"] == keys and live["fold_case"] == rules["fold_case"]
+        same = live is not None and live["buckets"] is not None and live["keys"] == keys and all(live.get(k) == rules[k] for k in ("fold_case", "collation"))
         staged_bytes = files.size(self.spark, f"{self.path}/stage/{folder}")
         count = _power_of_two(-(-(staged_bytes + (_live_bytes(live) if live else 0)) // bucket_bytes))
         if same:
             count = max(count, live["count"])
             live = {**live, "count": count, "buckets": _doubled(live, count)}
-            bucket = _bucket(schema, keys, rules["fold_case"], count)
+            bucket = _bucket(schema, rules, count)
             hit = {r[0] for r in merge.conform(stage, schema).select(bucket).distinct().collect()}  # one number for each bucket
             parts = self._parts(live, hit)
             # whoever lies in the same bucket folder moves along
@@ -253,14 +293,18 @@ class Replica:
             targets = list(range(count))
             rows = merge.conform(self._rows(live, self._folders(live)), schema) if live else None
         merged = self._merge(rows, stage, schema, rules, count, targets)
+        if not same and live:
+            # live rows that had no key before are written by one
+            seen = Observation()
+            merged = merged.observe(seen, merge.null_keys(merged, keys).alias("nulls"))
         merged.write.partitionBy(BUCKET).parquet(data)
+        if not same and live:
+            _refuse(seen.get.get("nulls", 0), keys)
         written = [int(n.partition("=")[2]) for n, _ in files.children(self.spark, data) if n.startswith(f"{BUCKET}=")]
         folders = [*(live["folders"] if same else []), folder]
         kept = {b: at for b, at in _buckets(live).items() if b not in set(targets)} if same else {}
         buckets = {**kept, **{b: (len(folders) - 1, count) for b in written}}
         sizes = {**(live["sizes"] if same else {}), folder: [files.size(self.spark, data), len(written)]}
-        if not same and live:
-            self._facts(self.spark.read.schema(schema).parquet(data), rules, None)
         record = self._publish(last, mode, schema, rules, facts, folders, sizes, count, buckets)
         files.delete(self.spark, f"{self.path}/stage/{folder}")
         return record
@@ -280,8 +324,8 @@ class Replica:
     def _merge(self, live: DataFrame | None, stage: DataFrame, schema: T.StructType, rules: dict, count: int, targets: list[int]) -> DataFrame:
         """Live and staged rows in one shuffle, one task for each bucket that is written; per key the
         staged row wins, or with `latest` the last by order. The shuffle serves the layout as well."""
-        keys, fold_case = rules["keys"], rules["fold_case"]
-        bucket = _bucket(schema, keys, fold_case, count)
+        keys = rules["keys"]
+        bucket = _bucket(schema, rules, count)
         both = merge.conform(stage, schema).select("*", bucket, F.lit(1).alias("_new"))
         if live is not None:
             both = live.select("*", bucket, F.lit(0).alias("_new")).unionByName(both)
@@ -291,7 +335,7 @@ class Replica:
             numbers = self.spark.createDataFrame(list(zip(targets, range(len(targets)))), f"{BUCKET} BIGINT, _task INT")
             both, task = both.join(F.broadcast(numbers), BUCKET), F.col("_task")
         both = both.repartitionById(len(targets), task)
-        group = W.partitionBy(task, BUCKET, *merge.key_columns(keys, schema, fold_case))
+        group = W.partitionBy(task, BUCKET, *merge.key_columns(keys, schema, rules["fold_case"], rules["collation"]))
         for f in schema:
             if f.name not in stage.columns:
                 # the delta has no such column: an updated row keeps its live value
@@ -302,10 +346,14 @@ class Replica:
         # by key inside a bucket rows compress and skip better
         return merged.sortWithinPartitions(BUCKET, *[column(k) for k in keys])
 
-    def _facts(self, rows: DataFrame, rules: dict, mark: Mark | None) -> dict:
-        """Row count and new watermark of written rows; rows without a key are refused."""
+    def _observed(self, rows: DataFrame, rules: dict, mark: Mark | None, target: str) -> dict:
+        """Write rows and learn their count, new watermark and kinds of values on the way; rows without a key are refused.
+
+        The measures belong to the writing stage itself, where a task counts when it has
+        succeeded: one that fails, or runs twice, counts once.
+        """
         keys, field = rules["keys"], rules["field"]
-        text, kind = F.lit(None).cast("string"), None
+        kind, measures = None, [F.count(F.lit(1)).alias("rows")]
         if field is not None:
             merge.require_columns(rows, [field], "watermark")
             dtype = rows.schema[field].dataType
@@ -313,12 +361,18 @@ class Replica:
             top = F.max(column(field))
             if mark is not None:
                 top = F.greatest(literal(mark, dtype), top)
-            text = encode(top, dtype)
-        bad = merge.null_keys(rows, keys) if keys else F.lit(0)
-        n, value, nulls = rows.agg(F.count("*"), text, bad).first()
-        if nulls:
-            raise BadDelta(f"{nulls} rows without a key in {list(keys)}")
-        return {"rows": n, "mark": Mark(kind, value) if value is not None else None}
+            measures.append(encode(top, dtype).alias("mark"))
+        if keys:
+            measures.append(merge.null_keys(rows, keys).alias("nulls"))
+        if rules["track_types"]:
+            measures += [infer.kinds_seen(column(f.name), f.dataType).alias(f"kinds_{i}") for i, f in enumerate(rows.schema)]
+        seen = Observation()
+        rows.observe(seen, *measures).write.parquet(target)
+        got = seen.get
+        _refuse(got.get("nulls", 0), keys)
+        value = got.get("mark")
+        kinds = {n: got.get(f"kinds_{i}") or 0 for i, n in enumerate(rows.columns)} if rules["track_types"] else None
+        return {"rows": got.get("rows", 0), "mark": Mark(kind, value) if value is not None else None, "kinds": kinds}
 
     def _publish(
         self, last: dict | None, mode: str, schema: T.StructType, rules: dict, facts: dict, folders: list[str], sizes: dict,
@@ -349,7 +403,8 @@ class Replica:
             "sizes": {f: sizes[f] for f in folders},
             "count": count,
             "buckets": buckets,
-            **{k: rules[k] for k in ("keys", "order", "fold_case", "latest", "feeds")},
+            "kinds": facts["kinds"],
+            **{k: rules[k] for k in ("keys", "order", "fold_case", "collation", "latest", "feeds")},
         }
         self._commit(record)
         return {**record, "staged_sec": self.staged_sec}
@@ -423,9 +478,14 @@ def _live_bytes(record: dict) -> int:
     return sum(record["sizes"][record["folders"][i]][0] * n // max(1, record["sizes"][record["folders"][i]][1]) for i, n in live.items())
 
 
-def _bucket(schema: T.StructType, keys: Sequence[str], fold_case: bool, count: int) -> Column:
+def _bucket(schema: T.StructType, rules: dict, count: int) -> Column:
     """Bucket of a row: twice the buckets cut each of them in two."""
-    return F.pmod(F.xxhash64(*merge.key_columns(keys, schema, fold_case)), F.lit(count).cast("bigint")).alias(BUCKET)
+    return F.pmod(F.xxhash64(*merge.key_columns(rules["keys"], schema, rules["fold_case"], rules["collation"])), F.lit(count).cast("bigint")).alias(BUCKET)
+
+
+def _refuse(nulls: int, keys: Sequence[str]) -> None:
+    if nulls:
+        raise BadDelta(f"{nulls} rows without a key in {list(keys)}")
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -497,7 +557,7 @@ def import_state(spark: SparkSession, root: str, path: str) -> int:
                 "watermark_field": None, "pk_field": None, "last_rows": r["last_rows"],
                 "updated_at": r["updated_at"], "published": False,
                 "keys": [], "schema": None, "folders": [], "sizes": {}, "count": None, "buckets": None,
-                "order": [], "fold_case": False, "latest": False, "feeds": {},
+                "order": [], "fold_case": False, "collation": None, "latest": False, "kinds": None, "feeds": {},
             }
         )
     return taken

@@ -246,6 +246,8 @@ UNION ALL SELECT 'part', 'float', CAST(max(p_retailprice) AS VARCHAR), count(*),
 UNION ALL SELECT 'conversations', 'int', CAST(max(conv_id) AS VARCHAR), count(*), TIMESTAMP '2024-02-01 03:00:00' FROM conversations
 """
 
+LOST = "('0x' || substr(md5(event_id::VARCHAR), 1, 7))::BIGINT % 20 = 0"
+
 ORACLE = {
     "scan_full": "SELECT * FROM orders",
     "scan_incremental_int": f"SELECT * FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE ts <= TIMESTAMP '{E}')",
@@ -254,9 +256,15 @@ ORACLE = {
     "scan_pages": "SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders",
     "scan_pages_text": "SELECT page_id, url, (row_number() OVER (ORDER BY encode(url)) - 1) // 100 AS page FROM pages",
     "list_tables": LIST_TABLES,
-    "table_schema": f"SELECT table_name, ordinal, name, type FROM ({_measured()}) UNION ALL SELECT 'missing', NULL, NULL, NULL",
+    "table_schema": f"""SELECT table_name, ordinal, name, type, NULL::INT AS size, true AS nullable FROM ({_measured()})
+        UNION ALL SELECT * FROM (VALUES ('declared', 1, 'c_custkey', 'bigint', NULL, true), ('declared', 2, 'c_name', 'varchar(25)', 25, true),
+          ('declared', 3, 'c_acctbal', 'double', NULL, true), ('declared', 4, 'c_mktsegment', 'char(12)', 12, true), ('missing', NULL, NULL, NULL, NULL, NULL))""",
     "column_profile": _measured(),
     "table_count": "SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem",
+    "table_count_footers": f"SELECT *, true AS from_footers FROM ({COUNTS})",
+    "watermark_max_footers": """SELECT 'events' AS table_name, max(event_id)::VARCHAR AS watermark, true AS from_footers FROM events
+        UNION ALL SELECT 'orders', max(o_orderkey)::VARCHAR, true FROM orders
+        UNION ALL SELECT 'lineitem', max(l_shipdate)::VARCHAR, false FROM lineitem""",
     "size_probe": ODD_COUNTS.format("table_name"),
     "size_report": ODD_COUNTS.format("table"),
     "size_errors": f"SELECT table_name, rows, false AS failed FROM ({COUNTS}) UNION ALL SELECT 'missing', NULL, true",
@@ -265,8 +273,11 @@ ORACLE = {
     "envelope_scan": "SELECT * FROM orders",
     "envelope_untyped": "SELECT * FROM documents",
     "envelope_rejects": SEGMENTS,
-    "envelope_accepts": "SELECT c_mktsegment AS \"table\", c_custkey, c_acctbal FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')",
+    "envelope_accepts": "SELECT c_mktsegment AS \"table\", * FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')",
+    "envelope_incremental": f"SELECT * FROM events WHERE ts > TIMESTAMP '{E}'",
     "adhoc_sql": f"SELECT * REPLACE ({iso('last_order')} AS last_order) FROM ({ADHOC})",
+    "adhoc_bound": f"""SELECT o_orderstatus, count(*) AS orders, {iso('max(o_orderdate)')} AS last_order FROM orders
+        WHERE o_orderdate > TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1998-06-15' GROUP BY o_orderstatus""",
     "watermark_coerce": f"""
         SELECT event_id, {KIND.format('id')} AS id_kind, {KIND.format('iso')} AS ts_kind, {KIND.format('v')} AS value_kind,
                {KIND.format('event_type')} AS event_type_kind, event_id AS id_mark, ts AS ts_mark
@@ -301,6 +312,7 @@ ORACLE = {
     "target_rows": """SELECT c_custkey AS cust_key, replace(c_name, '#', '') AS cust_name, CAST(c_nationkey AS BIGINT) AS _2nd,
         c_acctbal AS acct_bal, c_mktsegment FROM customer""",
     "infer_types_wide": _widest("lineitem"),
+    "infer_types_merged": _widest("lineitem"),
     "infer_types_json": _widest_json(),
     "infer_types_first": _first_types(),
     "pk_check": _widest("customer", "c_name"),
@@ -313,6 +325,9 @@ ORACLE = {
     "merge_append": f"SELECT *, CASE WHEN ts > TIMESTAMP '{E}' THEN strftime(ts, '%Y-%m-%d') END AS seen FROM events",
     "merge_upsert": f"SELECT * REPLACE (CASE WHEN ts > TIMESTAMP '{E}' - INTERVAL 3 DAY THEN value * 2 ELSE value END AS value) FROM events",
     "merge_upsert_lines": _last_lines(f"(l_shipdate > TIMESTAMP '{L}') DESC, "),
+    "upsert_collated": """SELECT c_custkey, CASE WHEN c_custkey % 2 = 1 THEN c_name WHEN c_custkey % 3 = 0 THEN upper(c_name)
+          WHEN c_custkey % 3 = 1 THEN replace(c_name, 'o', 'ö') || '  ' ELSE replace(c_name, 'e', 'É') END AS c_name,
+        * EXCLUDE (c_custkey, c_name) REPLACE (c_acctbal + (c_custkey % 2 = 0)::INT AS c_acctbal) FROM customer""",
     "dedupe_last": _last_lines(),
     "skip_tables": KEPT_TABLES,
     "unknown_policy": f"""SELECT p.table_name, rows, rows IS NOT NULL AS known
@@ -328,6 +343,8 @@ ORACLE = {
     "incremental_growth": _last_lines(),
     "incremental_replay": "SELECT * FROM events",
     "incremental_lookback": "SELECT * FROM events",
+    "deletes_found": f"SELECT event_id FROM events WHERE {LOST}",
+    "deletes_reconciled": f"SELECT * FROM events WHERE NOT {LOST}",
     "state_table": f"SELECT *, true AS published FROM ({STATE})",
     "state_import": f"SELECT *, false AS published FROM ({IMPORTED})",
     "import_then_run": "SELECT * FROM events",

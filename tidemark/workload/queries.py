@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import files
 from tidemark.functions import marks, names, wire
-from tidemark.operators import catalog, infer, merge, report
+from tidemark.operators import catalog, infer, merge, reconcile, report
 from tidemark.plans import policy, replica as store
 from tidemark.plans.replica import Replica
 from tidemark.plans.run import run
-from tidemark.sources import envelopes, jdbc, query, tables as scans
+from tidemark.sources import envelopes, footers, jdbc, query, tables as scans
 from tidemark.streaming import feed
 from tidemark.workload import inputs
 from tidemark.workload.inputs import moment, table
@@ -81,11 +82,18 @@ def list_tables(spark, sf_dir):
 
 
 def table_schema(spark, sf_dir):
-    """From the schemas; one of the tables cannot be opened."""
-    found, errors = catalog.discover(spark, _sources(spark, sf_dir))
-    failed = errors.select("table_name", *[F.lit(None).cast(t).alias(c) for c, t in (("ordinal", "int"), ("name", "string"), ("type", "string"))])
-    # parquet declares no lengths, and Spark reads every column of it as nullable
-    return found.select("table_name", "ordinal", "name", "type").unionByName(failed)
+    """From the schemas, a catalog table with declared lengths among them; one of the tables cannot be opened."""
+    name = f"customer_{uuid.uuid4().hex[:8]}"
+    place = files.scratch(spark, "declared")
+    spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_name VARCHAR(25), c_acctbal DOUBLE, c_mktsegment CHAR(12)) USING parquet LOCATION '{place}'")
+    try:
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment").write.insertInto(name)
+        found, errors = catalog.discover(spark, {**_sources(spark, sf_dir), "declared": scans.catalog_table(spark, name)})
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    lost = T.StructType.fromDDL(catalog.COLUMNS_SCHEMA).fields[1:]
+    failed = errors.select("table_name", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lost])
+    return found.unionByName(failed)
 
 
 def column_profile(spark, sf_dir):
@@ -96,6 +104,19 @@ def table_count(spark, sf_dir):
     return catalog.row_counts({"lineitem": table(spark, sf_dir, "lineitem")})
 
 
+def table_count_footers(spark, sf_dir):
+    """Counts of all given tables; no row is read."""
+    return footers.row_counts(spark, scans.list_tables(spark, sf_dir)).drop("error")
+
+
+def watermark_max_footers(spark, sf_dir):
+    """Marks of three tables; the footers tell two of them, and a moment in time is read from the rows."""
+    found = [("events", "event_id"), ("orders", "o_orderkey"), ("lineitem", "l_shipdate")]
+    tops = [footers.highest(spark, f"{sf_dir}/{t}.parquet", c) for t, c in found]
+    made = [top.select(F.lit(t).alias("table_name"), F.col("watermark").cast("string").alias("watermark"), "from_footers") for (t, _), top in zip(found, tops)]
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
 def size_probe(spark, sf_dir):
     sizes = catalog.parquet_row_counts(spark, _odd_tables(spark, sf_dir))
     return catalog.ranked_sizes(sizes).select("table_name", "rows", F.col("error").isNotNull().alias("failed"))
@@ -166,7 +187,16 @@ def envelope_rejects(spark, sf_dir):
 
 def envelope_accepts(spark, sf_dir):
     path, row = _customer_envelopes(spark, sf_dir)
-    return envelopes.rows(spark, path, row).select("table", "row.c_custkey", "row.c_acctbal")
+    return envelopes.rows(spark, path, row).select("table", "row.*")
+
+
+def envelope_incremental(spark, sf_dir):
+    """Events as envelopes in folders by week; only the weeks from the mark's on are read."""
+    events = table(spark, sf_dir, "events")
+    path = files.scratch(spark, "envelopes")
+    week = dt.timedelta(days=7)
+    envelopes.write_ranges(events, path, "events", "ts", week)
+    return envelopes.rows_above(spark, path, events.schema, "ts", marks.Mark("datetime", inputs.EVENTS_SYNCED), week, "events")
 
 
 ADHOC = """
@@ -184,6 +214,24 @@ def adhoc_sql(spark, sf_dir):
     return query.read_only(spark, ADHOC, wire=True)
 
 
+ADHOC_BOUND = """
+SELECT o_orderstatus, count(*) AS orders, max(IDENTIFIER(:field)) AS last_order
+FROM IDENTIFIER(:source)
+WHERE IDENTIFIER(:field) > :low AND IDENTIFIER(:field) <= :high AND o_orderpriority <> :text
+GROUP BY o_orderstatus
+"""
+
+
+def adhoc_bound(spark, sf_dir):
+    """Table, field and bounds are parameters; a text that would be SQL stays a value."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    args = {
+        "source": "orders", "field": "o_orderdate", "low": dt.datetime(1996, 1, 1), "high": dt.datetime(1998, 6, 15),
+        "text": "x' OR '1' = '1'; DROP VIEW orders --",
+    }
+    return query.read_only(spark, ADHOC_BOUND, wire=True, args=args)
+
+
 # values
 
 
@@ -325,6 +373,17 @@ def infer_types_wide(spark, sf_dir):
     return infer.widest(table(spark, sf_dir, "lineitem"))
 
 
+def infer_types_merged(spark, sf_dir):
+    """Types of a table that arrived in three deltas, from the kinds its commits have kept."""
+    lines = table(spark, sf_dir, "lineitem")
+    replica = Replica(spark, files.scratch(spark, "replica"), "lineitem")
+    edges = ["1900-01-01 00:00:00", inputs.LINES_SYNCED, "2000-01-01 00:00:00", "2100-01-01 00:00:00"]
+    for low, high in zip(edges, edges[1:]):
+        part = lines.where((F.col("l_shipdate") > moment(low)) & (F.col("l_shipdate") <= moment(high)))
+        replica.apply(part, "l_shipdate", track_types=True)
+    return replica.types()
+
+
 def infer_types_json(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     rows = part.select(F.to_json(F.struct(*part.columns)).alias("json")).unionByName(
@@ -368,6 +427,18 @@ def merge_upsert(spark, sf_dir):
     return merge.upsert(before, changed.withColumn("value", F.col("value") * 2), ["event_id"], ["ts"])
 
 
+COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
+def upsert_collated(spark, sf_dir):
+    """Customers whose names come back in other cases, with accents and trailing spaces: they are the same customers."""
+    customer = table(spark, sf_dir, "customer")
+    number = F.col("c_custkey")
+    named = F.when(number % 3 == 0, F.upper("c_name")).when(number % 3 == 1, F.concat(F.replace("c_name", F.lit("o"), F.lit("ö")), F.lit("  "))).otherwise(F.replace("c_name", F.lit("e"), F.lit("É")))
+    delta = customer.where(number % 2 == 0).withColumns({"c_name": named, "c_acctbal": F.col("c_acctbal") + 1})
+    return merge.upsert(customer, delta, ["c_name"], ["c_custkey"], collation=COLLATION)
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = [
     "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -518,6 +589,31 @@ def incremental_lookback(spark, sf_dir):
     return replica.read()
 
 
+def _lost() -> Column:
+    """About a twentieth of the events, by a hash both engines have."""
+    return F.conv(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint") % 20 == 0
+
+
+def _replica_of_events(spark, sf_dir) -> tuple[Replica, DataFrame]:
+    """A replica of all events, and a source that has lost some."""
+    events = table(spark, sf_dir, "events")
+    replica = Replica(spark, files.scratch(spark, "replica"), "events")
+    replica.increment(events, "ts", ["event_id"], bucket_bytes=BUCKET_BYTES)
+    return replica, events.where(~_lost())
+
+
+def deletes_found(spark, sf_dir):
+    """Keys the source has lost, found by digests."""
+    replica, source = _replica_of_events(spark, sf_dir)
+    return reconcile.deleted(replica.read(), source, ["event_id"])
+
+
+def deletes_reconciled(spark, sf_dir):
+    replica, source = _replica_of_events(spark, sf_dir)
+    replica.reconcile(source, bucket_bytes=BUCKET_BYTES)
+    return replica.read()
+
+
 def state_table(spark, sf_dir):
     root = files.scratch(spark, "replica")
     for part in _before_and_after(spark, sf_dir):
@@ -734,13 +830,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_full, scan_incremental_int, scan_incremental_ts, scan_page, scan_pages, scan_pages_text, list_tables, table_schema, column_profile, table_count,
-        size_probe, size_report, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects, envelope_accepts, adhoc_sql,
-        watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds, decimal_to_double, flatten_number,
-        binary_to_text, strip_nul, normalize_row, normalize_nested, all_text, sanitize_names, valid_identifiers, name_collisions, target_rows,
-        infer_types_wide, infer_types_json, infer_types_first, pk_check, target_ddl, watermark_max, merge_append, merge_upsert,
-        merge_upsert_lines, dedupe_last, skip_tables, unknown_policy, plan_modes, resume_slice, full_refresh,
-        full_refresh_stamped, full_refresh_unkeyed, incremental_run, incremental_append, incremental_slices, incremental_growth, incremental_replay,
-        incremental_lookback, state_table, state_import, import_then_run, orphan_versions, run_report, run_summary, infer_pk, infer_mtime, infer_soft_delete, infer_catalog,
-        catalog_summary, stream_upsert, stream_late, stream_append, flagship,
+        table_count_footers, size_probe, size_report, size_errors, size_top20, size_totals, envelope_scan, envelope_untyped, envelope_rejects,
+        envelope_accepts, envelope_incremental, adhoc_sql, adhoc_bound, watermark_coerce, state_roundtrip, truncate_text, iso_temporal, interval_seconds,
+        decimal_to_double, flatten_number, binary_to_text, strip_nul, normalize_row, normalize_nested, all_text, sanitize_names, valid_identifiers,
+        name_collisions, target_rows, infer_types_wide, infer_types_merged, infer_types_json, infer_types_first, pk_check, target_ddl, watermark_max,
+        watermark_max_footers, merge_append, merge_upsert, merge_upsert_lines, upsert_collated, dedupe_last, skip_tables, unknown_policy, plan_modes,
+        resume_slice, full_refresh, full_refresh_stamped, full_refresh_unkeyed, incremental_run, incremental_append, incremental_slices,
+        incremental_growth, incremental_replay, incremental_lookback, deletes_found, deletes_reconciled, state_table, state_import, import_then_run,
+        orphan_versions, run_report, run_summary, infer_pk, infer_mtime, infer_soft_delete, infer_catalog, catalog_summary, stream_upsert, stream_late,
+        stream_append, flagship,
     )
 }
