@@ -1,10 +1,14 @@
 import zlib
+from itertools import product
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity, workload
 from tidemark.llm.toxicity import MARKS, Model
+from tidemark.llm.transducers import Transducer, compose
 
 
 def model():
@@ -23,6 +27,17 @@ def model():
         ("He said idiot", "reported"),
         ("« idiot »", "reported"),
         ("un vequment", "insult"),
+        ('"hi" you idiot', "aimed insult"),
+        ("she wrote code and you idiot broke it", "aimed insult"),
+        ("no problem you idiot", "aimed insult"),
+        ("he said you are an idiot", "reported"),
+        ("he said, you idiot", "reported"),
+        ("he wrote that the man, an idiot, left", "reported"),
+        ('they know " the idiot', "aimed insult"),
+        ('"hi" and "idiot" it is', "reported"),
+        ('he said "no" and you idiot left', "aimed insult"),
+        ("no, idiot", "insult"),
+        ("you never kill", "negated"),
     ],
 )
 def test_marks_of_a_clause(text, mark):
@@ -41,10 +56,51 @@ def test_clauses_words_and_bounds():
     assert 0 < m.score(None) < m.score("you idiot") < 1
 
 
-def test_machine_is_whole():
-    states = {s for s, _ in toxicity.MACHINE}
-    assert all(after in states for after, _ in toxicity.MACHINE.values())
-    assert len(toxicity.MACHINE) == len(states) * 6
+def cascade(symbols):
+    """All readings, machine after machine: what one writes the next one reads."""
+    readings = [(tuple(symbols), (0.0,) * len(symbols))]
+    for machine in toxicity.MACHINES:
+        made = []
+        for tape, weights in readings:
+            todo = [(0, machine.start, (), ())]
+            while todo:
+                at, state, written, gained = todo.pop()
+                if at == len(tape):
+                    if state in machine.finals:
+                        made.append((written, tuple(a + b for a, b in zip(weights, gained))))
+                    continue
+                todo += [(at + 1, end, (*written, out), (*gained, w)) for end, out, w in machine.arcs.get((state, tape[at]), ())]
+        readings = made
+    return readings
+
+
+def test_composition_reads_as_the_machines_in_a_row():
+    """Every input has one reading through all five machines, and the composed machine gives it."""
+    whole = compose(*toxicity.MACHINES)
+    for n in range(5):
+        for symbols in product(toxicity.SYMBOLS, repeat=n):
+            ((written, weights),) = cascade(symbols)
+            ((path, weight),) = whole.paths(symbols)
+            assert path == written and weight == pytest.approx(sum(weights))
+            assert toxicity.READER.read(symbols) == [(i, m, w) for i, (m, w) in enumerate(zip(written, weights)) if m]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(toxicity.SYMBOLS), min_size=5, max_size=14))
+def test_longer_clauses_read_as_in_a_row(symbols):
+    ((written, weights),) = cascade(symbols)
+    assert toxicity.READER.read(symbols) == [(i, m, pytest.approx(w)) for i, (m, w) in enumerate(zip(written, weights)) if m]
+
+
+def test_composition_of_any_machines():
+    # a guesses where b comes from; c doubles the price of x
+    a = Transducer.of(0, [1], [(0, "a", 0, "x", 1.0), (0, "a", 1, "y", 0.5), (1, "a", 1, "x", 2.0)])
+    b = Transducer.of("s", ["s"], [("s", "x", "s", "u", 0.25), ("s", "y", "s", "v", 0.0), ("s", "y", "t", "w", 9.0)])
+    made = compose(a, b)
+    assert sorted(made.paths("aaa")) == [(("u", "u", "v"), 3.0), (("u", "v", "u"), 4.0), (("v", "u", "u"), 5.0)]
+    assert list(made.paths("")) == []
+    # a state from which nothing ends is gone
+    assert all(out != "w" for arcs in made.arcs.values() for _, out, _ in arcs)
 
 
 def test_learned_on_the_given_tables(spark):

@@ -1,10 +1,17 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexical transducer maps words to symbols: insult, threat, target, negation, report, other.
-It is composed with three small machines that remember a recent negation, reported speech
-and an addressed target, and the composed machine writes a mark for every clause part that
-matches: a plain or aimed insult or threat, a negated or a reported one. Marks, not words,
-are what a document is scored on.
+A lexicon maps the words of a clause to symbols with weights: insult, threat, target,
+negation, report, quotation mark, break, other. Five weighted transducers read them in a
+row, and their composition is one machine over pairs of states whose weights are added:
+
+    negation  marks insults and threats that a negation before them reaches
+    report    marks those inside closed quotation marks, or in what someone is said to say
+    target    marks those that are aimed at someone, before or behind them in the clause
+    insult    writes a mark for each insult
+    threat    writes a mark for each threat
+
+Marks, not words, are what a document is scored on: the weight of a mark is that of its
+word and of the arcs that led to it.
 
 Insults are learned: from labelled rows, the beginnings of words that tell toxic texts
 from others join the fixed lists with their log odds as weights. A logistic regression over
@@ -16,9 +23,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import product
 
 import ahocorasick
 import numpy as np
@@ -28,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import staging
+from tidemark.llm.transducers import Reader, Transducer, compose
 
 # Words of the grammar in English, French, German and Spanish.
 INSULTS = (
@@ -41,6 +48,7 @@ THREATS = (
 TARGETS = ("you", "your", "yourself", "he", "she", "they", "them", "tu", "toi", "vous", "du", "dich", "ihr", "sie", "tú", "usted", "ustedes", "vosotros")
 NEGATIONS = ("not", "no", "never", "neither", "without", "don", "doesn", "didn", "isn", "aren", "wasn", "ne", "pas", "jamais", "nicht", "kein", "keine", "nie", "nunca", "ni", "sin")
 REPORTS = ("said", "says", "wrote", "called", "claimed", "quoted", "dit", "écrit", "appelé", "sagte", "schrieb", "nannte", "dijo", "escribió", "llamó")
+BREAKS = ("and", "but", "so", "because", "while", "et", "mais", "und", "aber", "weil", "y", "e", "pero", "porque", ",")
 
 SAMPLE = 20_000
 STEM = (3, 12)
@@ -49,33 +57,97 @@ LEAST_CHI2 = 50.0
 LEAST_ODDS = 1.5
 CANDIDATES = 20_000
 NEGATION_REACH = 3
+# Weights of the arcs that mark an insult or a threat.
+AIMED = 0.5
+SOFTENED = -0.5
 DEFAULT_WEIGHT = 2.0
 RIDGE = 1.0
 
 CLAUSE_END = re.compile(r"[.!?;:\n]")
-WORD = re.compile(r"[^\W_]+|[\"«»“”„]")
+WORD = re.compile(r"[^\W_]+|[,\"«»“”„]")
 QUOTES = set("\"«»“”„")
 MARKS = ("insult", "aimed insult", "threat", "aimed threat", "negated", "reported")
 
 
-def _machine() -> dict[tuple[tuple[int, int, int], str], tuple[tuple[int, int, int], str | None]]:
-    """The composition of the negation, report and target machines: (state, symbol) to (state, mark).
+# what the lexicon writes: insult, threat, target, negation, report, quotation mark, break, other
+SYMBOLS = "itynrqbo"
+
+
+def negation_machine() -> Transducer:
+    """A negation reaches NEGATION_REACH symbols, but not across a break or someone who is addressed. States: symbols it still reaches."""
+    arcs = []
+    for reach in range(NEGATION_REACH + 1):
+        for symbol in SYMBOLS:
+            after = NEGATION_REACH if symbol == "n" else 0 if symbol in "by" else max(0, reach - 1)
+            negated = symbol in "it" and reach > 0
+            arcs.append((reach, symbol, after, f"{symbol}-" if negated else symbol, SOFTENED if negated else 0.0))
+    return Transducer.of(0, range(NEGATION_REACH + 1), arcs)
+
 
-    A state is (words for which a negation still reaches, in reported speech, target seen).
+def report_machine() -> Transducer:
+    """Quotation marks hold to the one that closes them; the last of an odd number opens nothing, which is guessed.
+
+    A report verb holds until a break behind which someone else is named, but for the break
+    right behind the verb. States: (plain, just said, said, said and break; no quotation open, one open, none to come).
     """
-    table = {}
-    for (negated, reported, aimed), symbol in product(product(range(NEGATION_REACH + 1), (0, 1), (0, 1)), "itynro"):
-        mark = None
-        if symbol in "it":
-            kind = "insult" if symbol == "i" else "threat"
-            mark = "negated" if negated else "reported" if reported else f"aimed {kind}" if aimed else kind
-        after = (NEGATION_REACH if symbol == "n" else max(0, negated - 1), int(reported or symbol == "r"), int(aimed or symbol == "y"))
-        table[(negated, reported, aimed), symbol] = after, mark
-    return table
+    arcs = []
+    for mode in ("plain", "just", "said", "break"):
+        for symbol in (*SYMBOLS, "i-", "t-"):
+            after = {
+                "plain": "just" if symbol == "r" else "plain",
+                "just": "just" if symbol == "r" else "said",
+                "said": {"r": "just", "b": "break"}.get(symbol, "said"),
+                "break": {"r": "just", "b": "break", "y": "plain"}.get(symbol, "said"),
+            }[mode]
+            if symbol == "q":
+                closed = "said" if mode == "just" else mode
+                arcs += [((mode, "none"), "q", (mode, "open"), "q", 0.0), ((mode, "open"), "q", (closed, "none"), "q", 0.0), ((mode, "none"), "q", (mode, "last"), "q", 0.0)]
+                continue
+            for quote in ("none", "open", "last"):
+                reported = symbol in ("i", "t") and (mode != "plain" or quote == "open")
+                # what is quoted has no say in who reports
+                end = mode if quote == "open" else after
+                arcs.append(((mode, quote), symbol, (end, quote), f'{symbol}"' if reported else symbol, SOFTENED if reported else 0.0))
+    modes = ("plain", "just", "said", "break")
+    return Transducer.of(("plain", "none"), [(m, q) for m in modes for q in ("none", "last")], arcs)
+
+
+def target_machine() -> Transducer:
+    """An insult or threat is aimed if a target stands before or behind it in the clause.
+
+    Before a target is seen it is guessed whether one comes: states are open, named, coming, none to come.
+    """
+    passed = (*SYMBOLS, "i-", "t-", 'i"', 't"')
+    arcs = []
+    for symbol in passed:
+        if symbol in ("i", "t"):
+            arcs += [
+                ("named", symbol, "named", f"{symbol}!", 0.0), ("coming", symbol, "coming", f"{symbol}!", 0.0), ("none", symbol, "none", symbol, 0.0),
+                ("open", symbol, "coming", f"{symbol}!", 0.0), ("open", symbol, "none", symbol, 0.0),
+            ]
+        elif symbol == "y":
+            arcs += [(state, "y", "named", "y", 0.0) for state in ("open", "named", "coming")]
+        else:
+            arcs += [(state, symbol, state, symbol, 0.0) for state in ("open", "named", "coming", "none")]
+    return Transducer.of("open", ("open", "named", "none"), arcs)
+
+
+def _marker(symbol: str, kind: str, others: Sequence[str]) -> Transducer:
+    """Writes the marks of one kind, hands on those of others, and writes nothing for the rest."""
+    arcs = [(0, symbol, 0, kind, 0.0), (0, f"{symbol}!", 0, f"aimed {kind}", AIMED), (0, f"{symbol}-", 0, "negated", 0.0), (0, f'{symbol}"', 0, "reported", 0.0)]
+    return Transducer.of(0, [0], arcs + [(0, o, 0, o if o in MARKS or o[:1] == "t" else "", 0.0) for o in others])
+
+
+def insult_machine() -> Transducer:
+    return _marker("i", "insult", [*"tynrqbo", "t!", "t-", 't"'])
+
+
+def threat_machine() -> Transducer:
+    return _marker("t", "threat", ["", "insult", "aimed insult", "negated", "reported"])
 
 
-MACHINE = _machine()
-START = (0, 0, 0)
+MACHINES = (negation_machine(), report_machine(), target_machine(), insult_machine(), threat_machine())
+READER = Reader(compose(*MACHINES))
 
 
 @dataclass
@@ -88,7 +160,7 @@ class Model:
 
     def __post_init__(self):
         self.automaton = None
-        self.other = {w: s for ws, s in ((TARGETS, "y"), (NEGATIONS, "n"), (REPORTS, "r")) for w in ws}
+        self.other = {w: s for ws, s in ((TARGETS, "y"), (NEGATIONS, "n"), (REPORTS, "r"), (BREAKS, "b"), (QUOTES, "q")) for w in ws}
 
     def __getstate__(self):
         return {"stems": self.stems, "words": self.words, "coefficients": self.coefficients}
@@ -137,20 +209,14 @@ class Model:
             first = max(text.rfind(c, 0, at) for c in ".!?;:\n") + 1
             end = CLAUSE_END.search(text, at)
             done = end.start() if end else len(text)
-            state, plain = START, []
+            symbols, weights = [], []
             for word in WORD.finditer(text, first, done):
-                token = word[0]
                 symbol, weight = hits.get(word.start(), (None, 0.0))
-                if symbol is None:
-                    symbol = "r" if token in QUOTES else self.other.get(token, "o")
-                state, mark = MACHINE[state, symbol]
-                if mark:
-                    plain.append((mark, weight))
-                    n += 1
-            for mark, weight in plain:
-                # a target behind the insult aims it as well
-                mark = f"aimed {mark}" if state[2] and mark in ("insult", "threat") else mark
-                out[MARKS.index(mark)] += weight
+                symbols.append(symbol or self.other.get(word[0], "o"))
+                weights.append(weight)
+            for place, mark, weight in READER.read(symbols):
+                out[MARKS.index(mark)] += max(0.0, weights[place] + weight)
+                n += 1
         out[: len(MARKS)] = np.log1p(np.maximum(out[: len(MARKS)], 0))
         out[-3] = math.log1p(n)
         out[-2] = min(1.0, 60.0 * n / max(6, len(text)))
@@ -255,6 +321,8 @@ def fit(labels: DataFrame, texts: DataFrame, rows: int = SAMPLE) -> Model:
     toxic if one says so. Without both kinds of rows the fixed lists decide.
     """
     learned = staging.staged(sample(labels, texts, rows), "sample")
+    # few files hold the sample: its rows are dealt to all cores, `rows` of them at most
+    learned = learned.repartition(learned.sparkSession.sparkContext.defaultParallelism, "key")
     model = Model(*_learn_stems(learned))
     model.coefficients = (-2.0, *[1.5, 2.0, 1.5, 2.0, 0.2, 0.2], 0.0, 0.0, 0.0)
 
