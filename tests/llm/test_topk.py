@@ -63,3 +63,36 @@ def test_blocks_are_pruned():
         best = sorted(((-s, v) for v, s in enumerate(exact[q].tolist())))[:5]
         mine = searcher.query == q
         assert sorted(zip((-searcher.score[mine]).tolist(), searcher.vec[mine].tolist())) == best
+
+
+def clusters(n, seed):
+    """Rows of 16 clusters in no order of their ids."""
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 0.5) for _ in range(8)] for _ in range(16)]
+    return [(i, [c + rng.gauss(0, 0.01) for c in rng.choice(centres)]) for i in range(n)]
+
+
+def test_blocks_follow_similarity_not_ids(spark):
+    rows = clusters(1024, 5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    how = {"k": 5, "block": 32, "group_blocks": 4, "chunk": 20}
+    pairs, scored = topk.scored_pairs(df, F.col("vec_id") % 20 == 0, **how).first()
+    assert pairs == 52 * 32 and scored < pairs / 2
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, **how)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 20 == 0, 5)
+
+
+def test_a_floor_crosses_groups(spark):
+    """With groups of one block each, only floors from elsewhere can keep a group from scoring."""
+    df = spark.createDataFrame(clusters(640, 6), "vec_id long, embedding array<double>")
+    pairs, scored = topk.scored_pairs(df, F.col("vec_id") % 20 == 0, k=5, block=32, group_blocks=1).first()
+    assert pairs == 32 * 20 and scored < pairs / 2
+
+
+def test_chain_and_neighbourhood(spark):
+    pivots = np.array([[0.0, 0], [10, 0], [1, 0], [9, 0], [5, 5]])
+    assert topk._chain(pivots).tolist() == [[0, 0], [1, 0], [5, 5], [9, 0], [10, 0]]
+    one = spark.createDataFrame([(1, [1, 2])], "vec_id long, terms array<long>")
+    assert topk.with_neighbourhood(one, 512).first()["near"] == 0
+    mixed = spark.createDataFrame([(i, [i % 2 * 100] * (i % 3)) for i in range(30)], "vec_id long, terms array<long>")
+    assert topk.with_neighbourhood(mixed, 10).count() == 30

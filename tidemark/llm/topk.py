@@ -1,9 +1,15 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Rows in order of their id are cut into blocks, and each block keeps a forward index (its
-vectors as a matrix) and the largest and smallest value of every term. The sum over the
-query's terms of what they can add at most bounds every score in a block. A query visits
-blocks from the highest bound down and stops when the bound falls below its k-th score.
+Rows are numbered so that similar ones follow each other: by the nearest of a bounded
+sample of rows, which are chained by distance. Ranges of these numbers are the blocks, and
+each block keeps a forward index (its vectors as a matrix) and the largest and smallest
+value of every term. The sum over the query's terms of what they can add at most bounds
+every score in a block. A query visits blocks from the highest bound down and stops when
+the bound falls below its k-th score.
+
+A first pass scores each query in the one block of all that has its highest bound. The
+k-th score there is a floor that the query takes along to every group of blocks, so no
+group starts anew.
 
 Queries go in chunks against groups of blocks, each pair in one task, so nothing passes
 through the driver and a task holds one chunk and one group. Each pair gives at most k rows
@@ -22,6 +28,7 @@ from tidemark.llm import staging
 BLOCK = 512
 GROUP_BLOCKS = 32
 CHUNK = 1024
+PIVOTS = 1024  # rows of the sample by which all rows are put in order
 
 BLOCKS = "block long, rows int, bytes int, ids binary, terms binary, high binary, low binary"
 LARGEST = np.iinfo(np.int64).max
@@ -53,9 +60,47 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([made], columns=["block", "rows", "bytes", "ids", "terms", "high", "low"])
 
 
+def _chain(pivots: np.ndarray) -> np.ndarray:
+    """Rows of a sample in an order in which each is the nearest to the one before that is left."""
+    left, order = np.arange(1, len(pivots)), [0]
+    while len(left):
+        near = ((pivots[left] - pivots[order[-1]]) ** 2).sum(axis=1).argmin()
+        order.append(int(left[near]))
+        left = np.delete(left, near)
+    return pivots[order]
+
+
+def _nearest(pivots: np.ndarray):
+    """The number of the pivot nearest to each vector."""
+
+    @F.pandas_udf("int")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        terms = _matrix(list(vectors)).astype(np.float64)
+        dims = max(terms.shape[1], pivots.shape[1])
+        own = _wide(pivots, dims)
+        far = (own**2).sum(axis=1)[None, :] - 2 * (_wide(terms, dims) @ own.T)
+        return pd.Series(far.argmin(axis=1), dtype="int32")
+
+    return nearest
+
+
+def with_neighbourhood(vectors: DataFrame, size: int, most: int = PIVOTS) -> DataFrame:
+    """Staged (vec_id, terms) with `near`: where a row stands among similar ones, one number for about `size` rows.
+
+    It decides only which rows share a block, so the sample has no say in the result.
+    """
+    wanted = min(most, -(-vectors.count() // size))
+    if wanted < 2:
+        return vectors.withColumn("near", F.lit(0))
+    # at most `most` rows
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "terms").limit(wanted).select("terms").collect()
+    pivots = _chain(_matrix([np.asarray(r["terms"], dtype=np.int64) for r in sample]).astype(np.float64))
+    return vectors.withColumn("near", _nearest(pivots)("terms"))
+
+
 def forward_index(vectors: DataFrame, size: int = BLOCK) -> DataFrame:
-    """Staged blocks of (vec_id, terms), each of `size` rows that follow each other by id."""
-    ordered = staging.rows_in_order(vectors, [F.col("vec_id")], "vectors-in-order")
+    """Staged blocks of (vec_id, terms, near), each of `size` rows that follow each other by similarity, then id."""
+    ordered = staging.rows_in_order(vectors, [F.col("near"), F.col("vec_id")], "vectors-in-order")
     numbered = staging.ranked(ordered).select(F.floor(F.col("rank") / size).alias("block"), "row.vec_id", "row.terms")
     return staging.staged(numbered.groupBy("block").applyInPandas(_block, BLOCKS), "blocks")
 
@@ -142,29 +187,61 @@ def search_blocks(searcher: Searcher, blocks: list[tuple[np.ndarray, np.ndarray]
     return scored
 
 
+def _searcher(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> tuple[Searcher, np.ndarray, int]:
+    """The queries of a chunk, and the bounds of their scores in each of the blocks."""
+    terms = _matrix([np.asarray(v, dtype=np.int64) for v in queries["terms"]])
+    dims = max(terms.shape[1], *[len(h) // n for h, n in zip(blocks["high"], blocks["bytes"])])
+    searcher = Searcher(queries["query_id"].to_numpy(np.int64), _wide(terms, dims), queries["floor"].to_numpy(np.int64).copy(), k)
+    high, low = (np.concatenate([_stored(x, 1, b, dims) for x, b in zip(blocks[side], blocks["bytes"])]) for side in ("high", "low"))
+    return searcher, searcher.bounds(high, low), dims
+
+
+def _stored(raw: bytes, rows: int, size: int, dims: int) -> np.ndarray:
+    found = np.frombuffer(raw, dtype=f"<i{size}").astype(np.int64).reshape(rows, -1) if raw else np.zeros((rows, 0), np.int64)
+    return _wide(found, dims)
+
+
+def _forward(blocks: pd.DataFrame, dims: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(i, dtype=np.int64), _stored(t, n, b, dims)) for i, t, n, b in zip(blocks["ids"], blocks["terms"], blocks["rows"], blocks["bytes"])]
+
+
+def _highest(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Of a group of blocks the one with the highest bound for each query."""
+    if not len(queries) or not len(blocks):
+        return pd.DataFrame({"query_id": [], "block": [], "bound": []}, dtype="int64")
+    searcher, bounds, _ = _searcher(queries, blocks, k)
+    best = bounds.argmax(axis=1)
+    return pd.DataFrame({"query_id": searcher.ids, "block": blocks["block"].to_numpy(np.int64)[best], "bound": bounds[np.arange(len(best)), best]})
+
+
+def _floors(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k-th score of each query in one block, if it has so many."""
+    if not len(queries) or not len(blocks):
+        return pd.DataFrame({"query_id": [], "floor": []}, dtype="int64")
+    searcher, _, dims = _searcher(queries, blocks, k)
+    searcher.add(np.arange(len(searcher.ids)), *_forward(blocks, dims)[0])
+    return pd.DataFrame({"query_id": searcher.ids, "floor": searcher.floor})
+
+
 def _search(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best of each query in one group of blocks."""
     if not len(queries) or not len(blocks):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-    terms = _matrix([np.asarray(v, dtype=np.int64) for v in queries["terms"]])
-    widths = [len(h) // n for h, n in zip(blocks["high"], blocks["bytes"])]
-    dims = max(terms.shape[1], *widths)
-
-    def matrix(raw: bytes, rows: int, size: int) -> np.ndarray:
-        found = np.frombuffer(raw, dtype=f"<i{size}").astype(np.int64).reshape(rows, -1) if raw else np.zeros((rows, 0), np.int64)
-        return _wide(found, dims)
-
-    floor = queries["floor"].to_numpy(np.int64).copy()
-    searcher = Searcher(queries["query_id"].to_numpy(np.int64), _wide(terms, dims), floor, k)
-    forward = [(np.frombuffer(i, dtype=np.int64), matrix(t, n, b)) for i, t, n, b in zip(blocks["ids"], blocks["terms"], blocks["rows"], blocks["bytes"])]
-    high = np.concatenate([matrix(x, 1, b) for x, b in zip(blocks["high"], blocks["bytes"])])
-    low = np.concatenate([matrix(x, 1, b) for x, b in zip(blocks["low"], blocks["bytes"])])
-    search_blocks(searcher, forward, searcher.bounds(high, low))
+    searcher, bounds, dims = _searcher(queries, blocks, k)
+    search_blocks(searcher, _forward(blocks, dims), bounds)
     if len(searcher.score) and np.abs(searcher.score).max() >= LARGEST:
         raise OverflowError("a score does not fit a long")
     return pd.DataFrame({"query_id": searcher.ids[searcher.query], "vec_id": searcher.vec, "score": searcher.score})
 
 
+def _work(queries: pd.DataFrame, blocks: pd.DataFrame, k: int) -> pd.DataFrame:
+    """How many pairs of a query and a block there are in a group, and how many are scored."""
+    if not len(queries) or not len(blocks):
+        return pd.DataFrame({"pairs": [], "scored": []}, dtype="int64")
+    searcher, bounds, dims = _searcher(queries, blocks, k)
+    return pd.DataFrame({"pairs": [bounds.size], "scored": [search_blocks(searcher, _forward(blocks, dims), bounds)]})
+
+
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")) if n else F.array().cast("array<bigint>")
 
@@ -178,11 +255,26 @@ def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "e
     part. A score beyond a long fails the search. Vectors of different lengths are compared over the components both have. Repeated
     candidate rows count each; repeated query keys ask once, with their smallest vector.
     """
+    asks, offers = _chunks_and_groups(df, is_query, key, vector, k, scale, block, group_blocks, chunk)
+    hits = asks.groupBy("chunk", "group").cogroup(offers.groupBy("chunk", "group")).applyInPandas(lambda q, b: _search(q, b, k), HITS)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
+    return hits.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)
+
+
+def scored_pairs(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, scale: int = 64, block: int = BLOCK, group_blocks: int = GROUP_BLOCKS, chunk: int = CHUNK) -> DataFrame:
+    """(pairs, scored): of all pairs of a query and a block, how many top_k() scores after its first pass. It tells whether bounds are of use on a table."""
+    asks, offers = _chunks_and_groups(df, is_query, key, vector, k, scale, block, group_blocks, chunk)
+    work = asks.groupBy("chunk", "group").cogroup(offers.groupBy("chunk", "group")).applyInPandas(lambda q, b: _work(q, b, k), "pairs long, scored long")
+    return work.agg(F.sum("pairs").alias("pairs"), F.sum("scored").alias("scored"))
+
+
+def _chunks_and_groups(df: DataFrame, is_query: Column, key: str, vector: str, k: int, scale: int, block: int, group_blocks: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with their floors, once for each group of blocks, and blocks, once for each chunk of queries."""
     if k < 1:
         raise ValueError("k must be at least 1")
     clean = df.select(F.col(key).cast("long").alias("vec_id"), scaled(F.col(vector), scale).alias("terms"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     clean = staging.staged(clean.where("vec_id is not null and terms is not null"), "vectors")
-    blocks = forward_index(clean.select("vec_id", "terms"), block).withColumn("group", F.floor(F.col("block") / group_blocks))
+    blocks = forward_index(with_neighbourhood(clean.select("vec_id", "terms"), block), block).withColumn("group", F.floor(F.col("block") / group_blocks))
     asked = clean.where("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("terms").alias("terms"))
     asked = staging.ranked(staging.rows_in_order(asked, [F.col("query_id")], "queries"))
     queries = staging.staged(asked.select("row.query_id", "row.terms", F.floor(F.col("rank") / chunk).alias("chunk"), F.lit(-(1 << 63)).alias("floor")), "chunks")
@@ -191,6 +283,12 @@ def top_k(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "e
     # every chunk meets every group: the query set against all rows, in blocks
     asks = queries.withColumn("group", F.explode(_numbers(groups)))
     offers = blocks.withColumn("chunk", F.explode(_numbers(chunks)))
-    hits = asks.groupBy("chunk", "group").cogroup(offers.groupBy("chunk", "group")).applyInPandas(lambda q, b: _search(q, b, k), HITS)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
-    return hits.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)
+    bounds = asks.groupBy("chunk", "group").cogroup(offers.drop("ids", "terms").groupBy("chunk", "group"))
+    first = bounds.applyInPandas(lambda q, b: _highest(q, b, k), "query_id long, block long, bound long").groupBy("query_id").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
+    first = staging.staged(queries.join(first, "query_id"), "first-blocks")
+    # a block that many queries begin with comes to each of their chunks
+    begun = blocks.join(first.select("block", F.col("chunk").alias("asked_by")).distinct(), "block").select("*", (F.col("asked_by") + 0).alias("of"))
+    floors = first.groupBy("block", "chunk").cogroup(begun.groupBy("block", "of")).applyInPandas(lambda q, b: _floors(q, b, k), "query_id long, floor long")
+    floors = staging.staged(floors, "floors")
+    raised = queries.drop("floor").join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-(1 << 63))))
+    return raised.withColumn("group", F.explode(_numbers(groups))), offers
