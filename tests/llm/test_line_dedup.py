@@ -147,7 +147,7 @@ def components_of(n, edges):
 @pytest.mark.parametrize("made", ["order {:06d} was shipped to the customer", "{:03d} {:03d} was shipped to the customer {:03d}"])
 def test_lines_of_one_template_meet_in_bounded_runs(spark, made, root):
     rng = random.Random(3)
-    texts = sorted({made.format(*(rng.randrange(1000) for _ in range(3))) for _ in range(1200)})
+    texts = sorted({made.format(*(rng.randrange(1000) for _ in range(3))) for _ in range(700)})
     lines = spark.createDataFrame(list(enumerate(texts)), "lid long, line string")
     # under the least of all keys no pair is left to another entry
     met = lines.select(F.lit(-(2**63)).alias("key"), "lid", F.udf(line_dedup.sketch, "long")("line").alias("sketch"))

@@ -88,3 +88,17 @@ def test_query_over_the_given_table(spark, sf_dir):
 def test_plan_is_small(spark):
     counts = {n: 1_000_003 + 7919 * n for n in range(1, 1025)}
     assert len(packing.best_fit(counts)) < 4096
+
+
+def test_a_key_named_like_a_result(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "one two three four five"), (2, None), (3, "six")], "rank long, text string")
+    pieces = packing.tokenised(df, JSON, RANKS, key="rank", capacity=3)
+    placed = packing.place(pieces, 3)
+    assert set(placed.columns) == {"key", "piece", "start", "length", "ids", "sequence_id", "offset"}
+    rows = sorted(map(tuple, placed.select("key", "piece", "length", "sequence_id", "offset").collect()))
+    assert {(k, p) for k, p, *_ in rows} == {(1, 0), (1, 1), (2, 0), (3, 0)}
+    # beyond the bound the ranks are joined without a broadcast, to the same result
+    monkeypatch.setattr(packing, "MOST_BROADCAST", -1)
+    again = packing.place(pieces, 3)
+    assert "SortMergeJoin" in again._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, again.select("key", "piece", "length", "sequence_id", "offset").collect())) == rows

@@ -27,6 +27,7 @@ from tidemark.llm import staging
 CAPACITY = 1024
 END_ID = 2
 FLUSH_BYTES = 4 << 20
+MOST_BROADCAST = 1 << 19  # rows of three numbers: 24 MB
 
 PIECES = "piece int, start long, length long, ids binary, part int, rank long"
 SPECIAL = "<|endoftext|>"
@@ -80,9 +81,11 @@ def tokenised(df: DataFrame, json: str, ranks: str, key: str = "doc_id", text: s
     """Pieces of every document: key, piece, start, length, ids (little-endian unsigned 32-bit), part, rank.
 
     A document is the ids of its text (null: empty) and the end id, so an empty text is one
-    piece of one id. `rank` counts the pieces of a length that task `part` has seen.
+    piece of one id. `rank` counts the pieces of a length that task `part` has seen. A key
+    that is named like another column here or in place() is returned as `key`.
     """
     kind = df.schema[key].dataType
+    named = staging.key_name(key, ("piece", "start", "length", "ids", "part", "rank", "sequence_id", "offset", "runs", "own", "base"))
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -91,7 +94,7 @@ def tokenised(df: DataFrame, json: str, ranks: str, key: str = "doc_id", text: s
         held = 0
         own = encoder(json, ranks)
         end = np.array([end_id], dtype="<u4")
-        names = [key, "piece", "start", "length", "ids", "part", "rank"]
+        names = [named, "piece", "start", "length", "ids", "part", "rank"]
         wire = None
 
         def flush() -> pa.RecordBatch:
@@ -114,7 +117,7 @@ def tokenised(df: DataFrame, json: str, ranks: str, key: str = "doc_id", text: s
         if made:
             yield flush()
 
-    schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(PIECES)])
+    schema = T.StructType([T.StructField(named, kind), *T.StructType.fromDDL(PIECES)])
     return staging.staged(df.select(key, text).mapInArrow(split, schema), "pieces")
 
 
@@ -179,6 +182,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = runs.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("rank", "per", "first", "at"))).alias("runs"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = staging.staged(counted.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "piece-ranks")
+    # a row for each task and length grows with the input: beyond a bound it is no broadcast
+    base = F.broadcast(base) if base.count() <= MOST_BROADCAST else base.hint("merge")
     ranked = pieces.join(base, ["part", "length"]).withColumn("rank", F.col("base") + F.col("rank")).join(F.broadcast(plan), "length")
     own = F.element_at(F.filter("runs", lambda r: r["rank"] <= F.col("rank")), -1)
     k = F.col("rank") - F.col("own.rank")
