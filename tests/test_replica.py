@@ -689,6 +689,17 @@ def test_full_run_then_incremental_run(spark, root):
     assert content(Replica(spark, root, "keyed")) == [(1, 10, "a"), (2, 60, "B"), (3, 30, "c")]
 
 
+def test_run_removes_lost_rows_where_the_policy_says_so(spark, root):
+    rows = spark.createDataFrame([(i, i, "a") for i in range(20)], SCHEMA)
+    rules = {"field": "seq", "pk": "id", "track_types": True}
+    policy = Policy(incremental={"with": {**rules, "deletes": True}, "without": rules})
+    for source in (rows, rows.where("id > 4")):
+        report = run(spark, {"with": source, "without": source}, root, policy, bucket_bytes=SMALL)
+        assert all(r.ok for r in report.collect())
+    assert {t: Replica(spark, root, t).read().count() for t in ("with", "without")} == {"with": 15, "without": 20}
+    assert {r["name"]: r["kind"] for r in Replica(spark, root, "with").types().collect()} == {"id": "int", "seq": "int", "v": "str"}
+
+
 def test_strict_and_resumed_runs(spark, root):
     with pytest.raises(TablesFailed) as failure:
         run(spark, sources(spark, START), root, RULES, strict=True)

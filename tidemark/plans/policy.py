@@ -17,7 +17,8 @@ POLICY_SCHEMA = "table_name STRING, skip BOOLEAN, field STRING, pk STRING"
 @dataclass(frozen=True)
 class Policy:
     """`incremental` maps a table to {'field': ...} and, where wanted, 'pk', 'order' (several
-    columns with commas), 'fold_case' and 'latest'."""
+    columns with commas), 'fold_case', 'collation', 'latest', 'track_types', and 'deletes' (rows whose
+    keys the source has lost go after each increment)."""
 
     skip: tuple[str, ...] = ()
     incremental: dict[str, dict] = field(default_factory=dict)

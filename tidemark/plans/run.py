@@ -64,12 +64,14 @@ def run(
             rule = policy.incremental.get(name, {})
             settings = {
                 "keys": split_key(step["pk"]), "order": (order or {}).get(name) or split_key(rule.get("order")) or None,
-                "bucket_bytes": bucket_bytes, "fold_case": rule.get("fold_case"), "latest": rule.get("latest"),
+                "bucket_bytes": bucket_bytes, **{k: rule.get(k) for k in ("fold_case", "latest", "collation", "track_types")},
             }
             if step["mode"] == "full":
                 record = replica.full_refresh(df, field=step["field"], **settings)
             else:
                 record = replica.increment(df, step["field"], lookback=(lookback or {}).get(name), **settings)
+                if rule.get("deletes"):
+                    replica.reconcile(df, bucket_bytes)
         except Exception as failure:
             error = str(failure)
         written = record["sizes"][record["folders"][-1]][0] if record.get("published") else None
