@@ -192,3 +192,24 @@ def test_summary_of_a_stopped_run(spark):
     back = spark.read.option("header", True).csv(path)
     assert back.columns == ["table", "mode", "rows", "bytes", "fetch_sec", "insert_sec", "duration_sec", "ok", "watermark", "error"]
     assert back.count() == 2
+
+
+def test_columns_are_dealt_out_before_they_are_sorted(spark, root):
+    columns(spark).coalesce(1).write.parquet(root)  # one file, which one task reads
+    plan = catalog.classify(spark.read.parquet(root))._jdf.queryExecution().executedPlan().toString().splitlines()
+    sorts, exchanges = ([i for i, line in enumerate(plan) if word in line] for word in ("Sort [", "Exchange hashpartitioning"))
+    # further down is earlier; the minima of wide tables still combine before their second exchange
+    assert len(exchanges) == 2 and exchanges[0] < max(sorts) < exchanges[1]
+
+
+def test_best_columns_of_wide_and_repeated_tables(spark):
+    names = {2: "other_id", 2500: "ID", 2700: "id", 1024: "modified", 1023: "updated_at", 3999: "status"}
+    wide = [("wide", i, names.get(i, f"c{i}x"), "Date", None, True) for i in range(1, 4001)]
+    twice = [("t", 1, n, "int", None, True) for n in ("b_id", "a_id")] * 2
+    odd = [(None, None, "id", "int", None, True), (None, 1, "code", "int", None, True)]
+    found = spark.createDataFrame([*wide, *twice, *odd], catalog.COLUMNS_SCHEMA)
+    assert sorted(map(tuple, catalog.classify(found).collect()), key=str) == sorted([
+        ("wide", "ID", "modified", "status", 4000, "incremental"),
+        ("t", "a_id", None, None, 4, "full_refresh"),
+        (None, "id", None, None, 2, "full_refresh"),
+    ], key=str)
