@@ -213,3 +213,18 @@ def test_best_columns_of_wide_and_repeated_tables(spark):
         ("t", "a_id", None, None, 4, "full_refresh"),
         (None, "id", None, None, 2, "full_refresh"),
     ], key=str)
+
+
+def test_a_large_catalog_is_not_one_tasks(spark, root):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        report.write_catalog(spark.range(1000).selectExpr("concat('t', id) AS table_name", "string(NULL) AS pk"), root)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    written = sorted((n for n, _ in files.children(spark, root) if n.startswith("part-")))
+    assert len(written) > 1
+    lines = [json.loads(r.value) for n in written for r in spark.read.text(f"{root}/{n}").collect()]
+    assert [x["table_name"] for x in lines] == sorted(f"t{i}" for i in range(1000)) and lines[0]["pk"] is None

@@ -33,5 +33,5 @@ def write_csv(report: DataFrame, path: str) -> None:
 
 
 def write_catalog(classified: DataFrame, path: str) -> None:
-    """The catalog for review, sorted by table."""
-    classified.orderBy("table_name").coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """The catalog for review, sorted by table: files follow each other by name, a small catalog is one file."""
+    classified.orderBy("table_name").write.mode("overwrite").option("ignoreNullFields", False).json(path)
